@@ -1 +1,108 @@
-QUERIES = {}
+"""Registered queries that run a stream over a whole table and return what it wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidegate.operators.acks import event_acks
+from tidegate.operators.quota import with_quota_keys
+from tidegate.plans import views
+from tidegate.session import ROCKSDB_PROVIDER, scratch_path
+from tidegate.settings import Capacity, QuotaPolicy
+from tidegate.sources.table import create_table
+from tidegate.streaming.admission import read_batches, start_quota, start_row_cap
+from tidegate.streaming.dedupe import drop_repeats
+from tidegate.streaming.flush import run_to_end, session_settings, size_options, with_trigger
+from tidegate.streaming.leases import leased_quota
+from tidegate.streaming.persist import as_records, start_persist
+
+QUOTA = QuotaPolicy(limit=6, window_sec=21_600)
+ROWS = Capacity(shards=4, buffer=40, min_per_shard=1)
+ARRIVAL = ["timestamp", "seq"]
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream of its files."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return (spark.readStream.schema(schema).options(**size_options("parquet"))
+            .option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir))
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.event_columns(table_stream(spark, sf_dir, "events"))
+
+
+def _stateful(spark: SparkSession):
+    """Keyed state in RocksDB, in as many partitions as there are cores."""
+    return session_settings(spark, {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)})
+
+
+def _to_parquet(rows: DataFrame, path: str) -> DataFrame:
+    spark = rows.sparkSession
+    writer = (rows.writeStream.format("parquet").option("path", f"{path}/out")
+              .option("checkpointLocation", f"{path}/checkpoint"))
+    with _stateful(spark):
+        query = with_trigger(writer, drain=True).start()
+    run_to_end(query)
+    return spark.read.schema(rows.schema).parquet(f"{path}/out")
+
+
+def _ack_columns(frame: DataFrame) -> DataFrame:
+    return frame.select("event_id", "tenant_id", "quota_tenant", "window_idx", "accepted",
+                        "message", "processed_at")
+
+
+def stream_quota(spark, sf_dir):
+    """The strict quota with keyed state."""
+    events = with_quota_keys(_events(spark, sf_dir), QUOTA)
+    admitted = leased_quota(events, QUOTA, ARRIVAL)
+    return _ack_columns(event_acks(
+        _to_parquet(admitted, scratch_path(spark, "stream-quota")), F.col("timestamp")))
+
+
+def stream_quota_ledger(spark, sf_dir):
+    """The strict quota with a ledger table."""
+    path = scratch_path(spark, "stream-ledger")
+    events = with_quota_keys(_events(spark, sf_dir), QUOTA)
+    run_to_end(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/ledger",
+                           f"{path}/checkpoint", processed_at="timestamp", drain=True))
+    return _ack_columns(read_batches(spark, f"{path}/out"))
+
+
+def stream_cap(spark, sf_dir):
+    path = scratch_path(spark, "stream-cap")
+    events = with_quota_keys(_events(spark, sf_dir), QUOTA)
+    run_to_end(start_row_cap(events, ROWS, "window_idx", ARRIVAL, f"{path}/out", f"{path}/taken",
+                             f"{path}/checkpoint", drain=True))
+    return read_batches(spark, f"{path}/out").select("event_id", "window_idx", "buffered")
+
+
+def stream_persist(spark, sf_dir):
+    """Deliveries as encoded records, decoded and persisted."""
+    path = scratch_path(spark, "stream-persist")
+    name = "tidegate_" + path[-12:]
+    create_table(spark, name, f"{path}/table", buckets=8)
+    records = as_records(views.delivery_columns(table_stream(spark, sf_dir, "lineitem")),
+                         views.DELIVERY_ORDER)
+    run_to_end(start_persist(records, name, views.DELIVERY_ORDER, f"{path}/dead-letters",
+                             f"{path}/flushes", f"{path}/checkpoint", drain=True))
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(f"{path}/table").select(
+        "event_id", "tenant_id", "payload", "event_timestamp")
+
+
+def stream_dedupe_bounded(spark, sf_dir):
+    events = _events(spark, sf_dir).select("event_id", "tenant_id", "payload", "timestamp")
+    twice = events.unionByName(events)
+    return _to_parquet(drop_repeats(twice, "1 hour"), scratch_path(spark, "stream-dedupe"))
+
+
+QUERIES = {
+    "stream_quota": stream_quota,
+    "stream_quota_ledger": stream_quota_ledger,
+    "stream_cap": stream_cap,
+    "stream_persist": stream_persist,
+    "stream_dedupe_bounded": stream_dedupe_bounded,
+}

@@ -86,8 +86,12 @@ def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as deliveries, with many keys delivered more than once."""
-    return _lines(spark, sf_dir).select(
+    return delivery_columns(_lines(spark, sf_dir))
+
+
+def delivery_columns(lines: DataFrame) -> DataFrame:
+    """Order lines, or a stream of them, as deliveries; many keys come more than once."""
+    return lines.select(
         F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("event_id"),
         _supplier_tenant(F.col("l_suppkey")).alias("tenant_id"),
         F.col("l_partkey").cast("string").alias("payload"),
