@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from model import Limiter
 from tidegate import QuotaPolicy
-from tidegate.operators.leased import leased_admission, leased_charges
+from tidegate.operators.leased import leased_admission
 from tidegate.operators.quota import quota_admission, quota_ledger, with_quota_keys
 
 SEC = 10**9
@@ -50,14 +50,14 @@ def test_weighted(spark, charges, expect):
     assert flags(quota_admission(frame(spark, rows, policy), policy, ORDER,
                                  charge=F.col("n"))) == expect
     leased = QuotaPolicy(limit=50, lease=20)
-    assert flags(leased_charges(frame(spark, rows, leased), leased, ORDER)) == expected(
+    assert flags(leased_admission(frame(spark, rows, leased), leased, ORDER, "n")) == expected(
         rows, leased)
 
 
 def test_weighted_leased_example(spark):
     rows = [("a", 0, n) for n in (25, 25, 1)]
     policy = QuotaPolicy(limit=50, lease=20)
-    assert flags(leased_charges(frame(spark, rows, policy), policy, ORDER)) == [True, True, False]
+    assert flags(leased_admission(frame(spark, rows, policy), policy, ORDER, "n")) == [True, True, False]
 
 
 def test_carry_into_next_window(spark):
@@ -133,7 +133,7 @@ def test_leases_equal_the_sequential_rules(spark, seed, monkeypatch):
     got = flags(leased_admission(frame(spark, rows, policy), policy, ORDER, hot_rows=hot_rows))
     assert got == expected(rows, policy)
     rows = random_rows(rng, False, rng.choice([3, 20, 60]), 900, 6)
-    got = flags(leased_charges(frame(spark, rows, policy), policy, ORDER, hot_rows=hot_rows))
+    got = flags(leased_admission(frame(spark, rows, policy), policy, ORDER, "n", hot_rows=hot_rows))
     assert got == expected(rows, policy)
 
 

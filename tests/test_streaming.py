@@ -1,0 +1,225 @@
+import random
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from model import Buffers, Limiter
+from tidegate import Capacity, FlushSettings, QuotaPolicy
+from tidegate.functions.keys import nanos_to_timestamp
+from tidegate.operators import delivery
+from tidegate.operators.quota import with_quota_keys
+from tidegate.session import ROCKSDB_PROVIDER
+from tidegate.sources import deadletter, table, topic
+from tidegate.sources.events import read_event_stream
+from tidegate.streaming import persist as persisting
+from tidegate.streaming.admission import start_quota, start_row_cap
+from tidegate.streaming.dedupe import drop_repeats
+from tidegate.streaming.flush import (flush_report, progress_rows, run_to_end, session_settings,
+                                      size_options, with_trigger)
+from tidegate.streaming.leases import leased_quota
+
+SEC = 10**9
+SCHEMA = "tenant_id string, timestamp long, seq long, n long"
+ORDER = ["timestamp", "seq"]
+
+
+def write_files(spark, rows, schema, path, parts):
+    """Rows in order, as files that a stream reads one after the other."""
+    step = -(-len(rows) // parts)
+    for i in range(parts):
+        part = rows[i * step:(i + 1) * step]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(path))
+
+
+def read_files(spark, schema, path):
+    return (spark.readStream.schema(schema).options(**size_options("parquet"))
+            .parquet(str(path)))
+
+
+def some_rows(seed, size=240):
+    rng, second, rows = random.Random(seed), 0, []
+    for i in range(size):
+        second += rng.choice([0, 0, 0, 1, 1, 7])
+        rows.append((f"t{rng.randrange(4)}", second * SEC, i, rng.randrange(-1, 7)))
+    return rows
+
+
+def expected(rows, policy, weighted):
+    limiter = Limiter(policy.limit, policy.lease, policy.window_sec, policy.idle_ttl_sec)
+    return [limiter.allow(t, ns // SEC, n if weighted else 1) for t, ns, _, n in rows]
+
+
+POLICIES = [
+    (QuotaPolicy(limit=4, window_sec=5), False),
+    (QuotaPolicy(limit=9, window_sec=5), True),
+    (QuotaPolicy(limit=6, lease=4, window_sec=5), False),
+    (QuotaPolicy(limit=8, lease=5, window_sec=5), True),
+    (QuotaPolicy(limit=8, lease=5, window_sec=20, idle_ttl_sec=4), True),
+    (QuotaPolicy(limit=6, lease=4, window_sec=20, idle_ttl_sec=4), False),
+]
+
+
+@pytest.mark.parametrize("policy,weighted", POLICIES)
+def test_quota_with_tables(spark, tmp_path, policy, weighted):
+    rows = some_rows(1)
+    write_files(spark, rows, SCHEMA, tmp_path / "in", 3)
+    events = with_quota_keys(read_files(spark, SCHEMA, tmp_path / "in"), policy)
+
+    def run():
+        return run_to_end(start_quota(
+            events, policy, ORDER, f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/cp",
+            charge="n" if weighted else None, processed_at="timestamp", drain=True))
+
+    query = run()
+    assert len(query.recentProgress) == 3
+    got = [r["accepted"] for r in spark.read.parquet(f"{tmp_path}/out").orderBy("seq").collect()]
+    assert got == expected(rows, policy, weighted)
+    assert len(progress_rows(query)) == 3 and progress_rows(query)[0]["rows"] == 80
+    run()  # nothing new
+    assert spark.read.parquet(f"{tmp_path}/out").count() == len(rows)
+
+
+@pytest.mark.parametrize("policy,weighted", [POLICIES[1], POLICIES[4]])
+def test_quota_with_keyed_state(spark, tmp_path, policy, weighted):
+    rows = some_rows(2)
+    write_files(spark, rows, SCHEMA, tmp_path / "in", 3)
+    events = with_quota_keys(read_files(spark, SCHEMA, tmp_path / "in"), policy)
+    admitted = leased_quota(events, policy, ORDER, charge="n" if weighted else None,
+                            state_ttl_sec=3600)
+    writer = admitted.writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+        "checkpointLocation", f"{tmp_path}/cp")
+    with session_settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+                                  "spark.sql.shuffle.partitions": "2"}):
+        query = with_trigger(writer, drain=True).start()
+    run_to_end(query)
+    got = [r["admitted"] for r in spark.read.parquet(f"{tmp_path}/out").orderBy("seq").collect()]
+    assert got == expected(rows, policy, weighted)
+
+
+def test_row_cap_over_batches(spark, tmp_path):
+    rows = [(i // 50, i) for i in range(150)]
+    write_files(spark, rows, "interval long, seq long", tmp_path / "in", 4)
+    capacity = Capacity(3, 12, 1)
+    run_to_end(start_row_cap(
+        read_files(spark, "interval long, seq long", tmp_path / "in"), capacity, "interval",
+        ["seq"], f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/cp", drain=True))
+    got = {r["seq"]: r["buffered"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    for interval in range(3):
+        model = Buffers(3, 4)
+        for _, seq in [r for r in rows if r[0] == interval]:
+            assert got[seq] == model.submit()
+
+
+EVENTS = "event_id string, tenant_id string, payload string, timestamp long"
+
+
+def topic_files(spark, path):
+    """Three files: repeats within and between them, one bad record, one long key."""
+    files = [[("e1", "t", "first", 1), ("e1", "t", "second", 2), ("e2", "t", "p", 3)],
+             [("e1", "t", "third", 4), ("x" * 65, "t", "p", 5), ("bad", "t", "p", 6)],
+             [("e3", "t", "p", 7), ("", "t", "p", 8), ("", "t", "q", 9)]]
+    for rows in files:
+        df = spark.createDataFrame(rows, EVENTS)
+        records = delivery.to_records(df.coalesce(1), time=nanos_to_timestamp(
+            F.col("timestamp") * 1000)).withColumn("value", F.when(
+                F.col("key") == F.lit(b"bad"), F.lit(b"\xff\xff\xff")).otherwise(F.col("value")))
+        topic.publish(records.coalesce(1), format="parquet", path=path)
+
+
+def start(spark, path, name):
+    records = topic.read_topic_stream(spark, "events", format="parquet", path=f"{path}/topic",
+                                      **size_options("parquet"))
+    return persisting.start_persist(records, name, ["time"], f"{path}/dead", f"{path}/flushes",
+                                    f"{path}/cp", drain=True)
+
+
+def stored(spark, name):
+    return {r["event_id"]: r["payload"] for r in spark.table(name).collect()}
+
+
+WANTED = {"e1": "first", "e2": "p", "e3": "p", "": "p"}
+
+
+@pytest.fixture
+def target(spark, tmp_path):
+    name = "s_" + tmp_path.name.replace("-", "_")[-20:]
+    table.create_table(spark, name, f"{tmp_path}/table", buckets=2)
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_persist_from_topic(spark, tmp_path, target):
+    topic_files(spark, f"{tmp_path}/topic")
+    run_to_end(start(spark, tmp_path, target))
+    assert stored(spark, target) == WANTED
+    letters = {r["key"]: r["error"] for r in
+               deadletter.read_dead_letters(spark, f"{tmp_path}/dead").collect()}
+    assert letters["x" * 65] == "event_id longer than 64" and "DecodeError" in letters["bad"]
+    assert len(letters) == 2
+    report = flush_report(spark, f"{tmp_path}/flushes").orderBy("batch_id").collect()
+    assert [r["attempted"] for r in report] == [3, 1, 3]
+    assert [r["inserted"] for r in report] == [2, 0, 2]
+    assert [r["total_persisted"] for r in report] == [3, 4, 7]
+    assert (report[1]["undecodable"], report[1]["constraint_failures"]) == (1, 1)
+
+
+def test_failed_batch_is_retried_without_loss_or_repeats(spark, tmp_path, target, monkeypatch):
+    topic_files(spark, f"{tmp_path}/topic")
+    real, calls = persisting.insert_batch, []
+
+    def failing(events, name, batch_id, order):
+        counts = real(events, name, batch_id, order)
+        calls.append(batch_id)
+        if len(calls) == 2:  # the rows are written, the offsets are not committed
+            raise RuntimeError("database went away")
+        return counts
+
+    monkeypatch.setattr(persisting, "insert_batch", failing)
+    with pytest.raises(StreamingQueryException):
+        run_to_end(start(spark, tmp_path, target))
+    run_to_end(start(spark, tmp_path, target))
+    assert calls == [0, 1, 1, 2]
+    assert stored(spark, target) == WANTED
+    assert spark.table(target).count() == len(WANTED)
+    assert deadletter.read_dead_letters(spark, f"{tmp_path}/dead").count() == 2
+
+
+def test_reading_again_from_the_start_changes_nothing(spark, tmp_path, target):
+    topic_files(spark, f"{tmp_path}/topic")
+    run_to_end(start(spark, tmp_path, target))
+    before = sorted(map(str, spark.table(target).drop("created_at").collect()))
+    again = topic.read_topic_stream(spark, "events", format="parquet", path=f"{tmp_path}/topic",
+                                    **size_options("parquet"))
+    run_to_end(persisting.start_persist(again, target, ["time"], f"{tmp_path}/dead2",
+                                        f"{tmp_path}/flushes2", f"{tmp_path}/cp2", drain=True))
+    assert sorted(map(str, spark.table(target).drop("created_at").collect())) == before
+
+
+def test_bounded_dedupe(spark, tmp_path):
+    rows = [("a", "t", "1", 1 * SEC), ("a", "t", "2", 2 * SEC), ("b", "t", "1", 3 * SEC)]
+    later = [("a", "t", "3", 9 * SEC), ("c", "t", "1", 5000 * SEC)]
+    write_files(spark, rows + later, EVENTS, tmp_path / "in", 2)
+    stream = read_event_stream(spark, str(tmp_path / "in"), maxFilesPerTrigger="1")
+    writer = (drop_repeats(stream, "1 hour").writeStream.format("parquet")
+              .option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp"))
+    run_to_end(with_trigger(writer, drain=True).start())
+    out = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert sorted(r["event_id"] for r in out) == ["a", "b", "c"]
+
+
+def test_publish_stream_drains(spark, tmp_path):
+    rows = [(f"evt-{i}", "t", "data", i) for i in range(500)]
+    write_files(spark, rows, EVENTS, tmp_path / "in", 4)
+    stream = read_event_stream(spark, str(tmp_path / "in"), maxFilesPerTrigger="1")
+    writer = topic.publish_stream(delivery.to_records(stream), f"{tmp_path}/cp",
+                                  format="parquet", path=f"{tmp_path}/topic")
+    run_to_end(with_trigger(writer, drain=True).start())
+    assert topic.read_topic(spark, "events", format="parquet",
+                            path=f"{tmp_path}/topic").count() == 500
+
+
+def test_flush_settings():
+    assert size_options("kafka", FlushSettings(batch_size=7)) == {"maxOffsetsPerTrigger": "7"}
+    with pytest.raises(ValueError):
+        FlushSettings(batch_timeout_ms=0)

@@ -13,16 +13,34 @@ rows are flagged by `admit_within`.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegate.functions.keys import NANOS_PER_SECOND
 from tidegate.operators.quota import QUOTA_KEYS, admit_within
-from tidegate.operators.running import HOT_ROWS, find_slices, running_total
+from tidegate.operators.running import HOT_ROWS, Slices, find_slices, running_total
+from tidegate.session import freeze
 from tidegate.settings import QuotaPolicy
 
 SPAN = 1024
+KEEP_WINDOWS = 2
+
+TOKENS_SCHEMA = "quota_tenant string, tokens long, last_second long"
+USED_SCHEMA = "quota_tenant string, window_idx long, used long"
+OUTCOME_SCHEMA = ("quota_tenant string, window_idx long, session long, allowed long, "
+                  "tokens long, used long")
+
+
+@dataclass(frozen=True)
+class LeaseState:
+    """What earlier runs left: `tokens` per tenant with its last access, and quota `used` per
+    tenant and window (see `TOKENS_SCHEMA`, `USED_SCHEMA`)."""
+
+    tokens: DataFrame
+    used: DataFrame
 
 
 # --- composing windows into spans -------------------------------------------------------------
@@ -43,9 +61,8 @@ def _compose(links: DataFrame, child: str, parent: str) -> DataFrame:
             .applyInPandas(fold, f"quota_tenant string, {parent} long, link array<int>"))
 
 
-def _descend(links: DataFrame, child: str, parent: str, starts: DataFrame | None) -> DataFrame:
-    """Tokens brought into each child, from those brought into its parent (0 at the top)."""
-    group = ["quota_tenant"] if starts is None else ["quota_tenant", parent]
+def _descend(links: DataFrame, child: str, group: list[str]) -> DataFrame:
+    """Tokens brought into each child, from `brought` of the group it lies in."""
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(child)
@@ -56,36 +73,48 @@ def _descend(links: DataFrame, child: str, parent: str, starts: DataFrame | None
         return pd.DataFrame({"quota_tenant": pdf["quota_tenant"], child: pdf[child],
                              "brought": brought})
 
-    if starts is None:
-        links = links.withColumn("brought", F.lit(0))
-    else:
-        links = (links.withColumn(parent, F.expr(f"{child} div {SPAN}"))
-                 .join(starts, ["quota_tenant", parent]))
     return links.groupBy(*group).applyInPandas(
         walk, f"quota_tenant string, {child} long, brought int")
 
 
-def _brought_into_spans(span_links: DataFrame) -> DataFrame:
+def _brought_into_spans(span_links: DataFrame, state: LeaseState | None) -> DataFrame:
     """Tokens each tenant brings into each of its spans of `SPAN` windows."""
     long_links = _compose(span_links, "span", "long_span")
-    long_starts = _descend(long_links, "long_span", "", None)
-    return _descend(span_links, "span", "long_span", long_starts)
+    if state is None:
+        long_links = long_links.withColumn("brought", F.lit(0))
+    else:
+        held = state.tokens.select("quota_tenant", F.col("tokens").cast("int").alias("brought"))
+        long_links = long_links.join(held, "quota_tenant", "left").fillna(0, ["brought"])
+    starts = _descend(long_links, "long_span", ["quota_tenant"])
+    inside = (span_links.withColumn("long_span", F.expr(f"span div {SPAN}"))
+              .join(starts, ["quota_tenant", "long_span"]))
+    return _descend(inside, "span", ["quota_tenant", "long_span"])
 
 
-# --- unit charges -----------------------------------------------------------------------------
+def _through_spans(cells: DataFrame, table, read, state: LeaseState | None) -> DataFrame:
+    """Outcome of every cell: `table` folds the cells of a span into its link, `read` follows
+    them once the tokens brought into the span are known."""
+    spans = cells.withColumn("span", F.expr(f"window_idx div {SPAN}"))
 
-def _unit_step(n: int, tokens, used, limit: int, lease: int):
-    """`n` unit requests against tokens held and quota used; works on numbers and arrays.
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"quota_tenant": pdf["quota_tenant"].iloc[:1],
+                             "span": pdf["span"].iloc[:1], "link": [table(pdf).tolist()]})
+
+    links = spans.groupBy("quota_tenant", "span").applyInPandas(
+        link, "quota_tenant string, span long, link array<int>")
+    return (spans.join(_brought_into_spans(links, state), ["quota_tenant", "span"])
+            .groupBy("quota_tenant", "span").applyInPandas(read, OUTCOME_SCHEMA))
 
-    Returns the requests admitted, the tokens left and the quota used afterwards.
-    """
-    covered = np.minimum(n, tokens)
-    asked = n - covered
-    served = np.minimum(asked, limit - used)
-    leased = np.minimum(-(-served // lease) * lease, limit - used)
-    left = np.where(asked > 0, leased - served, tokens - covered)
-    return covered + served, left, used + leased
 
+def _with_used(cells: DataFrame, state: LeaseState | None) -> DataFrame:
+    """Add `before`, the quota that earlier runs used in the cell's window."""
+    if state is None:
+        return cells.withColumn("before", F.lit(0).cast("long"))
+    before = state.used.select(*QUOTA_KEYS, F.col("used").alias("before"))
+    return cells.join(before, QUOTA_KEYS, "left").fillna(0, ["before"])
+
+
+# --- idle tenants -----------------------------------------------------------------------------
 
 def _second(arrival: str) -> Column:
     return F.expr(f"{arrival} div {NANOS_PER_SECOND}")
@@ -95,7 +124,8 @@ def _bucket(policy: QuotaPolicy, arrival: str) -> Column:
     return F.expr(f"({arrival} div {NANOS_PER_SECOND}) div {policy.idle_ttl_sec}")
 
 
-def idle_sessions(events: DataFrame, policy: QuotaPolicy, arrival: str) -> DataFrame:
+def idle_sessions(events: DataFrame, policy: QuotaPolicy, arrival: str,
+                  state: LeaseState | None = None) -> DataFrame:
     """Counts per tenant, window and idle bucket, with the `session` each lies in (named by
     the bucket that opened it); `fresh` marks the cell in which the session opens.
 
@@ -113,16 +143,23 @@ def idle_sessions(events: DataFrame, policy: QuotaPolicy, arrival: str) -> DataF
     gap = F.col("_first") - F.lag("_last").over(in_block)
     cells = cells.withColumn("_opened", F.when(gap > ttl, F.col("bucket")))
 
+    blocks = cells.groupBy("quota_tenant", "_block").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"),
+        F.min("bucket").alias("_start"), F.max("_opened").alias("_opened"))
     by_block = Window.partitionBy("quota_tenant").orderBy("_block")
-    gap = F.col("_first") - F.lag("_last").over(by_block)
+    seen = F.lag("_last").over(by_block)
+    if state is not None:
+        known = state.tokens.select("quota_tenant", F.col("last_second").alias("_known"))
+        blocks = blocks.join(known, "quota_tenant", "left")
+        seen = F.coalesce(seen, F.col("_known"))
     blocks = (
-        cells.groupBy("quota_tenant", "_block")
-        .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"),
-             F.min("bucket").alias("_start"), F.max("_opened").alias("_opened"))
-        .withColumn("_broke", F.when(F.coalesce(gap > ttl, F.lit(True)), F.col("_start")))
+        blocks
+        .withColumn("_broke", F.when(F.coalesce(F.col("_first") - seen > ttl, F.lit(True)),
+                                     F.col("_start")))
+        # Without a break the first session of all goes on from the state's.
         .withColumn("_opened", F.coalesce("_opened", "_broke"))
         .withColumn("_inherited", F.coalesce("_broke", F.last("_opened", ignorenulls=True).over(
-            by_block.rowsBetween(Window.unboundedPreceding, -1))))
+            by_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1)))
         .select("quota_tenant", "_block", "_broke", "_inherited"))
 
     so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -135,96 +172,64 @@ def idle_sessions(events: DataFrame, policy: QuotaPolicy, arrival: str) -> DataF
         .alias("fresh"))
 
 
-def unit_allowances(segments: DataFrame, policy: QuotaPolicy) -> DataFrame:
-    """`allowed` requests and `leased` tokens of each tenant, window and session."""
+# --- unit charges -----------------------------------------------------------------------------
+
+def _unit_step(n: int, tokens, used, limit: int, lease: int):
+    """`n` unit requests against tokens held and quota used; works on numbers and arrays.
+
+    Returns the requests admitted, the tokens left and the quota used afterwards.
+    """
+    covered = np.minimum(n, tokens)
+    asked = n - covered
+    served = np.minimum(asked, limit - used)
+    leased = np.minimum(-(-served // lease) * lease, limit - used)
+    left = np.where(asked > 0, leased - served, tokens - covered)
+    return covered + served, left, used + leased
+
+
+def unit_outcomes(segments: DataFrame, policy: QuotaPolicy,
+                  state: LeaseState | None = None) -> DataFrame:
+    """Requests `allowed`, and tokens and quota used afterwards, of each tenant, window and
+    session, from their counts `n`; `fresh` segments start without tokens."""
     limit, lease, size = policy.limit, policy.lease, min(policy.lease, policy.limit)
 
-    def table(pdf: pd.DataFrame) -> pd.DataFrame:
-        tokens, used, window = np.arange(size), np.zeros(size, dtype=np.int64), None
+    def steps(pdf: pd.DataFrame):
         pdf = pdf.sort_values(["window_idx", "session"])
-        for idx, n, fresh in zip(pdf["window_idx"], pdf["n"], pdf["fresh"]):
+        return pdf, zip(pdf["window_idx"], pdf["n"], pdf["fresh"], pdf["before"])
+
+    def table(pdf: pd.DataFrame) -> np.ndarray:
+        tokens, used, window = np.arange(size), 0, None
+        for idx, n, fresh, before in steps(pdf)[1]:
             if idx != window:
-                used, window = np.zeros(size, dtype=np.int64), idx
-            if fresh:
-                tokens = np.zeros(size, dtype=np.int64)
-            _, tokens, used = _unit_step(n, tokens, used, limit, lease)
-        return pd.DataFrame({"quota_tenant": pdf["quota_tenant"].iloc[:1],
-                             "span": pdf["span"].iloc[:1], "link": [tokens.tolist()]})
+                used, window = np.full(size, before), idx
+            _, tokens, used = _unit_step(n, np.zeros_like(tokens) if fresh else tokens, used,
+                                         limit, lease)
+        return tokens
 
     def read(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["window_idx", "session"])
-        tokens, used, window, allowed, leased = int(pdf["brought"].iloc[0]), 0, None, [], []
-        for idx, n, fresh in zip(pdf["window_idx"], pdf["n"], pdf["fresh"]):
+        pdf, cells = steps(pdf)
+        tokens, used, window, out = int(pdf["brought"].iloc[0]), 0, None, []
+        for idx, n, fresh, before in cells:
             if idx != window:
-                used, window = 0, idx
-            taken, tokens, after = _unit_step(n, 0 if fresh else tokens, used, limit, lease)
-            allowed.append(int(taken))
-            leased.append(int(after - used))
-            used, tokens = int(after), int(tokens)
+                used, window = before, idx
+            allowed, tokens, used = map(int, _unit_step(n, 0 if fresh else tokens, used, limit,
+                                                        lease))
+            out.append((allowed, tokens, used))
         return pdf[["quota_tenant", "window_idx", "session"]].assign(
-            allowed=allowed, leased=leased)
+            **dict(zip(("allowed", "tokens", "used"), zip(*out))))
 
-    spans = segments.withColumn("span", F.expr(f"window_idx div {SPAN}"))
-    links = spans.groupBy("quota_tenant", "span").applyInPandas(
-        table, "quota_tenant string, span long, link array<int>")
-    return _span_reader(spans, links, read, "quota_tenant string, window_idx long, "
-                                            "session long, allowed long, leased long")
-
-
-def _span_reader(spans: DataFrame, links: DataFrame, read, schema: str) -> DataFrame:
-    return (spans.join(_brought_into_spans(links), ["quota_tenant", "span"])
-            .groupBy("quota_tenant", "span").applyInPandas(read, schema))
-
-
-def _most(policy: QuotaPolicy) -> int:
-    """Upper bound of what one window can admit: the limit and the tokens brought in."""
-    return policy.limit + min(policy.lease, policy.limit) - 1
-
-
-def _reserve(allowances: DataFrame, keys: list[str], policy: QuotaPolicy) -> DataFrame:
-    """What is not allowed, as an amount already taken from the upper bound."""
-    return allowances.select(
-        *keys, (F.lit(_most(policy)).cast("long") - F.col("allowed")).alias("amount"))
-
-
-def leased_admission(events: DataFrame, policy: QuotaPolicy, order: list[str],
-                     arrival: str = "timestamp", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Leased quota over events with quota keys that charge one token each; adds `admitted`.
-
-    With an idle limit in the policy, a tenant idle for longer than that starts with nothing.
-    """
-    if policy.idle_ttl_sec is None:
-        segments = events.groupBy(*QUOTA_KEYS).agg(F.count(F.lit(1)).alias("n")).withColumns(
-            {"session": F.lit(0).cast("long"), "fresh": F.lit(False)})
-        reserved = _reserve(unit_allowances(segments, policy), QUOTA_KEYS, policy)
-        return admit_within(events, QUOTA_KEYS, order, _most(policy), None, reserved,
-                            hot_rows=hot_rows)
-
-    cells = idle_sessions(events, policy, arrival)
-    segment = [*QUOTA_KEYS, "session"]
-    segments = cells.groupBy(*segment).agg(F.sum("n").alias("n"), F.max("fresh").alias("fresh"))
-    # The first buckets of a segment are served first. A bucket lies in one session, so rows
-    # can be flagged per bucket.
-    earlier = Window.partitionBy(*segment).orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    left = F.col("allowed") - F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    allowed = (cells.join(unit_allowances(segments, policy), segment)
-               .withColumn("allowed", F.greatest(F.lit(0), F.least(left, F.col("n")))))
-    keys = [*QUOTA_KEYS, "bucket"]
-    rows = events.withColumn("bucket", _bucket(policy, arrival))
-    return admit_within(rows, keys, order, _most(policy), None,
-                        _reserve(allowed, keys, policy), hot_rows=hot_rows).drop("bucket")
+    return _through_spans(_with_used(segments, state), table, read, state)
 
 
 # --- weighted charges -------------------------------------------------------------------------
 
-def _lease_runs(n: np.ndarray, fresh: np.ndarray, limit: int, lease: int,
-                size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def _lease_runs(n: np.ndarray, fresh: np.ndarray, used: int, limit: int, lease: int, size: int):
     """What a window does, by the request at which the tokens brought in run out.
 
     Returns the running charge at which that request moves on (one entry per request that
-    tokens brought in may cover), the tokens left and the charge admitted for each such
-    request, and the window's total if the tokens may cover all of it (else -1).
+    tokens brought in may cover), then for each such request the tokens left, the charge
+    admitted and the quota used, and the window's total if the tokens may cover all of it
+    (else -1).
     """
     total = np.cumsum(n)
     count = len(n)
@@ -237,13 +242,13 @@ def _lease_runs(n: np.ndarray, fresh: np.ndarray, limit: int, lease: int,
 
     reach = min(int(np.searchsorted(total, size - 1, "right")), int(resets[0]))
     at = np.arange(min(reach + 1, count))
-    used = np.zeros(len(at), dtype=np.int64)
+    spent = np.full(len(at), used, dtype=np.int64)
     left, admitted = np.zeros(len(at), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
     open_runs = np.arange(len(at))
     while len(open_runs):
         here = at[open_runs]
-        granted = np.minimum(limit - used[open_runs], np.maximum(lease, n[here]))
-        used[open_runs] += granted
+        granted = np.minimum(limit - spent[open_runs], np.maximum(lease, n[here]))
+        spent[open_runs] += granted
         before = total[here] - n[here]
         denied = granted < n[here]
         admitted[open_runs[denied]] = before[denied]
@@ -255,81 +260,165 @@ def _lease_runs(n: np.ndarray, fresh: np.ndarray, limit: int, lease: int,
         at[open_runs] = following
         open_runs = open_runs[~ended]
     covers_all = reach == count
-    return total[:reach], left, admitted, int(total[-1]) if covers_all else -1
+    return total[:reach], left, admitted, spent, int(total[-1]) if covers_all else -1
 
 
 def _window_table(limit: int, lease: int, size: int):
     def table(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_used")
         opens = pdf["fresh"].to_numpy(bool) & ~pdf.duplicated("bucket").to_numpy()
-        levels, left, admitted, total = _lease_runs(
-            pdf["_n"].to_numpy(np.int64), opens, limit, lease, size)
+        before = int(pdf["before"].iloc[0])
+        levels, left, admitted, spent, total = _lease_runs(
+            pdf["_n"].to_numpy(np.int64), opens, before, limit, lease, size)
         return pd.DataFrame({
             "quota_tenant": pdf["quota_tenant"].iloc[:1], "window_idx": pdf["window_idx"].iloc[:1],
             "levels": [levels.tolist()], "left": [left.tolist()],
-            "admitted": [admitted.tolist()], "total": [total]})
+            "admitted": [admitted.tolist()], "spent": [spent.tolist()], "total": [total],
+            "before": [before]})
 
     return table
 
 
 def _through_window(tokens, row):
-    """Tokens left and charge admitted for the tokens brought in (a number or an array)."""
+    """Charge admitted, and tokens and quota used afterwards, for the tokens brought in (a
+    number or an array)."""
     at = np.searchsorted(row.levels, tokens, "right")
     inside = at < len(row.left)
     known = np.minimum(at, len(row.left) - 1)
-    return (np.where(inside, np.asarray(row.left)[known], tokens - row.total),
-            np.where(inside, np.asarray(row.admitted)[known], row.total))
+    return (np.where(inside, np.asarray(row.admitted)[known], row.total),
+            np.where(inside, np.asarray(row.left)[known], tokens - row.total),
+            np.where(inside, np.asarray(row.spent)[known], row.before))
 
 
-def charge_allowances(requests: DataFrame, policy: QuotaPolicy, order: list[str], charge: str,
-                      arrival: str, hot_rows: int = HOT_ROWS, slices=None) -> DataFrame:
-    """Charge `allowed` per tenant and window when requests charge different amounts."""
+def charge_outcomes(requests: DataFrame, policy: QuotaPolicy, order: list[str], charge: str,
+                    arrival: str, slices: Slices, state: LeaseState | None = None) -> DataFrame:
+    """Charge `allowed`, and tokens and quota used afterwards, of each tenant and window."""
     limit, lease, size = policy.limit, policy.lease, min(policy.lease, policy.limit)
     paying = requests.where(F.col(charge) > 0).select(
         *dict.fromkeys([*QUOTA_KEYS, *order, arrival]), F.col(charge).cast("long").alias("_n"))
-    total = running_total(paying, QUOTA_KEYS, order, "_used", F.col("_n"), slices, hot_rows)
+    total = running_total(paying, QUOTA_KEYS, order, "_used", F.col("_n"), slices)
     # Beyond the upper bound every request is denied, so a window needs no more than these.
     near = total.where(F.col("_used") - F.col("_n") <= _most(policy))
     if policy.idle_ttl_sec is None:
         near = near.withColumns({"bucket": F.lit(0).cast("long"), "fresh": F.lit(False)})
     else:
-        opening = idle_sessions(paying, policy, arrival).where("fresh").select(
+        opening = idle_sessions(paying, policy, arrival, state).where("fresh").select(
             *QUOTA_KEYS, "bucket", "fresh")
         near = (near.withColumn("bucket", _bucket(policy, arrival))
-                .join(opening, [*QUOTA_KEYS, "bucket"], "left")
-                .withColumn("fresh", F.coalesce("fresh", F.lit(False))))
+                .join(opening, [*QUOTA_KEYS, "bucket"], "left").fillna(False, ["fresh"]))
     windows = (
-        near.select(*QUOTA_KEYS, "_used", "_n", "bucket", "fresh").groupBy(*QUOTA_KEYS)
+        _with_used(near.select(*QUOTA_KEYS, "_used", "_n", "bucket", "fresh"), state)
+        .groupBy(*QUOTA_KEYS)
         .applyInPandas(_window_table(limit, lease, size),
                        "quota_tenant string, window_idx long, levels array<long>, "
-                       "left array<long>, admitted array<long>, total long"))
+                       "left array<long>, admitted array<long>, spent array<long>, total long, "
+                       "before long"))
 
-    def table(pdf: pd.DataFrame) -> pd.DataFrame:
+    def table(pdf: pd.DataFrame) -> np.ndarray:
         tokens = np.arange(size)
         for row in pdf.sort_values("window_idx").itertuples():
-            tokens, _ = _through_window(tokens, row)
-        return pd.DataFrame({"quota_tenant": pdf["quota_tenant"].iloc[:1],
-                             "span": pdf["span"].iloc[:1], "link": [tokens.tolist()]})
+            _, tokens, _ = _through_window(tokens, row)
+        return tokens
 
     def read(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("window_idx")
-        tokens, allowed = int(pdf["brought"].iloc[0]), []
+        tokens, out = int(pdf["brought"].iloc[0]), []
         for row in pdf.itertuples():
-            tokens, admitted = _through_window(tokens, row)
-            allowed.append(int(admitted))
-        return pdf[["quota_tenant", "window_idx"]].assign(allowed=allowed)
+            allowed, tokens, used = map(int, _through_window(tokens, row))
+            out.append((allowed, tokens, used))
+        return pdf[["quota_tenant", "window_idx"]].assign(
+            session=0, **dict(zip(("allowed", "tokens", "used"), zip(*out))))
 
-    spans = windows.withColumn("span", F.expr(f"window_idx div {SPAN}"))
-    links = spans.groupBy("quota_tenant", "span").applyInPandas(
-        table, "quota_tenant string, span long, link array<int>")
-    return _span_reader(spans, links, read, "quota_tenant string, window_idx long, allowed long")
-
-
-def leased_charges(requests: DataFrame, policy: QuotaPolicy, order: list[str], charge: str = "n",
-                   arrival: str = "timestamp", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Leased quota over requests with quota keys that charge `charge` tokens each, whole or
-    not at all; adds `admitted`."""
-    slices = find_slices(requests, QUOTA_KEYS, order, hot_rows)
-    allowances = charge_allowances(requests, policy, order, charge, arrival, hot_rows, slices)
-    return admit_within(requests, QUOTA_KEYS, order, _most(policy), F.col(charge),
-                        _reserve(allowances, QUOTA_KEYS, policy), slices)
+    return _through_spans(windows, table, read, state)
+
+
+# --- admission --------------------------------------------------------------------------------
+
+def _most(policy: QuotaPolicy) -> int:
+    """Upper bound of what one window can admit: the limit and the tokens brought in."""
+    return policy.limit + min(policy.lease, policy.limit) - 1
+
+
+def _flag(rows: DataFrame, allowances: DataFrame, keys: list[str], policy: QuotaPolicy,
+          order: list[str], charge: Column | None, slices: Slices | None,
+          hot_rows: int) -> DataFrame:
+    """What is not allowed counts as already taken from the upper bound."""
+    reserved = allowances.select(
+        *keys, (F.lit(_most(policy)).cast("long") - F.col("allowed")).alias("amount"))
+    return admit_within(rows, keys, order, _most(policy), charge, reserved, slices, hot_rows)
+
+
+def leased_step(rows: DataFrame, policy: QuotaPolicy, order: list[str],
+                charge: str | None = None, arrival: str = "timestamp",
+                state: LeaseState | None = None,
+                hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rows with quota keys flagged `admitted`, and the outcome per tenant, window and session
+    (`OUTCOME_SCHEMA`), which `next_state` needs."""
+    if charge is not None:
+        slices = find_slices(rows, QUOTA_KEYS, order, hot_rows)
+        outcomes = charge_outcomes(rows, policy, order, charge, arrival, slices, state)
+        outcomes = outcomes if state is None else freeze(outcomes)
+        return _flag(rows, outcomes, QUOTA_KEYS, policy, order, F.col(charge), slices,
+                     hot_rows), outcomes
+    if policy.idle_ttl_sec is None:
+        segments = rows.groupBy(*QUOTA_KEYS).agg(F.count(F.lit(1)).alias("n")).withColumns(
+            {"session": F.lit(0).cast("long"), "fresh": F.lit(False)})
+        outcomes = unit_outcomes(segments, policy, state)
+        outcomes = outcomes if state is None else freeze(outcomes)
+        return _flag(rows, outcomes, QUOTA_KEYS, policy, order, None, None, hot_rows), outcomes
+
+    cells = idle_sessions(rows, policy, arrival, state)
+    segment = [*QUOTA_KEYS, "session"]
+    segments = cells.groupBy(*segment).agg(F.sum("n").alias("n"), F.max("fresh").alias("fresh"))
+    outcomes = unit_outcomes(segments, policy, state)
+    outcomes = outcomes if state is None else freeze(outcomes)
+    # The first buckets of a segment are served first. A bucket lies in one session, so rows
+    # can be flagged per bucket.
+    earlier = Window.partitionBy(*segment).orderBy("bucket").rowsBetween(
+        Window.unboundedPreceding, -1)
+    left = F.col("allowed") - F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    allowed = (cells.join(outcomes.select(*segment, "allowed"), segment)
+               .withColumn("allowed", F.greatest(F.lit(0), F.least(left, F.col("n")))))
+    marked = rows.withColumn("bucket", _bucket(policy, arrival))
+    return _flag(marked, allowed, [*QUOTA_KEYS, "bucket"], policy, order, None, None,
+                 hot_rows).drop("bucket"), outcomes
+
+
+def leased_admission(rows: DataFrame, policy: QuotaPolicy, order: list[str],
+                     charge: str | None = None, arrival: str = "timestamp",
+                     hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Leased quota over rows with quota keys; adds `admitted`.
+
+    A row charges one token, or with `charge` that many, whole or not at all. With an idle
+    limit in the policy, a tenant idle for longer than that starts with nothing.
+    """
+    return leased_step(rows, policy, order, charge, arrival, hot_rows=hot_rows)[0]
+
+
+def next_state(rows: DataFrame, outcomes: DataFrame, policy: QuotaPolicy, state: LeaseState,
+               charge: str | None = None, arrival: str = "timestamp",
+               keep_windows: int = KEEP_WINDOWS) -> LeaseState:
+    """The state after `rows`. Tenants without tokens, tenants idle for longer than the
+    policy's limit and all but the latest windows are forgotten. Reads two numbers."""
+    paying = rows if charge is None else rows.where(F.col(charge) > 0)
+    seen = paying.groupBy("quota_tenant").agg(F.max(_second(arrival)).alias("last_second"))
+    held = outcomes.groupBy("quota_tenant").agg(
+        F.max_by("tokens", F.struct("window_idx", "session")).alias("tokens"))
+    now = held.join(seen, "quota_tenant")
+    earlier = state.tokens.join(now, "quota_tenant", "left_anti")
+    tokens = now.select("quota_tenant", "tokens", "last_second").unionByName(earlier)
+    if policy.idle_ttl_sec is not None:
+        newest = seen.agg(F.max("last_second")).first()[0]
+        if newest is not None:
+            tokens = tokens.where(F.col("last_second") >= newest - policy.idle_ttl_sec)
+    used = (outcomes.select(*QUOTA_KEYS, "used").unionByName(state.used)
+            .groupBy(*QUOTA_KEYS).agg(F.max("used").alias("used")))
+    return LeaseState(
+        tokens.where("tokens > 0").select("quota_tenant", "tokens", "last_second"),
+        latest_windows(used, "window_idx", keep_windows))
+
+
+def latest_windows(used: DataFrame, window: str, keep: int) -> DataFrame:
+    """The rows of the newest window and of `keep` windows before it."""
+    newest = used.agg(F.max(window)).first()[0]
+    return used if newest is None else used.where(F.col(window) >= newest - keep)

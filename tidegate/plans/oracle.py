@@ -355,3 +355,5 @@ SELECT mode, worker_id, call_no, sample_no, latency FROM kept WHERE sample_no <=
     "stream_dedupe_bounded": f"""
 WITH {EV} SELECT event_id, tenant_id, payload, timestamp FROM ev""",
 }
+
+ORACLE["stream_quota_leased"] = ORACLE["quota_leased"]

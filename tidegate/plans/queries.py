@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegate.functions.keys import ledger_key, nanos_to_timestamp, with_event_defaults
 from tidegate.operators import acks, delivery, persistence, report
 from tidegate.operators.capacity import batch_cap, row_cap
-from tidegate.operators.leased import leased_admission, leased_charges
+from tidegate.operators.leased import leased_admission
 from tidegate.operators.quota import quota_admission, quota_ledger, with_quota_keys
 from tidegate.operators.running import HOT_ROWS
 from tidegate.plans import streams, views
@@ -104,7 +104,7 @@ def quota_leased_idle(spark, sf_dir):
 
 def quota_leased_weighted(spark, sf_dir):
     requests = views.batch_requests(spark, sf_dir)
-    return leased_charges(requests, BATCH_LEASED, BATCH_ORDER).select(
+    return leased_admission(requests, BATCH_LEASED, BATCH_ORDER, charge="n").select(
         "batch_id", "quota_tenant", "window_idx", "n", "admitted")
 
 

@@ -10,7 +10,7 @@ from tidegate.plans import views
 from tidegate.session import ROCKSDB_PROVIDER, scratch_path
 from tidegate.settings import Capacity, QuotaPolicy
 from tidegate.sources.table import create_table
-from tidegate.streaming.admission import read_batches, start_quota, start_row_cap
+from tidegate.streaming.admission import start_quota, start_row_cap
 from tidegate.streaming.dedupe import drop_repeats
 from tidegate.streaming.flush import run_to_end, session_settings, size_options, with_trigger
 from tidegate.streaming.leases import leased_quota
@@ -66,17 +66,28 @@ def stream_quota_ledger(spark, sf_dir):
     """The strict quota with a ledger table."""
     path = scratch_path(spark, "stream-ledger")
     events = with_quota_keys(_events(spark, sf_dir), QUOTA)
-    run_to_end(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/ledger",
+    run_to_end(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/state",
                            f"{path}/checkpoint", processed_at="timestamp", drain=True))
-    return _ack_columns(read_batches(spark, f"{path}/out"))
+    return _ack_columns(spark.read.parquet(f"{path}/out"))
+
+
+def stream_quota_leased(spark, sf_dir):
+    """The leased quota with state tables."""
+    path = scratch_path(spark, "stream-leased")
+    policy = QuotaPolicy(limit=6, lease=4, window_sec=21_600)
+    events = with_quota_keys(_events(spark, sf_dir), policy)
+    run_to_end(start_quota(events, policy, ARRIVAL, f"{path}/out", f"{path}/state",
+                           f"{path}/checkpoint", processed_at="timestamp", drain=True))
+    return spark.read.parquet(f"{path}/out").select(
+        "event_id", "quota_tenant", "window_idx", F.col("accepted").alias("admitted"))
 
 
 def stream_cap(spark, sf_dir):
     path = scratch_path(spark, "stream-cap")
     events = with_quota_keys(_events(spark, sf_dir), QUOTA)
-    run_to_end(start_row_cap(events, ROWS, "window_idx", ARRIVAL, f"{path}/out", f"{path}/taken",
+    run_to_end(start_row_cap(events, ROWS, "window_idx", ARRIVAL, f"{path}/out", f"{path}/state",
                              f"{path}/checkpoint", drain=True))
-    return read_batches(spark, f"{path}/out").select("event_id", "window_idx", "buffered")
+    return spark.read.parquet(f"{path}/out").select("event_id", "window_idx", "buffered")
 
 
 def stream_persist(spark, sf_dir):
@@ -102,6 +113,7 @@ def stream_dedupe_bounded(spark, sf_dir):
 QUERIES = {
     "stream_quota": stream_quota,
     "stream_quota_ledger": stream_quota_ledger,
+    "stream_quota_leased": stream_quota_leased,
     "stream_cap": stream_cap,
     "stream_persist": stream_persist,
     "stream_dedupe_bounded": stream_dedupe_bounded,

@@ -1,46 +1,46 @@
-"""Quotas and capacity over streams, with what was used kept in a small table.
+"""Quotas and capacity over streams, with what was used kept in small tables.
 
 Each micro-batch runs the batch operators, so a hot tenant is spread over tasks as it is in a
-batch. The table of what was used is written anew with every micro-batch and holds the latest
-windows only. Both outputs are folders named by the batch, so a repeated batch replaces
-itself. Micro-batches must follow arrival order by and large: a row that is more than
-`keep_windows` windows late finds its window forgotten.
+batch. The state tables are written anew with every micro-batch and hold the latest windows
+only. All outputs are folders named by the batch, so a repeated batch replaces itself.
+Micro-batches must follow arrival order by and large: a row that is more than `keep_windows`
+windows late finds its window forgotten.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.operators.acks import event_acks
 from tidegate.operators.capacity import row_cap
+from tidegate.operators.leased import (KEEP_WINDOWS, TOKENS_SCHEMA, USED_SCHEMA, LeaseState,
+                                       latest_windows, leased_step, next_state)
 from tidegate.operators.quota import quota_admission, quota_ledger
 from tidegate.settings import Capacity, FlushSettings, QuotaPolicy
 from tidegate.streaming.flush import with_trigger
 
-# (rows, used before) -> (rows to write, used after)
-Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
+# State tables by name; a step maps (rows, state before) to (rows to write, state after).
+State = dict[str, DataFrame]
+Step = Callable[[DataFrame, State], tuple[DataFrame, State]]
 
 
-def _start(events: DataFrame, step: Step, used_schema: str, window: str, out: str, used: str,
-           checkpoint: str, keep_windows: int, flush: FlushSettings,
-           drain: bool) -> StreamingQuery:
+def _start(events: DataFrame, step: Step, schemas: dict[str, str], out: str, state: str,
+           checkpoint: str, flush: FlushSettings, drain: bool) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        if batch_id:
-            before = spark.read.schema(used_schema).parquet(f"{used}/batch_id={batch_id - 1}")
-        else:
-            before = spark.createDataFrame([], used_schema)
+        spark = batch.sparkSession
+        before = {
+            name: spark.read.schema(schema).parquet(f"{state}/{name}/batch_id={batch_id - 1}")
+            if batch_id else spark.createDataFrame([], schema)
+            for name, schema in schemas.items()}
         batch = batch.persist()
         try:
             rows, after = step(batch, before)
             rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-            latest = after.agg((F.max(window) - keep_windows).alias("_oldest"))
-            # One row; everything older than it is forgotten.
-            kept = after.join(F.broadcast(latest), F.col(window) >= F.col("_oldest"))
-            kept.drop("_oldest").write.mode("overwrite").parquet(f"{used}/batch_id={batch_id}")
+            for name, table in after.items():
+                table.write.mode("overwrite").parquet(f"{state}/{name}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
@@ -48,40 +48,45 @@ def _start(events: DataFrame, step: Step, used_schema: str, window: str, out: st
     return with_trigger(writer, flush, drain).start()
 
 
-def start_quota(events: DataFrame, policy: QuotaPolicy, order: list[str], out: str, ledger: str,
-                checkpoint: str, processed_at: str | None = None, keep_windows: int = 2,
+def start_quota(events: DataFrame, policy: QuotaPolicy, order: list[str], out: str, state: str,
+                checkpoint: str, charge: str | None = None, arrival: str = "timestamp",
+                processed_at: str | None = None, keep_windows: int = KEEP_WINDOWS,
                 flush: FlushSettings = FlushSettings(), drain: bool = False) -> StreamingQuery:
-    """Strict quota over a stream of events with quota keys; writes acknowledged events."""
+    """The quota of `policy`, strict or leased, over a stream of events with quota keys;
+    writes acknowledged events. `charge` names the tokens a row takes (default: one)."""
+    stamp = None if processed_at is None else F.col(processed_at)
 
-    def step(batch: DataFrame, used: DataFrame) -> tuple[DataFrame, DataFrame]:
-        admitted = quota_admission(batch, policy, order, ledger=used)
-        stamp = None if processed_at is None else F.col(processed_at)
-        return event_acks(admitted, stamp), quota_ledger(batch, policy, ledger=used)
+    def strict(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
+        weight = None if charge is None else F.col(charge)
+        admitted = quota_admission(batch, policy, order, before["used"], weight)
+        used = quota_ledger(batch, policy, weight, before["used"])
+        return event_acks(admitted, stamp), {
+            "used": latest_windows(used, "window_idx", keep_windows)}
 
-    return _start(events, step, "quota_tenant string, window_idx long, used long", "window_idx",
-                  out, ledger, checkpoint, keep_windows, flush, drain)
+    def leased(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
+        held = LeaseState(before["tokens"], before["used"])
+        admitted, outcomes = leased_step(batch, policy, order, charge, arrival, held)
+        after = next_state(batch, outcomes, policy, held, charge, arrival, keep_windows)
+        return event_acks(admitted, stamp), {"tokens": after.tokens, "used": after.used}
+
+    if policy.lease == 1:
+        return _start(events, strict, {"used": USED_SCHEMA}, out, state, checkpoint, flush, drain)
+    return _start(events, leased, {"tokens": TOKENS_SCHEMA, "used": USED_SCHEMA}, out, state,
+                  checkpoint, flush, drain)
 
 
 def start_row_cap(events: DataFrame, capacity: Capacity, interval: str, order: list[str],
-                  out: str, taken: str, checkpoint: str, keep_intervals: int = 2,
+                  out: str, state: str, checkpoint: str, keep_intervals: int = KEEP_WINDOWS,
                   flush: FlushSettings = FlushSettings(), drain: bool = False) -> StreamingQuery:
     """Bounded intake over a stream: what does not fit its interval is written as not
     `buffered`, never held back."""
 
-    def step(batch: DataFrame, used: DataFrame) -> tuple[DataFrame, DataFrame]:
-        flagged = row_cap(batch, capacity, interval, order, taken=used)
-        sizes = (batch.groupBy(interval).agg(F.count(F.lit(1)).alias("used"))
-                 .unionByName(used).groupBy(interval).agg(F.sum("used").alias("used")))
-        return flagged, sizes.withColumn(
-            "used", F.least("used", F.lit(capacity.total).cast("long")))
-
-    return _start(events, step, f"{interval} long, used long", interval, out, taken, checkpoint,
-                  keep_intervals, flush, drain)
-
-
-def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """What the micro-batches have written so far."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
-
+    def step(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
+        flagged = row_cap(batch, capacity, interval, order, taken=before["taken"])
+        used = (batch.groupBy(interval).agg(F.count(F.lit(1)).alias("used"))
+                .unionByName(before["taken"]).groupBy(interval).agg(F.sum("used").alias("used"))
+                .withColumn("used", F.least("used", F.lit(capacity.total).cast("long"))))
+        return flagged, {"taken": latest_windows(used, interval, keep_intervals)}
 
+    return _start(events, step, {"taken": f"{interval} long, used long"}, out, state, checkpoint,
+                  flush, drain)

@@ -1,8 +1,8 @@
-"""Leased quotas over streams, with the tokens of each tenant in keyed state.
+"""Quotas over streams with the tokens of each tenant in keyed state.
 
-A tenant's tokens depend on everything it did before, so its rows of one micro-batch are
-handled together, in order; the reader's size options bound them. For the strict policy
-`admission.start_quota` spreads even those rows.
+Low latency: rows are answered by the state of their tenant, without a state table being read
+and written. A tenant's rows of one micro-batch are handled together, in order, and the
+reader's size options bound them; `admission.start_quota` spreads even those rows.
 """
 
 from __future__ import annotations
