@@ -19,7 +19,7 @@ def target(spark, tmp_path):
 
 
 def stored(spark, name):
-    return sorted(tuple(r) for r in spark.table(name).drop("created_at").collect())
+    return sorted(tuple(r) for r in table.read_table(spark, name).drop("created_at").collect())
 
 
 def test_same_batch_twice(spark, target):
@@ -45,15 +45,15 @@ def test_first_write_wins_over_batches(spark, target):
     df = spark.createDataFrame(rows, EVENTS).repartition(3)
     for i in range(4):
         table.insert_batch(df.where(f"seq div 100 = {i}"), target, i, ["seq"])
-    assert {r["event_id"]: r["payload"] for r in spark.table(target).collect()} == keep
-    assert spark.table(target).count() == len(keep)
+    assert {r["event_id"]: r["payload"] for r in table.read_table(spark, target).collect()} == keep
+    assert table.read_table(spark, target).count() == len(keep)
 
 
 def test_create_is_repeatable_and_empty_batch_is_fine(spark, target, tmp_path):
     table.create_table(spark, target, str(tmp_path / "events"), buckets=4)
     empty = spark.createDataFrame([], EVENTS)
     assert table.insert_batch(empty, target, 0, ["seq"]) == table.WriteCounts(0, 0)
-    assert spark.table(target).count() == 0
+    assert table.read_table(spark, target).count() == 0
     assert table.bucket_count(spark, target) == 4
 
 

@@ -135,7 +135,7 @@ def start(spark, path, name):
 
 
 def stored(spark, name):
-    return {r["event_id"]: r["payload"] for r in spark.table(name).collect()}
+    return {r["event_id"]: r["payload"] for r in table.read_table(spark, name).collect()}
 
 
 WANTED = {"e1": "first", "e2": "p", "e3": "p", "": "p"}
@@ -168,8 +168,8 @@ def test_failed_batch_is_retried_without_loss_or_repeats(spark, tmp_path, target
     topic_files(spark, f"{tmp_path}/topic")
     real, calls = persisting.insert_batch, []
 
-    def failing(events, name, batch_id, order):
-        counts = real(events, name, batch_id, order)
+    def failing(events, name, batch_id, order, writer):
+        counts = real(events, name, batch_id, order, writer)
         calls.append(batch_id)
         if len(calls) == 2:  # the rows are written, the offsets are not committed
             raise RuntimeError("database went away")
@@ -181,19 +181,19 @@ def test_failed_batch_is_retried_without_loss_or_repeats(spark, tmp_path, target
     run_to_end(start(spark, tmp_path, target))
     assert calls == [0, 1, 1, 2]
     assert stored(spark, target) == WANTED
-    assert spark.table(target).count() == len(WANTED)
+    assert table.read_table(spark, target).count() == len(WANTED)
     assert deadletter.read_dead_letters(spark, f"{tmp_path}/dead").count() == 2
 
 
 def test_reading_again_from_the_start_changes_nothing(spark, tmp_path, target):
     topic_files(spark, f"{tmp_path}/topic")
     run_to_end(start(spark, tmp_path, target))
-    before = sorted(map(str, spark.table(target).drop("created_at").collect()))
+    before = sorted(map(str, table.read_table(spark, target).drop("created_at").collect()))
     again = topic.read_topic_stream(spark, "events", format="parquet", path=f"{tmp_path}/topic",
                                     **size_options("parquet"))
     run_to_end(persisting.start_persist(again, target, ["time"], f"{tmp_path}/dead2",
                                         f"{tmp_path}/flushes2", f"{tmp_path}/cp2", drain=True))
-    assert sorted(map(str, spark.table(target).drop("created_at").collect())) == before
+    assert sorted(map(str, table.read_table(spark, target).drop("created_at").collect())) == before
 
 
 def test_bounded_dedupe(spark, tmp_path):

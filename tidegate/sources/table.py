@@ -1,9 +1,9 @@
 """The event table: created if absent, written batch by batch, never holding a key twice.
 
-Each batch is its own partition (`batch_id`) and replaces itself when it is written again, and
-a row is written only if no earlier batch holds its key. Writing a batch twice therefore
+Each batch of a writer is its own partition and replaces itself when it is written again, and
+a row is written only if nothing before it holds its key. Writing a batch twice therefore
 leaves the table as it was. The files are bucketed by `event_id`, so the check against the
-stored keys moves the new rows only.
+stored keys moves the new rows only. Several writers may fill a table, one at a time.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ def create_table(spark: SparkSession, name: str, location: str | None = None,
     spark.sql(f"""
         CREATE TABLE IF NOT EXISTS {name} (
             event_id STRING, tenant_id STRING, payload STRING, event_timestamp BIGINT,
-            created_at TIMESTAMP, batch_id BIGINT)
+            created_at TIMESTAMP, writer STRING, batch_id BIGINT)
         USING parquet OPTIONS (partitionOverwriteMode 'dynamic')
-        PARTITIONED BY (batch_id)
+        PARTITIONED BY (writer, batch_id)
         CLUSTERED BY (event_id) SORTED BY (tenant_id, event_timestamp) INTO {buckets} BUCKETS
         {at}""")
 
@@ -39,28 +39,37 @@ class WriteCounts:
     inserted: int
 
 
-def insert_batch(events: DataFrame, name: str, batch_id: int, order: list[str]) -> WriteCounts:
-    """Write one batch of events that meet the table's constraints. Raises, and writes
-    nothing, when the job fails."""
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """The event table as it is now, whichever session wrote to it last."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def insert_batch(events: DataFrame, name: str, batch_id: int, order: list[str],
+                 writer: str = "batch") -> WriteCounts:
+    """Write one batch of events that meet the table's constraints. `batch_id` grows with each
+    batch of a `writer`. Raises when the job fails; what was there before is then still there.
+    """
     spark = events.sparkSession
     attempted, inserted = Observation(), Observation()
-    target = spark.table(name)
-    buckets = bucket_count(spark, name)
+    target = read_table(spark, name)
+    repeated = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
     seen = events.observe(attempted, F.count(F.lit(1)).alias("rows"))
-    fresh = not_stored(first_write(seen, order), target.where(F.col("batch_id") < batch_id))
-    rows = (stored_rows(fresh).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .repartition(buckets, "event_id")
+    fresh = not_stored(first_write(seen, order), target.where(~repeated))
+    rows = (stored_rows(fresh)
+            .withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")})
+            .repartition(bucket_count(spark, name), "event_id")
             .observe(inserted, F.count(F.lit(1)).alias("rows")))
     rows.write.mode("overwrite").insertInto(name)
     return WriteCounts(attempted.get["rows"], inserted.get["rows"])
 
 
-def insert_events(events: DataFrame, name: str, batch_id: int,
-                  order: list[str]) -> tuple[WriteCounts, DataFrame]:
+def insert_events(events: DataFrame, name: str, batch_id: int, order: list[str],
+                  writer: str = "batch") -> tuple[WriteCounts, DataFrame]:
     """Like `insert_batch`, for rows that may break the constraints; also returns the rows
     that do, with their reason."""
     good, bad = constraint_split(events)
-    return insert_batch(good, name, batch_id, order), bad
+    return insert_batch(good, name, batch_id, order, writer), bad
 
 
 def bucket_count(spark: SparkSession, name: str) -> int:

@@ -2,7 +2,8 @@
 
 Each micro-batch runs the batch operators, so a hot tenant is spread over tasks as it is in a
 batch. The state tables are written anew with every micro-batch and hold the latest windows
-only. All outputs are folders named by the batch, so a repeated batch replaces itself.
+only. All outputs are folders named by the batch, so a repeated batch replaces itself; they
+belong to one checkpoint, and a new checkpoint needs new folders.
 Micro-batches must follow arrival order by and large: a row that is more than `keep_windows`
 windows late finds its window forgotten.
 """

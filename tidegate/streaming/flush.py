@@ -60,7 +60,8 @@ def progress_rows(query: StreamingQuery) -> list[dict]:
 
 
 def flush_report(spark: SparkSession, path: str) -> DataFrame:
-    """One row per flush of a persisting stream, with the running total attempted."""
-    rows = spark.read.schema(FLUSH_SCHEMA).parquet(path)
-    upto = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    """One row per flush of a persisting stream, with the writer's running total attempted."""
+    rows = spark.read.schema(f"{FLUSH_SCHEMA}, writer string").parquet(path)
+    upto = (Window.partitionBy("writer").orderBy("batch_id")
+            .rowsBetween(Window.unboundedPreceding, 0))
     return rows.withColumn("total_persisted", F.sum("attempted").over(upto))

@@ -2,14 +2,17 @@
 
 Offsets are committed after the batch function returns, so a batch that fails is not passed
 over: the restarted query gets it again under the same number, and the table and the
-dead-letter folder replace what that number wrote.
+dead-letter folder replace what that number wrote. Numbers belong to a checkpoint, so its
+identity names the writer; a stream that starts over with a new checkpoint replaces nothing.
 """
 
 from __future__ import annotations
 
+import json
 import time
+from functools import lru_cache
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions.wire import EVENT_FIELDS, decode_records, encode_event
@@ -29,8 +32,14 @@ def start_persist(records: DataFrame, name: str, order: list[str], dead_letters:
     `dead_letters` gets their lines and `flushes` one row of counts per micro-batch.
     """
 
+    @lru_cache(maxsize=1)
+    def writer_id(spark: SparkSession) -> str:
+        # Spark notes the identity of a query there before its first batch.
+        return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
     def write(batch: DataFrame, batch_id: int) -> None:
         begin = time.monotonic()
+        writer = writer_id(batch.sparkSession)
         decoded = decode_records(batch).withColumn(
             "_undecoded", F.col("error").isNotNull()).withColumn(
             "error", F.coalesce("error", constraint_reason())).persist()
@@ -41,17 +50,17 @@ def start_persist(records: DataFrame, name: str, order: list[str], dead_letters:
                 counted, F.count_if("_undecoded").alias("undecodable"),
                 F.count_if(~F.col("_undecoded")).alias("constraint_failures"))
             dead_letter_lines(lines.withColumn("failed_at", F.current_timestamp())).write.mode(
-                "overwrite").text(f"{dead_letters}/batch_id={batch_id}")
-            counts = insert_batch(decoded.where("error IS NULL"), name, batch_id, order)
+                "overwrite").text(f"{dead_letters}/writer={writer}/batch_id={batch_id}")
+            counts = insert_batch(decoded.where("error IS NULL"), name, batch_id, order, writer)
         finally:
             decoded.unpersist()
         row = (batch_id, counts.attempted, counts.inserted, counted.get["undecodable"],
                counted.get["constraint_failures"], int((time.monotonic() - begin) * 1000))
         (batch.sparkSession.createDataFrame([row], FLUSH_SCHEMA).coalesce(1)
-         .write.mode("overwrite").parquet(f"{flushes}/flush={batch_id}"))
+         .write.mode("overwrite").parquet(f"{flushes}/writer={writer}/flush={batch_id}"))
 
-    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return with_trigger(writer, flush, drain).start()
+    stream = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return with_trigger(stream, flush, drain).start()
 
 
 def as_records(events: DataFrame, order: list[str], topic: str = "events") -> DataFrame:
