@@ -9,7 +9,6 @@ from tidegate import Capacity, FlushSettings, QuotaPolicy
 from tidegate.functions.keys import nanos_to_timestamp
 from tidegate.operators import delivery
 from tidegate.operators.quota import with_quota_keys
-from tidegate.session import ROCKSDB_PROVIDER
 from tidegate.sources import deadletter, table, topic
 from tidegate.sources.events import read_event_stream
 from tidegate.streaming import persist as persisting
@@ -17,7 +16,7 @@ from tidegate.streaming.admission import start_quota, start_row_cap
 from tidegate.streaming.dedupe import drop_repeats
 from tidegate.streaming.flush import (flush_report, progress_rows, run_to_end, session_settings,
                                       size_options, with_trigger)
-from tidegate.streaming.leases import leased_quota
+from tidegate.streaming.leases import KEYED_STATE, leased_quota
 
 SEC = 10**9
 SCHEMA = "tenant_id string, timestamp long, seq long, n long"
@@ -89,8 +88,7 @@ def test_quota_with_keyed_state(spark, tmp_path, policy, weighted):
                             state_ttl_sec=3600)
     writer = admitted.writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
         "checkpointLocation", f"{tmp_path}/cp")
-    with session_settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
-                                  "spark.sql.shuffle.partitions": "2"}):
+    with session_settings(spark, {**KEYED_STATE, "spark.sql.shuffle.partitions": "2"}):
         query = with_trigger(writer, drain=True).start()
     run_to_end(query)
     got = [r["admitted"] for r in spark.read.parquet(f"{tmp_path}/out").orderBy("seq").collect()]

@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegate.operators.acks import event_acks
 from tidegate.operators.quota import with_quota_keys
 from tidegate.plans import views
-from tidegate.session import ROCKSDB_PROVIDER, scratch_path
+from tidegate.session import scratch_path
 from tidegate.settings import Capacity, QuotaPolicy
 from tidegate.sources.table import create_table
 from tidegate.streaming.admission import start_quota, start_row_cap
 from tidegate.streaming.dedupe import drop_repeats
 from tidegate.streaming.flush import run_to_end, session_settings, size_options, with_trigger
-from tidegate.streaming.leases import leased_quota
+from tidegate.streaming.leases import KEYED_STATE, leased_quota
 from tidegate.streaming.persist import as_records, start_persist
 
 QUOTA = QuotaPolicy(limit=6, window_sec=21_600)
@@ -35,8 +35,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stateful(spark: SparkSession):
     """Keyed state in RocksDB, in as many partitions as there are cores."""
     return session_settings(spark, {
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
-        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)})
+        **KEYED_STATE, "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)})
 
 
 def _to_parquet(rows: DataFrame, path: str) -> DataFrame:

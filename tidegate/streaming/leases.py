@@ -15,10 +15,18 @@ from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidegate.functions.keys import NANOS_PER_SECOND
+from tidegate.session import ROCKSDB_PROVIDER
 from tidegate.settings import QuotaPolicy
 
 KEEP_WINDOWS = 2
 
+# Settings that the session of a query with keyed state needs. With a time to live, Spark would
+# otherwise run empty micro-batches for ever, and a draining query would not end.
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
 
 def serve(n: np.ndarray, tokens: int, used: int, limit: int, lease: int) -> tuple[int, int, int]:
     """Positive charges of one window in order: how many are admitted, then tokens and quota
@@ -99,8 +107,8 @@ def leased_quota(events: DataFrame, policy: QuotaPolicy, order: list[str],
     """Add `admitted` to a stream of events with quota keys. Lease 1 is the strict policy.
 
     `state_ttl_sec` drops the state of tenants not heard of for that long by the clock; the
-    policy's idle limit works on arrival times instead. The session needs the RocksDB state
-    store (see `session.ROCKSDB_PROVIDER`).
+    policy's idle limit works on arrival times instead. The session needs the settings in
+    `KEYED_STATE`.
     """
     schema = T.StructType([*events.schema.fields, T.StructField("admitted", T.BooleanType())])
     return events.groupBy("quota_tenant").transformWithStateInPandas(
