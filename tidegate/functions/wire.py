@@ -7,7 +7,7 @@ any field order and unknown fields and goes through Arrow batches with the proto
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,44 +23,65 @@ EVENT_FIELDS = (
 _WIRE_VARINT, _WIRE_BYTES = 0, 2
 
 
-def _varint_hex(value: Column, max_bytes: int) -> Column:
-    """Base-128 digits of an unsigned integer as hex text, low digit first."""
-    parts = []
-    for i in range(max_bytes):
-        rest = F.shiftrightunsigned(value, 7 * i)
-        more = F.shiftrightunsigned(value, 7 * (i + 1)) != 0
-        digit = rest.bitwiseAND(F.lit(127))
-        if i + 1 < max_bytes:
-            digit = digit + F.when(more, F.lit(128)).otherwise(F.lit(0))
-        text = F.lpad(F.hex(digit), 2, "0")
-        parts.append(text if i == 0 else F.when(rest != 0, text).otherwise(F.lit("")))
-    return F.concat(*parts)
+def _byte_hex(value: Column) -> Column:
+    return F.lpad(F.hex(value), 2, "0")
+
+
+def _varint_hex(value: Column) -> Column:
+    """Base-128 digits of an unsigned integer as hex text, low digit first.
+
+    The low eight digits are laid out as the bytes of one long, each with its "more follows"
+    bit, so that a single `hex` writes them; shorter numbers take the bytes they need.
+    """
+    def digit(i: int) -> Column:
+        return F.shiftrightunsigned(value, 7 * i).bitwiseAND(F.lit(127))
+
+    def beyond(i: int) -> Column:
+        return F.shiftrightunsigned(value, 7 * i) != 0
+
+    spread = F.lit(-0x7F7F7F7F7F7F7F80)  # eight bytes 0x80
+    for i in range(8):
+        spread = spread.bitwiseOR(F.shiftleft(digit(i), 56 - 8 * i))
+    count = F.lit(1)
+    for i in range(1, 8):
+        count = count + beyond(i).cast("int")
+    last = F.call_function("shiftleft", F.lit(128).cast("long"), F.lit(64) - 8 * count)
+    short = F.substring(F.lpad(F.hex(spread.bitwiseXOR(last)), 16, "0"), F.lit(1), 2 * count)
+    ninth = digit(8) + F.when(beyond(9), F.lit(128)).otherwise(F.lit(0))
+    long = F.concat(F.hex(spread), _byte_hex(ninth),
+                    F.when(beyond(9), F.lit("01")).otherwise(F.lit("")))
+    return F.when(~beyond(1), _byte_hex(value)).when(beyond(8), long).otherwise(short)
 
 
 def _tag_hex(number: int, wire_type: int) -> str:
     return f"{number << 3 | wire_type:02X}"
 
 
+def encodable(event_id: Column, tenant_id: Column, payload: Column) -> Column:
+    """Whether every string of an event is valid UTF-8."""
+    return reduce(lambda a, b: a & b, [
+        F.is_valid_utf8(F.coalesce(c, F.lit(""))) for c in (event_id, tenant_id, payload)])
+
+
 def encode_event(event_id: Column, tenant_id: Column, payload: Column, timestamp: Column) -> Column:
-    """Protobuf bytes of an event; null where a string is not valid UTF-8."""
+    """Protobuf bytes of an event whose strings are valid UTF-8."""
     columns = {"event_id": event_id, "tenant_id": tenant_id,
                "payload": payload, "timestamp": timestamp}
     empty = F.lit(b"")
-    pieces, valid = [], F.lit(True)
+    pieces = []
     for name, number, kind in EVENT_FIELDS:
         col = columns[name]
         if kind == "string":
             col = F.coalesce(col, F.lit(""))
-            valid = valid & F.is_valid_utf8(col)
             head = F.unhex(F.concat(F.lit(_tag_hex(number, _WIRE_BYTES)),
-                                    _varint_hex(F.octet_length(col).cast("long"), 5)))
+                                    _varint_hex(F.octet_length(col).cast("long"))))
             pieces.append(F.when(col == "", empty)
                           .otherwise(F.concat(head, col.cast("binary"))))
         else:
             col = F.coalesce(col, F.lit(0).cast("long"))
-            pieces.append(F.when(col == 0, empty).otherwise(
-                F.unhex(F.concat(F.lit(_tag_hex(number, _WIRE_VARINT)), _varint_hex(col, 10)))))
-    return F.when(valid, F.concat(*pieces))
+            pieces.append(F.when(col == 0, empty).otherwise(F.unhex(F.concat(
+                F.lit(_tag_hex(number, _WIRE_VARINT)), _varint_hex(col)))))
+    return F.concat(*pieces)
 
 
 @lru_cache(maxsize=1)

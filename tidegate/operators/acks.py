@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate import schema as S
 from tidegate.operators.capacity import batch_cap
-from tidegate.operators.quota import quota_admission
-from tidegate.operators.running import HOT_ROWS
+from tidegate.operators.quota import QUOTA_KEYS, quota_admission
+from tidegate.operators.running import HOT_ROWS, find_slices
 from tidegate.settings import Capacity, QuotaPolicy
 
 
@@ -42,9 +42,13 @@ def batch_acks(batches: DataFrame, policy: QuotaPolicy, capacity: Capacity, orde
     The quota takes a batch whole or not at all; the buffers take a prefix of it. An empty
     batch is accepted and touches neither.
     """
-    charged = quota_admission(batches, policy, order, charge=F.col("n"), hot_rows=hot_rows)
+    # Ranges of the hot intervals, found once, serve the finer quota groups as well.
+    slices = find_slices(batches, [interval], order, hot_rows)
+    quota_slices = slices if interval in QUOTA_KEYS else None
+    charged = quota_admission(batches, policy, order, charge=F.col("n"), slices=quota_slices,
+                              hot_rows=hot_rows)
     placed = batch_cap(charged, capacity, interval, order, taking=F.col("admitted"),
-                       hot_rows=hot_rows)
+                       slices=slices)
     n, taken, empty = F.col("n"), F.col("accepted_count"), F.col("n") == 0
     return placed.withColumns({
         "accepted": empty | (F.col("admitted") & (taken == n)),

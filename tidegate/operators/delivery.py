@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.functions.deadletter import LINE_FIELDS, dead_letter_line, unescape
 from tidegate.functions.keys import topic_or_default
-from tidegate.functions.wire import EVENT_FIELDS, decode_records, encode_event
+from tidegate.functions.wire import EVENT_FIELDS, decode_records, encodable, encode_event
 
 
 def to_records(events: DataFrame, topic: Column | None = None, default_topic: str = "events",
@@ -17,17 +17,20 @@ def to_records(events: DataFrame, topic: Column | None = None, default_topic: st
     `unencodable`.
     """
     topic = F.lit("") if topic is None else topic
-    return events.select(
+    return events.where(_encodable()).select(
         topic_or_default(topic, default_topic).alias("topic"),
         F.coalesce("event_id", F.lit("")).cast("binary").alias("key"),
         encode_event(*[F.col(name) for name, _, _ in EVENT_FIELDS]).alias("value"),
-        (F.current_timestamp() if time is None else time).alias("time"),
-    ).where(F.col("value").isNotNull())
+        (F.current_timestamp() if time is None else time).alias("time"))
 
 
 def unencodable(events: DataFrame) -> DataFrame:
     """The events that `to_records` leaves out."""
-    return events.where(encode_event(*[F.col(name) for name, _, _ in EVENT_FIELDS]).isNull())
+    return events.where(~_encodable())
+
+
+def _encodable() -> Column:
+    return encodable(F.col("event_id"), F.col("tenant_id"), F.col("payload"))
 
 
 def decode_split(records: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ from tidegate.operators import acks, delivery, persistence, report
 from tidegate.operators.capacity import batch_cap, row_cap
 from tidegate.operators.leased import leased_admission
 from tidegate.operators.quota import quota_admission, quota_ledger, with_quota_keys
-from tidegate.operators.running import HOT_ROWS
+from tidegate.operators.running import HOT_ROWS, find_slices
 from tidegate.plans import streams, views
 from tidegate.settings import Capacity, QuotaPolicy, SampleSettings
 from tidegate.sources import deadletter, table as event_table, topic
@@ -128,8 +128,10 @@ def stream_acks(spark, sf_dir):
 
 def event_acks(spark, sf_dir):
     """Quota first, then room in the buffers."""
-    admitted = quota_admission(_keyed(spark, sf_dir), QUOTA, ARRIVAL)
-    buffered = row_cap(admitted, ROWS, "window_idx", ARRIVAL, taking=F.col("admitted"))
+    ev = _keyed(spark, sf_dir)
+    slices = find_slices(ev, ["window_idx"], ARRIVAL)
+    admitted = quota_admission(ev, QUOTA, ARRIVAL, slices=slices)
+    buffered = row_cap(admitted, ROWS, "window_idx", ARRIVAL, F.col("admitted"), slices=slices)
     return _ack_columns(acks.event_acks(buffered, F.col("timestamp"), buffered="buffered"))
 
 
