@@ -27,8 +27,9 @@ def sample_events():
 def test_bytes_equal_the_protobuf_runtime(spark):
     df = spark.createDataFrame(sample_events(), EVENTS)
     out = df.withColumn("value", encode_event(*[F.col(c) for c in FIELDS])).collect()
+    event = event_message()
     for r in out:
-        message = event_message()(**{c: r[c] for c in FIELDS})
+        message = event(**{c: r[c] for c in FIELDS})
         assert bytes(r["value"]) == message.SerializeToString(deterministic=True)
 
 

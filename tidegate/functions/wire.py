@@ -7,7 +7,7 @@ any field order and unknown fields and goes through Arrow batches with the proto
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -84,9 +84,8 @@ def encode_event(event_id: Column, tenant_id: Column, payload: Column, timestamp
     return F.concat(*pieces)
 
 
-@lru_cache(maxsize=1)
 def event_message():
-    """The event message class, made from its field table."""
+    """The event message class, made from its field table. Costs little; call it per task."""
     try:
         from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
     except ImportError as exc:  # pragma: no cover - depends on the installation
@@ -105,8 +104,8 @@ def event_message():
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parse = event_message().FromString
-    blank = event_message()()
+    message = event_message()
+    parse, blank = message.FromString, message()
     for batch in batches:
         events, errors = [], []
         for value in batch.column("value").to_pylist():
