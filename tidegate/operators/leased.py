@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegate.functions.keys import NANOS_PER_SECOND
@@ -45,46 +45,65 @@ class LeaseState:
 
 # --- composing windows into spans -------------------------------------------------------------
 
+def _sorted(table: pa.Table, *by: str) -> pa.Table:
+    return table.sort_by([(name, "ascending") for name in by])
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
+
+
+def _lists(table: pa.Table, name: str) -> list[np.ndarray]:
+    return [row.values.to_numpy() for row in table.column(name)]
+
+
+def _one_link(table: pa.Table, group: str, link: np.ndarray) -> pa.Table:
+    return pa.table({"quota_tenant": table.column("quota_tenant")[:1],
+                     group: table.column(group)[:1],
+                     "link": pa.array([link], pa.list_(pa.int32()))})
+
+
 def _compose(links: DataFrame, child: str, parent: str) -> DataFrame:
     """One table per `(quota_tenant, parent)` from the tables of its children."""
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = None
-        for link in pdf.sort_values(child)["link"]:
-            link = np.asarray(link)
-            table = link if table is None else link[table]
-        return pd.DataFrame({"quota_tenant": pdf["quota_tenant"].iloc[:1],
-                             parent: pdf[parent].iloc[:1], "link": [table.tolist()]})
+    def fold(rows: pa.Table) -> pa.Table:
+        composed = None
+        for link in _lists(_sorted(rows, child), "link"):
+            composed = link if composed is None else link[composed]
+        return _one_link(rows, parent, composed)
 
     return (links.withColumn(parent, F.expr(f"{child} div {SPAN}"))
             .groupBy("quota_tenant", parent)
-            .applyInPandas(fold, f"quota_tenant string, {parent} long, link array<int>"))
+            .applyInArrow(fold, f"quota_tenant string, {parent} long, link array<int>"))
 
 
 def _descend(links: DataFrame, child: str, group: list[str]) -> DataFrame:
     """Tokens brought into each child, from `brought` of the group it lies in."""
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(child)
-        tokens, brought = int(pdf["brought"].iloc[0]), []
-        for link in pdf["link"]:
+    def walk(rows: pa.Table) -> pa.Table:
+        rows = _sorted(rows, child)
+        tokens, brought = rows.column("brought")[0].as_py(), []
+        for link in _lists(rows, "link"):
             brought.append(tokens)
             tokens = int(link[tokens])
-        return pd.DataFrame({"quota_tenant": pdf["quota_tenant"], child: pdf[child],
-                             "brought": brought})
+        return rows.select(["quota_tenant", child]).append_column(
+            "brought", pa.array(brought, pa.int64()))
+
+    return links.groupBy(*group).applyInArrow(
+        walk, f"quota_tenant string, {child} long, brought long")
+
 
-    return links.groupBy(*group).applyInPandas(
-        walk, f"quota_tenant string, {child} long, brought int")
+def _held(state: LeaseState | None, rows: DataFrame) -> DataFrame:
+    """Add `brought`, the tokens that earlier runs left to the tenant."""
+    if state is None:
+        return rows.withColumn("brought", F.lit(0).cast("long"))
+    held = state.tokens.select("quota_tenant", F.col("tokens").alias("brought"))
+    return rows.join(held, "quota_tenant", "left").fillna(0, ["brought"])
 
 
 def _brought_into_spans(span_links: DataFrame, state: LeaseState | None) -> DataFrame:
     """Tokens each tenant brings into each of its spans of `SPAN` windows."""
-    long_links = _compose(span_links, "span", "long_span")
-    if state is None:
-        long_links = long_links.withColumn("brought", F.lit(0))
-    else:
-        held = state.tokens.select("quota_tenant", F.col("tokens").cast("int").alias("brought"))
-        long_links = long_links.join(held, "quota_tenant", "left").fillna(0, ["brought"])
+    long_links = _held(state, _compose(span_links, "span", "long_span"))
     starts = _descend(long_links, "long_span", ["quota_tenant"])
     inside = (span_links.withColumn("long_span", F.expr(f"span div {SPAN}"))
               .join(starts, ["quota_tenant", "long_span"]))
@@ -93,17 +112,31 @@ def _brought_into_spans(span_links: DataFrame, state: LeaseState | None) -> Data
 
 def _through_spans(cells: DataFrame, table, read, state: LeaseState | None) -> DataFrame:
     """Outcome of every cell: `table` folds the cells of a span into its link, `read` follows
-    them once the tokens brought into the span are known."""
+    them once the tokens brought into the span are known.
+
+    A tenant within one span starts from what it holds and needs no links.
+    """
     spans = cells.withColumn("span", F.expr(f"window_idx div {SPAN}"))
+    long_lived = (spans.groupBy("quota_tenant")
+                  .agg(F.min("span").alias("_first"), F.max("span").alias("_last"))
+                  .where("_first < _last").select("quota_tenant"))
 
-    def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"quota_tenant": pdf["quota_tenant"].iloc[:1],
-                             "span": pdf["span"].iloc[:1], "link": [table(pdf).tolist()]})
+    def link(rows: pa.Table) -> pa.Table:
+        return _one_link(rows, "span", table(rows))
 
-    links = spans.groupBy("quota_tenant", "span").applyInPandas(
-        link, "quota_tenant string, span long, link array<int>")
-    return (spans.join(_brought_into_spans(links, state), ["quota_tenant", "span"])
-            .groupBy("quota_tenant", "span").applyInPandas(read, OUTCOME_SCHEMA))
+    links = (spans.join(long_lived, "quota_tenant", "left_semi").groupBy("quota_tenant", "span")
+             .applyInArrow(link, "quota_tenant string, span long, link array<int>"))
+    starts = _brought_into_spans(links, state).withColumnRenamed("brought", "_start")
+    return (_held(state, spans).join(starts, ["quota_tenant", "span"], "left")
+            .withColumn("brought", F.coalesce("_start", "brought")).drop("_start")
+            .groupBy("quota_tenant", "span").applyInArrow(read, OUTCOME_SCHEMA))
+
+
+def _outcome(rows: pa.Table, sessions, outcomes: list[tuple[int, int, int]]) -> pa.Table:
+    allowed, tokens, used = (pa.array(c, pa.int64()) for c in zip(*outcomes))
+    return pa.table({"quota_tenant": rows.column("quota_tenant"),
+                     "window_idx": rows.column("window_idx"), "session": sessions,
+                     "allowed": allowed, "tokens": tokens, "used": used})
 
 
 def _with_used(cells: DataFrame, state: LeaseState | None) -> DataFrame:
@@ -193,30 +226,30 @@ def unit_outcomes(segments: DataFrame, policy: QuotaPolicy,
     session, from their counts `n`; `fresh` segments start without tokens."""
     limit, lease, size = policy.limit, policy.lease, min(policy.lease, policy.limit)
 
-    def steps(pdf: pd.DataFrame):
-        pdf = pdf.sort_values(["window_idx", "session"])
-        return pdf, zip(pdf["window_idx"], pdf["n"], pdf["fresh"], pdf["before"])
+    def steps(rows: pa.Table):
+        rows = _sorted(rows, "window_idx", "session")
+        return rows, zip(*(rows.column(c).to_pylist()
+                           for c in ("window_idx", "n", "fresh", "before")))
 
-    def table(pdf: pd.DataFrame) -> np.ndarray:
+    def table(rows: pa.Table) -> np.ndarray:
         tokens, used, window = np.arange(size), 0, None
-        for idx, n, fresh, before in steps(pdf)[1]:
+        for idx, n, fresh, before in steps(rows)[1]:
             if idx != window:
                 used, window = np.full(size, before), idx
             _, tokens, used = _unit_step(n, np.zeros_like(tokens) if fresh else tokens, used,
                                          limit, lease)
         return tokens
 
-    def read(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, cells = steps(pdf)
-        tokens, used, window, out = int(pdf["brought"].iloc[0]), 0, None, []
+    def read(rows: pa.Table) -> pa.Table:
+        rows, cells = steps(rows)
+        tokens, used, window, out = rows.column("brought")[0].as_py(), 0, None, []
         for idx, n, fresh, before in cells:
             if idx != window:
                 used, window = before, idx
             allowed, tokens, used = map(int, _unit_step(n, 0 if fresh else tokens, used, limit,
                                                         lease))
             out.append((allowed, tokens, used))
-        return pdf[["quota_tenant", "window_idx", "session"]].assign(
-            **dict(zip(("allowed", "tokens", "used"), zip(*out))))
+        return _outcome(rows, rows.column("session"), out)
 
     return _through_spans(_with_used(segments, state), table, read, state)
 
@@ -263,31 +296,39 @@ def _lease_runs(n: np.ndarray, fresh: np.ndarray, used: int, limit: int, lease:
     return total[:reach], left, admitted, spent, int(total[-1]) if covers_all else -1
 
 
+# The table of a window as a row: the levels, then what follows at each of them.
+WINDOW_SCHEMA = ("quota_tenant string, window_idx long, levels array<long>, left array<long>, "
+                 "admitted array<long>, spent array<long>, total long, before long")
+
+
 def _window_table(limit: int, lease: int, size: int):
-    def table(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_used")
-        opens = pdf["fresh"].to_numpy(bool) & ~pdf.duplicated("bucket").to_numpy()
-        before = int(pdf["before"].iloc[0])
+    def table(rows: pa.Table) -> pa.Table:
+        rows = _sorted(rows, "_used")
+        bucket = _numbers(rows, "bucket")
+        # Rows come in order, so a bucket's first row is where the bucket changes.
+        opens = np.concatenate([[True], bucket[1:] != bucket[:-1]]) & np.asarray(
+            rows.column("fresh").to_pylist(), bool)
+        before = rows.column("before")[0].as_py()
         levels, left, admitted, spent, total = _lease_runs(
-            pdf["_n"].to_numpy(np.int64), opens, before, limit, lease, size)
-        return pd.DataFrame({
-            "quota_tenant": pdf["quota_tenant"].iloc[:1], "window_idx": pdf["window_idx"].iloc[:1],
-            "levels": [levels.tolist()], "left": [left.tolist()],
-            "admitted": [admitted.tolist()], "spent": [spent.tolist()], "total": [total],
-            "before": [before]})
+            _numbers(rows, "_n"), opens, before, limit, lease, size)
+        lists = {"levels": levels, "left": left, "admitted": admitted, "spent": spent}
+        return pa.table({
+            "quota_tenant": rows.column("quota_tenant")[:1],
+            "window_idx": rows.column("window_idx")[:1],
+            **{name: pa.array([v], pa.list_(pa.int64())) for name, v in lists.items()},
+            "total": pa.array([total], pa.int64()), "before": pa.array([before], pa.int64())})
 
     return table
 
 
-def _through_window(tokens, row):
+def _through_window(tokens, levels, left, admitted, spent, total: int, before: int):
     """Charge admitted, and tokens and quota used afterwards, for the tokens brought in (a
     number or an array)."""
-    at = np.searchsorted(row.levels, tokens, "right")
-    inside = at < len(row.left)
-    known = np.minimum(at, len(row.left) - 1)
-    return (np.where(inside, np.asarray(row.admitted)[known], row.total),
-            np.where(inside, np.asarray(row.left)[known], tokens - row.total),
-            np.where(inside, np.asarray(row.spent)[known], row.before))
+    at = np.searchsorted(levels, tokens, "right")
+    inside = at < len(left)
+    known = np.minimum(at, len(left) - 1)
+    return (np.where(inside, admitted[known], total), np.where(inside, left[known], tokens - total),
+            np.where(inside, spent[known], before))
 
 
 def charge_outcomes(requests: DataFrame, policy: QuotaPolicy, order: list[str], charge: str,
@@ -309,25 +350,25 @@ def charge_outcomes(requests: DataFrame, policy: QuotaPolicy, order: list[str],
     windows = (
         _with_used(near.select(*QUOTA_KEYS, "_used", "_n", "bucket", "fresh"), state)
         .groupBy(*QUOTA_KEYS)
-        .applyInPandas(_window_table(limit, lease, size),
-                       "quota_tenant string, window_idx long, levels array<long>, "
-                       "left array<long>, admitted array<long>, spent array<long>, total long, "
-                       "before long"))
+        .applyInArrow(_window_table(limit, lease, size), WINDOW_SCHEMA))
+
+    def windows_of(rows: pa.Table):
+        return zip(*(_lists(rows, c) for c in ("levels", "left", "admitted", "spent")),
+                   rows.column("total").to_pylist(), rows.column("before").to_pylist())
 
-    def table(pdf: pd.DataFrame) -> np.ndarray:
+    def table(rows: pa.Table) -> np.ndarray:
         tokens = np.arange(size)
-        for row in pdf.sort_values("window_idx").itertuples():
-            _, tokens, _ = _through_window(tokens, row)
+        for window in windows_of(_sorted(rows, "window_idx")):
+            _, tokens, _ = _through_window(tokens, *window)
         return tokens
 
-    def read(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("window_idx")
-        tokens, out = int(pdf["brought"].iloc[0]), []
-        for row in pdf.itertuples():
-            allowed, tokens, used = map(int, _through_window(tokens, row))
+    def read(rows: pa.Table) -> pa.Table:
+        rows = _sorted(rows, "window_idx")
+        tokens, out = rows.column("brought")[0].as_py(), []
+        for window in windows_of(rows):
+            allowed, tokens, used = map(int, _through_window(tokens, *window))
             out.append((allowed, tokens, used))
-        return pdf[["quota_tenant", "window_idx"]].assign(
-            session=0, **dict(zip(("allowed", "tokens", "used"), zip(*out))))
+        return _outcome(rows, pa.array([0] * len(rows), pa.int64()), out)
 
     return _through_spans(windows, table, read, state)
 
