@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from model import Buffers, Limiter
 from tidegate import Capacity, QuotaPolicy
@@ -127,6 +127,9 @@ def test_event_and_stream_acks(spark):
     good, bad = acks.split_accepted(out)
     assert (good.count(), bad.count()) == (2, 4)
     assert tuple(acks.outcome_totals(out).first()) == (2, 4)
+    seen = Observation()
+    acks.observe_outcomes(out, seen).collect()
+    assert seen.get == {"accepted_total": 2, "rejected_total": 4}
     streams = {r["stream_id"]: r for r in acks.stream_acks(out).collect()}
     assert tuple(streams["s1"])[1:6] == (True, 4, 2, 2, "stream ingestion completed")
     assert tuple(streams["s2"])[1:6] == (False, 2, 0, 2, "stream ingestion completed")

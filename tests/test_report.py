@@ -58,7 +58,17 @@ def test_load_summary(spark):
 def test_runs_are_joined_by_name(spark):
     one = spark.createDataFrame([("a", 1.0)], "mode string, latency double")
     two = spark.createDataFrame([(3.0, "a")], "latency double, mode string")
-    assert report.latency_ranks(one.unionByName(two), ["mode"]).first()["max_latency"] == 3.0
+    both = report.combine_runs([one, two])
+    assert report.latency_ranks(both, ["mode"]).first()["max_latency"] == 3.0
+
+
+def test_approximate_ranks(spark):
+    df = spark.range(1, 10001).select(F.lit("a").alias("mode"), F.col("id").cast("double")
+                                      .alias("latency"))
+    exact = report.latency_ranks(df, ["mode"]).first()
+    near = report.approx_latency_ranks(df, ["mode"]).first()
+    assert near["n"] == exact["n"] and near["max_latency"] == exact["max_latency"]
+    assert all(abs(near[p] - exact[p]) <= 2 for p, _ in report.LATENCY_RANKS)
 
 
 def test_counter_set(spark):

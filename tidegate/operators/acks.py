@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidegate import schema as S
 from tidegate.operators.capacity import batch_cap
@@ -75,6 +75,14 @@ def stream_acks(events: DataFrame, stream: str = "stream_id",
                 closed.alias("processed_at") if processed_at is None else "processed_at"))
 
 
+def observe_outcomes(acks: DataFrame, observation: Observation) -> DataFrame:
+    """Count accepted and rejected rows while they are written, without another pass. The
+    counts are in `observation.get` after an action, or in a stream's progress under its name.
+    """
+    return acks.observe(observation, F.count_if("accepted").alias("accepted_total"),
+                        F.count_if(~F.col("accepted")).alias("rejected_total"))
+
+
 def outcome_totals(acks: DataFrame) -> DataFrame:
     """Accepted and rejected totals of acknowledged events."""
     return acks.agg(F.count_if("accepted").alias("accepted_total"),

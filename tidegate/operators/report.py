@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.operators.running import (HOT_ROWS, broadcast_if_small, find_slices,
@@ -77,6 +79,21 @@ def latency_sample(calls: DataFrame, worker: list[str], order: list[str],
     return ranked.where(F.col("sample_no") <= settings.cap)
 
 
+def combine_runs(runs: list[DataFrame]) -> DataFrame:
+    """The samples of several runs or workers as one table."""
+    return reduce(DataFrame.unionByName, runs)
+
+
+def approx_latency_ranks(samples: DataFrame, group: list[str], latency: str = "latency",
+                         accuracy: int = 10_000) -> DataFrame:
+    """The same report in one pass from mergeable sketches; ranks are off by up to n / accuracy."""
+    ranks = F.percentile_approx(latency, [p for _, p in LATENCY_RANKS], accuracy)
+    return samples.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[ranks[i].alias(name) for i, (name, _) in enumerate(LATENCY_RANKS)],
+        F.max(latency).alias("max_latency"))
+
+
 def latency_ranks(samples: DataFrame, group: list[str], latency: str = "latency",
                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Latency at rank `floor(n * p)` (from 0) and the maximum, per group; exact.

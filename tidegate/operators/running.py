@@ -55,16 +55,18 @@ def _same(names: list[str], suffix: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(n) == F.col(n + suffix) for n in names])
 
 
-def _into_slices(df: DataFrame, slices: Slices, inner: bool = False) -> DataFrame:
-    """Add the range each row lies in: a list of part numbers, empty outside hot groups."""
+def _into_slices(df: DataFrame, slices: Slices, only_depth: int | None = None) -> DataFrame:
+    """Add the range each row lies in: a list of part numbers, empty outside hot groups.
+
+    With `only_depth`, only the rows that are cut at that depth remain.
+    """
     out = df.withColumn(_SLICE, F.array().cast("array<bigint>"))
     for depth, level in enumerate(slices.levels):
-        last = depth == len(slices.levels) - 1
         join_on = [*slices.keys, _SLICE]
         level = level.select(*[F.col(c).alias(c + "_cut") if c in join_on else F.col(c)
                                for c in level.columns])
         joined = out.join(level, _same(join_on, "_cut"),
-                          "inner" if inner and last else "left")
+                          "inner" if depth == only_depth else "left")
         part = F.lit(0.0)
         for i, name in enumerate(slices.order):
             pos = _position(out, name)
@@ -86,15 +88,20 @@ def find_slices(rows: DataFrame, keys: list[str], order: list[str],
     """Count the groups and cut those above `hot_rows` rows, again and again while a range
     stays above it and its rows still differ in an order column.
 
-    Runs a job: one count with map-side combine, over the key and order columns only. `rows`
-    may also be a cheaper superset of the rows that are ranked later.
+    Runs a job: one count with map-side combine, over the key columns only; the order columns
+    are read when a group is hot. `rows` may also be a cheaper superset of the rows that are
+    ranked later.
     """
     if hot_rows <= 0:
         raise ValueError(f"hot_rows must be positive, got {hot_rows}")
     narrow = rows.select(*keys, *order)
+    for name in order:
+        _position(narrow, name)
     slices = Slices(tuple(keys), tuple(order))
+    if narrow.groupBy(*keys).count().where(F.col("count") > hot_rows).isEmpty():
+        return slices
     while True:
-        cells = _into_slices(narrow, slices, inner=True).groupBy(*keys, _SLICE).agg(
+        cells = _into_slices(narrow, slices, len(slices.levels) - 1).groupBy(*keys, _SLICE).agg(
             F.count(F.lit(1)).alias("_rows"),
             *[F.min(_position(narrow, c)).alias(f"_lo{i}") for i, c in enumerate(order)],
             *[F.max(_position(narrow, c)).alias(f"_hi{i}") for i, c in enumerate(order)])
@@ -149,8 +156,9 @@ def running_total(rows: DataFrame, keys: list[str], order: list[str], out: str,
         return rows.withColumn(out, _over(Window.partitionBy(*keys).orderBy(*order), weight))
 
     weight_col = F.lit(1).cast("long") if weight is None else weight
-    cut = _into_slices(rows.withColumn("_weight", weight_col), slices)
-    cells = (cut.where(F.size(_SLICE) > 0).groupBy(*keys, _SLICE)
+    weighed = rows.withColumn("_weight", weight_col)
+    cut = _into_slices(weighed, slices)
+    cells = (_into_slices(weighed, slices, only_depth=0).groupBy(*keys, _SLICE)
              .agg(F.sum("_weight").alias("_total")))
     earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(
         Window.unboundedPreceding, -1)

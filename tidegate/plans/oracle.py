@@ -357,3 +357,4 @@ WITH {EV} SELECT event_id, tenant_id, payload, timestamp FROM ev""",
 }
 
 ORACLE["stream_quota_leased"] = ORACLE["quota_leased"]
+ORACLE["latency_of_runs"] = ORACLE["latency_ranks"]

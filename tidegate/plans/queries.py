@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.functions.keys import ledger_key, nanos_to_timestamp, with_event_defaults
+from tidegate.functions.wire import decode_records
 from tidegate.operators import acks, delivery, persistence, report
 from tidegate.operators.capacity import batch_cap, row_cap
 from tidegate.operators.leased import leased_admission
@@ -166,11 +167,9 @@ def topic_round_trip(spark, sf_dir):
 
 
 def decode_quarantine(spark, sf_dir):
-    good, bad = delivery.decode_split(views.records(spark, sf_dir))
-    key = F.col("key").cast("string").alias("key")
-    return good.select(key, "event_id", "tenant_id", "payload", "timestamp",
-                       F.lit(True).alias("decoded")).unionByName(
-        bad.select(key, F.lit(False).alias("decoded")), allowMissingColumns=True)
+    return decode_records(views.records(spark, sf_dir)).select(
+        F.col("key").cast("string").alias("key"), "event_id", "tenant_id", "payload",
+        "timestamp", F.col("error").isNull().alias("decoded"))
 
 
 def dead_letter_lines(spark, sf_dir):
@@ -262,6 +261,13 @@ def latency_ranks(spark, sf_dir):
     return report.latency_ranks(views.calls(spark, sf_dir), ["mode"])
 
 
+def latency_of_runs(spark, sf_dir):
+    """Ranks over the samples of several runs taken together."""
+    calls = views.calls(spark, sf_dir).select("mode", "worker_id", "latency")
+    runs = [calls.where(F.col("worker_id") % 3 == i) for i in range(3)]
+    return report.latency_ranks(report.combine_runs(runs), ["mode"])
+
+
 def latency_sample(spark, sf_dir):
     kept = report.latency_sample(views.calls(spark, sf_dir), ["mode", "worker_id"],
                                  views.CALL_ORDER, SampleSettings(step=10, cap=50))
@@ -300,6 +306,7 @@ QUERIES: dict[str, Query] = {
     "outcome_counters": outcome_counters,
     "load_summary": load_summary,
     "latency_ranks": latency_ranks,
+    "latency_of_runs": latency_of_runs,
     "latency_sample": latency_sample,
     **streams.QUERIES,
 }
