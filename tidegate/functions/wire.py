@@ -23,34 +23,39 @@ EVENT_FIELDS = (
 _WIRE_VARINT, _WIRE_BYTES = 0, 2
 
 
-def _byte_hex(value: Column) -> Column:
-    return F.lpad(F.hex(value), 2, "0")
-
+def _varint_hex(value: Column, width: int) -> Column:
+    """The base-128 digits of a number below 2 ** (7 * width), `width` <= 8, as hex text, low
+    digit first.
+
+    The digits are laid out as the bytes of one long, each with its "more follows" bit, so that
+    a single `hex` writes them. The text is cut to the digits needed and the last one's bit
+    taken back. Kept short: the generated code of an encoder should stay below the size up to
+    which the JVM compiles a method.
+    """
+    spread = F.lit(sum(128 << 8 * i for i in range(width)) - (1 << 64) * (width == 8))
+    for i in range(width):
+        digit = F.shiftrightunsigned(value, 7 * i).bitwiseAND(F.lit(127))
+        spread = spread.bitwiseOR(F.shiftleft(digit, 8 * (width - 1 - i)))
+    count = _digits(value, width)
+    last = F.call_function("shiftleft", F.lit(128).cast("long"), F.lit(8 * width) - 8 * count)
+    return F.substring(F.lpad(F.hex(spread.bitwiseXOR(last)), 2 * width, "0"), F.lit(1), 2 * count)
 
-def _varint_hex(value: Column) -> Column:
-    """Base-128 digits of an unsigned integer as hex text, low digit first.
 
-    The low eight digits are laid out as the bytes of one long, each with its "more follows"
-    bit, so that a single `hex` writes them; shorter numbers take the bytes they need.
-    """
-    def digit(i: int) -> Column:
-        return F.shiftrightunsigned(value, 7 * i).bitwiseAND(F.lit(127))
+def _digits(value: Column, most: int) -> Column:
+    return F.least(F.lit(most), F.call_function(
+        "div", F.length(F.bin(value)) + 6, F.lit(7)).cast("int"))
 
-    def beyond(i: int) -> Column:
-        return F.shiftrightunsigned(value, 7 * i) != 0
 
-    spread = F.lit(-0x7F7F7F7F7F7F7F80)  # eight bytes 0x80
+def _long_varint_hex(value: Column) -> Column:
+    """The same for any 64-bit number: eight digits, then the ninth and tenth."""
+    low = value.bitwiseAND(F.lit((1 << 56) - 1))
+    rest = F.shiftrightunsigned(value, 56)
+    eight = F.lit(sum(128 << 8 * i for i in range(8)) - (1 << 64))
     for i in range(8):
-        spread = spread.bitwiseOR(F.shiftleft(digit(i), 56 - 8 * i))
-    count = F.lit(1)
-    for i in range(1, 8):
-        count = count + beyond(i).cast("int")
-    last = F.call_function("shiftleft", F.lit(128).cast("long"), F.lit(64) - 8 * count)
-    short = F.substring(F.lpad(F.hex(spread.bitwiseXOR(last)), 16, "0"), F.lit(1), 2 * count)
-    ninth = digit(8) + F.when(beyond(9), F.lit(128)).otherwise(F.lit(0))
-    long = F.concat(F.hex(spread), _byte_hex(ninth),
-                    F.when(beyond(9), F.lit("01")).otherwise(F.lit("")))
-    return F.when(~beyond(1), _byte_hex(value)).when(beyond(8), long).otherwise(short)
+        digit = F.shiftrightunsigned(value, 7 * i).bitwiseAND(F.lit(127))
+        eight = eight.bitwiseOR(F.shiftleft(digit, 56 - 8 * i))
+    return F.when(rest == 0, _varint_hex(low, 8)).otherwise(
+        F.concat(F.hex(eight), _varint_hex(rest, 2)))
 
 
 def _tag_hex(number: int, wire_type: int) -> str:
@@ -74,13 +79,13 @@ def encode_event(event_id: Column, tenant_id: Column, payload: Column, timestamp
         if kind == "string":
             col = F.coalesce(col, F.lit(""))
             head = F.unhex(F.concat(F.lit(_tag_hex(number, _WIRE_BYTES)),
-                                    _varint_hex(F.octet_length(col).cast("long"))))
+                                    _varint_hex(F.octet_length(col).cast("long"), 5)))
             pieces.append(F.when(col == "", empty)
                           .otherwise(F.concat(head, col.cast("binary"))))
         else:
             col = F.coalesce(col, F.lit(0).cast("long"))
             pieces.append(F.when(col == 0, empty).otherwise(F.unhex(F.concat(
-                F.lit(_tag_hex(number, _WIRE_VARINT)), _varint_hex(col)))))
+                F.lit(_tag_hex(number, _WIRE_VARINT)), _long_varint_hex(col)))))
     return F.concat(*pieces)
 
 
