@@ -8,7 +8,7 @@ from tidegate import Capacity, QuotaPolicy
 from tidegate.operators import acks
 from tidegate.operators.capacity import batch_cap, row_cap
 from tidegate.operators.quota import quota_admission, with_quota_keys
-from tidegate.sources.events import batch_requests, unpack_batches
+from tidegate.sources.events import batch_requests, read_events, unpack_batches
 
 SMALL = Capacity(shards=3, buffer=12, min_per_shard=1)
 
@@ -114,6 +114,12 @@ def test_batches_unpack_and_charge(spark):
     assert {r["event_id"] for r in first.collect()} == {"e1", "e3", "e4"}
 
 
+def test_read_events_fills_absent_fields(spark, tmp_path):
+    (tmp_path / "in.json").write_text('{"event_id":"e1","timestamp":5}\n{"payload":"p"}\n')
+    rows = read_events(spark, str(tmp_path), format="json").orderBy("timestamp").collect()
+    assert [tuple(r) for r in rows] == [("", "", "p", 0), ("e1", "", "", 5)]
+
+
 def test_event_and_stream_acks(spark):
     policy = QuotaPolicy(limit=3)
     df = spark.createDataFrame([("a", 0, i, "s1" if i < 4 else "s2") for i in range(6)],

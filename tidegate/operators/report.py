@@ -101,10 +101,11 @@ def latency_ranks(samples: DataFrame, group: list[str], latency: str = "latency"
     Equal latencies are counted before anything is sorted, and a group is sorted in ranges,
     so neither a frequent value nor a large group ends up in one task.
     """
+    slices = find_slices(samples, group, [latency], hot_rows)
     values = samples.groupBy(*group, latency).agg(F.count(F.lit(1)).alias("_n"))
-    upto = running_total(values, group, [latency], "_upto", F.col("_n"), hot_rows=hot_rows)
-    sizes = broadcast_if_small(values.groupBy(*group).agg(
-        F.sum("_n").alias("n"), F.max(latency).alias("max_latency")))
+    upto = running_total(values, group, [latency], "_upto", F.col("_n"), slices)
+    sizes = broadcast_if_small(samples.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"), F.max(latency).alias("max_latency")))
     position = {name: F.floor(F.col("n") * F.lit(p)).cast("long") for name, p in LATENCY_RANKS}
     return upto.join(sizes, group).groupBy(*group).agg(
         F.first("n").alias("n"),

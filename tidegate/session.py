@@ -35,14 +35,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only a session without that setting and without a checkpoint folder gets one of
     ours, which is a local folder and fit for tests alone.
     """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidegate-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidegate-"))
+    return (configured or context.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

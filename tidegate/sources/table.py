@@ -19,7 +19,8 @@ from tidegate.operators.persistence import (constraint_split, first_write, not_s
 def create_table(spark: SparkSession, name: str, location: str | None = None,
                  buckets: int = 16) -> None:
     """Create the event table unless it exists. Sorting by tenant and time within a bucket
-    lets readers skip by those columns."""
+    lets readers skip by those columns. Choose `buckets` for the size of the whole table: its
+    keys are checked bucket by bucket."""
     at = "" if location is None else f"LOCATION '{location}'"
     spark.sql(f"""
         CREATE TABLE IF NOT EXISTS {name} (
@@ -46,19 +47,28 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def insert_batch(events: DataFrame, name: str, batch_id: int, order: list[str],
-                 writer: str = "batch") -> WriteCounts:
+                 writer: str = "batch", files_per_bucket: int = 1,
+                 horizon_ns: int | None = None) -> WriteCounts:
     """Write one batch of events that meet the table's constraints. `batch_id` grows with each
     batch of a `writer`. Raises when the job fails; what was there before is then still there.
+
+    A large batch is written by `files_per_bucket` tasks for each bucket. By default a key is
+    looked for among all stored rows. `horizon_ns`, when the repeats of an event carry its
+    timestamp, skips the stored files that are older than the batch by more than that.
     """
     spark = events.sparkSession
     attempted, inserted = Observation(), Observation()
     target = read_table(spark, name)
     repeated = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
+    known = target.where(~repeated)
+    if horizon_ns is not None:
+        oldest = events.agg(F.min("timestamp")).first()[0]
+        known = known.where(F.col("event_timestamp") >= (oldest or 0) - horizon_ns)
     seen = events.observe(attempted, F.count(F.lit(1)).alias("rows"))
-    fresh = not_stored(first_write(seen, order), target.where(~repeated))
+    fresh = not_stored(first_write(seen, order), known)
     rows = (stored_rows(fresh)
             .withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")})
-            .repartition(bucket_count(spark, name), "event_id")
+            .repartition(bucket_count(spark, name) * files_per_bucket, "event_id")
             .observe(inserted, F.count(F.lit(1)).alias("rows")))
     rows.write.mode("overwrite").insertInto(name)
     return WriteCounts(attempted.get["rows"], inserted.get["rows"])

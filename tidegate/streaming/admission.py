@@ -2,8 +2,9 @@
 
 Each micro-batch runs the batch operators, so a hot tenant is spread over tasks as it is in a
 batch. The state tables are written anew with every micro-batch and hold the latest windows
-only. All outputs are folders named by the batch, so a repeated batch replaces itself; they
-belong to one checkpoint, and a new checkpoint needs new folders.
+only; two copies take turns, because a repeated batch needs the state before it. The rows of a
+batch are a folder named by it, so a repeated batch replaces itself. All folders belong to one
+checkpoint, and a new checkpoint needs new ones.
 Micro-batches must follow arrival order by and large: a row that is more than `keep_windows`
 windows late finds its window forgotten.
 """
@@ -33,7 +34,7 @@ def _start(events: DataFrame, step: Step, schemas: dict[str, str], out: str, sta
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = {
-            name: spark.read.schema(schema).parquet(f"{state}/{name}/batch_id={batch_id - 1}")
+            name: spark.read.schema(schema).parquet(f"{state}/{name}/{(batch_id - 1) % 2}")
             if batch_id else spark.createDataFrame([], schema)
             for name, schema in schemas.items()}
         batch = batch.persist()
@@ -41,7 +42,7 @@ def _start(events: DataFrame, step: Step, schemas: dict[str, str], out: str, sta
             rows, after = step(batch, before)
             rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
             for name, table in after.items():
-                table.write.mode("overwrite").parquet(f"{state}/{name}/batch_id={batch_id}")
+                table.write.mode("overwrite").parquet(f"{state}/{name}/{batch_id % 2}")
         finally:
             batch.unpersist()
 
