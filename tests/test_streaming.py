@@ -11,7 +11,7 @@ from tidegate.operators import delivery
 from tidegate.operators.quota import with_quota_keys
 from tidegate.sources import deadletter, table, topic
 from tidegate.sources.events import read_event_stream
-from tidegate.streaming import persist as persisting
+from tidegate.streaming import leases, persist as persisting
 from tidegate.streaming.admission import start_quota, start_row_cap
 from tidegate.streaming.dedupe import drop_repeats
 from tidegate.streaming.flush import (flush_report, progress_rows, run_to_end, session_settings,
@@ -80,8 +80,10 @@ def test_quota_with_tables(spark, tmp_path, policy, weighted):
     assert spark.read.parquet(f"{tmp_path}/out").count() == len(rows)
 
 
-@pytest.mark.parametrize("policy,weighted", [POLICIES[1], POLICIES[4]])
-def test_quota_with_keyed_state(spark, tmp_path, policy, weighted):
+@pytest.mark.parametrize("policy,weighted", [POLICIES[0], POLICIES[1], POLICIES[4]])
+def test_quota_with_keyed_state(spark, tmp_path, policy, weighted, monkeypatch):
+    monkeypatch.setattr(leases, "MIN_SORT", 3)
+    monkeypatch.setattr(leases, "KEEP_WINDOWS", 3)
     rows = some_rows(2)
     write_files(spark, rows, SCHEMA, tmp_path / "in", 3)
     events = with_quota_keys(read_files(spark, SCHEMA, tmp_path / "in"), policy)
@@ -89,7 +91,8 @@ def test_quota_with_keyed_state(spark, tmp_path, policy, weighted):
                             state_ttl_sec=3600)
     writer = admitted.writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
         "checkpointLocation", f"{tmp_path}/cp")
-    with session_settings(spark, {**KEYED_STATE, "spark.sql.shuffle.partitions": "2"}):
+    with session_settings(spark, {**KEYED_STATE, "spark.sql.shuffle.partitions": "2",
+                                  "spark.sql.execution.arrow.maxRecordsPerBatch": "4"}):
         query = with_trigger(writer, drain=True).start()
     run_to_end(query)
     got = [r["admitted"] for r in spark.read.parquet(f"{tmp_path}/out").orderBy("seq").collect()]

@@ -112,7 +112,9 @@ def quota_leased_weighted(spark, sf_dir):
 # --- batches, streams, capacity ---------------------------------------------------------------
 
 def batch_unpack(spark, sf_dir):
-    return unpack_batches(views.batches(spark, sf_dir))
+    events = unpack_batches(views.batches(spark, sf_dir), ["batch_id", "part"])
+    position = F.col("position") + F.col("part") * views.BATCH_EVENTS
+    return events.withColumn("position", position.cast("int")).drop("part")
 
 
 def batch_acks(spark, sf_dir):

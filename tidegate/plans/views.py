@@ -7,8 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidegate.functions.keys import (batch_tenant, nanos_to_timestamp, ntz_to_micros,
                                      ntz_to_nanos, quota_tenant)
 from tidegate.operators.delivery import to_records
+from tidegate.operators.running import running_total
 
 MONTH_SEC = 2_592_000
+BATCH_EVENTS = 1000
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 DELIVERY_ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
 CALL_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -56,25 +59,25 @@ def _order_columns() -> list[Column]:
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as batches of the events their lines stand for; an order without lines is an
-    empty batch."""
-    line = F.struct(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
-        F.struct(
-            F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("event_id"),
-            _supplier_tenant(F.col("l_suppkey")).alias("tenant_id"),
-            F.col("l_returnflag").alias("payload"),
-            ntz_to_nanos(F.col("l_shipdate")).alias("timestamp")).alias("event"))
-    lists = _lines(spark, sf_dir).groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(line)).alias("lines"))
+    empty batch. An order of more than `BATCH_EVENTS` lines comes in several parts, so that no
+    list grows with the data."""
+    lines = running_total(_lines(spark, sf_dir), ["l_orderkey"], LINE_ORDER, "_no")
+    event = F.struct(
+        F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("event_id"),
+        _supplier_tenant(F.col("l_suppkey")).alias("tenant_id"),
+        F.col("l_returnflag").alias("payload"),
+        ntz_to_nanos(F.col("l_shipdate")).alias("timestamp"))
+    lists = lines.groupBy("l_orderkey", F.expr(f"(_no - 1) div {BATCH_EVENTS}").alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("_no", event.alias("event")))).alias("lines"))
     orders = table(spark, sf_dir, "orders").select(*_order_columns())
     return orders.join(lists, orders.batch_id == lists.l_orderkey, "left").select(
-        "batch_id", "tenant_id", "timestamp",
+        "batch_id", F.coalesce("part", F.lit(0)).alias("part"), "tenant_id", "timestamp",
         F.coalesce(F.transform("lines", lambda x: x["event"]), F.array()).alias("events"))
 
 
 def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the quota needs of `batches`, counted without building the lists."""
-    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    line = F.struct(*LINE_ORDER)
     sizes = _lines(spark, sf_dir).groupBy("l_orderkey").agg(
         F.count(F.lit(1)).cast("int").alias("n"), F.min(line)["l_suppkey"].alias("supplier"))
     orders = table(spark, sf_dir, "orders").select(*_order_columns())

@@ -31,11 +31,12 @@ def batch_requests(batches: DataFrame) -> DataFrame:
     }).drop("events")
 
 
-def unpack_batches(batches: DataFrame, batch: str = "batch_id",
+def unpack_batches(batches: DataFrame, keep: list[str] | None = None,
                    accepted: str | None = None) -> DataFrame:
-    """The events of batches with their position from 0; with `accepted`, only the prefix
-    of that length."""
+    """The events of batches with their position from 0, next to the columns to `keep`
+    (default `batch_id`); with `accepted`, only the prefix of that length."""
+    keep = ["batch_id"] if keep is None else keep
     events = F.col("events") if accepted is None else F.slice(
         "events", F.lit(1), F.col(accepted))
-    rows = batches.select(batch, F.posexplode(events).alias("position", "event"))
-    return with_event_defaults(rows.select(batch, "position", "event.*"))
+    rows = batches.select(*keep, F.posexplode(events).alias("position", "event"))
+    return with_event_defaults(rows.select(*keep, "position", "event.*"))

@@ -1,8 +1,9 @@
 """Quotas over streams with the tokens of each tenant in keyed state.
 
 Low latency: rows are answered by the state of their tenant, without a state table being read
-and written. A tenant's rows of one micro-batch are handled together, in order, and the
-reader's size options bound them; `admission.start_quota` spreads even those rows.
+and written. A tenant's rows of one micro-batch come chunk by chunk, and only those that its
+windows can still admit are kept until the end; `admission.start_quota` spreads a hot tenant
+over tasks as well.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from tidegate.session import ROCKSDB_PROVIDER
 from tidegate.settings import QuotaPolicy
 
 KEEP_WINDOWS = 2
+MIN_SORT = 50_000
 
 # Settings that the session of a query with keyed state needs. With a time to live, Spark would
 # otherwise run empty micro-batches for ever, and a draining query would not end.
@@ -44,6 +46,10 @@ def serve(n: np.ndarray, tokens: int, used: int, limit: int, lease: int) -> tupl
         level = int(total[at] - n[at]) + granted
 
 
+def _answer(rows: pd.DataFrame, admitted) -> pd.DataFrame:
+    return rows.drop(columns="_n").assign(admitted=admitted)
+
+
 class LeaseState(StatefulProcessor):
     """Tokens and last access of a tenant, and the quota used in its latest windows."""
 
@@ -61,16 +67,36 @@ class LeaseState(StatefulProcessor):
             T.StructType([T.StructField("used", T.LongType())]), self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.order, ignore_index=True)
-        n = (np.ones(len(pdf), dtype=np.int64) if self.charge is None
-             else pdf[self.charge].to_numpy(np.int64))
-        admitted = n <= 0
-        paying = np.flatnonzero(n > 0)
-        if len(paying):
-            admitted[paying] = self._charge(
-                n[paying], pdf["window_idx"].to_numpy(np.int64)[paying],
-                pdf[self.arrival].to_numpy(np.int64)[paying] // NANOS_PER_SECOND)
-        yield pdf.assign(admitted=admitted)
+        kept, pending, waiting = None, [], 0
+        for chunk in rows:
+            chunk = chunk.assign(_n=1 if self.charge is None else chunk[self.charge])
+            paying = chunk["_n"] > 0
+            if not paying.all():
+                yield _answer(chunk[~paying], True)
+                chunk = chunk[paying]
+            pending.append(chunk)
+            waiting += len(chunk)
+            # Sorting waits until there is as much new as kept, so that its cost stays linear.
+            if waiting > max(MIN_SORT, 0 if kept is None else len(kept)):
+                kept, late = self._admissible([kept, *pending])
+                pending, waiting = [], 0
+                yield _answer(late, False)
+        kept, late = self._admissible([kept, *pending])
+        yield _answer(late, False)
+        if len(kept):
+            yield _answer(kept, self._charge(
+                kept["_n"].to_numpy(np.int64), kept["window_idx"].to_numpy(np.int64),
+                kept[self.arrival].to_numpy(np.int64) // NANOS_PER_SECOND))
+
+    def _admissible(self, parts: list[pd.DataFrame | None]) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """Rows in order, and apart from them those that begin beyond what their window can
+        admit at most. The latter are denied; by then their tenant holds no tokens."""
+        rows = pd.concat([p for p in parts if p is not None]).sort_values(
+            self.order, ignore_index=True)
+        ahead = rows.groupby("window_idx")["_n"].cumsum() - rows["_n"]
+        most = self.policy.limit + min(self.policy.lease, self.policy.limit) - 1
+        late = ahead > most
+        return rows[~late], rows[late]
 
     def _charge(self, n: np.ndarray, window: np.ndarray, second: np.ndarray) -> np.ndarray:
         policy = self.policy
