@@ -116,7 +116,8 @@ def _through_spans(cells: DataFrame, table, read, state: LeaseState | None) -> D
 
     A tenant within one span starts from what it holds and needs no links.
     """
-    spans = cells.withColumn("span", F.expr(f"window_idx div {SPAN}"))
+    # Read several times, and far smaller than the events behind it.
+    spans = freeze(cells.withColumn("span", F.expr(f"window_idx div {SPAN}")))
     long_lived = (spans.groupBy("quota_tenant")
                   .agg(F.min("span").alias("_first"), F.max("span").alias("_last"))
                   .where("_first < _last").select("quota_tenant"))
@@ -408,7 +409,7 @@ def leased_step(rows: DataFrame, policy: QuotaPolicy, order: list[str],
         outcomes = outcomes if state is None else freeze(outcomes)
         return _flag(rows, outcomes, QUOTA_KEYS, policy, order, None, None, hot_rows), outcomes
 
-    cells = idle_sessions(rows, policy, arrival, state)
+    cells = freeze(idle_sessions(rows, policy, arrival, state))
     segment = [*QUOTA_KEYS, "session"]
     segments = cells.groupBy(*segment).agg(F.sum("n").alias("n"), F.max("fresh").alias("fresh"))
     outcomes = unit_outcomes(segments, policy, state)
