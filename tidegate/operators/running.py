@@ -8,6 +8,7 @@ take the ordinary window, so data without hot groups pays for one count and no j
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 from functools import reduce
 
@@ -51,6 +52,14 @@ def _position(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be numeric, a date or a timestamp, not {kind}")
 
 
+def _finite(df: DataFrame, name: str) -> Column:
+    """The position where it has a finite value; other values sort to either end."""
+    pos = _position(df, name)
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(pos.between(-sys.float_info.max, sys.float_info.max), pos)
+    return pos
+
+
 def _same(names: list[str], suffix: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(n) == F.col(n + suffix) for n in names])
 
@@ -103,8 +112,8 @@ def find_slices(rows: DataFrame, keys: list[str], order: list[str],
     while True:
         cells = _into_slices(narrow, slices, len(slices.levels) - 1).groupBy(*keys, _SLICE).agg(
             F.count(F.lit(1)).alias("_rows"),
-            *[F.min(_position(narrow, c)).alias(f"_lo{i}") for i, c in enumerate(order)],
-            *[F.max(_position(narrow, c)).alias(f"_hi{i}") for i, c in enumerate(order)])
+            *[of(_finite(narrow, c)).alias(f"{name}{i}") for i, c in enumerate(order)
+              for name, of in (("_lo", F.min), ("_hi", F.max), ("_known", F.count))])
         # At most (rows / hot_rows) entries.
         level = freeze(_cuts(cells, keys, len(order), hot_rows))
         if level.isEmpty():
@@ -123,14 +132,17 @@ def _broadcast_checked(frozen: DataFrame) -> DataFrame:
 
 
 def _cuts(cells: DataFrame, keys: list[str], n_order: int, hot_rows: int) -> DataFrame:
-    """The cells to cut: by their first order column that takes more than one value."""
+    """The cells to cut: by their first order column that takes more than one value. A column
+    that is null in some rows only does so too, but with one value besides it cannot be cut."""
     by = F.lit(None).cast("int")
     span = F.lit(None).cast("double")
     for i in reversed(range(n_order)):
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        differs = lo < hi
-        by = F.when(differs, F.lit(i)).otherwise(by)
-        span = F.when(differs, F.try_subtract(hi, lo).cast("double")).otherwise(span)
+        differs, seen = lo < hi, F.col(f"_known{i}")
+        partly = (seen > 0) & (seen < F.col("_rows"))
+        by = F.when(differs, F.lit(i)).when(partly, F.lit(None)).otherwise(by)
+        span = F.when(differs, F.try_subtract(hi, lo).cast("double")).when(
+            partly, F.lit(None)).otherwise(span)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return (
         cells.where((F.col("_rows") > hot_rows) & known)
@@ -138,7 +150,7 @@ def _cuts(cells: DataFrame, keys: list[str], n_order: int, hot_rows: int) -> Dat
         .withColumn("_parts", F.ceil(2 * F.col("_rows") / hot_rows).cast("double"))
         .withColumn("_width", span / F.col("_parts"))
         .where((F.col("_width") > 0) & (F.col("_width") < float("inf")))
-        .drop("_rows"))
+        .drop("_rows", *[f"_known{i}" for i in range(n_order)]))
 
 
 def running_total(rows: DataFrame, keys: list[str], order: list[str], out: str,

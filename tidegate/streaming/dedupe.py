@@ -12,9 +12,16 @@ from tidegate.functions.keys import nanos_to_timestamp
 
 
 def drop_repeats(events: DataFrame, within: str = "10 minutes", arrival: str = "timestamp",
-                 key: str = "event_id") -> DataFrame:
-    """Pass the first delivery of a key among those that arrive within `within` of it."""
-    return (events.withColumn("_arrived", nanos_to_timestamp(F.col(arrival)))
-            .withWatermark("_arrived", within)
-            .dropDuplicatesWithinWatermark([key])
-            .drop("_arrived"))
+                 key: str = "event_id", salts: int = 16) -> DataFrame:
+    """Pass one delivery of a key among those that arrive within `within` of it.
+
+    Repeats are first dropped among the rows of the same input partition, up to `salts` of
+    them apart, so that a key delivered very often does not meet in one task. `salts` = 1
+    leaves that step out.
+    """
+    stamped = (events.withColumn("_arrived", nanos_to_timestamp(F.col(arrival)))
+               .withWatermark("_arrived", within))
+    if salts > 1:
+        stamped = (stamped.withColumn("_salt", F.spark_partition_id() % salts)
+                   .dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt"))
+    return stamped.dropDuplicatesWithinWatermark([key]).drop("_arrived")
