@@ -23,39 +23,32 @@ EVENT_FIELDS = (
 _WIRE_VARINT, _WIRE_BYTES = 0, 2
 
 
-def _varint_hex(value: Column, width: int) -> Column:
-    """The base-128 digits of a number below 2 ** (7 * width), `width` <= 8, as hex text, low
-    digit first.
+def _varint_hex(value: Column, width: int, goes_on: bool = False) -> Column:
+    """The low `width` (at most 8) base-128 digits of a number as hex text, low digit first,
+    up to its last digit. With `goes_on`, the number may have more digits than that.
 
     The digits are laid out as the bytes of one long, each with its "more follows" bit, so that
     a single `hex` writes them. The text is cut to the digits needed and the last one's bit
-    taken back. Kept short: the generated code of an encoder should stay below the size up to
-    which the JVM compiles a method.
+    taken back, unless more digits follow. Kept short: the generated code of an encoder should
+    stay below the size up to which the JVM compiles a method.
     """
     spread = F.lit(sum(128 << 8 * i for i in range(width)) - (1 << 64) * (width == 8))
     for i in range(width):
         digit = F.shiftrightunsigned(value, 7 * i).bitwiseAND(F.lit(127))
         spread = spread.bitwiseOR(F.shiftleft(digit, 8 * (width - 1 - i)))
-    count = _digits(value, width)
+    # The number of digits, from the number of bits.
+    count = F.call_function("div", F.length(F.bin(value)) + 6, F.lit(7)).cast("int")
     last = F.call_function("shiftleft", F.lit(128).cast("long"), F.lit(8 * width) - 8 * count)
+    if goes_on:
+        last = F.when(count > width, F.lit(0).cast("long")).otherwise(last)
     return F.substring(F.lpad(F.hex(spread.bitwiseXOR(last)), 2 * width, "0"), F.lit(1), 2 * count)
 
 
-def _digits(value: Column, most: int) -> Column:
-    return F.least(F.lit(most), F.call_function(
-        "div", F.length(F.bin(value)) + 6, F.lit(7)).cast("int"))
-
-
 def _long_varint_hex(value: Column) -> Column:
-    """The same for any 64-bit number: eight digits, then the ninth and tenth."""
-    low = value.bitwiseAND(F.lit((1 << 56) - 1))
+    """All digits of any 64-bit number: eight, then the ninth and tenth."""
     rest = F.shiftrightunsigned(value, 56)
-    eight = F.lit(sum(128 << 8 * i for i in range(8)) - (1 << 64))
-    for i in range(8):
-        digit = F.shiftrightunsigned(value, 7 * i).bitwiseAND(F.lit(127))
-        eight = eight.bitwiseOR(F.shiftleft(digit, 56 - 8 * i))
-    return F.when(rest == 0, _varint_hex(low, 8)).otherwise(
-        F.concat(F.hex(eight), _varint_hex(rest, 2)))
+    return F.concat(_varint_hex(value, 8, goes_on=True),
+                    F.when(rest == 0, F.lit("")).otherwise(_varint_hex(rest, 2)))
 
 
 def _tag_hex(number: int, wire_type: int) -> str:
