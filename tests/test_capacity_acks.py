@@ -4,12 +4,17 @@ import pytest
 from pyspark.sql import Observation, functions as F
 
 from model import Buffers, Limiter
-from tidegate import Capacity, QuotaPolicy
+from tidegate import Capacity, QuotaPolicy, schema
 from tidegate.operators import acks
 from tidegate.operators.capacity import batch_cap, row_cap
 from tidegate.operators.quota import quota_admission, with_quota_keys
 from tidegate.sources.events import batch_requests, read_events, unpack_batches
 
+def typed(frame, layout):
+    return [(f.name, f.dataType) for f in frame.select(*layout.names).schema] == [
+        (f.name, f.dataType) for f in layout]
+
+
 SMALL = Capacity(shards=3, buffer=12, min_per_shard=1)
 
 
@@ -69,7 +74,8 @@ def test_batch_acks_equal_the_sequential_rules(spark, hot_rows):
         [(b, t, w, n, k) for k, (b, t, w, n) in enumerate(rows)],
         "batch_id long, quota_tenant string, window_idx long, n int, seq long")
     policy = QuotaPolicy(limit=45)
-    out = acks.batch_acks(df, policy, SMALL, ["seq"], processed_at=F.lit(1), hot_rows=hot_rows)
+    out = acks.batch_acks(df, policy, SMALL, ["seq"], processed_at=F.lit(1).cast("long"),
+                          hot_rows=hot_rows)
     got = {r["batch_id"]: r for r in out.collect()}
     limiter, pools = Limiter(45), {}
     for batch, tenant, window, n in rows:
@@ -87,7 +93,7 @@ def test_batch_acks_equal_the_sequential_rules(spark, hot_rows):
                 taken == n, taken, "batch processed")
     totals = acks.batch_totals(out).first()
     assert totals["accepted_total"] + totals["rejected_total"] == sum(r[3] for r in rows)
-    assert dict(out.dtypes)["accepted_count"] == dict(out.dtypes)["rejected_count"] == "int"
+    assert typed(out, schema.BATCH_ACK)
 
 
 def test_prefix_is_accepted(spark):
@@ -126,10 +132,11 @@ def test_event_and_stream_acks(spark):
                                "tenant_id string, timestamp long, seq long, stream_id string")
     admitted = quota_admission(with_quota_keys(df, policy), policy, ["timestamp", "seq"])
     capped = row_cap(admitted, Capacity(1, 2, 1), "window_idx", ["seq"], taking=F.col("admitted"))
-    out = acks.event_acks(capped, F.lit(9), buffered="buffered")
+    out = acks.event_acks(capped, F.lit(9).cast("long"), buffered="buffered")
     got = [(r["accepted"], r["message"], r["processed_at"]) for r in out.orderBy("seq").collect()]
     assert got == [(True, "event queued successfully", 9)] * 2 + [
         (False, "buffer full; shed load", 9)] + [(False, "rate limit exceeded", 9)] * 3
+    assert typed(out, schema.EVENT_ACK) and typed(acks.stream_acks(out), schema.STREAM_ACK)
     good, bad = acks.split_accepted(out)
     assert (good.count(), bad.count()) == (2, 4)
     assert tuple(acks.outcome_totals(out).first()) == (2, 4)

@@ -2,8 +2,10 @@ import base64
 import random
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidegate import TopicSettings
 from tidegate.functions.keys import nanos_to_timestamp, timestamp_to_nanos
 from tidegate.functions.wire import EVENT_FIELDS, decode_records, encode_event, event_message
 from tidegate.operators import delivery
@@ -129,7 +131,7 @@ def test_topic_files(spark, tmp_path):
     assert [bytes(r["key"]) for r in topic.read_topic(
         spark, "main", format="parquet", path=path).collect()] == [b"e1"]
     stamped = records.withColumn("topic", F.lit(None).cast("string"))
-    topic.publish(stamped, format="parquet", path=path, default_topic="main")
+    topic.publish(stamped, format="parquet", path=path, settings=TopicSettings("main"))
     assert topic.read_topic(spark, "main", format="parquet", path=path).count() == 3
 
 
@@ -143,3 +145,8 @@ def test_nanos(spark):
     row = spark.range(1).select(
         timestamp_to_nanos(nanos_to_timestamp(F.lit(1_700_000_000_123_456_789))).alias("ns")).first()
     assert row["ns"] == 1_700_000_000_123_456_000
+
+
+def test_topic_settings_must_be_positive():
+    with pytest.raises(ValueError):
+        TopicSettings(publish_batch=0)

@@ -8,6 +8,7 @@ from tidegate.functions.keys import (batch_tenant, nanos_to_timestamp, ntz_to_mi
                                      ntz_to_nanos, quota_tenant)
 from tidegate.operators.delivery import to_records
 from tidegate.operators.running import running_total
+from tidegate.settings import TopicSettings
 
 MONTH_SEC = 2_592_000
 BATCH_EVENTS = 1000
@@ -129,10 +130,10 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records whose delivery failed, in publishing batches of 128."""
+    """Records whose delivery failed, with the number of their publishing batch."""
     ev = events(spark, sf_dir).where("event_type = 'error'")
     return ev.select(
-        "seq", F.expr("seq div 128").alias("batch_id"),
+        "seq", F.expr(f"seq div {TopicSettings().publish_batch}").alias("batch_id"),
         nanos_to_timestamp(F.col("timestamp")).alias("failed_at"),
         F.lit("events").alias("topic"), F.col("event_id").alias("key"),
         F.lit("delivery\tfailed").alias("error"), F.col("payload").cast("binary").alias("value"))

@@ -52,11 +52,11 @@ class Capacity:
 
 @dataclass(frozen=True)
 class TopicSettings:
-    """Topic names and batch sizes of the publishing side."""
+    """The publishing side: the topic of records that name none, how many records share a
+    publishing batch, and how long the producer waits to fill one."""
 
     topic: str = "events"
     publish_batch: int = 128
-    producer_batch: int = 5000
     producer_timeout_ms: int = 5
 
     def __post_init__(self) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidegate import schema as S
 from tidegate.functions.keys import topic_or_default
+from tidegate.settings import TopicSettings
 
 # Fixed value: compression of published records.
 COMPRESSION = "snappy"
@@ -48,22 +49,27 @@ def _outgoing(records: DataFrame, format: str, default_topic: str) -> DataFrame:
     return records.select(topic, F.col("key").cast("binary"), "value", time.alias("timestamp"))
 
 
+def _producer_options(settings: TopicSettings) -> dict[str, str]:
+    return {"kafka.compression.type": COMPRESSION,
+            "kafka.linger.ms": str(settings.producer_timeout_ms)}
+
+
 def publish(records: DataFrame, format: str = "kafka", path: str | None = None,
-            default_topic: str = "events", mode: str = "append", **options) -> None:
+            settings: TopicSettings = TopicSettings(), mode: str = "append", **options) -> None:
     """Write records; a missing topic becomes the default one."""
-    writer = _outgoing(records, format, default_topic).write.format(format)
+    writer = _outgoing(records, format, settings.topic).write.format(format)
     if format == "kafka":
-        writer.option("kafka.compression.type", COMPRESSION).options(**options).save()
+        writer.options(**_producer_options(settings)).options(**options).save()
     else:
         writer.mode(mode).option("compression", COMPRESSION).options(**options).save(path)
 
 
 def publish_stream(records: DataFrame, checkpoint: str, format: str = "kafka",
-                   path: str | None = None, default_topic: str = "events",
+                   path: str | None = None, settings: TopicSettings = TopicSettings(),
                    **options) -> DataStreamWriter:
     """A stream writer of records; the caller sets the trigger and starts it."""
-    writer = (_outgoing(records, format, default_topic).writeStream.format(format)
+    writer = (_outgoing(records, format, settings.topic).writeStream.format(format)
               .option("checkpointLocation", checkpoint))
     if format == "kafka":
-        return writer.option("kafka.compression.type", COMPRESSION).options(**options)
+        return writer.options(**_producer_options(settings)).options(**options)
     return writer.option("compression", COMPRESSION).option("path", path).options(**options)
