@@ -92,3 +92,13 @@ def test_text_order_is_refused(spark):
 def test_null_key_is_left_whole(spark):
     rows = [(None, i, i) for i in range(200)] + [("x", i, i) for i in range(200)]
     check(spark, rows, "g string, a long, seq long", ["a", "seq"], 30)
+
+
+def test_no_window_gathers_a_hot_group(spark):
+    df = spark.range(1000).select(F.lit("hot").alias("g"), F.col("id").alias("a"), "id")
+    plan = running_total(df, ["g"], ["a"], "t", hot_rows=50)._jdf.queryExecution().executedPlan()
+    windows = [line for line in plan.toString().splitlines() if "- Window [" in line]
+    rows = [line for line in windows if "row_number" in line]
+    assert len(windows) == 2 and len(rows) == 1
+    # The rows are partitioned by group and range; only the ranges' totals meet per group.
+    assert "_slice" in rows[0].split("windowspecdefinition")[1].split("ASC")[0]

@@ -78,6 +78,7 @@ def stream_acks(events: DataFrame, stream: str = "stream_id",
 def observe_outcomes(acks: DataFrame, observation: Observation) -> DataFrame:
     """Count accepted and rejected rows while they are written, without another pass. The
     counts are in `observation.get` after an action, or in a stream's progress under its name.
+    They are for watching a run: a task that runs again counts again.
     """
     return acks.observe(observation, F.count_if("accepted").alias("accepted_total"),
                         F.count_if(~F.col("accepted")).alias("rejected_total"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.operators.persistence import (constraint_split, first_write, not_stored,
                                             stored_rows)
@@ -55,23 +55,24 @@ def insert_batch(events: DataFrame, name: str, batch_id: int, order: list[str],
     A large batch is written by `files_per_bucket` tasks for each bucket. By default a key is
     looked for among all stored rows. `horizon_ns`, when the repeats of an event carry its
     timestamp, skips the stored files that are older than the batch by more than that.
+
+    `events` is read twice, once to count it; cache it if it is costly. Counts taken while
+    writing would be too high after a task has run again.
     """
     spark = events.sparkSession
-    attempted, inserted = Observation(), Observation()
     target = read_table(spark, name)
-    repeated = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
-    known = target.where(~repeated)
+    same_writer = F.col("writer") == writer
+    known = target.where(~(same_writer & (F.col("batch_id") >= batch_id)))
     if horizon_ns is not None:
         oldest = events.agg(F.min("timestamp")).first()[0]
         known = known.where(F.col("event_timestamp") >= (oldest or 0) - horizon_ns)
-    seen = events.observe(attempted, F.count(F.lit(1)).alias("rows"))
-    fresh = not_stored(first_write(seen, order), known)
+    fresh = not_stored(first_write(events, order), known)
     rows = (stored_rows(fresh)
             .withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")})
-            .repartition(bucket_count(spark, name) * files_per_bucket, "event_id")
-            .observe(inserted, F.count(F.lit(1)).alias("rows")))
+            .repartition(bucket_count(spark, name) * files_per_bucket, "event_id"))
     rows.write.mode("overwrite").insertInto(name)
-    return WriteCounts(attempted.get["rows"], inserted.get["rows"])
+    written = read_table(spark, name).where(same_writer & (F.col("batch_id") == batch_id))
+    return WriteCounts(events.count(), written.count())
 
 
 def insert_events(events: DataFrame, name: str, batch_id: int, order: list[str],

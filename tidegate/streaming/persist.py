@@ -12,7 +12,7 @@ import json
 import time
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions.wire import EVENT_FIELDS, decode_records, encode_event
@@ -44,18 +44,18 @@ def start_persist(records: DataFrame, name: str, order: list[str], dead_letters:
             "_undecoded", F.col("error").isNotNull()).withColumn(
             "error", F.coalesce("error", constraint_reason())).persist()
         try:
-            bad = decoded.where("error IS NOT NULL")
-            counted = Observation()
-            lines = bad.observe(
-                counted, F.count_if("_undecoded").alias("undecodable"),
-                F.count_if(~F.col("_undecoded")).alias("constraint_failures"))
-            dead_letter_lines(lines.withColumn("failed_at", F.current_timestamp())).write.mode(
-                "overwrite").text(f"{dead_letters}/writer={writer}/batch_id={batch_id}")
+            failed = decoded.agg(
+                F.count_if("_undecoded").alias("undecodable"),
+                F.count_if(~F.col("_undecoded") & F.col("error").isNotNull()).alias("broken")).first()
+            lines = decoded.where("error IS NOT NULL").withColumn(
+                "failed_at", F.current_timestamp())
+            dead_letter_lines(lines).write.mode("overwrite").text(
+                f"{dead_letters}/writer={writer}/batch_id={batch_id}")
             counts = insert_batch(decoded.where("error IS NULL"), name, batch_id, order, writer)
         finally:
             decoded.unpersist()
-        row = (batch_id, counts.attempted, counts.inserted, counted.get["undecodable"],
-               counted.get["constraint_failures"], int((time.monotonic() - begin) * 1000))
+        row = (batch_id, counts.attempted, counts.inserted, failed["undecodable"],
+               failed["broken"], int((time.monotonic() - begin) * 1000))
         (batch.sparkSession.createDataFrame([row], FLUSH_SCHEMA).coalesce(1)
          .write.mode("overwrite").parquet(f"{flushes}/writer={writer}/flush={batch_id}"))
 
