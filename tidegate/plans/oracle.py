@@ -83,6 +83,25 @@ _TIMESTAMP_FIELD = "'20' || " + " || ".join(
 EVENT_HEX = " || ".join([_text_field("0A", "event_id"), _text_field("12", "tenant_id"),
                          _text_field("1A", "payload"), _TIMESTAMP_FIELD])
 
+FITTED = ADMITTED + """,
+fitted AS (
+  SELECT *, NOT accepted OR sum(CAST(accepted AS INTEGER)) OVER (
+              PARTITION BY window_idx ORDER BY timestamp, seq) <= 40 AS fits
+  FROM acks)"""
+
+TAKEN = REQUESTS + """,
+charged AS (
+  SELECT *, n = 0 OR sum(n) OVER (PARTITION BY quota_tenant, window_idx
+                                  ORDER BY timestamp, batch_id) <= 40 AS admitted
+  FROM requests),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY window_idx ORDER BY timestamp, batch_id) AS batch_no
+  FROM charged WHERE admitted AND n > 0),
+taken AS (
+  SELECT batch_id, greatest(0, least(n, 20 - (sum(n) OVER (
+           PARTITION BY window_idx, batch_no % 4 ORDER BY batch_no) - n))) AS taken
+  FROM numbered)"""
+
 SAME_AS_ADMISSION = f"WITH {ADMITTED} SELECT {ACK_COLUMNS} FROM acks"
 
 ROW_CAP = f"""
@@ -192,19 +211,14 @@ SELECT o_orderkey AS batch_id,
        l_orderkey || '-' || l_linenumber AS event_id, 'tenant-' || (l_suppkey % 10) AS tenant_id,
        l_returnflag AS payload, epoch_us(l_shipdate) * 1000 AS timestamp
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+    "batch_accepted_events": f"""
+WITH {TAKEN}
+SELECT batch_id, l_orderkey || '-' || l_linenumber AS event_id,
+       'tenant-' || (l_suppkey % 10) AS tenant_id, l_returnflag AS payload,
+       epoch_us(l_shipdate) * 1000 AS timestamp
+FROM lines JOIN taken ON batch_id = l_orderkey WHERE pos <= taken""",
     "batch_acks": f"""
-WITH {REQUESTS},
-charged AS (
-  SELECT *, n = 0 OR sum(n) OVER (PARTITION BY quota_tenant, window_idx
-                                  ORDER BY timestamp, batch_id) <= 40 AS admitted
-  FROM requests),
-numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY window_idx ORDER BY timestamp, batch_id) AS batch_no
-  FROM charged WHERE admitted AND n > 0),
-taken AS (
-  SELECT batch_id, greatest(0, least(n, 20 - (sum(n) OVER (
-           PARTITION BY window_idx, batch_no % 4 ORDER BY batch_no) - n))) AS taken
-  FROM numbered)
+WITH {TAKEN}
 SELECT c.batch_id, quota_tenant, n, n = 0 OR (admitted AND taken = n) AS accepted,
        CAST(coalesce(taken, 0) AS INTEGER) AS accepted_count,
        CAST(n - coalesce(taken, 0) AS INTEGER) AS rejected_count,
@@ -219,12 +233,12 @@ SELECT stream_id, bool_or(accepted) AS accepted, count(*) AS total_received,
        count(*) FILTER (WHERE NOT accepted) AS rejected_count,
        'stream ingestion completed' AS message, max(processed_at) AS processed_at
 FROM acks GROUP BY stream_id""",
+    "accepted_records": f"""
+WITH {FITTED}
+SELECT 'events' AS topic, event_id AS key, {EVENT_HEX} AS value_hex
+FROM fitted WHERE accepted AND fits""",
     "event_acks": f"""
-WITH {ADMITTED},
-fitted AS (
-  SELECT *, NOT accepted OR sum(CAST(accepted AS INTEGER)) OVER (
-              PARTITION BY window_idx ORDER BY timestamp, seq) <= 40 AS fits
-  FROM acks)
+WITH {FITTED}
 SELECT event_id, tenant_id, quota_tenant, window_idx, accepted AND fits AS accepted,
        CASE WHEN accepted AND NOT fits THEN 'buffer full; shed load' ELSE message END AS message,
        processed_at

@@ -117,11 +117,24 @@ def batch_unpack(spark, sf_dir):
     return events.withColumn("position", position.cast("int")).drop("part")
 
 
+def _batch_acks(spark, sf_dir) -> DataFrame:
+    return acks.batch_acks(views.batch_requests(spark, sf_dir), BATCH_QUOTA, BATCHES, BATCH_ORDER,
+                           processed_at=F.col("timestamp"))
+
+
+def batch_accepted_events(spark, sf_dir):
+    """The events of the accepted prefix of every batch."""
+    taken = _batch_acks(spark, sf_dir).where("accepted_count > 0").select(
+        "batch_id", "accepted_count")
+    first = F.col("part") * views.BATCH_EVENTS
+    prefix = F.greatest(F.lit(0), F.least(F.size("events"), F.col("accepted_count") - first))
+    parts = views.batches(spark, sf_dir).join(taken, "batch_id").withColumn(
+        "prefix", prefix.cast("int"))
+    return unpack_batches(parts, accepted="prefix").drop("position")
+
+
 def batch_acks(spark, sf_dir):
-    requests = views.batch_requests(spark, sf_dir)
-    out = acks.batch_acks(requests, BATCH_QUOTA, BATCHES, BATCH_ORDER,
-                          processed_at=F.col("timestamp"))
-    return out.select("batch_id", "quota_tenant", "n", "accepted", "accepted_count",
+    return _batch_acks(spark, sf_dir).select("batch_id", "quota_tenant", "n", "accepted", "accepted_count",
                       "rejected_count", "message", "processed_at")
 
 
@@ -129,13 +142,24 @@ def stream_acks(spark, sf_dir):
     return acks.stream_acks(_event_acks(spark, sf_dir), processed_at=F.col("timestamp"))
 
 
-def event_acks(spark, sf_dir):
+def _capped_acks(spark, sf_dir) -> DataFrame:
     """Quota first, then room in the buffers."""
     ev = _keyed(spark, sf_dir)
     slices = find_slices(ev, ["window_idx"], ARRIVAL)
     admitted = quota_admission(ev, QUOTA, ARRIVAL, slices=slices)
     buffered = row_cap(admitted, ROWS, "window_idx", ARRIVAL, F.col("admitted"), slices=slices)
-    return _ack_columns(acks.event_acks(buffered, F.col("timestamp"), buffered="buffered"))
+    return acks.event_acks(buffered, F.col("timestamp"), buffered="buffered")
+
+
+def event_acks(spark, sf_dir):
+    return _ack_columns(_capped_acks(spark, sf_dir))
+
+
+def accepted_records(spark, sf_dir):
+    """Single events from intake to topic records."""
+    accepted, _ = acks.split_accepted(_capped_acks(spark, sf_dir))
+    return delivery.to_records(accepted).select(
+        "topic", F.col("key").cast("string").alias("key"), F.hex("value").alias("value_hex"))
 
 
 def row_cap_query(spark, sf_dir):
@@ -291,6 +315,8 @@ QUERIES: dict[str, Query] = {
     "batch_acks": batch_acks,
     "stream_acks": stream_acks,
     "event_acks": event_acks,
+    "accepted_records": accepted_records,
+    "batch_accepted_events": batch_accepted_events,
     "row_cap": row_cap_query,
     "batch_cap": batch_cap_query,
     "broker_records": broker_records,
