@@ -119,3 +119,16 @@ def test_first_write_limits_before_the_shuffle(spark):
 def test_upsert_statement():
     sql = table.upsert_statement("events", "staging")
     assert sql.endswith("ON CONFLICT (event_id) DO NOTHING") and "created_at" not in sql
+
+
+def test_repeats_are_gone_before_the_join(spark):
+    df = spark.range(100).select((F.col("id") % 3).cast("string").alias("event_id"),
+                                 F.lit("t").alias("tenant_id"), "id")
+    other = spark.range(5).select(F.col("id").cast("string").alias("event_id"))
+    for out in (persistence.not_stored(persistence.first_write(df, ["id"]), other),
+                persistence.backlog(df, other)):
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        join = next(i for i, line in enumerate(plan) if "Join" in line)
+        unique = [i for i, line in enumerate(plan)
+                  if "WindowGroupLimit" in line or "keys=[event_id" in line]
+        assert unique and min(unique) > join

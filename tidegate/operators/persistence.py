@@ -36,8 +36,14 @@ def first_write(events: DataFrame, order: list[str], key: str = "event_id") -> D
 
 
 def not_stored(events: DataFrame, stored: DataFrame, key: str = "event_id") -> DataFrame:
-    """Rows whose key the target does not hold yet."""
-    return events.join(stored.select(key), key, "left_anti")
+    """Rows whose key the target does not hold yet.
+
+    An outer join, since Spark moves an anti-join below the step that made `events` unique, and
+    would then join every repeat of a key.
+    """
+    known = stored.select(F.col(key).alias("_known"))
+    return (events.join(known, F.col(key) == F.col("_known"), "left")
+            .where(F.col("_known").isNull()).drop("_known"))
 
 
 def stored_rows(events: DataFrame, created_at: Column | None = None) -> DataFrame:
