@@ -125,8 +125,9 @@ def _through_spans(cells: DataFrame, table, read, state: LeaseState | None) -> D
     def link(rows: pa.Table) -> pa.Table:
         return _one_link(rows, "span", table(rows))
 
-    links = (spans.join(long_lived, "quota_tenant", "left_semi").groupBy("quota_tenant", "span")
-             .applyInArrow(link, "quota_tenant string, span long, link array<int>"))
+    links = freeze(
+        spans.join(long_lived, "quota_tenant", "left_semi").groupBy("quota_tenant", "span")
+        .applyInArrow(link, "quota_tenant string, span long, link array<int>"))
     starts = _brought_into_spans(links, state).withColumnRenamed("brought", "_start")
     return (_held(state, spans).join(starts, ["quota_tenant", "span"], "left")
             .withColumn("brought", F.coalesce("_start", "brought")).drop("_start")
