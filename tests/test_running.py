@@ -54,6 +54,13 @@ def test_ranges_stay_small(spark):
     assert sizes <= 100
 
 
+def test_a_frequent_value_is_parted_soon(spark):
+    rng = random.Random(6)
+    rows = [("hot", 7.25 if i % 3 else rng.random() * 1000, i) for i in range(3000)]
+    slices, _ = check(spark, rows, "g string, a double, seq long", ["a", "seq"], 100)
+    assert len(slices.levels) <= 6
+
+
 def test_null_and_double_order(spark):
     rng = random.Random(4)
     rows = [("hot", None if i == 5 else rng.random() * 100, i) for i in range(500)]

@@ -19,6 +19,7 @@ from tidegate.session import freeze
 
 HOT_ROWS = 2_000_000
 BROADCAST_ROWS = 100_000
+MIN_PARTS = 64
 
 _SLICE = "_slice"
 
@@ -28,7 +29,7 @@ class Slices:
     """How the hot groups are cut: one small table per depth, none when no group is hot.
 
     Each row of a table names a group (and the range it already lies in) with the order
-    column to cut by, the bounds of that column there and the number of parts.
+    column to cut by, the bounds of that column there, a pivot and the number of parts.
     """
 
     keys: tuple[str, ...]
@@ -76,15 +77,9 @@ def _into_slices(df: DataFrame, slices: Slices, only_depth: int | None = None) -
                                for c in level.columns])
         joined = out.join(level, _same(join_on, "_cut"),
                           "inner" if depth == only_depth else "left")
-        part = F.lit(0.0)
+        part = F.lit(0).cast("long")
         for i, name in enumerate(slices.order):
-            pos = _position(out, name)
-            inside = F.greatest(F.least(pos, F.col(f"_hi{i}")), F.col(f"_lo{i}"))
-            step = (inside - F.col(f"_lo{i}")).cast("double") / F.col("_width")
-            # Nulls sort first, so they belong to the first part.
-            part = F.when(F.col("_by") == i,
-                          F.when(pos.isNull(), F.lit(0.0)).otherwise(step)).otherwise(part)
-        part = F.least(part, F.col("_parts") - 1).cast("long")
+            part = F.when(F.col("_by") == i, _part(_position(out, name), i)).otherwise(part)
         out = joined.select(
             *df.columns,
             F.when(F.col("_by").isNull(), F.col(_SLICE))
@@ -92,6 +87,20 @@ def _into_slices(df: DataFrame, slices: Slices, only_depth: int | None = None) -
     return out
 
 
+def _part(pos: Column, i: int) -> Column:
+    """Part of a cut by order column `i`: equal widths up to the pivot, the pivot itself, and
+    equal widths beyond it. Nulls sort first, so they belong to the first part."""
+    lo, pivot, hi, parts = (F.col(c) for c in (f"_lo{i}", f"_pivot{i}", f"_hi{i}", "_parts"))
+    inside = F.greatest(F.least(pos, hi), lo)
+
+    def step(start: Column, end: Column) -> Column:
+        width = (end - start).cast("double") / parts
+        return F.least(F.try_divide((inside - start).cast("double"), width), parts - 1)
+
+    return (F.when(pos.isNull(), 0.0).when(inside < pivot, step(lo, pivot))
+            .when(inside == pivot, parts).otherwise(parts + 1 + step(pivot, hi))).cast("long")
+
+
 def find_slices(rows: DataFrame, keys: list[str], order: list[str],
                 hot_rows: int = HOT_ROWS) -> Slices:
     """Count the groups and cut those above `hot_rows` rows, again and again while a range
@@ -110,10 +119,14 @@ def find_slices(rows: DataFrame, keys: list[str], order: list[str],
     if narrow.groupBy(*keys).count().where(F.col("count") > hot_rows).isEmpty():
         return slices
     while True:
-        cells = _into_slices(narrow, slices, len(slices.levels) - 1).groupBy(*keys, _SLICE).agg(
+        # The pivot is the value of a row drawn at random, so one that many rows share is
+        # soon a part of its own. The draw is settled when the level is frozen.
+        drawn = _into_slices(narrow, slices, len(slices.levels) - 1).withColumn("_draw", F.rand())
+        cells = drawn.groupBy(*keys, _SLICE).agg(
             F.count(F.lit(1)).alias("_rows"),
             *[of(_finite(narrow, c)).alias(f"{name}{i}") for i, c in enumerate(order)
-              for name, of in (("_lo", F.min), ("_hi", F.max), ("_known", F.count))])
+              for name, of in (("_lo", F.min), ("_hi", F.max), ("_known", F.count),
+                               ("_pivot", lambda col: F.max_by(col, "_draw")))])
         # At most (rows / hot_rows) entries.
         level = freeze(_cuts(cells, keys, len(order), hot_rows))
         if level.isEmpty():
@@ -135,21 +148,20 @@ def _cuts(cells: DataFrame, keys: list[str], n_order: int, hot_rows: int) -> Dat
     """The cells to cut: by their first order column that takes more than one value. A column
     that is null in some rows only does so too, but with one value besides it cannot be cut."""
     by = F.lit(None).cast("int")
-    span = F.lit(None).cast("double")
     for i in reversed(range(n_order)):
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        differs, seen = lo < hi, F.col(f"_known{i}")
-        partly = (seen > 0) & (seen < F.col("_rows"))
+        differs = F.col(f"_lo{i}") < F.col(f"_hi{i}")
+        partly = (F.col(f"_known{i}") > 0) & (F.col(f"_known{i}") < F.col("_rows"))
         by = F.when(differs, F.lit(i)).when(partly, F.lit(None)).otherwise(by)
-        span = F.when(differs, F.try_subtract(hi, lo).cast("double")).when(
-            partly, F.lit(None)).otherwise(span)
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    pivots = {f"_pivot{i}": F.coalesce(f"_pivot{i}", f"_lo{i}") for i in range(n_order)}
+    # A column that spans more than a long can hold is left alone.
+    fits = [(F.col("_by") != i) | F.try_subtract(f"_hi{i}", f"_lo{i}").isNotNull()
+            for i in range(n_order)]
+    known = [F.col(k).isNotNull() for k in keys]
     return (
-        cells.where((F.col("_rows") > hot_rows) & known)
-        .withColumn("_by", by)
-        .withColumn("_parts", F.ceil(2 * F.col("_rows") / hot_rows).cast("double"))
-        .withColumn("_width", span / F.col("_parts"))
-        .where((F.col("_width") > 0) & (F.col("_width") < float("inf")))
+        cells.where(F.col("_rows") > hot_rows)
+        .withColumns({"_by": by, **pivots, "_parts": F.greatest(
+            F.ceil(F.col("_rows") / hot_rows), F.lit(MIN_PARTS)).cast("double")})
+        .where(reduce(lambda a, b: a & b, [F.col("_by").isNotNull(), *known, *fits]))
         .drop("_rows", *[f"_known{i}" for i in range(n_order)]))
 
 
