@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegate.llm import url_trie, winnowing
+from tidegate.llm import bpe, url_trie, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +47,28 @@ select page_id, host, path, rule,
 from judged
 """
 
+BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def bpe_digests(docs: DataFrame, path: str = BPE_FILE) -> DataFrame:
+    """Ids and decoded text of each document, as counts and digests."""
+    model = bpe.Bpe(docs.sparkSession, path)
+    ids = docs.select("doc_id", model.encode(F.col("text")).alias("ids"))
+    both = ids.select("doc_id", "ids", model.decode(F.col("ids")).alias("decoded"))
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op7_url_filter": op7_url_filter,
+    "op8_bpe": op8_bpe,
 }
 
 ORACLE = {
