@@ -309,6 +309,20 @@ def decode_ids(ids: np.ndarray, vocab: Vocabulary) -> bytes:
     return vocab.data[np.arange(total[-1]) + np.repeat(start - total[:-1], length)].tobytes()
 
 
+def _lists(found: list[bytes]) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found])))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
+                                    pa.array(np.frombuffer(b"".join(found), np.int32)))
+
+
+def _texts(lists: pa.Array, vocab: Vocabulary) -> pa.Array:
+    flat = np.asarray(lists.flatten(), np.int64)
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    return pa.array([decode_ids(flat[a:b], vocab).decode("utf-8", "replace")
+                     for a, b in zip(ends[:-1], ends[1:])], pa.string())
+
+
 class Bpe:
     """Columns for encoding and decoding with the vocabulary at `path`."""
 
@@ -320,10 +334,7 @@ class Bpe:
 
         @F.arrow_udf("array<int>")
         def of(texts: pa.Array) -> pa.Array:
-            found = encode_texts([t or "" for t in texts.to_pylist()], shared.value)
-            ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found])))
-            values = pa.array(np.frombuffer(b"".join(found), np.int32))
-            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+            return _lists(encode_texts([t or "" for t in texts.to_pylist()], shared.value))
         return of(text)
 
     def decode(self, ids: Column) -> Column:
@@ -331,9 +342,16 @@ class Bpe:
 
         @F.arrow_udf("string")
         def of(lists: pa.Array) -> pa.Array:
-            flat = np.asarray(lists.flatten(), np.int64)
-            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-            return pa.array([decode_ids(flat[a:b], shared.value).decode("utf-8", "replace")
-                             for a, b in zip(ends[:-1], ends[1:])], pa.string())
+            return _texts(lists, shared.value)
         return of(ids)
+
+    def round_trip(self, text: Column) -> Column:
+        """Struct (ids, decoded) with what the ids decode to. Two chained functions would have
+        Spark encode twice."""
+        shared = self.shared
+
+        @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+        def of(texts: pa.Array) -> pa.Array:
+            ids = _lists(encode_texts([t or "" for t in texts.to_pylist()], shared.value))
+            return pa.StructArray.from_arrays([ids, _texts(ids, shared.value)], ["ids", "decoded"])
+        return of(text)

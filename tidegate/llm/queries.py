@@ -53,9 +53,8 @@ BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 def bpe_digests(docs: DataFrame, path: str = BPE_FILE) -> DataFrame:
     """Ids and decoded text of each document, as counts and digests."""
     model = bpe.Bpe(docs.sparkSession, path)
-    ids = docs.select("doc_id", model.encode(F.col("text")).alias("ids"))
-    both = ids.select("doc_id", "ids", model.decode(F.col("ids")).alias("decoded"))
-    return both.select(
+    both = docs.select("doc_id", model.round_trip(F.col("text")).alias("bpe"))
+    return both.select("doc_id", "bpe.ids", "bpe.decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
