@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, url_trie, winnowing
+from tidegate.llm import bpe, topk, url_trie, warc, winnowing
+from tidegate.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,56 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.top_k(vectors, F.col("id") % 20 == 0)
+
+
+TOPK_SQL = """
+with cells as (
+  select vec_id, list_transform(embedding,
+    lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(coalesce(list_sum(list_transform(list_zip(q.v, c.v),
+      lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0) as bigint) as score
+  from cells q join cells c on q.vec_id <> c.vec_id
+  where q.vec_id % 20 = 0),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer)
+    as rank
+  from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    typed = warc.with_record_types(_table(spark, sf_dir, "pages"))
+    manifest = warc.write_archives(warc.chunk_rows(typed), folder)
+    chunks = warc.read_archives(spark, manifest, folder, with_data=False)
+    return warc.records(chunks).select(F.col("record_id").alias("page_id"), "payload_bytes",
+                                       "payload_digest", "record_type", "refers_to", "intact")
+
+
+WARC_SQL = """
+with payloads as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+    sha256(coalesce(html, '')) as payload_digest
+  from pages),
+firsts as (
+  select payload_digest, min(page_id) as first_id from payloads
+  where payload_bytes >= 100 group by payload_digest having count(*) > 1)
+select p.page_id, p.payload_bytes, p.payload_digest,
+  case when f.first_id <> p.page_id then 'revisit' else 'response' end as record_type,
+  case when f.first_id <> p.page_id then f.first_id end as refers_to,
+  true as intact
+from payloads p left join firsts f using (payload_digest)
+"""
+
 URL_RULES = [url_trie.Rule("net", "/", "block"), url_trie.Rule("example.net", "/en/", "allow"),
              url_trie.Rule("example.com", "/de/", "block"), url_trie.Rule("org", "/fr/", "allow")]
 
@@ -66,10 +117,14 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_winnowing": op1_winnowing,
+    "op5_topk": op5_topk,
+    "op6_warc": op6_warc,
     "op7_url_filter": op7_url_filter,
     "op8_bpe": op8_bpe,
 }
 
 ORACLE = {
+    "op5_topk": TOPK_SQL,
+    "op6_warc": WARC_SQL,
     "op7_url_filter": URL_SQL,
 }
