@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, topk, url_trie, warc, winnowing
+from tidegate.llm import bpe, jaccard, topk, url_trie, warc, winnowing
 from tidegate.session import scratch_path
 
 
@@ -18,6 +18,39 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+JACCARD_SQL = r"""
+with recursive worded as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then []
+    when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+  from worded),
+grams as (select doc_id, len(s) as n, unnest(s) as gram from sets),
+shared as (
+  select a.doc_id as a, b.doc_id as b, a.n as n, b.n as m, count(*) as common
+  from grams a join grams b on a.gram = b.gram and a.doc_id <> b.doc_id
+  group by all),
+links as (select a, b from shared where 100 * common >= 75 * (n + m - common)),
+reach as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select r.a, l.b from reach r join links l on r.b = l.a),
+found as (select a, min(b) as component_id from reach group by a),
+equal as (
+  select doc_id, min(doc_id) over (partition by case when len(s) = 0 then [cast(doc_id as varchar),
+    ''] else list_sort(s) end) as class_id from sets)
+select s.doc_id, len(s.s) as n_shingles, f.component_id, e.class_id
+from sets s join found f on f.a = s.doc_id join equal e on e.doc_id = s.doc_id
+"""
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return topk.top_k(vectors, F.col("id") % 20 == 0)
@@ -117,6 +150,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_winnowing": op1_winnowing,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_topk": op5_topk,
     "op6_warc": op6_warc,
     "op7_url_filter": op7_url_filter,
@@ -124,6 +158,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_ngram_jaccard": JACCARD_SQL,
     "op5_topk": TOPK_SQL,
     "op6_warc": WARC_SQL,
     "op7_url_filter": URL_SQL,
