@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, jaccard, topk, url_trie, warc, winnowing
+from tidegate.llm import bpe, jaccard, quality, topk, toxicity, url_trie, warc, winnowing
 from tidegate.session import scratch_path
 
 
@@ -18,6 +18,38 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def rating(labels: DataFrame) -> DataFrame:
+    """(id, grade): 0 for low quality, 1 for good texts that are toxic, 2 for the others."""
+    good = F.when(F.col("toxic") == 1, 1).otherwise(2)
+    return labels.select(F.col("doc_id").cast("long").alias("id"), F.when(
+        F.col("quality") == 0, 0).when(F.col("quality") == 1, good).alias("grade"))
+
+
+def with_quality(docs: DataFrame, every_doc: DataFrame, labels: DataFrame) -> DataFrame:
+    """`docs` with the struct `_quality`, judged by a model of all rated documents."""
+    model = quality.fit(every_doc.select(F.col("doc_id").alias("id"), "text"), rating(labels))
+    return docs.withColumn("_quality", quality.assess(docs, F.col("text"), model))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = with_quality(docs.select("doc_id", "text"), docs, _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "_quality.expected_grade", "_quality.probability",
+                         F.col("_quality.selected").alias("keep"))
+
+
+def with_toxicity(docs: DataFrame, every_doc: DataFrame, labels: DataFrame) -> DataFrame:
+    """`docs` with the struct `_toxicity`. Toxic words differ by language, so the chain goes from
+    toxic in English and toxic in another language to toxic at all, which decides."""
+    toxic, english = F.col("toxic") == 1, F.col("lang") == "en"
+    categories = {"toxic_english": toxic & english, "toxic_other": toxic & ~english,
+                  "toxic": toxic}
+    chain = toxicity.fit(
+        every_doc.select(F.col("doc_id").cast("long").alias("id"), "text", "lang"),
+        labels.select(F.col("doc_id").cast("long").alias("id"), "toxic"), categories, "toxic")
+    return docs.withColumn("_toxicity", toxicity.assess(docs, F.col("text"), chain))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -77,6 +109,15 @@ select query_id, rank, vec_id, score from ranked where rank <= 20
 """
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = with_toxicity(docs.select("doc_id", "text"), docs, _table(spark, sf_dir, "labels"))
+    p = F.col("_toxicity.probabilities")
+    return scored.select("doc_id", F.get(p, 0).alias("toxic_english"),
+                         F.get(p, 1).alias("toxic_other"), F.get(p, 2).alias("probability"),
+                         "_toxicity.toxic")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     typed = warc.with_record_types(_table(spark, sf_dir, "pages"))
@@ -150,7 +191,9 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_winnowing": op1_winnowing,
+    "op2_quality": op2_quality,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op10_toxicity": op10_toxicity,
     "op5_topk": op5_topk,
     "op6_warc": op6_warc,
     "op7_url_filter": op7_url_filter,
