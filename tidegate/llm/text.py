@@ -1,6 +1,6 @@
 """Vector tokenizing shared by the text operators: words of many texts as 64-bit hashes.
 
-Works on UTF-8 bytes in blocks of about a megabyte, so memory is bounded by the longest text.
+Works on UTF-8 bytes in blocks of about a quarter of a megabyte, so memory is bounded by the longest text.
 Null texts count as empty.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 WHITE = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -110,7 +110,7 @@ def span_hash(rolled: tuple, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def shingles(hashes: np.ndarray, starts: np.ndarray, size: int) -> Iterator[np.ndarray]:
-    """Each text's distinct hashes of `size` neighbouring words, ascending.
+    """Each text's distinct hashes (63 bits) of `size` neighbouring words, ascending.
 
     A text of fewer words has one, of the whole sequence; a text without words none.
     """
@@ -118,12 +118,13 @@ def shingles(hashes: np.ndarray, starts: np.ndarray, size: int) -> Iterator[np.n
     full = np.zeros(max(len(hashes) - size + 1, 0), np.uint64)
     for k in range(size):
         full += hashes[k:k + len(full)] * base[k]
-    full = mix(full)
+    full = mix(full) >> np.uint64(1)
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
         if b - a >= size:
             yield np.unique(full[a:b - size + 1])
         elif b > a:
             part = sum(int(h) * pow(_BASE, size - k, 1 << 64) for k, h in enumerate(hashes[a:b]))
-            yield mix(np.array([(part + (b - a) * 0xD1B54A32D192ED03) & _MASK], np.uint64))
+            part = np.array([(part + (b - a) * 0xD1B54A32D192ED03) & _MASK], np.uint64)
+            yield mix(part) >> np.uint64(1)
         else:
             yield full[:0]
