@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, jaccard, quality, topk, toxicity, url_trie, warc, winnowing
+from tidegate.llm import (bpe, jaccard, mixing, quality, tokens, topk, toxicity, url_trie, warc,
+                          winnowing)
 from tidegate.session import scratch_path
 
 
@@ -109,6 +110,23 @@ select query_id, rank, vec_id, score from ranked where rank <= 20
 """
 
 
+#: Target shares by language; sources and topics are evened out.
+LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents"), {"lang": LANGUAGES})
+
+
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    counter = tokens.Counter(spark, tokens.load_pieces(PIECE_FILE))
+    return docs.select("doc_id", counter.count(F.col("text")).alias("n_tokens"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = with_toxicity(docs.select("doc_id", "text"), docs, _table(spark, sf_dir, "labels"))
@@ -193,11 +211,13 @@ QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_quality": op2_quality,
     "op3_ngram_jaccard": op3_ngram_jaccard,
-    "op10_toxicity": op10_toxicity,
+    "op4_token_counts": op4_token_counts,
     "op5_topk": op5_topk,
     "op6_warc": op6_warc,
     "op7_url_filter": op7_url_filter,
     "op8_bpe": op8_bpe,
+    "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {
