@@ -121,7 +121,9 @@ def shingles(hashes: np.ndarray, starts: np.ndarray, size: int) -> Iterator[np.n
     full = mix(full) >> np.uint64(1)
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
         if b - a >= size:
-            yield np.unique(full[a:b - size + 1])
+            found = np.sort(full[a:b - size + 1])
+            fresh = found[1:] != found[:-1]
+            yield found if fresh.all() else found[np.concatenate(([True], fresh))]
         elif b > a:
             part = sum(int(h) * pow(_BASE, size - k, 1 << 64) for k, h in enumerate(hashes[a:b]))
             part = np.array([(part + (b - a) * 0xD1B54A32D192ED03) & _MASK], np.uint64)
