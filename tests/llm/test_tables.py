@@ -69,7 +69,7 @@ def test_archives_come_back(spark):
         "digest", F.lit(1)).repartition(3)
     folder = scratch_path(spark, "warc-test")
     typed = warc.with_record_types(pages)
-    manifest = warc.write_archives(warc.chunk_rows(typed, 1000), folder, file_bytes=100_000)
+    manifest = warc.write_archives(warc.chunk_rows(typed, 1000), folder, file_bytes=1000)
     assert manifest.count() >= 2
     chunks = warc.read_archives(spark, manifest, folder, 700).collect()
     assert max(len(c.data) for c in chunks) <= 700

@@ -6,7 +6,7 @@ chunk rows, each with the SHA-256 of the payload up to its end (`digest`) and, o
 the whole payload's. Of records with equal payloads of at least `revisit_bytes` bytes, the one
 with the smallest id is the response; the others are revisits without a block that refer to it.
 
-Files are written below a folder that all machines share, under names of the writing task's own
+Files are gzip files with a member per record, written below a folder that all machines share, under names of the writing task's own
 attempt; the manifest lists those of the attempts that ended well, and only they are read.
 Defined cases: a null payload is empty; a null id has no number in its record id and comes back
 as null (it is never the response that others refer to unless all ids are null: then all rows
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -88,29 +89,34 @@ def write_archives(chunks: DataFrame, folder: str, date: str = "1970-01-01T00:00
                    file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the chunk rows as WARC files below `folder`; the manifest, stored there too.
 
-    A file is closed after the record that takes it past `file_bytes`.
+    A file is closed after the record that takes it to `file_bytes`, compressed.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        out, done, path, records = None, [], "", 0
+        out, member, done, path, records = None, None, [], "", 0
+
+        def end_record() -> None:
+            out.write(member.compress(_NEWLINE * 2) + member.flush())
+
         for batch in batches:
             for row in batch.to_pylist():
                 if row["chunk_no"] == 0:
                     if out is not None:
-                        out.write(_NEWLINE * 2)
+                        end_record()
                         if out.tell() >= file_bytes:
                             done.append((path, records, out.tell()))
                             out.close()
                             out, records = None, 0
                     if out is None:
-                        path = f"{root}/{uuid.uuid4().hex}.warc"
-                        out = store.open_output_stream(path)
-                    out.write(_header(row, date))
+                        path = f"{root}/{uuid.uuid4().hex}.warc.gz"
+                        out = store.open_output_stream(path, compression=None)
+                    member = zlib.compressobj(wbits=31)
+                    out.write(member.compress(_header(row, date)))
                     records += 1
-                out.write(row["data"])
+                out.write(member.compress(row["data"]))
         if out is not None:
-            out.write(_NEWLINE * 2)
+            end_record()
             done.append((path, records, out.tell()))
             out.close()
         yield pa.RecordBatch.from_arrays(
@@ -198,7 +204,8 @@ def read_archives(spark: SparkSession, manifest: DataFrame, folder: str,
         for files_batch in batches:
             for file in files_batch.column(0).to_pylist():
                 rows, held = [], 0
-                with store.open_input_stream(file, buffer_size=1 << 16) as source:
+                with store.open_input_stream(file, compression="gzip",
+                                             buffer_size=1 << 16) as source:
                     for row in _chunks_of(source, file, chunk_bytes):
                         held += len(row[4]) + 200
                         rows.append(row if with_data else row[:4] + (None,) + row[5:])
