@@ -27,8 +27,8 @@ NONE = np.iinfo(np.int32).max
 #: Pre-tokens of more bytes get a tree of their own.
 BATCH_BYTES = 512
 #: A worker remembers between one and two times so many encoded chunks.
-REMEMBERED = 300_000
-BLOCK_CHARS = 1 << 22
+REMEMBERED = 200_000
+BLOCK_CHARS = 1 << 21
 
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The byte-level pre-tokenizer's pattern (fixed values).
