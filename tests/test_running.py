@@ -96,9 +96,27 @@ def test_text_order_is_refused(spark):
         find_slices(df, ["g"], ["a"])
 
 
-def test_null_key_is_left_whole(spark):
+def test_null_key_is_cut(spark):
     rows = [(None, i, i) for i in range(200)] + [("x", i, i) for i in range(200)]
     check(spark, rows, "g string, a long, seq long", ["a", "seq"], 30)
+    frame = spark.createDataFrame(rows[:100], "g string, a long, seq long")
+    assert find_slices(frame, ["g"], ["a", "seq"], 10).levels
+
+
+@pytest.mark.parametrize("values", [
+    [None, 7], [-2**63, 2**63 - 1], [-2**63, None, 0, 2**63 - 1]])
+def test_partly_null_and_wide_columns_are_cut(spark, values):
+    rows = [("x", values[i % len(values)], i) for i in range(100)]
+    check(spark, rows, "g string, a long, seq long", ["a", "seq"], 10)
+    frame = spark.createDataFrame(rows, "g string, a long, seq long")
+    assert find_slices(frame, ["g"], ["a", "seq"], 10).levels
+
+
+def test_infinite_and_missing_numbers_are_cut(spark):
+    values = [float("nan"), float("inf"), float("-inf"), None, 1.0]
+    for some in (values, values[:2], values[:4], values[3:], [values[0], 1.0]):
+        rows = [("x", some[i % len(some)], i) for i in range(100)]
+        check(spark, rows, "g string, a double, seq long", ["a", "seq"], 10)
 
 
 def test_no_window_gathers_a_hot_group(spark):

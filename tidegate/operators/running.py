@@ -18,7 +18,7 @@ from tidegate.functions.keys import ntz_to_micros
 from tidegate.session import freeze
 
 HOT_ROWS = 2_000_000
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
 MIN_PARTS = 64
 
 _SLICE = "_slice"
@@ -61,8 +61,18 @@ def _finite(df: DataFrame, name: str) -> Column:
     return pos
 
 
+def _kinds(df: DataFrame, name: str) -> Column:
+    """How many of these a column takes: null, finite values, and each infinity and NaN."""
+    pos = _position(df, name)
+    kinds = [pos.isNull(), _finite(df, name).isNotNull()]
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        kinds += [pos == F.lit(float(x)) for x in ("-inf", "inf", "nan")]
+    return reduce(lambda a, b: a + b, [F.max(F.coalesce(k, F.lit(False)).cast("int"))
+                                       for k in kinds])
+
+
 def _same(names: list[str], suffix: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(n) == F.col(n + suffix) for n in names])
+    return reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(n + suffix)) for n in names])
 
 
 def _into_slices(df: DataFrame, slices: Slices, only_depth: int | None = None) -> DataFrame:
@@ -88,16 +98,24 @@ def _into_slices(df: DataFrame, slices: Slices, only_depth: int | None = None) -
 
 
 def _part(pos: Column, i: int) -> Column:
-    """Part of a cut by order column `i`: equal widths up to the pivot, the pivot itself, and
-    equal widths beyond it. Nulls sort first, so they belong to the first part."""
+    """Part of a cut by order column `i`: nulls, what is below all finite values, equal widths up
+    to the pivot, the pivot itself, equal widths beyond it, what is above all, and NaN."""
     lo, pivot, hi, parts = (F.col(c) for c in (f"_lo{i}", f"_pivot{i}", f"_hi{i}", "_parts"))
     inside = F.greatest(F.least(pos, hi), lo)
 
     def step(start: Column, end: Column) -> Column:
-        width = (end - start).cast("double") / parts
-        return F.least(F.try_divide((inside - start).cast("double"), width), parts - 1)
-
-    return (F.when(pos.isNull(), 0.0).when(inside < pivot, step(lo, pivot))
+        # Doubles where the span is more than a long can hold: coarser, in the same order.
+        wide = F.try_subtract(end, start).isNull()
+
+        def gap(to: Column) -> Column:
+            return F.when(wide, to.cast("double") - start.cast("double")).otherwise(
+                F.try_subtract(to, start).cast("double"))
+        return F.least(F.try_divide(gap(inside), gap(end) / parts), parts - 1)
+
+    return (F.when(pos.isNull(), -2.0).when(F.isnan(pos.cast("double")), 2 * parts + 3)
+            .when(lo.isNull(), F.when(pos > 0, 2 * parts + 2).otherwise(-1.0))
+            .when(pos < lo, -1.0).when(pos > hi, 2 * parts + 2)
+            .when(inside < pivot, step(lo, pivot))
             .when(inside == pivot, parts).otherwise(parts + 1 + step(pivot, hi))).cast("long")
 
 
@@ -125,8 +143,9 @@ def find_slices(rows: DataFrame, keys: list[str], order: list[str],
         cells = drawn.groupBy(*keys, _SLICE).agg(
             F.count(F.lit(1)).alias("_rows"),
             *[of(_finite(narrow, c)).alias(f"{name}{i}") for i, c in enumerate(order)
-              for name, of in (("_lo", F.min), ("_hi", F.max), ("_known", F.count),
-                               ("_pivot", lambda col: F.max_by(col, "_draw")))])
+              for name, of in (("_lo", F.min), ("_hi", F.max),
+                               ("_pivot", lambda col: F.max_by(col, "_draw")))],
+            *[_kinds(narrow, c).alias(f"_kinds{i}") for i, c in enumerate(order)])
         # At most (rows / hot_rows) entries.
         level = freeze(_cuts(cells, keys, len(order), hot_rows))
         if level.isEmpty():
@@ -136,33 +155,32 @@ def find_slices(rows: DataFrame, keys: list[str], order: list[str],
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Freeze a small aggregate, and mark it for broadcast if its row count allows that."""
+    """Freeze a small aggregate, and mark it for broadcast if its size allows that."""
     return _broadcast_checked(freeze(df))
 
 
 def _broadcast_checked(frozen: DataFrame) -> DataFrame:
-    return F.broadcast(frozen) if frozen.count() <= BROADCAST_ROWS else frozen
+    """Sizes are those of the texts and 16 bytes for each column."""
+    texts = [F.octet_length(f.name) for f in frozen.schema if isinstance(f.dataType, T.StringType)]
+    size = reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), texts,
+                  F.lit(16 * len(frozen.columns))).cast("long")
+    total = frozen.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(frozen) if total <= BROADCAST_BYTES else frozen
 
 
 def _cuts(cells: DataFrame, keys: list[str], n_order: int, hot_rows: int) -> DataFrame:
-    """The cells to cut: by their first order column that takes more than one value. A column
-    that is null in some rows only does so too, but with one value besides it cannot be cut."""
+    """The cells to cut: by their first order column that takes more than one value, of which
+    null is one."""
     by = F.lit(None).cast("int")
     for i in reversed(range(n_order)):
         differs = F.col(f"_lo{i}") < F.col(f"_hi{i}")
-        partly = (F.col(f"_known{i}") > 0) & (F.col(f"_known{i}") < F.col("_rows"))
-        by = F.when(differs, F.lit(i)).when(partly, F.lit(None)).otherwise(by)
+        by = F.when(differs | (F.col(f"_kinds{i}") > 1), F.lit(i)).otherwise(by)
     pivots = {f"_pivot{i}": F.coalesce(f"_pivot{i}", f"_lo{i}") for i in range(n_order)}
-    # A column that spans more than a long can hold is left alone.
-    fits = [(F.col("_by") != i) | F.try_subtract(f"_hi{i}", f"_lo{i}").isNotNull()
-            for i in range(n_order)]
-    known = [F.col(k).isNotNull() for k in keys]
     return (
         cells.where(F.col("_rows") > hot_rows)
         .withColumns({"_by": by, **pivots, "_parts": F.greatest(
             F.ceil(F.col("_rows") / hot_rows), F.lit(MIN_PARTS)).cast("double")})
-        .where(reduce(lambda a, b: a & b, [F.col("_by").isNotNull(), *known, *fits]))
-        .drop("_rows", *[f"_known{i}" for i in range(n_order)]))
+        .where("_by is not null").drop("_rows", *[f"_kinds{i}" for i in range(n_order)]))
 
 
 def running_total(rows: DataFrame, keys: list[str], order: list[str], out: str,
