@@ -51,6 +51,20 @@ def _long_varint_hex(value: Column) -> Column:
                     F.when(rest == 0, F.lit("")).otherwise(_varint_hex(rest, 2)))
 
 
+def _length_hex(length: Column) -> Column:
+    """A length: mostly one digit. Longer ones are rare, and their form, which isn't compiled
+    with the rest, keeps the generated code of an encoder small."""
+    digits = F.call_function("div", F.length(F.bin(length)) + 6, F.lit(7)).cast("int")
+
+    def digit(i: Column) -> Column:
+        value = F.call_function("shiftrightunsigned", length, 7 * i).bitwiseAND(F.lit(127))
+        more = F.when(i < digits - 1, F.lit(128)).otherwise(F.lit(0))
+        return F.lpad(F.hex(value + more), 2, "0")
+
+    many = F.array_join(F.transform(F.sequence(F.lit(0), digits - 1), digit), "")
+    return F.when(length < 128, F.lpad(F.hex(length), 2, "0")).otherwise(many)
+
+
 def _tag_hex(number: int, wire_type: int) -> str:
     return f"{number << 3 | wire_type:02X}"
 
@@ -72,7 +86,7 @@ def encode_event(event_id: Column, tenant_id: Column, payload: Column, timestamp
         if kind == "string":
             col = F.coalesce(col, F.lit(""))
             head = F.unhex(F.concat(F.lit(_tag_hex(number, _WIRE_BYTES)),
-                                    _varint_hex(F.octet_length(col).cast("long"), 5)))
+                                    _length_hex(F.octet_length(col).cast("long"))))
             pieces.append(F.when(col == "", empty)
                           .otherwise(F.concat(head, col.cast("binary"))))
         else:
