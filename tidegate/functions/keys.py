@@ -18,8 +18,8 @@ def with_event_defaults(df: DataFrame) -> DataFrame:
 
 
 def quota_tenant(tenant: Column) -> Column:
-    """The tenant charged: the unnamed tenant shares the quota of "default"."""
-    return F.when(tenant == "", F.lit("default")).otherwise(tenant)
+    """The tenant charged: the unnamed tenant, absent or "", shares the quota of "default"."""
+    return F.when(F.coalesce(tenant, F.lit("")) == "", F.lit("default")).otherwise(tenant)
 
 
 def batch_tenant(tenant: Column, first_event_tenant: Column) -> Column:
@@ -33,8 +33,12 @@ def window_index(ts_ns: Column, window_sec: int) -> Column:
         "div", F.call_function("div", ts_ns, F.lit(NANOS_PER_SECOND)), F.lit(window_sec))
 
 
+# Fixed value: the format of a ledger key.
+LEDGER_KEY = "ratelimit:%s:%d"
+
+
 def ledger_key(tenant: Column, window_idx: Column) -> Column:
-    return F.format_string("ratelimit:%s:%d", tenant, window_idx)
+    return F.format_string(LEDGER_KEY, tenant, window_idx)
 
 
 def topic_or_default(topic: Column, default: str = "events") -> Column:

@@ -13,10 +13,13 @@ QUOTA_KEYS = ["quota_tenant", "window_idx"]
 
 def with_quota_keys(events: DataFrame, policy: QuotaPolicy, arrival: str = "timestamp",
                     tenant: str = "tenant_id") -> DataFrame:
-    """Add the tenant that is charged and the number of the window charged."""
+    """Add the tenant that is charged and the number of the window charged. An absent tenant is
+    "" and an absent arrival 0, in these and in their own columns."""
+    stamp = F.coalesce(F.col(arrival), F.lit(0).cast("long"))
     return events.withColumns({
+        tenant: F.coalesce(F.col(tenant), F.lit("")), arrival: stamp,
         "quota_tenant": quota_tenant(F.col(tenant)),
-        "window_idx": window_index(F.col(arrival), policy.window_sec)})
+        "window_idx": window_index(stamp, policy.window_sec)})
 
 
 def admit_within(rows: DataFrame, keys: list[str], order: list[str], limit: int,

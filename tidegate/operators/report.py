@@ -107,7 +107,9 @@ def latency_ranks(samples: DataFrame, group: list[str], latency: str = "latency"
     sizes = broadcast_if_small(samples.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"), F.max(latency).alias("max_latency")))
     position = {name: F.floor(F.col("n") * F.lit(p)).cast("long") for name, p in LATENCY_RANKS}
-    return upto.join(sizes, group).groupBy(*group).agg(
+    named = sizes.withColumnsRenamed({g: f"_size_{g}" for g in group})
+    same = [F.col(g).eqNullSafe(F.col(f"_size_{g}")) for g in group]
+    return upto.join(named, same).groupBy(*group).agg(
         F.first("n").alias("n"),
         *[F.min(F.when(F.col("_upto") > position[name], F.col(latency))).alias(name)
           for name, _ in LATENCY_RANKS],

@@ -290,8 +290,7 @@ SELECT count(DISTINCT seq // 128) AS publish_errors, count(*) AS async_errors,
        count(*) AS dead_lettered
 FROM ev WHERE event_type = 'error'""",
     "constraint_quarantine": """
-WITH keyed AS (
-  SELECT doc_id, substr(text, 1, CAST(40 + doc_id % 50 AS INT)) AS event_id, lang FROM documents)
+WITH keyed AS (SELECT doc_id, text AS event_id, lang FROM documents)
 SELECT doc_id, event_id,
        CASE WHEN length(event_id) > 64 THEN 'event_id longer than 64'
             WHEN length(lang) > 64 THEN 'tenant_id longer than 64' END AS reason

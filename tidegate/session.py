@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,12 +33,14 @@ def build_session(app_name: str = "tidegate", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster (`spark.checkpoint.dir`).
 
-    Only a session without that setting and without a checkpoint folder gets one of
-    ours, which is a local folder and fit for tests alone.
+    Only a local session without that setting and without a checkpoint folder gets one of
+    ours, which is a local folder. On a cluster the setting is required.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if not configured and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidegate-"))
     return (configured or context.getCheckpointDir()).rstrip("/")
 
