@@ -1,3 +1,4 @@
+import re
 import base64
 import random
 from datetime import datetime
@@ -150,3 +151,15 @@ def test_nanos(spark):
 def test_topic_settings_must_be_positive():
     with pytest.raises(ValueError):
         TopicSettings(publish_batch=0)
+
+
+def test_encoders_stay_small_enough_to_be_compiled(spark):
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    frame = spark.range(10).select(
+        F.col("id").cast("string").alias("s"), (F.col("id") * 10**17).alias("n"))
+    coded = frame.select(encode_event(F.col("s"), F.repeat("s", F.lit(300)), F.col("s"),
+                                      F.col("n")).alias("value"))
+    plan = coded._jdf.queryExecution().executedPlan()
+    code = getattr(debug, "MODULE$").codegenString(plan)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 6000

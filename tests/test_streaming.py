@@ -80,10 +80,50 @@ def test_quota_with_tables(spark, tmp_path, policy, weighted):
     assert spark.read.parquet(f"{tmp_path}/out").count() == len(rows)
 
 
+FAR = 10**18 * 4
+
+
+@pytest.mark.parametrize("lease", [1, 3])
+def test_a_far_stamp_changes_no_other_tenant(spark, tmp_path, lease):
+    policy = QuotaPolicy(limit=5, lease=lease, window_sec=5)
+    rows = [("a", SEC, i, 1) for i in range(15)]
+    rows.insert(3, ("b", FAR, 99, 1))
+    write_files(spark, rows, SCHEMA, tmp_path / "in", 4)
+    events = with_quota_keys(read_files(spark, SCHEMA, tmp_path / "in"), policy)
+    query = run_to_end(start_quota(
+        events, policy, ORDER, f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/cp",
+        keep_windows=2, drain=True))
+    assert len(progress_rows(query)) == 4
+    got = spark.read.parquet(f"{tmp_path}/out").where("tenant_id = 'a'")
+    assert got.where("accepted").count() == 5 and got.count() == 15
+
+
+def test_a_closed_window_gets_no_fresh_quota(spark, tmp_path):
+    policy = QuotaPolicy(limit=5, window_sec=5)
+    rows = [("a", SEC, i, 1) for i in range(5)] + [("a", 100 * SEC, 50 + i, 1) for i in range(5)] \
+        + [("a", SEC, 90 + i, 1) for i in range(5)]
+    write_files(spark, rows, SCHEMA, tmp_path / "in", 3)
+    events = with_quota_keys(read_files(spark, SCHEMA, tmp_path / "in"), policy)
+    run_to_end(start_quota(events, policy, ORDER, f"{tmp_path}/out", f"{tmp_path}/state",
+                           f"{tmp_path}/cp", keep_windows=2, drain=True))
+    late = spark.read.parquet(f"{tmp_path}/out-late").collect()
+    assert sorted(r["seq"] for r in late) == [90, 91, 92, 93, 94]
+    assert {r["reason"] for r in late} == {"window closed"}
+    assert spark.read.parquet(f"{tmp_path}/out").where("accepted").count() == 10
+    admitted = leased_quota(events, policy, ORDER, keep_windows=2)
+    writer = admitted.writeStream.format("parquet").option("path", f"{tmp_path}/keyed").option(
+        "checkpointLocation", f"{tmp_path}/keyed-cp")
+    with session_settings(spark, {**KEYED_STATE, "spark.sql.shuffle.partitions": "2"}):
+        query = with_trigger(writer, drain=True).start()
+    run_to_end(query)
+    keyed = spark.read.parquet(f"{tmp_path}/keyed")
+    assert keyed.where("admitted").count() == 10
+    assert sorted(r["seq"] for r in keyed.where("late").collect()) == [90, 91, 92, 93, 94]
+
+
 @pytest.mark.parametrize("policy,weighted", [POLICIES[0], POLICIES[1], POLICIES[4]])
 def test_quota_with_keyed_state(spark, tmp_path, policy, weighted, monkeypatch):
     monkeypatch.setattr(leases, "MIN_SORT", 3)
-    monkeypatch.setattr(leases, "KEEP_WINDOWS", 3)
     rows = some_rows(2)
     write_files(spark, rows, SCHEMA, tmp_path / "in", 3)
     events = with_quota_keys(read_files(spark, SCHEMA, tmp_path / "in"), policy)

@@ -26,7 +26,6 @@ from tidegate.session import freeze
 from tidegate.settings import QuotaPolicy
 
 SPAN = 1024
-KEEP_WINDOWS = 2
 
 TOKENS_SCHEMA = "quota_tenant string, tokens long, last_second long"
 USED_SCHEMA = "quota_tenant string, window_idx long, used long"
@@ -439,10 +438,9 @@ def leased_admission(rows: DataFrame, policy: QuotaPolicy, order: list[str],
 
 
 def next_state(rows: DataFrame, outcomes: DataFrame, policy: QuotaPolicy, state: LeaseState,
-               charge: str | None = None, arrival: str = "timestamp",
-               keep_windows: int = KEEP_WINDOWS) -> LeaseState:
-    """The state after `rows`. Tenants without tokens, tenants idle for longer than the
-    policy's limit and all but the latest windows are forgotten. Reads two numbers."""
+               charge: str | None = None, arrival: str = "timestamp") -> LeaseState:
+    """The state after `rows`. Only tenants without tokens are forgotten: whether a tenant was
+    idle is told from its own last access when it comes back."""
     paying = rows if charge is None else rows.where(F.col(charge) > 0)
     seen = paying.groupBy("quota_tenant").agg(F.max(_second(arrival)).alias("last_second"))
     held = outcomes.groupBy("quota_tenant").agg(
@@ -450,18 +448,7 @@ def next_state(rows: DataFrame, outcomes: DataFrame, policy: QuotaPolicy, state:
     now = held.join(seen, "quota_tenant")
     earlier = state.tokens.join(now, "quota_tenant", "left_anti")
     tokens = now.select("quota_tenant", "tokens", "last_second").unionByName(earlier)
-    if policy.idle_ttl_sec is not None:
-        newest = seen.agg(F.max("last_second")).first()[0]
-        if newest is not None:
-            tokens = tokens.where(F.col("last_second") >= newest - policy.idle_ttl_sec)
     used = (outcomes.select(*QUOTA_KEYS, "used").unionByName(state.used)
             .groupBy(*QUOTA_KEYS).agg(F.max("used").alias("used")))
     return LeaseState(
-        tokens.where("tokens > 0").select("quota_tenant", "tokens", "last_second"),
-        latest_windows(used, "window_idx", keep_windows))
-
-
-def latest_windows(used: DataFrame, window: str, keep: int) -> DataFrame:
-    """The rows of the newest window and of `keep` windows before it."""
-    newest = used.agg(F.max(window)).first()[0]
-    return used if newest is None else used.where(F.col(window) >= newest - keep)
+        tokens.where("tokens > 0").select("quota_tenant", "tokens", "last_second"), used)

@@ -365,6 +365,32 @@ kept AS (
 SELECT mode, worker_id, call_no, sample_no, latency FROM kept WHERE sample_no <= 50""",
     "stream_quota": SAME_AS_ADMISSION,
     "stream_quota_ledger": SAME_AS_ADMISSION,
+    "stream_late": f"""
+WITH {EV},
+bounds AS (SELECT min(seq) AS low, max(seq) AS high FROM ev),
+stamped AS (
+  SELECT event_id, seq, quota_tenant, ((seq - low) * 4) // (high - low + 1) AS part,
+         timestamp + CASE WHEN tenant_id = 'tenant-3' AND seq % 97 = 0
+                          THEN 3153600000000000000 ELSE 0 END AS stamp
+  FROM ev, bounds),
+windowed AS (SELECT *, stamp // 1000000000 // 21600 AS window_idx FROM stamped),
+newest AS (
+  SELECT quota_tenant, part, max(max(window_idx)) OVER (
+           PARTITION BY quota_tenant ORDER BY part) AS newest
+  FROM windowed GROUP BY quota_tenant, part),
+marked AS (
+  SELECT w.*, coalesce(window_idx < (
+           SELECT max(newest) FROM newest n
+           WHERE n.quota_tenant = w.quota_tenant AND n.part < w.part) - 8, false) AS late
+  FROM windowed w),
+ranked AS (
+  SELECT *, NOT late AND row_number() OVER (PARTITION BY quota_tenant, window_idx, late
+                                            ORDER BY part, stamp, seq) <= 6 AS accepted
+  FROM marked)
+SELECT event_id, quota_tenant, window_idx, accepted,
+       CASE WHEN late THEN 'window closed' WHEN accepted THEN 'event queued successfully'
+            ELSE 'rate limit exceeded' END AS message
+FROM ranked""",
     "stream_dedupe_bounded": f"""
 WITH {EV} SELECT event_id, tenant_id, payload, timestamp FROM ev""",
 }

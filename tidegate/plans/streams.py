@@ -1,9 +1,15 @@
-"""Registered queries that run a stream over a whole table and return what it wrote."""
+"""Registered queries that run a stream over a whole table and return what it wrote.
+
+A table is written as files in arrival order first, so that each stream runs several micro-batches
+and hands its state on from one to the next.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from tidegate.functions.keys import ntz_to_micros
 from tidegate.operators.acks import event_acks
 from tidegate.operators.quota import with_quota_keys
 from tidegate.plans import views
@@ -19,17 +25,41 @@ from tidegate.streaming.persist import as_records, start_persist
 QUOTA = QuotaPolicy(limit=6, window_sec=21_600)
 ROWS = Capacity(shards=4, buffer=40, min_per_shard=1)
 ARRIVAL = ["timestamp", "seq"]
-
-
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream of its files."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return (spark.readStream.schema(schema).options(**size_options("parquet"))
-            .option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir))
+PARTS = 4
+KEEP_WINDOWS = 8
+
+
+def arrival_stream(spark: SparkSession, sf_dir: str, name: str, by: Column, order: list[str],
+                   parts: int = PARTS) -> DataFrame:
+    """A table as a stream of `parts` files in the order of `by`, a long: equal widths between
+    its bounds. Rows of one part come in any order."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet").withColumn("_by", by)
+    low, high = rows.agg(F.min("_by"), F.max("_by")).first()
+    path = scratch_path(spark, f"arrivals-{name}")
+    if low is None:
+        rows.drop("_by").write.parquet(path)
+    else:
+        part = F.least(F.expr(f"(_by - {low}) * {parts} div {high - low + 1}"), F.lit(parts - 1))
+        for i in range(parts):  # files are read in the order in which they were written
+            own = rows.where(F.coalesce(part, F.lit(0)) == i).drop("_by")
+            own.coalesce(1).sortWithinPartitions(*order).write.mode("append").parquet(path)
+    schema = rows.drop("_by").schema
+    return spark.readStream.schema(schema).options(**size_options("parquet")).parquet(path)
+
+
+def run_in_parts(query: StreamingQuery, least: int = PARTS) -> StreamingQuery:
+    """Wait for a draining query, which must have run at least so many micro-batches."""
+    run_to_end(query)
+    last = query.lastProgress
+    if last is None or last["batchId"] + 1 < least:
+        raise RuntimeError(f"fewer than {least} micro-batches: {last and last['batchId'] + 1}")
+    return query
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.event_columns(table_stream(spark, sf_dir, "events"))
+    """Events as they arrive, in several micro-batches."""
+    return views.event_columns(arrival_stream(
+        spark, sf_dir, "events", ntz_to_micros(F.col("ts")), ["ts", "event_id"]))
 
 
 def _stateful(spark: SparkSession):
@@ -44,7 +74,7 @@ def _to_parquet(rows: DataFrame, path: str) -> DataFrame:
               .option("checkpointLocation", f"{path}/checkpoint"))
     with _stateful(spark):
         query = with_trigger(writer, drain=True).start()
-    run_to_end(query)
+    run_in_parts(query)
     return spark.read.schema(rows.schema).parquet(f"{path}/out")
 
 
@@ -65,8 +95,8 @@ def stream_quota_ledger(spark, sf_dir):
     """The strict quota with a ledger table."""
     path = scratch_path(spark, "stream-ledger")
     events = with_quota_keys(_events(spark, sf_dir), QUOTA)
-    run_to_end(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/state",
-                           f"{path}/checkpoint", processed_at="timestamp", drain=True))
+    run_in_parts(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/state",
+                             f"{path}/checkpoint", processed_at="timestamp", drain=True))
     return _ack_columns(spark.read.parquet(f"{path}/out"))
 
 
@@ -75,8 +105,8 @@ def stream_quota_leased(spark, sf_dir):
     path = scratch_path(spark, "stream-leased")
     policy = QuotaPolicy(limit=6, lease=4, window_sec=21_600)
     events = with_quota_keys(_events(spark, sf_dir), policy)
-    run_to_end(start_quota(events, policy, ARRIVAL, f"{path}/out", f"{path}/state",
-                           f"{path}/checkpoint", processed_at="timestamp", drain=True))
+    run_in_parts(start_quota(events, policy, ARRIVAL, f"{path}/out", f"{path}/state",
+                             f"{path}/checkpoint", processed_at="timestamp", drain=True))
     return spark.read.parquet(f"{path}/out").select(
         "event_id", "quota_tenant", "window_idx", F.col("accepted").alias("admitted"))
 
@@ -84,8 +114,8 @@ def stream_quota_leased(spark, sf_dir):
 def stream_cap(spark, sf_dir):
     path = scratch_path(spark, "stream-cap")
     events = with_quota_keys(_events(spark, sf_dir), QUOTA)
-    run_to_end(start_row_cap(events, ROWS, "window_idx", ARRIVAL, f"{path}/out", f"{path}/state",
-                             f"{path}/checkpoint", drain=True))
+    run_in_parts(start_row_cap(events, ROWS, "window_idx", ARRIVAL, f"{path}/out", f"{path}/state",
+                               f"{path}/checkpoint", drain=True))
     return spark.read.parquet(f"{path}/out").select("event_id", "window_idx", "buffered")
 
 
@@ -94,15 +124,32 @@ def stream_persist(spark, sf_dir):
     path = scratch_path(spark, "stream-persist")
     name = "tidegate_" + path[-12:]
     create_table(spark, name, f"{path}/table", buckets=8)
-    records = as_records(views.delivery_columns(table_stream(spark, sf_dir, "lineitem")),
-                         views.DELIVERY_ORDER)
-    run_to_end(start_persist(records, name, views.DELIVERY_ORDER, f"{path}/dead-letters",
-                             f"{path}/flushes", f"{path}/checkpoint", drain=True))
+    lines = arrival_stream(spark, sf_dir, "lineitem", F.unix_date(F.col("l_shipdate").cast("date")),
+                           views.DELIVERY_ORDER)
+    records = as_records(views.delivery_columns(lines), views.DELIVERY_ORDER)
+    run_in_parts(start_persist(records, name, views.DELIVERY_ORDER, f"{path}/dead-letters",
+                               f"{path}/flushes", f"{path}/checkpoint", drain=True))
     spark.sql(f"DROP TABLE {name}")
     return spark.read.parquet(f"{path}/table").select(
         "event_id", "tenant_id", "payload", "event_timestamp")
 
 
+def stream_late(spark, sf_dir):
+    """The strict quota over events that arrive by number rather than by time, some stamped far
+    in the future: rows of windows that their tenant has closed come out as late."""
+    path = scratch_path(spark, "stream-late")
+    rows = arrival_stream(spark, sf_dir, "events", F.col("event_id"), ["event_id"])
+    events = with_quota_keys(views.misdated(views.event_columns(rows)), QUOTA)
+    run_in_parts(start_quota(events, QUOTA, ["timestamp", "seq"], f"{path}/out", f"{path}/state",
+                             f"{path}/checkpoint", processed_at="timestamp",
+                             keep_windows=KEEP_WINDOWS, drain=True))
+    late = spark.read.parquet(f"{path}/out-late").select(
+        "event_id", "quota_tenant", "window_idx", F.lit(False).alias("accepted"),
+        F.col("reason").alias("message"))
+    acks = spark.read.parquet(f"{path}/out")
+    return acks.select(*late.columns).unionByName(late)
+
+
 def stream_dedupe_bounded(spark, sf_dir):
     events = _events(spark, sf_dir).select("event_id", "tenant_id", "payload", "timestamp")
     twice = events.unionByName(events)
@@ -114,6 +161,7 @@ QUERIES = {
     "stream_quota_ledger": stream_quota_ledger,
     "stream_quota_leased": stream_quota_leased,
     "stream_cap": stream_cap,
+    "stream_late": stream_late,
     "stream_persist": stream_persist,
     "stream_dedupe_bounded": stream_dedupe_bounded,
 }

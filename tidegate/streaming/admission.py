@@ -1,12 +1,16 @@
 """Quotas and capacity over streams, with what was used kept in small tables.
 
 Each micro-batch runs the batch operators, so a hot tenant is spread over tasks as it is in a
-batch. The state tables are written anew with every micro-batch and hold the latest windows
-only; two copies take turns, because a repeated batch needs the state before it. The rows of a
-batch are a folder named by it, so a repeated batch replaces itself. All folders belong to one
-checkpoint, and a new checkpoint needs new ones.
-Micro-batches must follow arrival order by and large: a row that is more than `keep_windows`
-windows late finds its window forgotten.
+batch. The state tables are written anew with every micro-batch; two copies take turns, because
+a repeated batch needs the state before it. The rows of a batch are a folder named by it, so a
+repeated batch replaces itself. All folders belong to one checkpoint, and a new checkpoint needs
+new ones.
+
+By default no window is forgotten, so the state grows by a row per tenant and window. With
+`keep_windows` a tenant's windows that lie further back from its own newest one are closed: what
+was used there is dropped, and rows that come for them later are written to `<out>-late` with the
+reason instead of being charged. A closed window never gets a fresh quota, and a tenant's stamps
+close no other tenant's windows.
 """
 
 from __future__ import annotations
@@ -18,9 +22,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.operators.acks import event_acks
 from tidegate.operators.capacity import row_cap
-from tidegate.operators.leased import (KEEP_WINDOWS, TOKENS_SCHEMA, USED_SCHEMA, LeaseState,
-                                       latest_windows, leased_step, next_state)
+from tidegate.operators.leased import (TOKENS_SCHEMA, USED_SCHEMA, LeaseState, leased_step,
+                                       next_state)
 from tidegate.operators.quota import quota_admission, quota_ledger
+from tidegate.operators.running import broadcast_if_small
 from tidegate.settings import Capacity, FlushSettings, QuotaPolicy
 from tidegate.streaming.flush import with_trigger
 
@@ -28,9 +33,51 @@ from tidegate.streaming.flush import with_trigger
 State = dict[str, DataFrame]
 Step = Callable[[DataFrame, State], tuple[DataFrame, State]]
 
+CLOSED = "window closed"
+
+
+class Horizon:
+    """Which windows of a scope (a tenant, or everything) are closed: those more than `keep`
+    before the newest that earlier micro-batches saw there."""
+
+    def __init__(self, scope: str | None, window: str, keep: int | None) -> None:
+        if keep is not None and keep < 0:
+            raise ValueError(f"keep_windows must not be negative, got {keep}")
+        self.scope, self.window, self.keep = scope, window, keep
+        self.schemas = {} if keep is None else {"newest": "scope string, newest long"}
+
+    def _scoped(self, rows: DataFrame) -> DataFrame:
+        scope = F.lit("") if self.scope is None else F.col(self.scope)
+        return rows.withColumn("_scope", scope)
+
+    def split(self, rows: DataFrame, before: State) -> tuple[DataFrame, DataFrame | None]:
+        """Rows of open windows, and those of closed ones with the `reason`."""
+        if self.keep is None:
+            return rows, None
+        floors = broadcast_if_small(before["newest"].select(
+            "scope", (F.col("newest") - self.keep).alias("_floor")))
+        marked = self._scoped(rows).join(floors, F.col("_scope").eqNullSafe(F.col("scope")), "left")
+        late = F.coalesce(F.col(self.window) < F.col("_floor"), F.lit(False))
+        return (marked.where(~late).select(*rows.columns),
+                marked.where(late).select(*rows.columns, F.lit(CLOSED).alias("reason")))
+
+    def after(self, rows: DataFrame, used: DataFrame, before: State) -> tuple[DataFrame, State]:
+        """What was used in windows that stay open, and the state of the horizon."""
+        if self.keep is None:
+            return used, {}
+        newest = (self._scoped(rows).groupBy(F.col("_scope").alias("scope"))
+                  .agg(F.max(self.window).alias("newest")).unionByName(before["newest"])
+                  .groupBy("scope").agg(F.max("newest").alias("newest")))
+        open_used = (self._scoped(used)
+                     .join(newest, F.col("_scope").eqNullSafe(F.col("scope")))
+                     .where(F.col(self.window) >= F.col("newest") - self.keep))
+        return open_used.select(*used.columns), {"newest": newest}
+
+
+def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, str], out: str,
+           state: str, checkpoint: str, flush: FlushSettings, drain: bool) -> StreamingQuery:
+    schemas = schemas | horizon.schemas
 
-def _start(events: DataFrame, step: Step, schemas: dict[str, str], out: str, state: str,
-           checkpoint: str, flush: FlushSettings, drain: bool) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = {
@@ -39,7 +86,10 @@ def _start(events: DataFrame, step: Step, schemas: dict[str, str], out: str, sta
             for name, schema in schemas.items()}
         batch = batch.persist()
         try:
-            rows, after = step(batch, before)
+            rows, late = horizon.split(batch, before)
+            if late is not None:
+                late.write.mode("overwrite").parquet(f"{out}-late/batch_id={batch_id}")
+            rows, after = step(rows, before)
             rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
             for name, table in after.items():
                 table.write.mode("overwrite").parquet(f"{state}/{name}/{batch_id % 2}")
@@ -52,43 +102,49 @@ def _start(events: DataFrame, step: Step, schemas: dict[str, str], out: str, sta
 
 def start_quota(events: DataFrame, policy: QuotaPolicy, order: list[str], out: str, state: str,
                 checkpoint: str, charge: str | None = None, arrival: str = "timestamp",
-                processed_at: str | None = None, keep_windows: int = KEEP_WINDOWS,
+                processed_at: str | None = None, keep_windows: int | None = None,
                 flush: FlushSettings = FlushSettings(), drain: bool = False) -> StreamingQuery:
     """The quota of `policy`, strict or leased, over a stream of events with quota keys;
     writes acknowledged events. `charge` names the tokens a row takes (default: one)."""
     stamp = None if processed_at is None else F.col(processed_at)
+    horizon = Horizon("quota_tenant", "window_idx", keep_windows)
 
     def strict(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
         weight = None if charge is None else F.col(charge)
         admitted = quota_admission(batch, policy, order, before["used"], weight)
         used = quota_ledger(batch, policy, weight, before["used"])
-        return event_acks(admitted, stamp), {
-            "used": latest_windows(used, "window_idx", keep_windows)}
+        used, newest = horizon.after(batch, used, before)
+        return event_acks(admitted, stamp), {"used": used, **newest}
 
     def leased(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
         held = LeaseState(before["tokens"], before["used"])
         admitted, outcomes = leased_step(batch, policy, order, charge, arrival, held)
-        after = next_state(batch, outcomes, policy, held, charge, arrival, keep_windows)
-        return event_acks(admitted, stamp), {"tokens": after.tokens, "used": after.used}
+        after = next_state(batch, outcomes, policy, held, charge, arrival)
+        used, newest = horizon.after(batch, after.used, before)
+        return event_acks(admitted, stamp), {"tokens": after.tokens, "used": used, **newest}
 
     if policy.lease == 1:
-        return _start(events, strict, {"used": USED_SCHEMA}, out, state, checkpoint, flush, drain)
-    return _start(events, leased, {"tokens": TOKENS_SCHEMA, "used": USED_SCHEMA}, out, state,
-                  checkpoint, flush, drain)
+        return _start(events, strict, horizon, {"used": USED_SCHEMA}, out, state, checkpoint,
+                      flush, drain)
+    return _start(events, leased, horizon, {"tokens": TOKENS_SCHEMA, "used": USED_SCHEMA}, out,
+                  state, checkpoint, flush, drain)
 
 
 def start_row_cap(events: DataFrame, capacity: Capacity, interval: str, order: list[str],
-                  out: str, state: str, checkpoint: str, keep_intervals: int = KEEP_WINDOWS,
+                  out: str, state: str, checkpoint: str, keep_intervals: int | None = None,
                   flush: FlushSettings = FlushSettings(), drain: bool = False) -> StreamingQuery:
     """Bounded intake over a stream: what does not fit its interval is written as not
-    `buffered`, never held back."""
+    `buffered`, never held back. With `keep_intervals` the newest stamp of all closes the
+    intervals before it, so stamps should be checked first."""
+    horizon = Horizon(None, interval, keep_intervals)
 
     def step(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
         flagged = row_cap(batch, capacity, interval, order, taken=before["taken"])
         used = (batch.groupBy(interval).agg(F.count(F.lit(1)).alias("used"))
                 .unionByName(before["taken"]).groupBy(interval).agg(F.sum("used").alias("used"))
                 .withColumn("used", F.least("used", F.lit(capacity.total).cast("long"))))
-        return flagged, {"taken": latest_windows(used, interval, keep_intervals)}
+        used, newest = horizon.after(batch, used, before)
+        return flagged, {"taken": used, **newest}
 
-    return _start(events, step, {"taken": f"{interval} long, used long"}, out, state, checkpoint,
-                  flush, drain)
+    return _start(events, step, horizon, {"taken": f"{interval} long, used long"}, out, state,
+                  checkpoint, flush, drain)
