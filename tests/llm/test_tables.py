@@ -195,6 +195,7 @@ ODD_ROWS = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "ONE"), (6, "a b c d
     (near_copies(1, 90), Similar()),
     (near_copies(2, 120), Similar(few=2, tile=3, frequent=4)),
     (near_copies(3, 120), Similar(few=3, tile=2, frequent=0, broadcast_rows=0)),
+    (near_copies(4, 150), Similar(few=1, tile=4, frequent=8)),
     (ODD_ROWS, Similar()), ([], Similar())])
 def test_near_copies(spark, rows, rule):
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows],
