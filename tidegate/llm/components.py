@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.session import freeze
+from tidegate.llm.storing import stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,18 +19,18 @@ def components(links: DataFrame) -> DataFrame:
     links = links.select(F.col("a").cast("long"), F.col("b").cast("long"))
     nodes = (links.select(F.col("a").alias("node"))
              .unionByName(links.select(F.col("b").alias("node"))).distinct())
-    labels = freeze(nodes.select("node", F.col("node").alias("root")))
-    links = freeze(links.where("a <> b").distinct())
+    labels = stored(nodes.select("node", F.col("node").alias("root")))
+    links = stored(links.where("a <> b").distinct())
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        points = freeze(both.groupBy("a").agg(F.min("b").alias("low"))
+        points = stored(both.groupBy("a").agg(F.min("b").alias("low"))
                         .select(F.col("a").alias("at"), F.least("a", "low").alias("to")))
-        links = freeze(
+        links = stored(
             links.join(points, F.col("a") == F.col("at"), "left")
             .select(F.coalesce("to", "a").alias("a"), "b")
             .join(points, F.col("b") == F.col("at"), "left")
             .select("a", F.coalesce("to", "b").alias("b"))
             .where("a <> b").distinct())
-        labels = freeze(labels.join(points, F.col("root") == F.col("at"), "left")
+        labels = stored(labels.join(points, F.col("root") == F.col("at"), "left")
                         .select("node", F.coalesce("to", "root").alias("root")))
     return labels

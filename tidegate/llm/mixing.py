@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.linear import share_of
+from tidegate.llm.storing import stored
 from tidegate.llm.text import TERMS, blocks, words
-from tidegate.session import freeze
 
 MARGINS = ("source", "lang", "topic")
 
@@ -95,16 +95,16 @@ def targets_of(cells: DataFrame, margin: str, given: dict | None, rule: Mix) ->
         wish = F.when(F.col(margin).eqNullSafe(F.lit(value)), float(share)).otherwise(wish)
     if given:
         own = F.coalesce(wish, F.col("tokens") / total)
-    rows = freeze(sums.select(F.col(margin).alias("value"), own.alias("target")))
+    rows = stored(sums.select(F.col(margin).alias("value"), own.alias("target")))
     whole = F.lit(float(rows.agg(F.sum("target")).first()[0] or 1.0))
-    return freeze(rows.select("value", (F.col("target") / whole).alias("target")))
+    return stored(rows.select("value", (F.col("target") / whole).alias("target")))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rule: Mix = Mix()) -> DataFrame:
     """`cells` with `raked`, the shares after fitting. A round meets each margin in turn; it ends
     when all margins were within `gap` before they were adjusted."""
     total = float(cells.agg(F.sum("tokens")).first()[0] or 1.0)
-    raked = freeze(cells.withColumn("raked", F.col("tokens") / total))
+    raked = stored(cells.withColumn("raked", F.col("tokens") / total))
     for _ in range(rule.rounds):
         gaps = []
         for margin, target in targets.items():
@@ -116,7 +116,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rule: Mix = Mix()) ->
                 .alias("raked"), *gaps,
                 F.abs(F.coalesce("factor", F.lit(1.0)) - 1).alias(f"gap_{margin}"))
             gaps.append(f"gap_{margin}")
-        raked = freeze(raked)
+        raked = stored(raked)
         worst = raked.agg(F.max(F.greatest(*gaps)).alias("gap")).first().gap
         raked = raked.drop(*gaps)
         if worst is None or worst < rule.gap:
@@ -153,9 +153,9 @@ def fitted(own: DataFrame, targets: dict[str, dict] | None = None, rule: Mix = M
            ) -> DataFrame:
     """The cells' rates for documents (source, lang, topic, tokens). `targets` may give shares
     by margin; the shares of the others are evened out."""
-    cells = freeze(cells_of(own))
+    cells = stored(cells_of(own))
     wanted = {m: targets_of(cells, m, (targets or {}).get(m), rule) for m in MARGINS}
-    return freeze(rates(rake(cells, wanted, rule), rule))
+    return stored(rates(rake(cells, wanted, rule), rule))
 
 
 def chosen(docs: DataFrame, key: Column, cell: dict[str, Column], tokens: Column,
@@ -179,7 +179,7 @@ def described(docs: DataFrame, rule: Mix = Mix()) -> DataFrame:
     """(doc_id, source, lang, topic, tokens) of each document, kept in the shared folder so that
     texts are read once."""
     own = docs.select("doc_id", "source", "lang", subject(F.col("text"), rule).alias("s"))
-    return freeze(own.select("doc_id", "source", "lang", "s.topic", "s.tokens"))
+    return stored(own.select("doc_id", "source", "lang", "s.topic", "s.tokens"))
 
 
 def mixed(docs: DataFrame, targets: dict[str, dict] | None = None, rule: Mix = Mix()
