@@ -19,24 +19,31 @@ def outcome_report(acks: DataFrame, tenant: str = "tenant_id") -> DataFrame:
     return acks.groupBy(tenant, "message").agg(F.count(F.lit(1)).alias("events"))
 
 
-def counter_set(outcomes: DataFrame, waiting: DataFrame, failures: DataFrame) -> DataFrame:
-    """The counters of a run as `(counter, value)` rows, from the one-row totals of
-    `outcome_totals` and `failure_counters` and the per-tenant backlog."""
-    named = [
-        (outcomes, "accepted_total", "events_accepted_total"),
-        (outcomes, "rejected_total", "events_rejected_total"),
-        (waiting.agg(F.coalesce(F.sum("waiting"), F.lit(0)).alias("depth")), "depth",
-         "worker_queue_depth"),
-        (failures, "publish_errors", "worker_publish_errors_total"),
-        (failures, "async_errors", "kafka_async_errors_total"),
-        (failures, "dead_lettered", "dlq_persisted_total"),
-    ]
-    rows = [df.select(F.lit(name).alias("counter"), F.col(column).cast("long").alias("value"))
-            for df, column, name in named]
-    out = rows[0]
-    for row in rows[1:]:
-        out = out.unionByName(row)
-    return out
+# The names of a run's counters, by the column that holds them.
+OUTCOME_COUNTERS = {"accepted_total": "events_accepted_total",
+                    "rejected_total": "events_rejected_total"}
+BACKLOG_COUNTERS = {"depth": "worker_queue_depth"}
+FAILURE_COUNTERS = {"publish_errors": "worker_publish_errors_total",
+                    "async_errors": "kafka_async_errors_total",
+                    "dead_lettered": "dlq_persisted_total"}
+
+
+def counter_set(outcomes: list[DataFrame], waiting: DataFrame, failures: DataFrame) -> DataFrame:
+    """The counters of a run as `(counter, value)` rows, from one-row totals (`outcome_totals`,
+    `batch_totals`) of each kind of intake, the per-tenant backlog and `failure_counters`. Each
+    source is read once: its counters are taken from its row together."""
+    intake = reduce(DataFrame.unionByName, outcomes).agg(
+        *[F.sum(c).alias(c) for c in OUTCOME_COUNTERS])
+    depth = waiting.agg(F.coalesce(F.sum("waiting"), F.lit(0)).alias("depth"))
+
+    def stacked(totals: DataFrame, names: dict[str, str]) -> DataFrame:
+        pairs = [x for column, name in names.items()
+                 for x in (F.lit(name), F.col(column).cast("long"))]
+        return totals.select(F.stack(F.lit(len(names)), *pairs).alias("counter", "value"))
+
+    return reduce(DataFrame.unionByName, [
+        stacked(intake, OUTCOME_COUNTERS), stacked(depth, BACKLOG_COUNTERS),
+        stacked(failures, FAILURE_COUNTERS)])
 
 
 def load_summary(calls: DataFrame, elapsed_sec: Column) -> DataFrame:

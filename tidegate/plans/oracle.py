@@ -87,7 +87,11 @@ FITTED = ADMITTED + """,
 fitted AS (
   SELECT *, NOT accepted OR sum(CAST(accepted AS INTEGER)) OVER (
               PARTITION BY window_idx ORDER BY timestamp, seq) <= 40 AS fits
-  FROM acks)"""
+  FROM acks),
+capped AS (
+  SELECT * EXCLUDE (accepted, message), accepted AND fits AS accepted,
+         CASE WHEN accepted AND NOT fits THEN 'buffer full; shed load' ELSE message END AS message
+  FROM fitted)"""
 
 TAKEN = REQUESTS + """,
 charged AS (
@@ -227,12 +231,12 @@ SELECT c.batch_id, quota_tenant, n, n = 0 OR (admitted AND taken = n) AS accepte
        timestamp AS processed_at
 FROM charged c LEFT JOIN taken t ON t.batch_id = c.batch_id""",
     "stream_acks": f"""
-WITH {ADMITTED}
+WITH {FITTED}
 SELECT stream_id, bool_or(accepted) AS accepted, count(*) AS total_received,
        count(*) FILTER (WHERE accepted) AS accepted_count,
        count(*) FILTER (WHERE NOT accepted) AS rejected_count,
        'stream ingestion completed' AS message, max(processed_at) AS processed_at
-FROM acks GROUP BY stream_id""",
+FROM capped GROUP BY stream_id""",
     "accepted_records": f"""
 WITH {FITTED}
 SELECT 'events' AS topic, event_id AS key, {EVENT_HEX} AS value_hex
@@ -312,13 +316,19 @@ SELECT CAST(1 AS BIGINT), (SELECT count(*) FROM deliveries WHERE NOT prior),
     "backlog": f"""
 WITH {DELIVERIES}, {BACKLOG} SELECT tenant_id, waiting FROM waiting""",
     "outcome_report": f"""
-WITH {ADMITTED} SELECT tenant_id, message, count(*) AS events FROM acks GROUP BY ALL""",
+WITH {FITTED} SELECT tenant_id, message, count(*) AS events FROM capped GROUP BY ALL""",
     "outcome_counters": f"""
-WITH {ADMITTED}, {DELIVERIES}, {BACKLOG},
+WITH {FITTED}, {TAKEN}, {DELIVERIES}, {BACKLOG},
+batched AS (
+  SELECT CAST(sum(coalesce(taken, 0)) AS BIGINT) AS taken,
+         CAST(sum(n - coalesce(taken, 0)) AS BIGINT) AS denied
+  FROM charged c LEFT JOIN taken t ON t.batch_id = c.batch_id),
 failed AS (SELECT count(DISTINCT seq // 128) AS batches, count(*) AS n
            FROM ev WHERE event_type = 'error')
-SELECT 'events_accepted_total' AS counter, count(*) FILTER (WHERE accepted) AS value FROM acks
-UNION ALL SELECT 'events_rejected_total', count(*) FILTER (WHERE NOT accepted) FROM acks
+SELECT 'events_accepted_total' AS counter,
+       count(*) FILTER (WHERE accepted) + (SELECT taken FROM batched) AS value FROM capped
+UNION ALL SELECT 'events_rejected_total',
+       count(*) FILTER (WHERE NOT accepted) + (SELECT denied FROM batched) FROM capped
 UNION ALL SELECT 'worker_queue_depth', CAST(sum(waiting) AS BIGINT) FROM waiting
 UNION ALL SELECT 'worker_publish_errors_total', batches FROM failed
 UNION ALL SELECT 'kafka_async_errors_total', n FROM failed
@@ -365,6 +375,23 @@ kept AS (
 SELECT mode, worker_id, call_no, sample_no, latency FROM kept WHERE sample_no <= 50""",
     "stream_quota": SAME_AS_ADMISSION,
     "stream_quota_ledger": SAME_AS_ADMISSION,
+    "stream_event_acks": f"""
+WITH {FITTED}
+SELECT event_id, tenant_id, quota_tenant, window_idx, accepted, message, processed_at
+FROM capped""",
+    "stream_flushes": f"""
+WITH {DELIVERIES},
+days AS (SELECT *, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS day
+         FROM deliveries),
+bounds AS (SELECT min(day) AS low, max(day) AS high FROM days),
+parts AS (SELECT event_id, ((day - low) * 4) // (high - low + 1) AS batch_id FROM days, bounds),
+fresh AS (SELECT event_id, min(batch_id) AS batch_id FROM parts GROUP BY event_id),
+news AS (SELECT batch_id, count(*) AS inserted FROM fresh GROUP BY batch_id),
+sums AS (SELECT batch_id, count(*) AS attempted FROM parts GROUP BY batch_id)
+SELECT batch_id, attempted, coalesce(inserted, 0) AS inserted,
+       CAST(0 AS BIGINT) AS undecodable, CAST(0 AS BIGINT) AS constraint_failures,
+       CAST(sum(attempted) OVER (ORDER BY batch_id) AS BIGINT) AS total_persisted
+FROM sums LEFT JOIN news USING (batch_id)""",
     "stream_late": f"""
 WITH {EV},
 bounds AS (SELECT min(seq) AS low, max(seq) AS high FROM ev),

@@ -139,7 +139,8 @@ def batch_acks(spark, sf_dir):
 
 
 def stream_acks(spark, sf_dir):
-    return acks.stream_acks(_event_acks(spark, sf_dir), processed_at=F.col("timestamp"))
+    """An event of a client stream counts as accepted if quota and buffers took it."""
+    return acks.stream_acks(_capped_acks(spark, sf_dir), processed_at=F.col("timestamp"))
 
 
 def _capped_acks(spark, sf_dir) -> DataFrame:
@@ -269,11 +270,13 @@ def backlog(spark, sf_dir):
 # --- reports ----------------------------------------------------------------------------------
 
 def outcome_report(spark, sf_dir):
-    return report.outcome_report(_event_acks(spark, sf_dir))
+    return report.outcome_report(_capped_acks(spark, sf_dir))
 
 
 def outcome_counters(spark, sf_dir):
-    outcomes = acks.outcome_totals(_event_acks(spark, sf_dir))
+    """Counters over all intake: single events and batches."""
+    outcomes = [acks.outcome_totals(_capped_acks(spark, sf_dir)),
+                acks.batch_totals(_batch_acks(spark, sf_dir))]
     failed = delivery.failure_counters(views.failures(spark, sf_dir))
     return report.counter_set(outcomes, backlog(spark, sf_dir), failed)
 

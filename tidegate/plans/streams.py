@@ -18,7 +18,8 @@ from tidegate.settings import Capacity, QuotaPolicy
 from tidegate.sources.table import create_table
 from tidegate.streaming.admission import start_quota, start_row_cap
 from tidegate.streaming.dedupe import drop_repeats
-from tidegate.streaming.flush import run_to_end, session_settings, size_options, with_trigger
+from tidegate.streaming.flush import (flush_report, run_to_end, session_settings, size_options,
+                                      with_trigger)
 from tidegate.streaming.leases import KEYED_STATE, leased_quota
 from tidegate.streaming.persist import as_records, start_persist
 
@@ -119,8 +120,30 @@ def stream_cap(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").select("event_id", "window_idx", "buffered")
 
 
+def stream_event_acks(spark, sf_dir):
+    """Quota first, then room in the buffers."""
+    path = scratch_path(spark, "stream-acks")
+    events = with_quota_keys(_events(spark, sf_dir), QUOTA)
+    run_in_parts(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/state",
+                             f"{path}/checkpoint", processed_at="timestamp", capacity=ROWS,
+                             drain=True))
+    return _ack_columns(spark.read.parquet(f"{path}/out"))
+
+
 def stream_persist(spark, sf_dir):
     """Deliveries as encoded records, decoded and persisted."""
+    return spark.read.parquet(f"{_persisted(spark, sf_dir)}/table").select(
+        "event_id", "tenant_id", "payload", "event_timestamp")
+
+
+def stream_flushes(spark, sf_dir):
+    """What each flush of the same stream wrote, with the running total."""
+    return flush_report(spark, f"{_persisted(spark, sf_dir)}/flushes").select(
+        "batch_id", "attempted", "inserted", "undecodable", "constraint_failures",
+        "total_persisted")
+
+
+def _persisted(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "stream-persist")
     name = "tidegate_" + path[-12:]
     create_table(spark, name, f"{path}/table", buckets=8)
@@ -130,8 +153,7 @@ def stream_persist(spark, sf_dir):
     run_in_parts(start_persist(records, name, views.DELIVERY_ORDER, f"{path}/dead-letters",
                                f"{path}/flushes", f"{path}/checkpoint", drain=True))
     spark.sql(f"DROP TABLE {name}")
-    return spark.read.parquet(f"{path}/table").select(
-        "event_id", "tenant_id", "payload", "event_timestamp")
+    return path
 
 
 def stream_late(spark, sf_dir):
@@ -161,7 +183,9 @@ QUERIES = {
     "stream_quota_ledger": stream_quota_ledger,
     "stream_quota_leased": stream_quota_leased,
     "stream_cap": stream_cap,
+    "stream_event_acks": stream_event_acks,
     "stream_late": stream_late,
+    "stream_flushes": stream_flushes,
     "stream_persist": stream_persist,
     "stream_dedupe_bounded": stream_dedupe_bounded,
 }

@@ -103,31 +103,48 @@ def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, s
 def start_quota(events: DataFrame, policy: QuotaPolicy, order: list[str], out: str, state: str,
                 checkpoint: str, charge: str | None = None, arrival: str = "timestamp",
                 processed_at: str | None = None, keep_windows: int | None = None,
+                capacity: Capacity | None = None,
                 flush: FlushSettings = FlushSettings(), drain: bool = False) -> StreamingQuery:
     """The quota of `policy`, strict or leased, over a stream of events with quota keys;
-    writes acknowledged events. `charge` names the tokens a row takes (default: one)."""
+    writes acknowledged events. `charge` names the tokens a row takes (default: one). With
+    `capacity`, what the quota admits also needs room in the buffers of its window."""
     stamp = None if processed_at is None else F.col(processed_at)
     horizon = Horizon("quota_tenant", "window_idx", keep_windows)
+    room_schema = {} if capacity is None else {"room": "window_idx long, used long"}
+
+    def acknowledged(admitted: DataFrame, before: State) -> tuple[DataFrame, State]:
+        if capacity is None:
+            return event_acks(admitted, stamp), {}
+        flagged = row_cap(admitted, capacity, "window_idx", order, F.col("admitted"),
+                          taken=before["room"])
+        taken = (admitted.where("admitted").groupBy("window_idx")
+                 .agg(F.count(F.lit(1)).alias("used")).unionByName(before["room"])
+                 .groupBy("window_idx").agg(F.sum("used").alias("used"))
+                 .withColumn("used", F.least("used", F.lit(capacity.total).cast("long"))))
+        return event_acks(flagged, stamp, buffered="buffered"), {"room": taken}
 
     def strict(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
         weight = None if charge is None else F.col(charge)
         admitted = quota_admission(batch, policy, order, before["used"], weight)
         used = quota_ledger(batch, policy, weight, before["used"])
         used, newest = horizon.after(batch, used, before)
-        return event_acks(admitted, stamp), {"used": used, **newest}
+        rows, room = acknowledged(admitted, before)
+        return rows, {"used": used, **newest, **room}
 
     def leased(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
         held = LeaseState(before["tokens"], before["used"])
         admitted, outcomes = leased_step(batch, policy, order, charge, arrival, held)
         after = next_state(batch, outcomes, policy, held, charge, arrival)
         used, newest = horizon.after(batch, after.used, before)
-        return event_acks(admitted, stamp), {"tokens": after.tokens, "used": used, **newest}
+        rows, room = acknowledged(admitted, before)
+        return rows, {"tokens": after.tokens, "used": used, **newest, **room}
 
     if policy.lease == 1:
-        return _start(events, strict, horizon, {"used": USED_SCHEMA}, out, state, checkpoint,
-                      flush, drain)
-    return _start(events, leased, horizon, {"tokens": TOKENS_SCHEMA, "used": USED_SCHEMA}, out,
-                  state, checkpoint, flush, drain)
+        return _start(events, strict, horizon, {"used": USED_SCHEMA} | room_schema, out, state,
+                      checkpoint, flush, drain)
+    return _start(events, leased, horizon,
+                  {"tokens": TOKENS_SCHEMA, "used": USED_SCHEMA} | room_schema, out, state,
+                  checkpoint, flush, drain)
 
 
 def start_row_cap(events: DataFrame, capacity: Capacity, interval: str, order: list[str],

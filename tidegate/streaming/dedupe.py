@@ -12,12 +12,12 @@ from tidegate.functions.keys import nanos_to_timestamp
 
 
 def drop_repeats(events: DataFrame, within: str = "10 minutes", arrival: str = "timestamp",
-                 key: str = "event_id", salts: int = 16) -> DataFrame:
+                 key: str = "event_id", salts: int = 1) -> DataFrame:
     """Pass one delivery of a key among those that arrive within `within` of it.
 
-    Repeats are first dropped among the rows of the same input partition, up to `salts` of
-    them apart, so that a key delivered very often does not meet in one task. `salts` = 1
-    leaves that step out.
+    With `salts` above 1 repeats are first dropped among the rows of the same input partition, up
+    to `salts` of them apart, so that a key delivered very often does not meet in one task. That
+    is a second shuffle with state of its own.
     """
     stamped = (events.withColumn("_arrived", nanos_to_timestamp(F.col(arrival)))
                .withWatermark("_arrived", within))
