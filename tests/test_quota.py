@@ -141,3 +141,16 @@ def test_leases_equal_the_sequential_rules(spark, seed, monkeypatch):
 def test_settings_must_be_positive(field):
     with pytest.raises(ValueError):
         QuotaPolicy(**{field: 0})
+
+
+@pytest.mark.parametrize("policy", [
+    QuotaPolicy(limit=5, window_sec=5), QuotaPolicy(limit=5, lease=2, window_sec=5),
+    QuotaPolicy(limit=5, lease=2, window_sec=5, idle_ttl_sec=60)])
+def test_absent_tenants_share_the_default_quota(spark, policy):
+    rows = [([None, "", "default"][i % 3], None if i == 0 else 0, i) for i in range(15)]
+    events = with_quota_keys(
+        spark.createDataFrame(rows, "tenant_id string, timestamp long, seq long"), policy)
+    order = ["timestamp", "seq"]
+    admit = quota_admission if policy.lease == 1 else leased_admission
+    got = admit(events, policy, order).where("admitted").collect()
+    assert sorted(r["seq"] for r in got) == [0, 1, 2, 3, 4]

@@ -77,7 +77,14 @@ def test_counter_set(spark):
         [(1, 3, 3)], "publish_errors long, async_errors long, dead_lettered long")
     waiting = spark.createDataFrame([], "tenant_id string, waiting long")
     got = {r["counter"]: r["value"]
-           for r in report.counter_set(outcomes, waiting, failures).collect()}
+           for r in report.counter_set([outcomes], waiting, failures).collect()}
     assert got == {"events_accepted_total": 5, "events_rejected_total": 2, "worker_queue_depth": 0,
                    "worker_publish_errors_total": 1, "kafka_async_errors_total": 3,
                    "dlq_persisted_total": 3}
+
+
+def test_a_null_group_keeps_its_ranks(spark):
+    samples = spark.createDataFrame(
+        [(g, float(i)) for g in ("a", None) for i in range(1, 101)], "mode string, latency double")
+    got = {r["mode"]: r["p50"] for r in report.latency_ranks(samples, ["mode"]).collect()}
+    assert got == {"a": 51.0, None: 51.0}
