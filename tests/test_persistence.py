@@ -57,14 +57,14 @@ def test_create_is_repeatable_and_empty_batch_is_fine(spark, target, tmp_path):
     assert table.bucket_count(spark, target) == 4
 
 
-def test_several_files_per_bucket_and_horizon(spark, target):
+def test_several_files_per_bucket(spark, target):
     rows = [(f"e{i % 70}", "t", str(i), i % 70, i) for i in range(100)]
     df = spark.createDataFrame(rows, EVENTS)
     assert table.insert_batch(df, target, 0, ["seq"], files_per_bucket=3).inserted == 70
-    assert table.insert_batch(df, target, 1, ["seq"], horizon_ns=0).inserted == 0
+    assert table.insert_batch(df, target, 1, ["seq"]).inserted == 0
     later = spark.createDataFrame([("e5", "t", "x", 500, 0), ("e69", "t", "x", 69, 1)], EVENTS)
     # With the timestamps of the first delivery the horizon changes nothing.
-    assert table.insert_batch(later.where("seq = 1"), target, 2, ["seq"], horizon_ns=0).inserted == 0
+    assert table.insert_batch(later.where("seq = 1"), target, 2, ["seq"]).inserted == 0
     assert table.insert_batch(later, target, 3, ["seq"]).inserted == 0
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:  # every row still lies in its bucket

@@ -47,14 +47,12 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def insert_batch(events: DataFrame, name: str, batch_id: int, order: list[str],
-                 writer: str = "batch", files_per_bucket: int = 1,
-                 horizon_ns: int | None = None) -> WriteCounts:
+                 writer: str = "batch", files_per_bucket: int = 1) -> WriteCounts:
     """Write one batch of events that meet the table's constraints. `batch_id` grows with each
     batch of a `writer`. Raises when the job fails; what was there before is then still there.
 
-    A large batch is written by `files_per_bucket` tasks for each bucket. By default a key is
-    looked for among all stored rows. `horizon_ns`, when the repeats of an event carry its
-    timestamp, skips the stored files that are older than the batch by more than that.
+    A large batch is written by `files_per_bucket` tasks for each bucket. A key is looked for
+    among all stored rows, as a repeat may carry any timestamp.
 
     `events` is read twice, once to count it; cache it if it is costly. Counts taken while
     writing would be too high after a task has run again.
@@ -63,9 +61,6 @@ def insert_batch(events: DataFrame, name: str, batch_id: int, order: list[str],
     target = read_table(spark, name)
     same_writer = F.col("writer") == writer
     known = target.where(~(same_writer & (F.col("batch_id") >= batch_id)))
-    if horizon_ns is not None:
-        oldest = events.agg(F.min("timestamp")).first()[0]
-        known = known.where(F.col("event_timestamp") >= (oldest or 0) - horizon_ns)
     fresh = not_stored(first_write(events, order), known)
     rows = (stored_rows(fresh)
             .withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")})
