@@ -158,14 +158,13 @@ class Ordinal:
         return sigmoid(times(rows, self.weights)[:, None] - self.thresholds)
 
 
-def _compact(rows: Rows) -> tuple[Rows, np.ndarray]:
+def _compact(rows: Rows, size: int) -> tuple[Rows, np.ndarray]:
     """The rows over the slots that at least two of them have, and those slots."""
     offsets, index, value = rows
-    used, place, n = np.unique(index, return_inverse=True, return_counts=True)
-    kept = n[place] > 1
-    number = np.cumsum(n > 1) - 1
+    shared = np.bincount(index, minlength=size) > 1
+    number, kept = (np.cumsum(shared) - 1).astype(np.int32), shared[index]
     ends = np.concatenate(([0], np.cumsum(kept)))[offsets]
-    return (ends, number[place[kept]], value[kept]), used[n > 1]
+    return (ends, number[index[kept]], value[kept]), np.flatnonzero(shared)
 
 
 def fit_ordinal(rows: Rows, grade: np.ndarray, grades: int, size: int, ridge: float = 1.0,
@@ -174,7 +173,7 @@ def fit_ordinal(rows: Rows, grade: np.ndarray, grades: int, size: int, ridge: fl
     thresholds stay in order. A grade without rows keeps a narrow gap. `extra` are dense columns,
     whose weights follow the hashed ones."""
     dense = np.zeros((len(grade), 0)) if extra is None else extra
-    hashed, (rows, used) = size, _compact(rows)
+    hashed, (rows, used) = size, _compact(rows, size)
     own, size, cuts = len(grade), len(used), grades - 1
     wide = size + dense.shape[1]
 

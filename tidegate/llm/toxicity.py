@@ -116,13 +116,16 @@ def _fit_job(i: int, rule: Chain):
         before = np.column_stack([np.zeros((len(holds), 0)), *[
             np.asarray(table.column(f"p{j}"), float)[:, None] for j in range(i)]])
         out = np.asarray(table.column("fold")) == job
-        seen = holds[~out]
+        ids, load = (np.asarray(table.column(c))[out] for c in ("id", "weight"))
+        del table  # its features are the better part of the memory
+        seen, told = holds[~out], linear.take_rows(rows, out)
+        rows = linear.take_rows(rows, ~out)
         if seen.all() or not seen.any():
             weights, earlier = np.zeros(1 << rule.bits, np.float32), np.zeros(i)
             threshold = -40.0 if len(seen) and seen.all() else 40.0
         else:
-            model = linear.fit_ordinal(linear.take_rows(rows, ~out), seen.astype(int), 2,
-                                       1 << rule.bits, rule.ridge, rule.rounds, before[~out])
+            model = linear.fit_ordinal(rows, seen.astype(int), 2, 1 << rule.bits, rule.ridge,
+                                       rule.rounds, before[~out])
             weights = model.weights[:1 << rule.bits].astype(np.float32)
             earlier, threshold = model.weights[1 << rule.bits:], float(model.thresholds[0])
         link = Link("", weights, earlier, threshold, 0.5)
@@ -130,9 +133,7 @@ def _fit_job(i: int, rule: Chain):
         if last:
             ids, p, own, load = [None], [None], [None], [None]
         else:
-            ids, own = np.asarray(table.column("id"))[out], holds[out]
-            p = link.probability(linear.take_rows(rows, out), before[out])
-            load = np.asarray(table.column("weight"), float)[out]
+            p, own = link.probability(told, before[out]), holds[out]
         n = len(ids)
         return pa.table({
             "job": pa.array([job] * n, pa.int32()), "id": pa.array(ids, pa.int64()),
