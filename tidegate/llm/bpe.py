@@ -23,11 +23,13 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.llm.memory import release
+
 NONE = np.iinfo(np.int32).max
 #: Pre-tokens of more bytes get a tree of their own.
 BATCH_BYTES = 512
 #: A worker remembers between one and two times so many encoded chunks.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 BLOCK_CHARS = 1 << 21
 
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -334,6 +336,7 @@ class Bpe:
 
         @F.arrow_udf("array<int>")
         def of(texts: pa.Array) -> pa.Array:
+            release()
             return _lists(encode_texts([t or "" for t in texts.to_pylist()], shared.value))
         return of(text)
 
@@ -352,6 +355,7 @@ class Bpe:
 
         @F.arrow_udf("struct<ids: array<int>, decoded: string>")
         def of(texts: pa.Array) -> pa.Array:
+            release()
             ids = _lists(encode_texts([t or "" for t in texts.to_pylist()], shared.value))
             return pa.StructArray.from_arrays([ids, _texts(ids, shared.value)], ["ids", "decoded"])
         return of(text)

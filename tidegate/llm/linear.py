@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.llm.memory import release
 from tidegate.llm.text import TERMS, blocks, mix, span_hash, words
 
 #: A row's features: offsets (one more than rows), indices, values.
@@ -212,6 +213,7 @@ def feature_column(text: Column, features: Callable, bits: int) -> Column:
     """Each text's features as a struct of lists."""
     @F.arrow_udf(ROW)
     def of(texts: pa.Array) -> pa.Array:
+        release()
         rows = join_rows([r for _, r in feature_rows(texts, features, bits)])
         ends = pa.array(rows[0].astype(np.int32))
         return pa.StructArray.from_arrays(

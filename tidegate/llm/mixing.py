@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.linear import share_of
+from tidegate.llm.memory import release
 from tidegate.llm.storing import stored
 from tidegate.llm.text import TERMS, blocks, words
 
@@ -56,6 +57,7 @@ def subject(text: Column, rule: Mix = Mix()) -> Column:
     texts without such a word."""
     @F.arrow_udf("struct<tokens: long, topic: int>")
     def of(texts: pa.Array) -> pa.Array:
+        release()
         tokens, topic = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int32)
         for first, data, offsets in blocks(texts):
             hashes, begin, end, starts, _ = words(data, offsets, TERMS)

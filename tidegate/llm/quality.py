@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm import linear
+from tidegate.llm.memory import release
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,7 @@ def fit(docs: DataFrame, ratings: DataFrame, rule: Ratings = Ratings()) -> Model
         F.col("text"), linear.style_features, rule.bits).alias("row"))
 
     def run(table: pa.Table) -> pa.Table:
+        release()
         table = table.sort_by([("id", "ascending")])
         grade = np.asarray(table.column("grade"), np.int64)
         grades, place = np.unique(grade, return_inverse=True)
@@ -76,6 +78,7 @@ def assess(docs: DataFrame, text: Column, model: Model, rule: Ratings = Ratings(
 
     @F.arrow_udf(kind)
     def of(texts: pa.Array) -> pa.Array:
+        release()
         grades, ordinal = np.array(shared.value.grades, float), shared.value.ordinal
         expected, tail = np.full(len(texts), grades[0]), np.ones(len(texts))
         if ordinal is not None:

@@ -28,6 +28,8 @@ import sentencepiece
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.llm.memory import release
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: A worker remembers between one and two times so many pre-tokens.
@@ -135,6 +137,7 @@ class Counter:
 
         @F.arrow_udf("long")
         def of(texts: pa.Array) -> pa.Array:
+            release()
             out, block, held = [], [], 0
             for value in texts:
                 text = value.as_py() or ""

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm import linear
+from tidegate.llm.memory import release
 from tidegate.llm.storing import stored
 
 
@@ -110,6 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], targe
 def _fit_job(i: int, rule: Chain):
     """Fit without one fold and predict it; the last job fits on all and gives the model."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        release()
         job = key[0].as_py()
         table = table.sort_by([("id", "ascending")])
         rows, holds = linear.rows_of(table.column("row")), np.asarray(table.column("holds"), bool)
@@ -128,6 +130,8 @@ def _fit_job(i: int, rule: Chain):
                                        rule.rounds, before[~out])
             weights = model.weights[:1 << rule.bits].astype(np.float32)
             earlier, threshold = model.weights[1 << rule.bits:], float(model.thresholds[0])
+        del rows
+        release()
         link = Link("", weights, earlier, threshold, 0.5)
         last = job == rule.folds
         if last:
@@ -152,6 +156,7 @@ def assess(docs: DataFrame, text: Column, chain: list[Link], rule: Chain = Chain
 
     @F.arrow_udf("struct<probabilities: array<double>, toxic: boolean>")
     def of(texts: pa.Array) -> pa.Array:
+        release()
         links, n = shared.value, len(texts)
         p = np.zeros((n, len(links)))
         for first, rows in linear.feature_rows(texts, linear.term_features, rule.bits):
