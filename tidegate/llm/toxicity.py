@@ -98,8 +98,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], targe
             _fit_job(i, rule), "job int, id long, p double, holds boolean, weight double, "
             "weights binary, earlier array<double>, threshold double"))
         outside = found.where("weights is null").select("id", F.col("p").alias(f"p{i}"))
-        told = found.where("weights is null").select("p", "holds", "weight").toPandas()
-        cut = best_cut(*(told[c].to_numpy(float) for c in ("p", "holds", "weight")))
+        told = found.where("weights is null").select("p", "holds", "weight").toArrow()
+        cut = best_cut(*(np.array(told.column(c).to_pylist(), float)
+                         for c in ("p", "holds", "weight")))
         for model in found.where("weights is not null").collect():
             chain.append(Link(name, np.frombuffer(model.weights, np.float32),
                               np.array(model.earlier, float), model.threshold, cut))
