@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -318,13 +319,24 @@ def _lists(found: list[bytes]) -> pa.Array:
 
 
 def _texts(lists: pa.Array, vocab: Vocabulary) -> pa.Array:
-    flat = np.asarray(lists.flatten(), np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
     sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
     return pa.array([decode_ids(flat[a:b], vocab).decode("utf-8", "replace")
                      for a, b in zip(ends[:-1], ends[1:])], pa.string())
 
 
+#: Texts of a batch that are held as Python strings at a time.
+SLICE = 500
+
+
+def _encoded(texts: pa.Array, vocab: Vocabulary) -> Iterator[pa.Array]:
+    release()
+    for a in range(0, len(texts), SLICE):
+        part = texts.slice(a, SLICE).to_pylist()
+        yield _lists(encode_texts([t or "" for t in part], vocab))
+
+
 class Bpe:
     """Columns for encoding and decoding with the vocabulary at `path`."""
 
@@ -336,8 +348,8 @@ class Bpe:
 
         @F.arrow_udf("array<int>")
         def of(texts: pa.Array) -> pa.Array:
-            release()
-            return _lists(encode_texts([t or "" for t in texts.to_pylist()], shared.value))
+            parts = list(_encoded(texts, shared.value))
+            return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
         return of(text)
 
     def decode(self, ids: Column) -> Column:
@@ -355,7 +367,9 @@ class Bpe:
 
         @F.arrow_udf("struct<ids: array<int>, decoded: string>")
         def of(texts: pa.Array) -> pa.Array:
-            release()
-            ids = _lists(encode_texts([t or "" for t in texts.to_pylist()], shared.value))
-            return pa.StructArray.from_arrays([ids, _texts(ids, shared.value)], ["ids", "decoded"])
+            parts = [pa.StructArray.from_arrays([ids, _texts(ids, shared.value)],
+                                                ["ids", "decoded"])
+                     for ids in _encoded(texts, shared.value)]
+            return pa.concat_arrays(parts) if parts else pa.array([], pa.struct(
+                [("ids", pa.list_(pa.int32())), ("decoded", pa.string())]))
         return of(text)
