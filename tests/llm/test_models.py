@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm.test_tables import plain_groups
 from tidegate.llm import linear, mixing, quality, toxicity
-from tidegate.llm.queries import LANGUAGES, rating, with_quality, with_toxicity
+from tidegate.llm.queries import LANGUAGES, op9_mixing, rating, with_quality, with_toxicity
 
 SF_DIR = "/root/testdata/sf0.01"
 there = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="tables are not there")
@@ -173,6 +173,32 @@ def test_rates_meet_the_targets(spark):
     assert mixing.mixed(docs.limit(0), given, rule).count() == 0
 
 
+@there
+@pytest.mark.parametrize(("sf", "few"), [("sf0.001", 1000), ("sf0.1", 1000), ("sf0.1", 0)])
+def test_expected_sample_meets_the_targets(spark, sf, few, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", few)
+    got = op9_mixing(spark, f"{SF_DIR}/../{sf}").localCheckpoint()
+    whole = got.agg(F.sum("tokens")).first()[0]
+    assert got.where("rate < 0 or rate > 1").count() == 0
+    for margin in mixing.MARGINS:
+        own = {r[margin]: r.n / whole for r in
+               got.groupBy(margin).agg(F.sum("tokens").alias("n")).collect() if r.n}
+        wish = {v: LANGUAGES[v] if margin == "lang" else s ** 0.7 for v, s in own.items()}
+        found = {r.value: r.share for r in mixing.shares(got, margin).collect()}
+        for value, share in wish.items():
+            assert found[value] == pytest.approx(share / sum(wish.values()), rel=3e-3)
+
+
+@pytest.mark.parametrize("rows", [[("a", "en"), ("b", "de")], [("a", "en")], []])
+def test_exact_rates_of_contradicting_or_no_margins(spark, rows):
+    """Where no sample can meet all margins the rates stay rates, and no cell is lost."""
+    docs = spark.createDataFrame([(i, s, l, "x y z " * (i + 1)) for i, (s, l) in enumerate(rows)],
+                                 "doc_id long, source string, lang string, text string")
+    got = mixing.mixed(docs, {"lang": {"en": 0.9, "de": 0.1}},
+                       mixing.Mix(rounds=3, exact=True)).collect()
+    assert len(got) == len(rows) and all(0 < r.rate <= 1 for r in got)
+
+
 def test_topic_is_the_most_frequent_long_word(spark):
     texts = ["apple apple pears", "Pears apple PEARS", "x y z", "", None, "apple pears " * 40_000]
     frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)

@@ -6,7 +6,12 @@ follows from the cell's raked weight. Only the table of cells is iterated on, as
 table; documents are read once for their topic and token count and once to be chosen.
 
 The probability is min(1, c * raked / tokens) of the cell, with c such that the expected tokens
-are `keep` of all tokens. A document is kept if a number drawn by the hash of its id is below the
+are `keep` of all tokens. Cells that reach 1 then fall short of their raked weight, and the sample
+misses the targets by that. With `exact` the targets hold for the sample itself: the cells below 1
+are raked again to what the full ones leave of each margin, and the expected tokens are lowered
+from `keep` until no margin asks a value for more tokens than it has. If the margins contradict
+each other (raking alone misses them), the shares are those that raking reaches; `shares` tells
+them. A document is kept if a number drawn by the hash of its id is below the
 probability, so equal ids are kept or dropped together and a rerun chooses the same.
 
 Defined cases: null source or language is a value of its own; a null text is empty; documents
@@ -36,7 +41,8 @@ MARGINS = ("source", "lang", "topic")
 class Mix:
     """Expected share of tokens to keep; exponent by which shares without a given target are
     evened out (1: as they are, 0: all equal); number of topics; least bytes of a topic's word;
-    rounds at most, and the largest relative gap to a target at which they end."""
+    rounds at most, and the largest relative gap to a target at which they end; whether the
+    expected sample itself is to meet the targets, with fewer tokens than `keep` if need be."""
 
     keep: float = 0.8
     evenness: float = 0.7
@@ -45,6 +51,7 @@ class Mix:
     rounds: int = 12
     gap: float = 1e-3
     seed: int = 41
+    exact: bool = False
 
     def __post_init__(self) -> None:
         if not 0 < self.keep <= 1 or self.topics <= 0 or self.rounds <= 0:
@@ -147,9 +154,110 @@ def rates(raked: DataFrame, rule: Mix = Mix()) -> DataFrame:
     return raked.select(*MARGINS, F.least(F.lit(1.0), ratio * F.lit(scale)).alias("rate"))
 
 
-#: Cells up to which their rates are broadcast to the documents.
+#: Cells up to which they are fitted exactly on the driver and their rates are broadcast.
 BROADCAST_CELLS = 100_000
 
+#: Times that the expected tokens are lowered by a tenth before no cell may reach 1.
+LOWERINGS = 8
+
+
+def exact_rates(raked: DataFrame, targets: dict[str, DataFrame], rule: Mix = Mix()) -> DataFrame:
+    """(source, lang, topic, rate) such that sums of tokens * rate have the target shares.
+
+    Rates are min(1, product of one factor per margin value). A step changes a margin's factors so
+    that its sums are met if no further cell reaches 1; those that do are put right by the next
+    round. Without a cell at 1 it is the step of `rake`."""
+    kept = rule.keep * float(raked.agg(F.sum("tokens")).first()[0] or 0.0)
+    if not kept:
+        return raked.select(*MARGINS, F.lit(rule.keep).alias("rate"))
+    for margin, target in targets.items():
+        sums = raked.groupBy(margin).agg(F.sum("tokens").alias("sum"))
+        most = (sums.join(target.where("target > 0"), F.col(margin).eqNullSafe(F.col("value")))
+                .agg(F.min(F.col("sum") / F.col("target"))).first()[0])
+        kept = min(kept, most)
+    if raked.count() <= BROADCAST_CELLS:
+        return _few_exact_rates(raked, targets, kept, rule)
+    rate, full = F.col("rate"), F.col("rate") >= 1
+    fit = raked.withColumn("rate", F.col("raked") * F.lit(kept) / F.col("tokens"))
+    for _ in range(LOWERINGS):
+        for _ in range(rule.rounds):
+            gaps = []
+            for margin, target in targets.items():
+                wish = F.col("target") * F.lit(kept)
+                sums = fit.groupBy(margin).agg(
+                    F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("full"),
+                    F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * rate)).alias("free"),
+                    F.sum(F.col("tokens") * rate).alias("all"))
+                factor = (F.when((wish > F.col("full")) & (F.col("free") > 0),
+                                 F.try_divide(wish - F.col("full"), F.col("free")))
+                          .when(wish >= F.col("full"), 1.0)
+                          .otherwise(F.try_divide(wish, F.col("all"))))
+                gap = F.abs(F.try_divide(F.col("full") + F.col("free"), wish) - 1)
+                step = sums.join(target, F.col(margin).eqNullSafe(F.col("value"))).select(
+                    "value", factor.alias("factor"), gap.alias(f"gap_{margin}"))
+                fit = fit.join(step, F.col(margin).eqNullSafe(F.col("value")), "left").select(
+                    *MARGINS, "tokens", "raked",
+                    (rate * F.coalesce("factor", F.lit(1.0))).alias("rate"), *gaps,
+                    F.coalesce(f"gap_{margin}", F.lit(0.0)).alias(f"gap_{margin}"))
+                gaps.append(f"gap_{margin}")
+            fit = stored(fit)
+            worst = fit.agg(F.max(F.greatest(*gaps)).alias("gap")).first().gap
+            fit = fit.drop(*gaps)
+            if worst < rule.gap:
+                return fit.select(*MARGINS, F.least(F.lit(1.0), rate).alias("rate"))
+        kept *= 0.9
+        fit = fit.withColumn("rate", rate * F.lit(0.9))
+    free = raked.where("raked > 0").agg(F.min(F.col("tokens") / F.col("raked"))).first()[0]
+    return raked.select(*MARGINS, F.least(F.lit(1.0), F.col("raked") * F.lit(min(kept, free))
+                                          / F.col("tokens")).alias("rate"))
+
+
+def _few_exact_rates(raked: DataFrame, targets: dict[str, DataFrame], kept: float, rule: Mix
+                     ) -> DataFrame:
+    """The rounds of `exact_rates` without a job for each."""
+    table = raked.toArrow()
+    tokens, share = (table.column(c).to_numpy() for c in ("tokens", "raked"))
+    margins = []
+    for margin, target in targets.items():
+        own = table.column(margin).combine_chunks().dictionary_encode("encode")
+        wish = {r.value: r.target for r in target.collect()}
+        margins.append((own.indices.to_numpy(),
+                        np.array([wish[v] for v in own.dictionary.to_pylist()], float)))
+
+    def fit(kept: float) -> np.ndarray:
+        rate = kept * share / tokens
+        for _ in range(LOWERINGS):
+            for _ in range(rule.rounds):
+                worst = 0.0
+                for code, target in margins:
+                    def added(values: np.ndarray) -> np.ndarray:
+                        return np.bincount(code, values, len(target))
+                    wish, full, every = target * kept, rate >= 1, added(tokens * rate)
+                    ones, free = added(tokens * full), added(tokens * rate * ~full)
+                    some = wish > 0
+                    worst = max(worst, np.abs((ones + free)[some] / wish[some] - 1).max())
+                    factor = np.where(wish >= ones, 1.0, wish / np.where(every > 0, every, 1.0))
+                    step = (wish > ones) & (free > 0)
+                    factor[step] = (wish - ones)[step] / free[step]
+                    rate = rate * factor[code]
+                if worst < rule.gap:
+                    return rate
+            kept, rate = kept * 0.9, rate * 0.9
+        return min(kept, (tokens[share > 0] / share[share > 0]).min()) * share / tokens
+
+    out = table.select(list(MARGINS)).append_column(
+        "rate", pa.array(np.minimum(1.0, fit(kept))))
+    return raked.sparkSession.createDataFrame(out)
+
+
+def shares(sample: DataFrame, margin: str) -> DataFrame:
+    """(value, share) of the expected tokens of documents (tokens, rate, ...) by one margin."""
+    sums = sample.groupBy(F.col(margin).alias("value")).agg(
+        F.sum(F.col("tokens") * F.col("rate")).alias("sum"))
+    whole = sums.agg(F.sum("sum").alias("whole"))
+    return sums.crossJoin(F.broadcast(whole)).select(
+        "value", F.try_divide("sum", "whole").alias("share"))
+
 
 def fitted(own: DataFrame, targets: dict[str, dict] | None = None, rule: Mix = Mix()
            ) -> DataFrame:
@@ -157,7 +265,8 @@ def fitted(own: DataFrame, targets: dict[str, dict] | None = None, rule: Mix = M
     by margin; the shares of the others are evened out."""
     cells = stored(cells_of(own))
     wanted = {m: targets_of(cells, m, (targets or {}).get(m), rule) for m in MARGINS}
-    return stored(rates(rake(cells, wanted, rule), rule))
+    raked = rake(cells, wanted, rule)
+    return stored(exact_rates(raked, wanted, rule) if rule.exact else rates(raked, rule))
 
 
 def chosen(docs: DataFrame, key: Column, cell: dict[str, Column], tokens: Column,

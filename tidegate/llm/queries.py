@@ -115,7 +115,8 @@ LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(_table(spark, sf_dir, "documents"), {"lang": LANGUAGES})
+    return mixing.mixed(_table(spark, sf_dir, "documents"), {"lang": LANGUAGES},
+                        mixing.Mix(exact=True))
 
 
 PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
