@@ -53,6 +53,16 @@ def test_shared_passages_share_a_hash():
         assert any(i >= len(a) and i - len(a) == j - len(b) for i, j in pairs)
 
 
+def test_short_texts_share_hashes_with_their_edited_form():
+    """Half of a text of at least 46 code points stays: 23 in a row share a hash."""
+    rng, rule = random.Random(9), Winnow()
+    assert rule.k + rule.window - 1 <= 23
+    for n in range(46, 180):
+        value, after = ("".join(rng.choices("abcdefghij klmno", k=n)) for _ in range(2))
+        edited = value[:n - n // 2] + after[:n // 2]
+        assert winnowing.likeness(winnowing.choose(value, rule), winnowing.choose(edited, rule)) > 0
+
+
 def plain_edits(rows):
     rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     for (i, value), (_, after) in zip(rows, rows[1:] + rows[:1]):

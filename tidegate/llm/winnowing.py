@@ -29,8 +29,8 @@ _HALF = np.uint64(32)
 class Winnow:
     """k-gram length and hashes per window, in code points."""
 
-    k: int = 24
-    window: int = 64
+    k: int = 8
+    window: int = 16
 
     def __post_init__(self) -> None:
         if self.k <= 0 or self.window <= 0:
