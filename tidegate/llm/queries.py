@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import (bpe, jaccard, mixing, quality, tokens, topk, toxicity, url_trie, warc,
-                          winnowing)
+from tidegate.llm import (bpe, jaccard, mixing, quality, ranking, simhash, tokens, topk, toxicity,
+                          url_trie, variants, warc, winnowing)
 from tidegate.session import scratch_path
 
 
@@ -208,6 +208,53 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(_table(spark, sf_dir, "documents"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(_table(spark, sf_dir, "documents"))
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(variants.thinned_words(_table(spark, sf_dir, "documents")))
+
+
+def op13_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked_search(_table(spark, sf_dir, "documents"),
+                                 _table(spark, sf_dir, "benchmark"))
+
+
+RANKING_SQL = r"""
+with found as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents),
+asked as (
+  select item_id, term, count(*) as times from (
+    select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark) group by all),
+lengths as (select doc_id, count(*) as n from found group by doc_id),
+whole as (select count(*) as documents, cast(sum(n) as bigint) as length from lengths),
+near as (
+  select doc_id, 25 + (75 * n * documents) // length as m from lengths, whole),
+held as (
+  select doc_id, term, count(*) as tf from found
+  where term in (select term from asked) group by all),
+weights as (
+  select term, cast(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) as bigint)
+    as w
+  from held, whole group by term),
+scored as (
+  select item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint)
+    as score
+  from asked join held using (term) join weights using (term) join near using (doc_id)
+  group by all),
+ranked as (
+  select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer)
+    as rank
+  from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_quality": op2_quality,
@@ -219,6 +266,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_simhash": op11_simhash,
+    "op12_variants": op12_variants,
+    "op13_ranking": op13_ranking,
 }
 
 ORACLE = {
@@ -226,4 +276,5 @@ ORACLE = {
     "op5_topk": TOPK_SQL,
     "op6_warc": WARC_SQL,
     "op7_url_filter": URL_SQL,
+    "op13_ranking": RANKING_SQL,
 }

@@ -41,6 +41,21 @@ _values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 _powers: dict[str, np.ndarray] = {}
 
 
+def folding(separators: bytes) -> bytes:
+    """Table for `bytes.translate`: A-Z as a-z, and a space for each separator."""
+    return bytes(0x20 if b in separators else int(_lower[b]) for b in range(256))
+
+
+def slices(value: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """`value` in parts of about `size` bytes, cut at spaces only."""
+    at = 0
+    while at < len(value):
+        end = value.find(b" ", at + size)
+        end = len(value) if end < 0 else end
+        yield value[at:end]
+        at = end
+
+
 def _power(base: int, count: int) -> np.ndarray:
     """base**0 .. base**(count-1) modulo 2**64."""
     out = np.full(count, np.uint64(base & _MASK))
