@@ -49,6 +49,13 @@ def batch_acks(batches: DataFrame, policy: QuotaPolicy, capacity: Capacity, orde
                               hot_rows=hot_rows)
     placed = batch_cap(charged, capacity, interval, order, taking=F.col("admitted"),
                        slices=slices)
+    return batch_ack_columns(placed, batches.columns, processed_at)
+
+
+def batch_ack_columns(placed: DataFrame, columns: list[str],
+                      processed_at: Column | None = None) -> DataFrame:
+    """The acknowledgements of batches of size `n` that the quota judged (`admitted`) and the
+    buffers took (`accepted_count`), next to the `columns` to keep."""
     n, taken, empty = F.col("n"), F.col("accepted_count"), F.col("n") == 0
     return placed.withColumns({
         "accepted": empty | (F.col("admitted") & (taken == n)),
@@ -56,7 +63,7 @@ def batch_acks(batches: DataFrame, policy: QuotaPolicy, capacity: Capacity, orde
         "message": F.when(empty, S.MSG_EMPTY_BATCH).when(~F.col("admitted"), S.MSG_QUOTA)
         .otherwise(S.MSG_BATCH),
         "processed_at": now_nanos() if processed_at is None else processed_at,
-    }).select(*batches.columns, "accepted", "accepted_count", "rejected_count", "message",
+    }).select(*columns, "accepted", "accepted_count", "rejected_count", "message",
               "processed_at")
 
 

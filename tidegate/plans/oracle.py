@@ -301,6 +301,8 @@ SELECT doc_id, event_id,
 FROM keyed""",
     "persist_first_write": FIRST_WRITE,
     "stream_persist": FIRST_WRITE,
+    "stream_retried": FIRST_WRITE,
+    "table_compacted": FIRST_WRITE,
     "persist_incremental": f"""
 WITH {DELIVERIES}
 SELECT event_id, tenant_id, payload, event_timestamp,
@@ -384,7 +386,9 @@ WITH {DELIVERIES},
 days AS (SELECT *, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS day
          FROM deliveries),
 bounds AS (SELECT min(day) AS low, max(day) AS high FROM days),
-parts AS (SELECT event_id, ((day - low) * 4) // (high - low + 1) AS batch_id FROM days, bounds),
+parts AS (SELECT event_id, dense_rank() OVER (ORDER BY ((day - low) * 4) // (high - low + 1)) - 1
+                 AS batch_id
+          FROM days, bounds),
 fresh AS (SELECT event_id, min(batch_id) AS batch_id FROM parts GROUP BY event_id),
 news AS (SELECT batch_id, count(*) AS inserted FROM fresh GROUP BY batch_id),
 sums AS (SELECT batch_id, count(*) AS attempted FROM parts GROUP BY batch_id)
@@ -418,9 +422,18 @@ SELECT event_id, quota_tenant, window_idx, accepted,
        CASE WHEN late THEN 'window closed' WHEN accepted THEN 'event queued successfully'
             ELSE 'rate limit exceeded' END AS message
 FROM ranked""",
+    "dead_letter_persisted": f"""
+WITH {EV}
+SELECT event_id, CASE WHEN seq % 97 = 0 THEN 'poison' ELSE 'stored' END AS status,
+       CASE WHEN seq % 97 = 0 THEN CAST(3 AS INTEGER) END AS attempts,
+       CASE WHEN seq % 97 <> 0 THEN payload END AS payload,
+       CASE WHEN seq % 97 = 0 AND seq % 5 = 0 THEN CAST(2 AS BIGINT) ELSE CAST(1 AS BIGINT) END
+         AS lines
+FROM ev""",
     "stream_dedupe_bounded": f"""
 WITH {EV} SELECT event_id, tenant_id, payload, timestamp FROM ev""",
 }
 
 ORACLE["stream_quota_leased"] = ORACLE["quota_leased"]
+ORACLE["stream_batch_acks"] = ORACLE["batch_acks"]
 ORACLE["latency_of_runs"] = ORACLE["latency_ranks"]

@@ -260,6 +260,28 @@ def persist_counts(spark, sf_dir):
     return spark.createDataFrame(rows, "batch_id long, attempted long, inserted long")
 
 
+def table_compacted(spark, sf_dir):
+    """Deliveries in four batches, merged after the third, of which the first comes again after
+    that; then the fourth, another merge, and the replaced files deleted."""
+    path = scratch_path(spark, "compacted")
+    name = "tidegate_" + path[-12:]
+    event_table.create_table(spark, name, path, buckets=8)
+    year = F.year("l_shipdate")
+    got = views.deliveries(spark, sf_dir).withColumn(
+        "part", F.when(year < 1994, 0).when(year < 1996, 1).when(year < 1998, 2).otherwise(3))
+    for part in range(4):
+        rows = got.where(F.coalesce(F.col("part"), F.lit(0)) == part)
+        event_table.insert_batch(rows, name, part, views.DELIVERY_ORDER)
+        if part == 2:
+            event_table.compact_table(spark, name)
+            again = got.where(F.coalesce(F.col("part"), F.lit(0)) == 0)
+            event_table.insert_batch(again, name, 0, views.DELIVERY_ORDER)
+    event_table.compact_table(spark, name)
+    event_table.vacuum_table(spark, name)
+    return event_table.read_table(spark, name).select(
+        "event_id", "tenant_id", "payload", "event_timestamp")
+
+
 def backlog(spark, sf_dir):
     got = views.deliveries(spark, sf_dir)
     prior = F.col("l_shipdate") < F.lit(PRIOR_SHIPDATE).cast("timestamp_ntz")
@@ -332,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "persist_first_write": persist_first_write,
     "persist_incremental": persist_incremental,
     "persist_counts": persist_counts,
+    "table_compacted": table_compacted,
     "backlog": backlog,
     "outcome_report": outcome_report,
     "outcome_counters": outcome_counters,

@@ -1,66 +1,92 @@
 """Registered queries that run a stream over a whole table and return what it wrote.
 
-A table is written as files in arrival order first, so that each stream runs several micro-batches
-and hands its state on from one to the next.
+A table is written as files in arrival order first, in one job, so that each stream runs several
+micro-batches and hands its state on from one to the next. Where a result depends on which rows a
+micro-batch holds, the table lands part by part instead, and the stream takes each part whole.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions.keys import ntz_to_micros
+from tidegate.functions.wire import EVENT_FIELDS, encode_event
 from tidegate.operators.acks import event_acks
+from tidegate.operators.delivery import dead_letter_lines, parse_dead_letters
 from tidegate.operators.quota import with_quota_keys
 from tidegate.plans import views
-from tidegate.session import scratch_path
+from tidegate.session import move_path, order_files, scratch_path
 from tidegate.settings import Capacity, QuotaPolicy
-from tidegate.sources.table import create_table
-from tidegate.streaming.admission import start_quota, start_row_cap
+from tidegate.sources.table import create_table, read_table
+from tidegate.sources.topic import read_topic_stream
+from tidegate.streaming.admission import start_batch_acks, start_quota, start_row_cap
 from tidegate.streaming.dedupe import drop_repeats
 from tidegate.streaming.flush import (flush_report, run_to_end, session_settings, size_options,
                                       with_trigger)
 from tidegate.streaming.leases import KEYED_STATE, leased_quota
-from tidegate.streaming.persist import as_records, start_persist
+from tidegate.streaming.persist import start_persist
+from tidegate.streaming.replay import attempt_of, drain_replay, start_replay
 
 QUOTA = QuotaPolicy(limit=6, window_sec=21_600)
 ROWS = Capacity(shards=4, buffer=40, min_per_shard=1)
+BATCH_QUOTA = QuotaPolicy(limit=40, window_sec=views.MONTH_SEC)
+BATCHES = Capacity(shards=4, buffer=80, min_per_shard=1)
 ARRIVAL = ["timestamp", "seq"]
+BATCH_ORDER = ["timestamp", "batch_id"]
 PARTS = 4
+ROWS_PER_FILE = 1_000_000
+BYTES_PER_FLUSH = 256 << 20
 KEEP_WINDOWS = 8
-
-
-def arrival_stream(spark: SparkSession, sf_dir: str, name: str, by: Column, order: list[str],
-                   parts: int = PARTS) -> DataFrame:
-    """A table as a stream of `parts` files in the order of `by`, a long: equal widths between
-    its bounds. Rows of one part come in any order."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet").withColumn("_by", by)
-    low, high = rows.agg(F.min("_by"), F.max("_by")).first()
-    path = scratch_path(spark, f"arrivals-{name}")
-    if low is None:
-        rows.drop("_by").write.parquet(path)
-    else:
-        part = F.least(F.expr(f"(_by - {low}) * {parts} div {high - low + 1}"), F.lit(parts - 1))
-        for i in range(parts):  # files are read in the order in which they were written
-            own = rows.where(F.coalesce(part, F.lit(0)) == i).drop("_by")
-            own.coalesce(1).sortWithinPartitions(*order).write.mode("append").parquet(path)
-    schema = rows.drop("_by").schema
-    return spark.readStream.schema(schema).options(**size_options("parquet")).parquet(path)
-
-
-def run_in_parts(query: StreamingQuery, least: int = PARTS) -> StreamingQuery:
-    """Wait for a draining query, which must have run at least so many micro-batches."""
-    run_to_end(query)
-    last = query.lastProgress
-    if last is None or last["batchId"] + 1 < least:
-        raise RuntimeError(f"fewer than {least} micro-batches: {last and last['batchId'] + 1}")
-    return query
+ATTEMPTS = 3
+
+
+def arrival_stream(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows as a stream of files in the order of `order`, which is total: as many files as the
+    rows need, at least `PARTS`, cut at quantiles, so that no stamp makes one of them large."""
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "arrivals")
+    files = PARTS * max(1, -(-rows.count() // (PARTS * ROWS_PER_FILE)))
+    rows.repartitionByRange(files, *order).sortWithinPartitions(*order).write.parquet(path)
+    order_files(spark, path)
+    options = size_options("parquet", files_per_flush=files // PARTS)
+    return spark.readStream.schema(rows.schema).options(**options).parquet(path)
+
+
+class Landings:
+    """Rows that land below `path` one part after the other: `PARTS` parts of equal widths of `by`,
+    a long, each in as many files as the job that wrote them had tasks. A stream finds them there
+    with `OPTIONS`."""
+
+    OPTIONS = {"recursiveFileLookup": "true"}
+
+    def __init__(self, rows: DataFrame, by: Column) -> None:
+        self.spark, self.schema = rows.sparkSession, rows.schema
+        self.path, self._staged = (scratch_path(self.spark, x) for x in ("landed", "staged"))
+        low, high = rows.agg(F.min(by), F.max(by)).first()
+        self.parts = range(0 if low is None else PARTS)
+        if low is None:
+            rows.write.parquet(self.path)
+        else:
+            part = F.floor((by - low) * PARTS / F.lit(high - low + 1)).cast("int")
+            (rows.withColumn("_part", F.coalesce(part, F.lit(0)))
+             .write.partitionBy("_part").parquet(self._staged))
+
+    def each(self, start: Callable[[], StreamingQuery]) -> None:
+        """Let each part land, and run the draining stream that `start` starts to its end."""
+        for part in self.parts:
+            if move_path(self.spark, f"{self._staged}/_part={part}", f"{self.path}/part{part}"):
+                run_to_end(start())
+        if not self.parts:
+            run_to_end(start())
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as they arrive, in several micro-batches."""
     return views.event_columns(arrival_stream(
-        spark, sf_dir, "events", ntz_to_micros(F.col("ts")), ["ts", "event_id"]))
+        views.table(spark, sf_dir, "events"), ["ts", "event_id"]))
 
 
 def _stateful(spark: SparkSession):
@@ -75,7 +101,7 @@ def _to_parquet(rows: DataFrame, path: str) -> DataFrame:
               .option("checkpointLocation", f"{path}/checkpoint"))
     with _stateful(spark):
         query = with_trigger(writer, drain=True).start()
-    run_in_parts(query)
+    run_to_end(query)
     return spark.read.schema(rows.schema).parquet(f"{path}/out")
 
 
@@ -96,7 +122,7 @@ def stream_quota_ledger(spark, sf_dir):
     """The strict quota with a ledger table."""
     path = scratch_path(spark, "stream-ledger")
     events = with_quota_keys(_events(spark, sf_dir), QUOTA)
-    run_in_parts(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/state",
+    run_to_end(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/state",
                              f"{path}/checkpoint", processed_at="timestamp", drain=True))
     return _ack_columns(spark.read.parquet(f"{path}/out"))
 
@@ -106,7 +132,7 @@ def stream_quota_leased(spark, sf_dir):
     path = scratch_path(spark, "stream-leased")
     policy = QuotaPolicy(limit=6, lease=4, window_sec=21_600)
     events = with_quota_keys(_events(spark, sf_dir), policy)
-    run_in_parts(start_quota(events, policy, ARRIVAL, f"{path}/out", f"{path}/state",
+    run_to_end(start_quota(events, policy, ARRIVAL, f"{path}/out", f"{path}/state",
                              f"{path}/checkpoint", processed_at="timestamp", drain=True))
     return spark.read.parquet(f"{path}/out").select(
         "event_id", "quota_tenant", "window_idx", F.col("accepted").alias("admitted"))
@@ -115,7 +141,7 @@ def stream_quota_leased(spark, sf_dir):
 def stream_cap(spark, sf_dir):
     path = scratch_path(spark, "stream-cap")
     events = with_quota_keys(_events(spark, sf_dir), QUOTA)
-    run_in_parts(start_row_cap(events, ROWS, "window_idx", ARRIVAL, f"{path}/out", f"{path}/state",
+    run_to_end(start_row_cap(events, ROWS, "window_idx", ARRIVAL, f"{path}/out", f"{path}/state",
                                f"{path}/checkpoint", drain=True))
     return spark.read.parquet(f"{path}/out").select("event_id", "window_idx", "buffered")
 
@@ -124,47 +150,129 @@ def stream_event_acks(spark, sf_dir):
     """Quota first, then room in the buffers."""
     path = scratch_path(spark, "stream-acks")
     events = with_quota_keys(_events(spark, sf_dir), QUOTA)
-    run_in_parts(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/state",
+    run_to_end(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/state",
                              f"{path}/checkpoint", processed_at="timestamp", capacity=ROWS,
                              drain=True))
     return _ack_columns(spark.read.parquet(f"{path}/out"))
 
 
+def _topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries as the records of a topic's files. A record's time tells its delivery order
+    within the day."""
+    rows = views.deliveries(spark, sf_dir)
+    within = F.col("l_partkey") * 10_000 + F.col("l_suppkey")
+    return rows.select(
+        F.lit("events").alias("topic"), F.col("event_id").cast("binary").alias("key"),
+        encode_event(*[F.col(name) for name, _, _ in EVENT_FIELDS]).alias("value"),
+        F.timestamp_micros(ntz_to_micros(F.col("l_shipdate")) + within).alias("timestamp"))
+
+
+def _persisted(spark: SparkSession, sf_dir: str, after_write: Callable[[int], None] | None = None,
+               **bounds: str) -> tuple[DataFrame, str]:
+    """Deliveries from a topic to the event table: the table's rows, and the folder of flushes."""
+    path = scratch_path(spark, "stream-persist")
+    name = "tidegate_" + path[-12:]
+    create_table(spark, name, f"{path}/table", buckets=8)
+    landings = Landings(_topic_rows(spark, sf_dir),
+                        F.unix_date(F.col("timestamp").cast("date")).cast("long"))
+
+    def start() -> StreamingQuery:
+        records = read_topic_stream(spark, "events", format="parquet", path=landings.path,
+                                    **landings.OPTIONS, **bounds)
+        return start_persist(records, name, ["time"], f"{path}/dead-letters", f"{path}/flushes",
+                             f"{path}/checkpoint", drain=True, after_write=after_write)
+
+    def start_again() -> StreamingQuery:
+        """A second start where the first one failed, from the checkpoint."""
+        query = start()
+        try:
+            return run_to_end(query)
+        except StreamingQueryException:
+            return start()
+
+    landings.each(start if after_write is None else start_again)
+    rows = read_table(spark, name).select("event_id", "tenant_id", "payload", "event_timestamp")
+    return rows, f"{path}/flushes"
+
+
 def stream_persist(spark, sf_dir):
-    """Deliveries as encoded records, decoded and persisted."""
-    return spark.read.parquet(f"{_persisted(spark, sf_dir)}/table").select(
-        "event_id", "tenant_id", "payload", "event_timestamp")
+    """Records of a topic decoded and persisted, in flushes of bounded bytes."""
+    return _persisted(spark, sf_dir, **size_options("parquet", bytes_per_flush=BYTES_PER_FLUSH))[0]
 
 
 def stream_flushes(spark, sf_dir):
-    """What each flush of the same stream wrote, with the running total."""
-    return flush_report(spark, f"{_persisted(spark, sf_dir)}/flushes").select(
+    """What each flush of the same stream wrote, with the running total; a flush is a part."""
+    return flush_report(spark, _persisted(spark, sf_dir)[1]).select(
         "batch_id", "attempted", "inserted", "undecodable", "constraint_failures",
         "total_persisted")
 
 
-def _persisted(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_path(spark, "stream-persist")
+def stream_retried(spark, sf_dir):
+    """The same stream where the second flush fails once, after its rows are written and before
+    its offsets are committed."""
+    failed = []
+
+    def fail_once(batch_id: int) -> None:
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost the connection before the commit")
+
+    return _persisted(spark, sf_dir, after_write=fail_once)[0]
+
+
+def dead_letter_persisted(spark, sf_dir):
+    """Dead letters tried again: what can be decoded is stored once, although every fifth record
+    was dead-lettered twice, and what still fails after the last attempt is set apart."""
+    path = scratch_path(spark, "replay")
     name = "tidegate_" + path[-12:]
     create_table(spark, name, f"{path}/table", buckets=8)
-    lines = arrival_stream(spark, sf_dir, "lineitem", F.unix_date(F.col("l_shipdate").cast("date")),
-                           views.DELIVERY_ORDER)
-    records = as_records(views.delivery_columns(lines), views.DELIVERY_ORDER)
-    run_in_parts(start_persist(records, name, views.DELIVERY_ORDER, f"{path}/dead-letters",
-                               f"{path}/flushes", f"{path}/checkpoint", drain=True))
-    spark.sql(f"DROP TABLE {name}")
-    return path
+    failed = views.records(spark, sf_dir).select(
+        F.col("time").alias("failed_at"), "topic", "key", F.lit("timed out").alias("error"),
+        "value")
+    twice = failed.where(F.col("key").cast("string").cast("long") % 5 == 0)
+    dead_letter_lines(failed.unionByName(twice)).write.text(f"{path}/letters")
+    drain_replay(lambda: start_replay(
+        spark, f"{path}/letters", name, ["failed_at", "payload"], f"{path}/poison",
+        f"{path}/checkpoint", ATTEMPTS, drain=True))
+    stored = read_table(spark, name).groupBy("event_id", "payload").agg(
+        F.count(F.lit(1)).alias("lines")).select(
+        "event_id", F.lit("stored").alias("status"), F.lit(None).cast("int").alias("attempts"),
+        "payload", "lines")
+    poison = parse_dead_letters(spark.read.option("recursiveFileLookup", "true")
+                                .text(f"{path}/poison"))
+    return stored.unionByName(
+        poison.groupBy(F.col("key").alias("event_id"), attempt_of(F.col("error")).alias("attempts"))
+        .agg(F.count(F.lit(1)).alias("lines"))
+        .withColumns({"status": F.lit("poison"), "payload": F.lit(None).cast("string")}))
+
+
+def stream_batch_acks(spark, sf_dir):
+    """Batches against the quota and the buffers, with the fill of each shard handed on."""
+    path = scratch_path(spark, "stream-batches")
+    requests = arrival_stream(views.batch_requests(spark, sf_dir), BATCH_ORDER)
+    run_to_end(start_batch_acks(requests, BATCH_QUOTA, BATCHES, BATCH_ORDER, f"{path}/out",
+                                f"{path}/state", f"{path}/checkpoint", processed_at="timestamp",
+                                drain=True))
+    return spark.read.parquet(f"{path}/out").select(
+        "batch_id", "quota_tenant", "n", "accepted", "accepted_count", "rejected_count", "message",
+        "processed_at")
 
 
 def stream_late(spark, sf_dir):
     """The strict quota over events that arrive by number rather than by time, some stamped far
     in the future: rows of windows that their tenant has closed come out as late."""
     path = scratch_path(spark, "stream-late")
-    rows = arrival_stream(spark, sf_dir, "events", F.col("event_id"), ["event_id"])
-    events = with_quota_keys(views.misdated(views.event_columns(rows)), QUOTA)
-    run_in_parts(start_quota(events, QUOTA, ["timestamp", "seq"], f"{path}/out", f"{path}/state",
-                             f"{path}/checkpoint", processed_at="timestamp",
-                             keep_windows=KEEP_WINDOWS, drain=True))
+    landings = Landings(views.table(spark, sf_dir, "events"), F.col("event_id"))
+
+    def start() -> StreamingQuery:
+        rows = (spark.readStream.schema(landings.schema).options(**landings.OPTIONS)
+                .parquet(landings.path))
+        events = with_quota_keys(views.misdated(views.event_columns(rows)), QUOTA)
+        return start_quota(events, QUOTA, ["timestamp", "seq"], f"{path}/out", f"{path}/state",
+                           f"{path}/checkpoint", processed_at="timestamp",
+                           keep_windows=KEEP_WINDOWS, drain=True)
+
+    landings.each(start)
     late = spark.read.parquet(f"{path}/out-late").select(
         "event_id", "quota_tenant", "window_idx", F.lit(False).alias("accepted"),
         F.col("reason").alias("message"))
@@ -187,5 +295,8 @@ QUERIES = {
     "stream_late": stream_late,
     "stream_flushes": stream_flushes,
     "stream_persist": stream_persist,
+    "stream_retried": stream_retried,
+    "stream_batch_acks": stream_batch_acks,
+    "dead_letter_persisted": dead_letter_persisted,
     "stream_dedupe_bounded": stream_dedupe_bounded,
 }

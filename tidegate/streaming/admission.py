@@ -20,8 +20,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.operators.acks import event_acks
-from tidegate.operators.capacity import row_cap
+from tidegate.operators.acks import batch_ack_columns, event_acks
+from tidegate.operators.capacity import batch_cap, batch_room, row_cap
 from tidegate.operators.leased import (TOKENS_SCHEMA, USED_SCHEMA, LeaseState, leased_step,
                                        next_state)
 from tidegate.operators.quota import quota_admission, quota_ledger
@@ -75,7 +75,8 @@ class Horizon:
 
 
 def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, str], out: str,
-           state: str, checkpoint: str, flush: FlushSettings, drain: bool) -> StreamingQuery:
+           state: str, checkpoint: str, flush: FlushSettings, drain: bool,
+           folder: str = "batch_id") -> StreamingQuery:
     schemas = schemas | horizon.schemas
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -88,9 +89,9 @@ def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, s
         try:
             rows, late = horizon.split(batch, before)
             if late is not None:
-                late.write.mode("overwrite").parquet(f"{out}-late/batch_id={batch_id}")
+                late.write.mode("overwrite").parquet(f"{out}-late/{folder}={batch_id}")
             rows, after = step(rows, before)
-            rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            rows.write.mode("overwrite").parquet(f"{out}/{folder}={batch_id}")
             for name, table in after.items():
                 table.write.mode("overwrite").parquet(f"{state}/{name}/{batch_id % 2}")
         finally:
@@ -165,3 +166,32 @@ def start_row_cap(events: DataFrame, capacity: Capacity, interval: str, order: l
 
     return _start(events, step, horizon, {"taken": f"{interval} long, used long"}, out, state,
                   checkpoint, flush, drain)
+
+
+def start_batch_acks(requests: DataFrame, policy: QuotaPolicy, capacity: Capacity,
+                     order: list[str], out: str, state: str, checkpoint: str,
+                     processed_at: str | None = None, keep_windows: int | None = None,
+                     flush: FlushSettings = FlushSettings(), drain: bool = False
+                     ) -> StreamingQuery:
+    """Acknowledgements of a stream of batches with quota keys and the size `n`, under the strict
+    quota and the buffers of each window. The state is what each tenant's window used, and how many
+    batches and events each window's shards got. `keep_windows` closes windows behind the newest
+    of all, so stamps should be checked first. Folders are named `flush`, as rows may have a
+    `batch_id` of their own."""
+    stamp = None if processed_at is None else F.col(processed_at)
+    horizon = Horizon(None, "window_idx", keep_windows)
+
+    def step(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
+        charged = quota_admission(batch, policy, order, before["used"], F.col("n"))
+        placed = batch_cap(charged, capacity, "window_idx", order, taking=F.col("admitted"),
+                           taken=before["room"])
+        used = quota_ledger(batch, policy, F.col("n"), before["used"])
+        room = batch_room(placed, capacity, "window_idx", taken=before["room"])
+        used, newest = horizon.after(batch, used, before)
+        room, _ = horizon.after(batch, room, before)
+        return (batch_ack_columns(placed, batch.columns, stamp),
+                {"used": used, "room": room, **newest})
+
+    return _start(requests, step, horizon, {
+        "used": USED_SCHEMA, "room": "window_idx long, shard long, batches long, used long"},
+        out, state, checkpoint, flush, drain, folder="flush")

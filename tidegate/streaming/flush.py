@@ -13,11 +13,14 @@ FLUSH_SCHEMA = ("batch_id long, attempted long, inserted long, undecodable long,
                 "constraint_failures long, latency_ms long")
 
 
-def size_options(format: str, flush: FlushSettings = FlushSettings(),
-                 files_per_flush: int = 1) -> dict[str, str]:
-    """Reader options that bound a micro-batch: records of a Kafka topic, files elsewhere."""
+def size_options(format: str, flush: FlushSettings = FlushSettings(), files_per_flush: int = 1,
+                 bytes_per_flush: int | None = None) -> dict[str, str]:
+    """Reader options that bound a micro-batch: records of a Kafka topic, and elsewhere files, or
+    the bytes of files (one file is taken whole). Files should hold no more rows than a flush."""
     if format == "kafka":
         return {"maxOffsetsPerTrigger": str(flush.batch_size)}
+    if bytes_per_flush is not None:
+        return {"maxBytesPerTrigger": str(bytes_per_flush)}
     return {"maxFilesPerTrigger": str(files_per_flush)}
 
 

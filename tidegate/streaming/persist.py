@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,19 +24,27 @@ from tidegate.sources.table import insert_batch
 from tidegate.streaming.flush import FLUSH_SCHEMA, with_trigger
 
 
+def writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of a checkpoint's query. Spark notes it there before the first batch."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def start_persist(records: DataFrame, name: str, order: list[str], dead_letters: str,
                   flushes: str, checkpoint: str, flush: FlushSettings = FlushSettings(),
-                  drain: bool = False) -> StreamingQuery:
+                  drain: bool = False,
+                  after_write: Callable[[int], None] | None = None) -> StreamingQuery:
     """Decode records (`topic`, `key`, `value` and the `order` columns), set aside those that
     cannot be decoded or stored, and write the rest to the event table `name`.
 
     `dead_letters` gets their lines and `flushes` one row of counts per micro-batch.
+    `after_write` is called on the driver with a batch's number when all of it is written, before
+    its offsets are committed: to tell others, who may hear of a batch twice. If it raises, the
+    query fails and the batch comes again.
     """
 
     @lru_cache(maxsize=1)
     def writer_id(spark: SparkSession) -> str:
-        # Spark notes the identity of a query there before its first batch.
-        return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        return writer_of(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         begin = time.monotonic()
@@ -58,6 +67,8 @@ def start_persist(records: DataFrame, name: str, order: list[str], dead_letters:
                failed["broken"], int((time.monotonic() - begin) * 1000))
         (batch.sparkSession.createDataFrame([row], FLUSH_SCHEMA).coalesce(1)
          .write.mode("overwrite").parquet(f"{flushes}/writer={writer}/flush={batch_id}"))
+        if after_write is not None:
+            after_write(batch_id)
 
     stream = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return with_trigger(stream, flush, drain).start()
