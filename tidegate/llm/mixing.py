@@ -1,27 +1,33 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Token counts per cell (source, language, topic) are raked until their sums by source, by language
-and by topic meet the target shares, and each document of a cell is kept with a probability that
-follows from the cell's raked weight. Only the table of cells is iterated on, as a distributed
-table; documents are read once for their topic and token count and once to be chosen.
-
-The probability is min(1, c * raked / tokens) of the cell, with c such that the expected tokens
-are `keep` of all tokens. Cells that reach 1 then fall short of their raked weight, and the sample
-misses the targets by that. With `exact` the targets hold for the sample itself: the cells below 1
-are raked again to what the full ones leave of each margin, and the expected tokens are lowered
-from `keep` until no margin asks a value for more tokens than it has. If the margins contradict
-each other (raking alone misses them), the shares are those that raking reaches; `shares` tells
-them. A document is kept if a number drawn by the hash of its id is below the
-probability, so equal ids are kept or dropped together and a rerun chooses the same.
+Token counts per cell (source, language, topic) are raked until the expected sample's sums by
+source, by language and by topic meet the target shares, and each document of a cell is kept with a
+probability that follows from the cell's raked weight. Only the table of cells is iterated on;
+documents are read once for their topic and token count and once to be chosen.
+
+* The expected sample has `keep` of all tokens. A value that has fewer tokens than its share of
+  these keeps all it has, and the others share the rest in proportion to their targets: a rare value
+  costs what it lacks, and not the size of the sample. `gaps` tells what each value got.
+* A probability is at most 1. A round meets each margin in turn by scaling the cells below 1, until
+  all margins are within `gap`. Margins that contradict each other never are; the fit then ends when
+  `patience` rounds have not brought it nearer, and warns.
+* Documents of a cell are taken in the order of a hash of their id until their tokens reach the
+  cell's part; the one that would exceed it is kept with the probability that makes up for it. So
+  the sample itself has the expected shares but for a part of a document per cell. Equal ids are kept or dropped together, and a rerun chooses the same.
+
+Cells of at most `BROADCAST_BYTES` are fitted on the driver, larger tables by a Spark job per
+round; both take the same steps.
 
 Defined cases: null source or language is a value of its own; a null text is empty; documents
 without words have no weight in the fit and are kept with the probability `keep`; a target may
 name a value that no document has, and a value without a target keeps its share: in both cases
-the targets are scaled to add up to 1 over the values that occur; an empty table stays empty.
+the targets are scaled to add up to 1 over the values that occur; an empty table stays empty; rows
+that repeat an id, or have none, are drawn as one; extra columns stay, whatever their names.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,31 +37,35 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.linear import share_of
 from tidegate.llm.memory import release
-from tidegate.llm.storing import stored
+from tidegate.llm.storing import stored, unused
 from tidegate.llm.text import TERMS, blocks, words
+from tidegate.operators.running import running_total
 
 MARGINS = ("source", "lang", "topic")
 
 
+#: Names of cells up to this size go to the driver, or from there to the executors.
+BROADCAST_BYTES = 16 << 20
+
+
 @dataclass(frozen=True)
 class Mix:
     """Expected share of tokens to keep; exponent by which shares without a given target are
-    evened out (1: as they are, 0: all equal); number of topics; least bytes of a topic's word;
-    rounds at most, and the largest relative gap to a target at which they end; whether the
-    expected sample itself is to meet the targets, with fewer tokens than `keep` if need be."""
+    evened out (1: as they are, 0: all equal); number of topics; least bytes of a topic's word; the
+    largest relative gap to a target at which the fit ends, and the rounds without progress after
+    which it ends with a larger one."""
 
     keep: float = 0.8
     evenness: float = 0.7
     topics: int = 8
     topic_bytes: int = 5
-    rounds: int = 12
     gap: float = 1e-3
+    patience: int = 20
     seed: int = 41
-    exact: bool = False
 
     def __post_init__(self) -> None:
-        if not 0 < self.keep <= 1 or self.topics <= 0 or self.rounds <= 0:
-            raise ValueError("keep must be in (0, 1], topics and rounds positive")
+        if not 0 < self.keep <= 1 or self.topics <= 0 or self.patience <= 0:
+            raise ValueError("keep must be in (0, 1], topics and patience positive")
 
 
 def subject(text: Column, rule: Mix = Mix()) -> Column:
@@ -95,195 +105,164 @@ def cells_of(docs: DataFrame) -> DataFrame:
 
 
 def targets_of(cells: DataFrame, margin: str, given: dict | None, rule: Mix) -> DataFrame:
-    """(value, target): the shares that the margin's sums are to have."""
-    sums = cells.groupBy(margin).agg(F.sum("tokens").alias("tokens"))
-    total = F.lit(float(sums.agg(F.sum("tokens")).first()[0] or 1.0))
-    own = F.pow(F.col("tokens") / total, F.lit(rule.evenness))
+    """(value, sum, asked): the tokens of each value, and the share that it is to have."""
+    sums = cells.groupBy(margin).agg(F.sum("tokens").alias("sum"))
+    total = F.lit(float(sums.agg(F.sum("sum")).first()[0] or 1.0))
+    own = F.pow(F.col("sum") / total, F.lit(rule.evenness))
     wish = F.lit(None).cast("double")
     for value, share in (given or {}).items():
         wish = F.when(F.col(margin).eqNullSafe(F.lit(value)), float(share)).otherwise(wish)
     if given:
-        own = F.coalesce(wish, F.col("tokens") / total)
-    rows = stored(sums.select(F.col(margin).alias("value"), own.alias("target")))
-    whole = F.lit(float(rows.agg(F.sum("target")).first()[0] or 1.0))
-    return stored(rows.select("value", (F.col("target") / whole).alias("target")))
-
-
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rule: Mix = Mix()) -> DataFrame:
-    """`cells` with `raked`, the shares after fitting. A round meets each margin in turn; it ends
-    when all margins were within `gap` before they were adjusted."""
-    total = float(cells.agg(F.sum("tokens")).first()[0] or 1.0)
-    raked = stored(cells.withColumn("raked", F.col("tokens") / total))
-    for _ in range(rule.rounds):
-        gaps = []
-        for margin, target in targets.items():
-            sums = raked.groupBy(margin).agg(F.sum("raked").alias("sum"))
-            factor = sums.join(target, F.col(margin).eqNullSafe(F.col("value"))).select(
-                "value", (F.col("target") / F.col("sum")).alias("factor"))
-            raked = raked.join(factor, F.col(margin).eqNullSafe(F.col("value")), "left").select(
-                *MARGINS, "tokens", (F.col("raked") * F.coalesce("factor", F.lit(1.0)))
-                .alias("raked"), *gaps,
-                F.abs(F.coalesce("factor", F.lit(1.0)) - 1).alias(f"gap_{margin}"))
-            gaps.append(f"gap_{margin}")
-        raked = stored(raked)
-        worst = raked.agg(F.max(F.greatest(*gaps)).alias("gap")).first().gap
-        raked = raked.drop(*gaps)
-        if worst is None or worst < rule.gap:
-            break
-    return raked
-
-
-def rates(raked: DataFrame, rule: Mix = Mix()) -> DataFrame:
-    """(source, lang, topic, rate): the probability for each cell's documents. The scale c is
-    found by putting cells that reach 1 aside until no more do."""
-    ratio = F.col("raked") / F.col("tokens")
-    whole = raked.agg(F.sum("tokens")).first()[0]
-    if not whole:
-        return raked.select(*MARGINS, F.lit(rule.keep).alias("rate"))
-    scale = 0.0
-    for _ in range(50):
-        full = ratio * F.lit(scale) >= 1
-        sums = raked.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("full"),
-                         F.sum(F.when(full, 0.0).otherwise(F.col("raked"))).alias("rest")).first()
-        if sums.rest <= 0:
-            break
-        new = (rule.keep * whole - sums.full) / sums.rest
-        if new <= scale * (1 + 1e-12):
-            break
+        own = F.coalesce(wish, F.col("sum") / total)
+    rows = stored(sums.select(F.col(margin).alias("value"), "sum", own.alias("asked")))
+    whole = F.lit(float(rows.agg(F.sum("asked")).first()[0] or 1.0))
+    return stored(rows.select("value", "sum", (F.col("asked") / whole).alias("asked")))
+
+
+def reachable(wanted: DataFrame, kept: float) -> DataFrame:
+    """`wanted` with `target`, the tokens of each value in a sample of `kept`: the share asked for,
+    or all that the value has if that is less, and then the others have more."""
+    scale = 1.0
+    while True:
+        lacks = F.col("asked") * F.lit(scale * kept) >= F.col("sum")
+        got = wanted.agg(F.sum(F.when(lacks, F.col("sum")).otherwise(0.0)).alias("all"),
+                         F.sum(F.when(lacks, 0.0).otherwise(F.col("asked"))).alias("rest")).first()
+        new = (kept - got["all"]) / (got.rest * kept) if got.rest else scale
+        if new <= scale * (1 + 1e-12):  # each step sets more values aside, of which there are few
+            return stored(wanted.withColumn(
+                "target", F.least("sum", F.col("asked") * F.lit(scale * kept))))
         scale = new
-    return raked.select(*MARGINS, F.least(F.lit(1.0), ratio * F.lit(scale)).alias("rate"))
 
 
-#: Cells up to which they are fitted exactly on the driver and their rates are broadcast.
-BROADCAST_CELLS = 100_000
+class _Progress:
+    """Whether a fit goes on after a round that left the largest relative gap `worst`."""
 
-#: Times that the expected tokens are lowered by a tenth before no cell may reach 1.
-LOWERINGS = 8
+    def __init__(self, rule: Mix) -> None:
+        self.rule, self.best, self.waited = rule, float("inf"), 0
 
+    def goes_on(self, worst: float) -> bool:
+        if worst < self.rule.gap:
+            return False
+        self.waited = 0 if worst < 0.9 * self.best else self.waited + 1
+        self.best = min(worst, self.best)
+        if self.waited < self.rule.patience:
+            return True
+        warnings.warn(f"the margins contradict each other: a share is off by {worst:.3g} of it")
+        return False
 
-def exact_rates(raked: DataFrame, targets: dict[str, DataFrame], rule: Mix = Mix()) -> DataFrame:
-    """(source, lang, topic, rate) such that sums of tokens * rate have the target shares.
 
-    Rates are min(1, product of one factor per margin value). A step changes a margin's factors so
-    that its sums are met if no further cell reaches 1; those that do are put right by the next
-    round. Without a cell at 1 it is the step of `rake`."""
-    kept = rule.keep * float(raked.agg(F.sum("tokens")).first()[0] or 0.0)
-    if not kept:
-        return raked.select(*MARGINS, F.lit(rule.keep).alias("rate"))
-    for margin, target in targets.items():
-        sums = raked.groupBy(margin).agg(F.sum("tokens").alias("sum"))
-        most = (sums.join(target.where("target > 0"), F.col(margin).eqNullSafe(F.col("value")))
-                .agg(F.min(F.col("sum") / F.col("target"))).first()[0])
-        kept = min(kept, most)
-    if raked.count() <= BROADCAST_CELLS:
-        return _few_exact_rates(raked, targets, kept, rule)
+#: Factors may grow without end where margins contradict each other.
+_MOST = 1e9
+
+
+def _fit_many(cells: DataFrame, targets: dict[str, DataFrame], rule: Mix) -> DataFrame:
     rate, full = F.col("rate"), F.col("rate") >= 1
-    fit = raked.withColumn("rate", F.col("raked") * F.lit(kept) / F.col("tokens"))
-    for _ in range(LOWERINGS):
-        for _ in range(rule.rounds):
-            gaps = []
-            for margin, target in targets.items():
-                wish = F.col("target") * F.lit(kept)
-                sums = fit.groupBy(margin).agg(
-                    F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("full"),
-                    F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * rate)).alias("free"),
-                    F.sum(F.col("tokens") * rate).alias("all"))
-                factor = (F.when((wish > F.col("full")) & (F.col("free") > 0),
-                                 F.try_divide(wish - F.col("full"), F.col("free")))
-                          .when(wish >= F.col("full"), 1.0)
-                          .otherwise(F.try_divide(wish, F.col("all"))))
-                gap = F.abs(F.try_divide(F.col("full") + F.col("free"), wish) - 1)
-                step = sums.join(target, F.col(margin).eqNullSafe(F.col("value"))).select(
-                    "value", factor.alias("factor"), gap.alias(f"gap_{margin}"))
-                fit = fit.join(step, F.col(margin).eqNullSafe(F.col("value")), "left").select(
-                    *MARGINS, "tokens", "raked",
-                    (rate * F.coalesce("factor", F.lit(1.0))).alias("rate"), *gaps,
-                    F.coalesce(f"gap_{margin}", F.lit(0.0)).alias(f"gap_{margin}"))
-                gaps.append(f"gap_{margin}")
-            fit = stored(fit)
-            worst = fit.agg(F.max(F.greatest(*gaps)).alias("gap")).first().gap
-            fit = fit.drop(*gaps)
-            if worst < rule.gap:
-                return fit.select(*MARGINS, F.least(F.lit(1.0), rate).alias("rate"))
-        kept *= 0.9
-        fit = fit.withColumn("rate", rate * F.lit(0.9))
-    free = raked.where("raked > 0").agg(F.min(F.col("tokens") / F.col("raked"))).first()[0]
-    return raked.select(*MARGINS, F.least(F.lit(1.0), F.col("raked") * F.lit(min(kept, free))
-                                          / F.col("tokens")).alias("rate"))
-
-
-def _few_exact_rates(raked: DataFrame, targets: dict[str, DataFrame], kept: float, rule: Mix
-                     ) -> DataFrame:
-    """The rounds of `exact_rates` without a job for each."""
-    table = raked.toArrow()
-    tokens, share = (table.column(c).to_numpy() for c in ("tokens", "raked"))
-    margins = []
+    fit, progress, worst = cells.withColumn("rate", F.lit(rule.keep)), _Progress(rule), None
+    while worst is None or progress.goes_on(worst):
+        seen = []
+        for margin, target in targets.items():
+            sums = fit.groupBy(margin).agg(
+                F.sum(F.when(full, F.col("tokens")).otherwise(0.0)).alias("full"),
+                F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * rate)).alias("free"),
+                F.sum(F.col("tokens") * rate).alias("every"))
+            wish = F.col("target")
+            factor = (F.when((wish > F.col("full")) & (F.col("free") > 0),
+                             F.try_divide(wish - F.col("full"), F.col("free")))
+                      .when(wish >= F.col("full"), 1.0)
+                      .otherwise(F.try_divide(wish, F.col("every"))))
+            gap = F.abs(F.try_divide(F.col("full") + F.col("free"), wish) - 1)
+            step = sums.join(target, F.col(margin).eqNullSafe(F.col("value"))).select(
+                "value", factor.alias("factor"), gap.alias(f"gap_{margin}"))
+            fit = fit.join(step, F.col(margin).eqNullSafe(F.col("value")), "left").select(
+                *MARGINS, "tokens", F.least(rate * F.coalesce("factor", F.lit(1.0)), F.lit(_MOST))
+                .alias("rate"), *seen, F.coalesce(f"gap_{margin}", F.lit(0.0))
+                .alias(f"gap_{margin}"))
+            seen.append(f"gap_{margin}")
+        fit = stored(fit)
+        worst = fit.agg(F.max(F.greatest(*seen))).first()[0] or 0.0
+        fit = fit.drop(*seen)
+    return fit.withColumn("rate", F.least(F.lit(1.0), rate))
+
+
+def _fit_few(cells: DataFrame, targets: dict[str, DataFrame], rule: Mix) -> DataFrame:
+    table = cells.toArrow()
+    tokens, margins = table.column("tokens").to_numpy(), []
     for margin, target in targets.items():
         own = table.column(margin).combine_chunks().dictionary_encode("encode")
         wish = {r.value: r.target for r in target.collect()}
         margins.append((own.indices.to_numpy(),
                         np.array([wish[v] for v in own.dictionary.to_pylist()], float)))
-
-    def fit(kept: float) -> np.ndarray:
-        rate = kept * share / tokens
-        for _ in range(LOWERINGS):
-            for _ in range(rule.rounds):
-                worst = 0.0
-                for code, target in margins:
-                    def added(values: np.ndarray) -> np.ndarray:
-                        return np.bincount(code, values, len(target))
-                    wish, full, every = target * kept, rate >= 1, added(tokens * rate)
-                    ones, free = added(tokens * full), added(tokens * rate * ~full)
-                    some = wish > 0
-                    worst = max(worst, np.abs((ones + free)[some] / wish[some] - 1).max())
-                    factor = np.where(wish >= ones, 1.0, wish / np.where(every > 0, every, 1.0))
-                    step = (wish > ones) & (free > 0)
-                    factor[step] = (wish - ones)[step] / free[step]
-                    rate = rate * factor[code]
-                if worst < rule.gap:
-                    return rate
-            kept, rate = kept * 0.9, rate * 0.9
-        return min(kept, (tokens[share > 0] / share[share > 0]).min()) * share / tokens
-
-    out = table.select(list(MARGINS)).append_column(
-        "rate", pa.array(np.minimum(1.0, fit(kept))))
-    return raked.sparkSession.createDataFrame(out)
-
-
-def shares(sample: DataFrame, margin: str) -> DataFrame:
-    """(value, share) of the expected tokens of documents (tokens, rate, ...) by one margin."""
-    sums = sample.groupBy(F.col(margin).alias("value")).agg(
-        F.sum(F.col("tokens") * F.col("rate")).alias("sum"))
-    whole = sums.agg(F.sum("sum").alias("whole"))
-    return sums.crossJoin(F.broadcast(whole)).select(
-        "value", F.try_divide("sum", "whole").alias("share"))
+    rate, progress, worst = np.full(len(tokens), rule.keep), _Progress(rule), None
+    while worst is None or progress.goes_on(worst):
+        worst = 0.0
+        for code, wish in margins:
+            def added(values: np.ndarray) -> np.ndarray:
+                return np.bincount(code, values, len(wish))
+            full, every = rate >= 1, added(tokens * rate)
+            ones, free = added(tokens * full), added(tokens * rate * ~full)
+            some = wish > 0
+            worst = max(worst, np.abs((ones + free)[some] / wish[some] - 1).max(initial=0.0))
+            factor = np.where(wish >= ones, 1.0, wish / np.where(every > 0, every, 1.0))
+            step = (wish > ones) & (free > 0)
+            factor[step] = (wish - ones)[step] / free[step]
+            rate = np.minimum(rate * factor[code], _MOST)
+    return cells.sparkSession.createDataFrame(
+        table.append_column("rate", pa.array(np.minimum(1.0, rate))))
+
+
+def _small(cells: DataFrame) -> bool:
+    """Whether the cells, with their names, are at most `BROADCAST_BYTES`."""
+    size = F.coalesce(F.octet_length("source"), F.lit(0)) + F.coalesce(
+        F.octet_length("lang"), F.lit(0)) + F.lit(64)
+    return (cells.agg(F.sum(size.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def _same_cell(suffix: str) -> Column:
+    source, lang, topic = (F.col(m).eqNullSafe(F.col(m + suffix)) for m in MARGINS)
+    return source & lang & topic
 
 
 def fitted(own: DataFrame, targets: dict[str, dict] | None = None, rule: Mix = Mix()
            ) -> DataFrame:
-    """The cells' rates for documents (source, lang, topic, tokens). `targets` may give shares
-    by margin; the shares of the others are evened out."""
+    """(source_of, lang_of, topic_of, rate, cutoff) of each cell of documents (doc_id, source, lang,
+    topic, tokens): the probability, and the draw from which on documents are dropped (null: none).
+    `targets` may give shares by margin; the shares of the others are evened out."""
     cells = stored(cells_of(own))
-    wanted = {m: targets_of(cells, m, (targets or {}).get(m), rule) for m in MARGINS}
-    raked = rake(cells, wanted, rule)
-    return stored(exact_rates(raked, wanted, rule) if rule.exact else rates(raked, rule))
-
-
-def chosen(docs: DataFrame, key: Column, cell: dict[str, Column], tokens: Column,
-           rate: DataFrame, rule: Mix = Mix()) -> DataFrame:
-    """`docs` with `_mix_rate`, and `_mix_keep` from the hash of `key`. `cell` tells what the
-    margins are in `docs`."""
-    named = rate.select(*[F.col(m).alias(f"_mix_{m}_of_rate") for m in MARGINS],
-                        F.col("rate").alias("_mix_rate"))
-    if named.count() <= BROADCAST_CELLS:
-        named = F.broadcast(named)
-    own = docs.withColumns({f"_mix_{m}": cell[m] for m in MARGINS} | {"_mix_tokens": tokens})
-    same = [F.col(f"_mix_{m}").eqNullSafe(F.col(f"_mix_{m}_of_rate")) for m in MARGINS]
-    rated = F.when(F.col("_mix_tokens") > 0, F.col("_mix_rate")).otherwise(F.lit(rule.keep))
-    out = own.join(named, same, "left").withColumn("_mix_rate", rated)
-    out = out.withColumn("_mix_keep", share_of(key, rule.seed) < F.col("_mix_rate"))
-    return out.drop("_mix_tokens", *[f"_mix_{m}" for m in MARGINS],
-                    *[f"_mix_{m}_of_rate" for m in MARGINS])
+    kept = rule.keep * float(cells.agg(F.sum("tokens")).first()[0] or 0.0)
+    wanted = {m: reachable(targets_of(cells, m, (targets or {}).get(m), rule), kept)
+              for m in MARGINS}
+    fit = stored((_fit_few if _small(cells) else _fit_many)(cells, wanted, rule).select(
+        *[F.col(m).alias(f"{m}_of") for m in MARGINS],
+        (F.col("tokens") * F.col("rate")).alias("part"), "rate"))
+    drawn = own.where("tokens > 0").join(
+        F.broadcast(fit) if _small(cells) else fit, _same_cell("_of")).select(
+        *MARGINS, "tokens", "part", share_of(F.col("doc_id"), rule.seed).alias("draw"),
+        (F.col("tokens") * share_of(F.col("doc_id"), rule.seed + 1)).alias("luck"))
+    upto = running_total(drawn, list(MARGINS), ["draw", "tokens"], "upto", F.col("tokens"))
+    beyond = upto.where(F.col("upto") - F.col("luck") > F.col("part"))
+    cutoffs = beyond.groupBy(*MARGINS).agg(F.min("draw").alias("cutoff"))
+    return stored(fit.join(cutoffs, _same_cell("_of"), "left").select(
+        *[f"{m}_of" for m in MARGINS], "rate", "cutoff"))
+
+
+def chosen(docs: DataFrame, key: Column, cell: Column, cells: DataFrame, name: str,
+           rule: Mix = Mix()) -> DataFrame:
+    """`docs` with the struct `name` of `rate` and `keep`. `cell` is a struct of the margins and
+    `tokens` of each row; `cells` comes from `fitted`."""
+    own = unused(docs, "cell")
+    named = cells.select(*[F.col(f"{m}_of").alias(m) for m in MARGINS])
+    small = F.broadcast if _small(named) else (lambda frame: frame)
+    told, at = unused(docs, "fit"), F.col(own)
+    marked = docs.withColumn(own, cell).join(
+        small(cells.select(F.struct("*").alias(told))),
+        at["source"].eqNullSafe(F.col(f"{told}.source_of"))
+        & at["lang"].eqNullSafe(F.col(f"{told}.lang_of"))
+        & at["topic"].eqNullSafe(F.col(f"{told}.topic_of")), "left")
+    draw, some = share_of(key, rule.seed), at["tokens"] > 0
+    rate = F.when(some, F.col(f"{told}.rate")).otherwise(F.lit(rule.keep))
+    keep = F.when(some, draw < F.coalesce(f"{told}.cutoff", F.lit(2.0))).otherwise(
+        draw < F.lit(rule.keep))
+    return marked.withColumn(name, F.struct(rate.alias("rate"), keep.alias("keep"))).drop(own, told)
 
 
 def described(docs: DataFrame, rule: Mix = Mix()) -> DataFrame:
@@ -297,6 +276,36 @@ def mixed(docs: DataFrame, targets: dict[str, dict] | None = None, rule: Mix = M
           ) -> DataFrame:
     """(doc_id, source, lang, topic, tokens, rate, keep) of each document."""
     own = described(docs, rule)
-    out = chosen(own, F.col("doc_id"), {m: F.col(m) for m in MARGINS}, F.col("tokens"),
-                 fitted(own, targets, rule), rule)
-    return out.withColumnsRenamed({"_mix_rate": "rate", "_mix_keep": "keep"})
+    out = chosen(own, F.col("doc_id"), F.struct(*MARGINS, "tokens"), fitted(own, targets, rule),
+                 "mix", rule)
+    return out.select("doc_id", *MARGINS, "tokens", "mix.rate", "mix.keep")
+
+
+def sampled(docs: DataFrame, targets: dict[str, dict] | None = None, rule: Mix = Mix()
+            ) -> DataFrame:
+    """The documents that `mixed` keeps, with all their columns."""
+    cells, told, mix = fitted(described(docs, rule), targets, rule), *unused(docs, "told", "mix")
+    about = F.struct("source", "lang", F.col(f"{told}.topic"), F.col(f"{told}.tokens"))
+    out = chosen(docs.withColumn(told, subject(F.col("text"), rule)), F.col("doc_id"), about, cells,
+                 mix, rule)
+    return out.where(F.col(f"{mix}.keep")).drop(told, mix)
+
+
+def gaps(sample: DataFrame, targets: dict[str, dict] | None = None, rule: Mix = Mix()
+         ) -> DataFrame:
+    """(margin, value, asked, expected, got): the share that each value of each margin was to have
+    in a result of `mixed`, has by the probabilities, and has in what was kept."""
+    cells = stored(cells_of(sample))
+    expected, got = F.col("tokens") * F.col("rate"), F.when(F.col("keep"), F.col("tokens"))
+    whole = sample.agg(F.sum(expected).alias("expected"), F.sum(got).alias("got")).first()
+    out = None
+    for margin in MARGINS:
+        sums = sample.groupBy(F.col(margin).cast("string").alias("is")).agg(
+            (F.sum(expected) / F.lit(float(whole.expected or 1.0))).alias("expected"),
+            (F.coalesce(F.sum(got), F.lit(0)) / F.lit(float(whole.got or 1.0))).alias("got"))
+        wish = targets_of(cells, margin, (targets or {}).get(margin), rule)
+        rows = wish.join(sums, F.col("value").cast("string").eqNullSafe(F.col("is"))).select(
+            F.lit(margin).alias("margin"), F.col("value").cast("string").alias("value"), "asked",
+            "expected", "got")
+        out = rows if out is None else out.unionByName(rows)
+    return out

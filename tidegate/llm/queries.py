@@ -26,10 +26,11 @@ def rating(labels: DataFrame) -> DataFrame:
         F.col("quality") == 0, 0).when(F.col("quality") == 1, good).alias("grade"))
 
 
-def with_quality(docs: DataFrame, every_doc: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` with the struct `_quality`, judged by a model of all rated documents."""
+def with_quality(docs: DataFrame, every_doc: DataFrame, labels: DataFrame,
+                 name: str = "_quality") -> DataFrame:
+    """`docs` with the struct `name`, judged by a model of all rated documents."""
     model = quality.fit(every_doc.select(F.col("doc_id").alias("id"), "text"), rating(labels))
-    return docs.withColumn("_quality", quality.assess(docs, F.col("text"), model))
+    return docs.withColumn(name, quality.assess(docs, F.col("text"), model))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +40,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("_quality.selected").alias("keep"))
 
 
-def with_toxicity(docs: DataFrame, every_doc: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` with the struct `_toxicity`. Toxic words differ by language, so the chain goes from
+def with_toxicity(docs: DataFrame, every_doc: DataFrame, labels: DataFrame,
+                  name: str = "_toxicity") -> DataFrame:
+    """`docs` with the struct `name`. Toxic words differ by language, so the chain goes from
     toxic in English and toxic in another language to toxic at all, which decides."""
     toxic, english = F.col("toxic") == 1, F.col("lang") == "en"
     categories = {"toxic_english": toxic & english, "toxic_other": toxic & ~english,
@@ -48,7 +50,7 @@ def with_toxicity(docs: DataFrame, every_doc: DataFrame, labels: DataFrame) -> D
     chain = toxicity.fit(
         every_doc.select(F.col("doc_id").cast("long").alias("id"), "text", "lang"),
         labels.select(F.col("doc_id").cast("long").alias("id"), "toxic"), categories, "toxic")
-    return docs.withColumn("_toxicity", toxicity.assess(docs, F.col("text"), chain))
+    return docs.withColumn(name, toxicity.assess(docs, F.col("text"), chain))
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,8 +117,7 @@ LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(_table(spark, sf_dir, "documents"), {"lang": LANGUAGES},
-                        mixing.Mix(exact=True))
+    return mixing.mixed(_table(spark, sf_dir, "documents"), {"lang": LANGUAGES})
 
 
 PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")

@@ -12,6 +12,17 @@ from pyspark.sql import DataFrame
 from tidegate.session import scratch_path
 
 
+def unused(df: DataFrame, *names: str):
+    """Column names that start like `names` and that `df` doesn't have: one, or a list."""
+    there, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in there:
+            name += "_"
+        there.add(name.lower())
+        out.append(name)
+    return out[0] if len(out) == 1 else out
+
+
 def stored(df: DataFrame, label: str = "table") -> DataFrame:
     """The rows written as Parquet below the shared folder and read back."""
     path = scratch_path(df.sparkSession, label)
