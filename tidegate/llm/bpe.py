@@ -30,7 +30,7 @@ NONE = np.iinfo(np.int32).max
 #: Pre-tokens of more bytes get a tree of their own.
 BATCH_BYTES = 512
 #: A worker remembers between one and two times so many encoded chunks.
-REMEMBERED = 100_000
+REMEMBERED = 50_000
 BLOCK_CHARS = 1 << 21
 
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -83,6 +83,13 @@ class Vocabulary:
     added: dict[str, int]
     heads: Memory = field(default_factory=lambda: Memory(), repr=False)  # ids of chunks
     rest: Memory = field(default_factory=lambda: Memory(), repr=False)  # with a space before them
+    _by_pair: dict[int, int] = field(default_factory=dict, repr=False)
+
+    def rank_by_pair(self) -> dict[int, int]:
+        """Rank of each of `pairs`; made by the worker that first needs it."""
+        if not self._by_pair:
+            self._by_pair.update(zip(self.pairs.tolist(), self.ranks.tolist()))
+        return self._by_pair
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, NONE where it doesn't merge or a side is -1."""
@@ -129,7 +136,7 @@ def merge_one(symbols: np.ndarray, vocab: Vocabulary) -> np.ndarray:
                                            tree[2 * level + 1:4 * level:2])
     tree, ids = tree.tolist(), symbols.tolist()
     after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-    rank_of = dict(zip(vocab.pairs.tolist(), vocab.ranks.tolist()))
+    rank_of = vocab.rank_by_pair()
 
     def put(leaf: int, value: int) -> None:
         leaf += size

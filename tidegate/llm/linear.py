@@ -92,21 +92,42 @@ def feature_rows(texts: pa.Array, features: Callable, bits: int
         yield first, features(data, offsets, bits)
 
 
+#: Features that a product holds as doubles at a time.
+_HELD = 1 << 20
+
+
+def _stretches(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about `_HELD` features; one long row is a run."""
+    first, rows = 0, len(offsets) - 1
+    while first < rows:
+        end = int(np.searchsorted(offsets, offsets[first] + _HELD, "right")) - 1
+        yield first, (end := min(max(end, first + 1), rows))
+        first = end
+
+
 def times(rows: Rows, weights: np.ndarray) -> np.ndarray:
     """Each row's product with the weights."""
     offsets, index, value = rows
-    if len(offsets) < 2:
-        return np.zeros(0)
-    if (offsets[1:] > offsets[:-1]).all():
-        return np.add.reduceat(weights[index] * value, offsets[:-1])
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    return np.bincount(owner, weights[index] * value, len(offsets) - 1)
+    out = np.zeros(len(offsets) - 1)
+    for a, b in _stretches(offsets):
+        own, inside = offsets[a:b + 1] - offsets[a], slice(offsets[a], offsets[b])
+        product = weights[index[inside]] * value[inside]
+        if (own[1:] > own[:-1]).all():
+            out[a:b] = np.add.reduceat(product, own[:-1])
+        else:
+            out[a:b] = np.bincount(np.repeat(np.arange(b - a), np.diff(own)), product, b - a)
+    return out
 
 
 def back(rows: Rows, residual: np.ndarray, size: int) -> np.ndarray:
     """The transposed product."""
     offsets, index, value = rows
-    return np.bincount(index, value * np.repeat(residual, np.diff(offsets)), size)
+    out = np.zeros(size)
+    for a, b in _stretches(offsets):
+        inside = slice(offsets[a], offsets[b])
+        spread = np.repeat(residual[a:b], np.diff(offsets[a:b + 1]))
+        out += np.bincount(index[inside], value[inside] * spread, size)
+    return out
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

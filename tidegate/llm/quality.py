@@ -54,8 +54,11 @@ def fit(docs: DataFrame, ratings: DataFrame, rule: Ratings = Ratings()) -> Model
         table = table.sort_by([("id", "ascending")])
         grade = np.asarray(table.column("grade"), np.int64)
         grades, place = np.unique(grade, return_inverse=True)
-        model = linear.fit_ordinal(linear.rows_of(table.column("row")), place, len(grades),
-                                   1 << rule.bits, rule.ridge) if len(grades) > 1 else None
+        features = linear.rows_of(table.column("row"))
+        del table  # its features are the better part of the memory
+        release()
+        model = linear.fit_ordinal(features, place, len(grades), 1 << rule.bits,
+                                   rule.ridge) if len(grades) > 1 else None
         return pa.table({
             "grades": pa.array([grades.tolist()], pa.list_(pa.int64())),
             "weights": pa.array([model.weights.astype(np.float32).tobytes() if model else b""]),
