@@ -1,7 +1,8 @@
 """Events as protobuf bytes.
 
-Encoding is built from Spark expressions, so it runs inside the JVM. Decoding has to accept
-any field order and unknown fields and goes through Arrow batches with the protobuf runtime.
+Encoding is built from Spark expressions, so it runs inside the JVM. Decoding goes through Arrow
+batches: records in the encoder's form are read all at once, and the protobuf runtime decides on
+the others, which may have any field order and unknown fields.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -115,25 +117,106 @@ def event_message():
     return message_factory.GetMessageClass(pool.FindMessageTypeByName("tidegate.Event"))
 
 
+def _varints(data: np.ndarray, at: np.ndarray, end: np.ndarray, wanted: np.ndarray, most: int
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers that begin at `at` where `wanted`, the places after them, and which of them end
+    in time, within `most` bytes and 64 bits."""
+    value, fine, going = np.zeros(len(at), np.uint64), wanted.copy(), wanted.copy()
+    for k in range(most):
+        if not going.any():
+            break
+        inside = going & (at < end)
+        fine &= inside | ~going
+        byte = data[np.where(inside, at, 0)]
+        if k == 9:
+            fine &= ~inside | (byte <= 1)
+        digit = (byte & 127).astype(np.uint64) << np.uint64(7 * k)
+        value |= np.where(inside, digit, np.uint64(0))
+        at, going = at + inside, inside & (byte >= 128)
+    return value, at, fine & ~going
+
+
+def _spans(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The bytes from `start`, `size` of them, of each row."""
+    ends = np.concatenate(([0], np.cumsum(size)))
+    picked = data[np.arange(ends[-1]) + np.repeat(start - ends[:-1], size)]
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)),
+                                       pa.py_buffer(picked)])
+
+
+def _not_text(column: pa.Array) -> np.ndarray:
+    """Which rows are not UTF-8."""
+    bad = np.zeros(len(column), bool)
+    try:
+        column.cast(pa.large_string())
+    except pa.ArrowInvalid:
+        for i, value in enumerate(column.to_pylist()):
+            try:
+                value.decode()
+            except UnicodeDecodeError:
+                bad[i] = True
+    return bad
+
+
+def scan_records(values: pa.Array) -> tuple[dict[str, pa.Array], np.ndarray]:
+    """The event fields of all records at once, and which records they hold for: those that have
+    each field at most once and in order, as the encoder writes them, and nothing else."""
+    values = values.cast(pa.large_binary()).fill_null(b"")
+    if not len(values):
+        return {name: pa.array([], pa.large_binary() if kind == "string" else pa.int64())
+                for name, _, kind in EVENT_FIELDS}, np.zeros(0, bool)
+    _, offset_buffer, data_buffer = values.buffers()
+    offsets = np.frombuffer(offset_buffer, np.int64)[values.offset:values.offset + len(values) + 1]
+    data = np.frombuffer(data_buffer, np.uint8) if data_buffer else np.zeros(0, np.uint8)
+    data = data if len(data) else np.zeros(1, np.uint8)
+    at, end, good, fields = offsets[:-1].copy(), offsets[1:], np.ones(len(values), bool), {}
+    for name, number, kind in EVENT_FIELDS:
+        tag = number << 3 | (_WIRE_BYTES if kind == "string" else _WIRE_VARINT)
+        there = good & (at < end) & (data[np.minimum(at, len(data) - 1)] == tag)
+        value, after, fine = _varints(data, at + 1, end, there, 5 if kind == "string" else 10)
+        size = np.zeros(len(at), np.int64)
+        if kind == "string":
+            fine &= value <= np.maximum(end - after, 0).astype(np.uint64)
+            size = np.where(fine, value, np.uint64(0)).astype(np.int64)
+            fields[name] = _spans(data, np.where(fine, after, 0), size)
+        else:
+            fields[name] = pa.array(np.where(fine, value, np.uint64(0)).view(np.int64))
+        good &= fine | ~there
+        at = np.where(there & fine, after + size, at)
+    good &= at == end
+    for name, _, kind in EVENT_FIELDS:
+        if kind == "string":
+            good &= ~_not_text(fields[name])
+    return fields, good
+
+
 def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    message = event_message()
-    parse, blank = message.FromString, message()
+    parse = None
     for batch in batches:
+        fields, good = scan_records(batch.column("value"))
+        # The runtime has the say on records of any other form, one by one.
+        others = np.flatnonzero(~good)
         events, errors = [], []
-        for value in batch.column("value").to_pylist():
+        if len(others) and parse is None:
+            message = event_message()
+            parse, blank = message.FromString, message()
+        for value in batch.column("value").take(pa.array(others)).to_pylist():
             try:
                 events.append(parse(value or b""))
                 errors.append(None)
             except Exception as exc:  # any undecodable value goes to quarantine
                 events.append(blank)
                 errors.append(f"{type(exc).__name__}: {exc}")
-        bad = pa.array([e is not None for e in errors], pa.bool_())
-        arrays = list(batch.columns)
+        mask, arrays = pa.array(~good), list(batch.columns)
         for name, _, kind in EVENT_FIELDS:
             arrow_type = pa.string() if kind == "string" else pa.int64()
-            column = pa.array([getattr(e, name) for e in events], arrow_type)
-            arrays.append(pc.if_else(bad, pa.scalar(None, arrow_type), column))
-        arrays.append(pa.array(errors, pa.string()))
+            told = pa.array([None if error is not None else getattr(event, name)
+                             for event, error in zip(events, errors)], arrow_type)
+            kept = pc.if_else(mask, pa.scalar(None, fields[name].type), fields[name])
+            arrays.append(pc.replace_with_mask(kept.cast(arrow_type), mask, told))
+        wrong = pa.array([None] * len(good), pa.string())
+        arrays.append(pc.replace_with_mask(wrong, mask, pa.array(errors, pa.string())))
         names = batch.schema.names + [name for name, _, _ in EVENT_FIELDS] + ["error"]
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
