@@ -43,7 +43,7 @@ def plain_top(rows, k):
                   for r, (s, j) in enumerate(sorted(own)[:k]))
 
 
-@pytest.mark.parametrize("case", ["random", "ties", "odd", "empty", "large"])
+@pytest.mark.parametrize("case", ["random", "ties", "odd", "empty", "large", "lengths", "copies"])
 def test_top_k(spark, case):
     rng = np.random.default_rng(4)
     rows = {"random": [(i, rng.normal(0, 0.3, 8).tolist()) for i in range(300)],
@@ -52,7 +52,11 @@ def test_top_k(spark, case):
                     (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [3.0]),
                     (8, [1.0, 2.0, 3.0]), (8, [1.0, 2.0, 3.0]), (0, [-1.0, 0.5])],
             "empty": [],
-            "large": [(i, [float(x) * 1e6 for x in rng.normal(0, 1, 4)]) for i in range(90)]}[case]
+            "large": [(i, [float(x) * 1e6 for x in rng.normal(0, 1, 4)]) for i in range(90)],
+            "lengths": [(i, (rng.normal(0, 1, 8) * 2.0 ** (i % 9 - 4)).tolist())
+                        for i in range(300)],
+            "copies": [(i, (np.eye(6)[i % 6] * 3 + rng.normal(0, 0.02, 6)).tolist())
+                       for i in range(300)]}[case]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn(
         "block", F.lit("x")).repartition(3)
     vectors = topk.integer_vectors(frame, "vec_id", "embedding")
@@ -60,6 +64,28 @@ def test_top_k(spark, case):
     assert sorted(map(tuple, got)) == plain_top(rows, 5)
 
 
+def test_top_k_leaves_out_what_cannot_reach_the_cutoff():
+    rng, search = np.random.default_rng(5), Search(3, 4, 64, 8)
+    cells = rng.integers(-9, 10, (64, 16)) + 200 * np.eye(16, dtype=int)[np.arange(64) % 16]
+    asked = cells[:8].astype(np.int16)
+    scores = asked.astype(np.int64) @ cells.T
+    cuts = np.sort(scores, axis=1)[:, -4].copy()
+    tile = topk._Tile({"q_ids": np.arange(8).tobytes(), "q_dims": 16, "q_cells": asked.tobytes(),
+                       "c_ids": np.arange(64).tobytes(), "c_dims": 16, "cuts": cuts.tobytes(),
+                       "c_cells": cells.astype(np.int16).tobytes()}, search.slices)
+    scored = []
+    exact = tile.exact
+    tile.exact = lambda q, at, first=0: scored.append((len(at), first)) or exact(q, at, first)
+    query, at, score = topk._collected(search)(tile)
+    assert sorted(zip(query, at, score)) == [
+        (q, c, scores[q, c]) for q in range(8) for c in range(64) if scores[q, c] >= cuts[q]]
+    [(pairs, first)] = scored
+    assert pairs < 8 * 64 / 8 and first < search.slices
+    length = np.linalg.norm(cells.astype(float), axis=1)
+    assert (topk._needed(cuts, length[:8]) <= length.max()).all()
+    assert (topk._needed(cuts * 9, length[:8]) > length.max()).all()
+
+
 def test_archives_come_back(spark):
     big = "<p>é" * 60_000
     rows = [(5, "http://a/ b\r\nX: y", big), (3, "http://b/", big), (9, None, big), (1, "u", "s"),
