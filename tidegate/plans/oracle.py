@@ -51,6 +51,15 @@ firsts AS (
   QUALIFY row_number() OVER (PARTITION BY event_id
                              ORDER BY l_shipdate, l_partkey, l_suppkey) = 1)"""
 
+CUSTOMERS = """
+placed AS (
+  SELECT o_orderkey, 'customer-' || o_custkey AS quota_tenant, epoch_us(o_orderdate) * 1000 AS ns,
+         epoch_us(o_orderdate) // 1000000 // (48 * 2592000) AS window_idx
+  FROM orders),
+parted AS (
+  SELECT *, dense_rank() OVER (ORDER BY CAST(ns - low AS HUGEINT) * 6 // (high - low + 1)) AS part
+  FROM placed, (SELECT min(ns) AS low, max(ns) AS high FROM placed))"""
+
 CALLS = """
 calls AS (
   SELECT CASE l_returnflag WHEN 'A' THEN 'unary' WHEN 'N' THEN 'batch' ELSE 'stream' END AS mode,
@@ -377,6 +386,29 @@ kept AS (
 SELECT mode, worker_id, call_no, sample_no, latency FROM kept WHERE sample_no <= 50""",
     "stream_quota": SAME_AS_ADMISSION,
     "stream_quota_ledger": SAME_AS_ADMISSION,
+    "stream_quota_idle": f"""
+WITH {CUSTOMERS}
+SELECT o_orderkey, quota_tenant, window_idx,
+       row_number() OVER (PARTITION BY quota_tenant, window_idx ORDER BY ns, o_orderkey) <= 6
+         AS accepted
+FROM placed""",
+    "stream_quota_sweeps": f"""
+WITH {CUSTOMERS},
+heard AS (SELECT DISTINCT quota_tenant, part FROM parted),
+flushes AS (SELECT DISTINCT part FROM parted),
+last AS (
+  SELECT f.part, h.quota_tenant, max(h.part) AS last,
+         max(CASE WHEN h.part < f.part THEN h.part END) AS earlier
+  FROM flushes f JOIN heard h ON h.part <= f.part GROUP BY ALL),
+used AS (SELECT quota_tenant, window_idx, min(part) AS since FROM parted GROUP BY ALL),
+ledger AS (
+  SELECT l.part, count(*) AS n FROM last l JOIN used u
+  ON u.quota_tenant = l.quota_tenant AND u.since <= l.part
+  WHERE l.last >= l.part - 1 GROUP BY ALL)
+SELECT l.part - 1 AS batch_id, count(*) FILTER (last >= l.part - 1) AS tenants_held,
+       any_value(n) AS ledger_rows, count(*) FILTER (last = l.part - 2) AS tenants_forgotten,
+       count(*) FILTER (last = l.part AND earlier <= l.part - 3) AS tenants_back
+FROM last l JOIN ledger g ON g.part = l.part GROUP BY l.part""",
     "stream_event_acks": f"""
 WITH {FITTED}
 SELECT event_id, tenant_id, quota_tenant, window_idx, accepted, message, processed_at

@@ -8,6 +8,7 @@ micro-batch holds, the table lands part by part instead, and the stream takes ea
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,6 +28,7 @@ from tidegate.streaming.admission import start_batch_acks, start_quota, start_ro
 from tidegate.streaming.dedupe import drop_repeats
 from tidegate.streaming.flush import (flush_report, run_to_end, session_settings, size_options,
                                       with_trigger)
+from tidegate.streaming.forgetting import SWEEP_SCHEMA, Forgetting
 from tidegate.streaming.leases import KEYED_STATE, leased_quota
 from tidegate.streaming.persist import start_persist
 from tidegate.streaming.replay import attempt_of, drain_replay, start_replay
@@ -41,6 +43,9 @@ PARTS = 4
 ROWS_PER_FILE = 1_000_000
 BYTES_PER_FLUSH = 256 << 20
 KEEP_WINDOWS = 8
+LONG_QUOTA = QuotaPolicy(limit=6, window_sec=48 * views.MONTH_SEC)
+LONG_PARTS = 6
+TICK_SEC = 60
 ATTEMPTS = 3
 
 
@@ -56,21 +61,23 @@ def arrival_stream(rows: DataFrame, order: list[str]) -> DataFrame:
 
 
 class Landings:
-    """Rows that land below `path` one part after the other: `PARTS` parts of equal widths of `by`,
-    a long, each in as many files as the job that wrote them had tasks. A stream finds them there
+    """Rows that land below `path` one part after the other: parts of equal widths of `by`, a long,
+    each in as many files as the job that wrote them had tasks. A stream finds them there
     with `OPTIONS`."""
 
     OPTIONS = {"recursiveFileLookup": "true"}
 
-    def __init__(self, rows: DataFrame, by: Column) -> None:
+    def __init__(self, rows: DataFrame, by: Column, parts: int = PARTS) -> None:
         self.spark, self.schema = rows.sparkSession, rows.schema
         self.path, self._staged = (scratch_path(self.spark, x) for x in ("landed", "staged"))
         low, high = rows.agg(F.min(by), F.max(by)).first()
-        self.parts = range(0 if low is None else PARTS)
+        self.parts = range(0 if low is None else parts)
         if low is None:
             rows.write.parquet(self.path)
         else:
-            part = F.floor((by - low) * PARTS / F.lit(high - low + 1)).cast("int")
+            ahead, width = ((by - low).cast("decimal(20,0)") * F.lit(parts),
+                            F.lit(high - low + 1).cast("decimal(20,0)"))
+            part = F.call_function("div", ahead, width).cast("int")  # exact for any long
             (rows.withColumn("_part", F.coalesce(part, F.lit(0)))
              .write.partitionBy("_part").parquet(self._staged))
 
@@ -280,6 +287,41 @@ def stream_late(spark, sf_dir):
     return acks.select(*late.columns).unionByName(late)
 
 
+def _idle_customers(spark: SparkSession, sf_dir: str) -> str:
+    """Orders against a quota of each customer that lasts for years, by a clock that moves on by a
+    tick per micro-batch: customers absent from two in turn are forgotten. Returns the folder."""
+    path = scratch_path(spark, "stream-idle")
+    orders = views.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(F.lit("customer-"), "o_custkey").alias("tenant_id"),
+        (ntz_to_micros(F.col("o_orderdate")) * 1000).alias("timestamp"))
+    landings = Landings(orders, F.col("timestamp"), LONG_PARTS)
+    ticks = count(1)
+    forgetting = Forgetting(1.5 * TICK_SEC, lambda: next(ticks) * TICK_SEC * 1_000_000)
+
+    def start() -> StreamingQuery:
+        rows = (spark.readStream.schema(landings.schema).options(**landings.OPTIONS)
+                .parquet(landings.path))
+        return start_quota(with_quota_keys(rows, LONG_QUOTA), LONG_QUOTA,
+                           ["timestamp", "o_orderkey"], f"{path}/out", f"{path}/state",
+                           f"{path}/checkpoint", processed_at="timestamp", forgetting=forgetting,
+                           drain=True)
+
+    landings.each(start)
+    return f"{path}/out"
+
+
+def stream_quota_idle(spark, sf_dir):
+    """The strict quota while the state forgets idle customers: none gets a second quota."""
+    return spark.read.parquet(_idle_customers(spark, sf_dir)).select(
+        "o_orderkey", "quota_tenant", "window_idx", "accepted")
+
+
+def stream_quota_sweeps(spark, sf_dir):
+    """What the state of the same stream holds after each micro-batch, and whom it forgot."""
+    return spark.read.schema(SWEEP_SCHEMA).parquet(
+        _idle_customers(spark, sf_dir) + "-sweeps").drop("clock_us")
+
+
 def stream_dedupe_bounded(spark, sf_dir):
     events = _events(spark, sf_dir).select("event_id", "tenant_id", "payload", "timestamp")
     twice = events.unionByName(events)
@@ -298,5 +340,7 @@ QUERIES = {
     "stream_retried": stream_retried,
     "stream_batch_acks": stream_batch_acks,
     "dead_letter_persisted": dead_letter_persisted,
+    "stream_quota_idle": stream_quota_idle,
+    "stream_quota_sweeps": stream_quota_sweeps,
     "stream_dedupe_bounded": stream_dedupe_bounded,
 }

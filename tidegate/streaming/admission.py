@@ -10,7 +10,9 @@ By default no window is forgotten, so the state grows by a row per tenant and wi
 `keep_windows` a tenant's windows that lie further back from its own newest one are closed: what
 was used there is dropped, and rows that come for them later are written to `<out>-late` with the
 reason instead of being charged. A closed window never gets a fresh quota, and a tenant's stamps
-close no other tenant's windows.
+close no other tenant's windows. With `forgetting` the state holds only the tenants heard of lately
+by the clock; what the others used waits in `<state>/forgotten`, and `<out>-sweeps` tells what each
+micro-batch held and forgot. Together with `keep_windows`, each tenant's newest window stays.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from tidegate.operators.quota import quota_admission, quota_ledger
 from tidegate.operators.running import broadcast_if_small
 from tidegate.settings import Capacity, FlushSettings, QuotaPolicy
 from tidegate.streaming.flush import with_trigger
+from tidegate.streaming.forgetting import HEARD_SCHEMA, Forgetting, sweep_report
 
 # State tables by name; a step maps (rows, state before) to (rows to write, state after).
 State = dict[str, DataFrame]
@@ -76,8 +79,8 @@ class Horizon:
 
 def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, str], out: str,
            state: str, checkpoint: str, flush: FlushSettings, drain: bool,
-           folder: str = "batch_id") -> StreamingQuery:
-    schemas = schemas | horizon.schemas
+           folder: str = "batch_id", forgetting: Forgetting | None = None) -> StreamingQuery:
+    schemas = schemas | horizon.schemas | ({} if forgetting is None else {"heard": HEARD_SCHEMA})
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -90,10 +93,20 @@ def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, s
             rows, late = horizon.split(batch, before)
             if late is not None:
                 late.write.mode("overwrite").parquet(f"{out}-late/{folder}={batch_id}")
+            heard, swept = {}, {}
+            if forgetting is not None:
+                before, swept, now = forgetting.sweep(batch, before, f"{state}/forgotten", batch_id)
+                heard["heard"] = swept.pop("heard")
             rows, after = step(rows, before)
             rows.write.mode("overwrite").parquet(f"{out}/{folder}={batch_id}")
-            for name, table in after.items():
+            for name, table in (after | heard).items():
                 table.write.mode("overwrite").parquet(f"{state}/{name}/{batch_id % 2}")
+            if swept:
+                held, used = (spark.read.schema(schemas[name])
+                              .parquet(f"{state}/{name}/{batch_id % 2}")
+                              for name in ("heard", "used"))
+                (sweep_report(spark, batch_id, now, held, used, **swept)
+                 .write.mode("overwrite").parquet(f"{out}-sweeps/flush={batch_id}"))
         finally:
             batch.unpersist()
 
@@ -104,7 +117,7 @@ def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, s
 def start_quota(events: DataFrame, policy: QuotaPolicy, order: list[str], out: str, state: str,
                 checkpoint: str, charge: str | None = None, arrival: str = "timestamp",
                 processed_at: str | None = None, keep_windows: int | None = None,
-                capacity: Capacity | None = None,
+                capacity: Capacity | None = None, forgetting: Forgetting | None = None,
                 flush: FlushSettings = FlushSettings(), drain: bool = False) -> StreamingQuery:
     """The quota of `policy`, strict or leased, over a stream of events with quota keys;
     writes acknowledged events. `charge` names the tokens a row takes (default: one). With
@@ -142,10 +155,10 @@ def start_quota(events: DataFrame, policy: QuotaPolicy, order: list[str], out: s
 
     if policy.lease == 1:
         return _start(events, strict, horizon, {"used": USED_SCHEMA} | room_schema, out, state,
-                      checkpoint, flush, drain)
+                      checkpoint, flush, drain, forgetting=forgetting)
     return _start(events, leased, horizon,
                   {"tokens": TOKENS_SCHEMA, "used": USED_SCHEMA} | room_schema, out, state,
-                  checkpoint, flush, drain)
+                  checkpoint, flush, drain, forgetting=forgetting)
 
 
 def start_row_cap(events: DataFrame, capacity: Capacity, interval: str, order: list[str],

@@ -65,17 +65,19 @@ class LeaseState(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.bucket = handle.getValueState(
             "bucket", T.StructType([T.StructField("tokens", T.LongType()),
-                                    T.StructField("last_access", T.LongType()),
-                                    T.StructField("newest", T.LongType())]), self.ttl_ms)
+                                    T.StructField("last_access", T.LongType())]), self.ttl_ms)
+        # What was used outlives the bucket: a tenant that comes back gets no second quota.
+        self.newest = handle.getValueState(
+            "newest", T.StructType([T.StructField("window_idx", T.LongType())]))
         self.used = handle.getMapState(
             "used", T.StructType([T.StructField("window_idx", T.LongType())]),
-            T.StructType([T.StructField("used", T.LongType())]), self.ttl_ms)
+            T.StructType([T.StructField("used", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         kept, pending, waiting = None, [], 0
         floor = None
-        if self.keep is not None and self.bucket.exists():
-            floor = self.bucket.get()[2] - self.keep
+        if self.keep is not None and self.newest.exists():
+            floor = self.newest.get()[0] - self.keep
         for chunk in rows:
             chunk = chunk.assign(_n=1 if self.charge is None else chunk[self.charge])
             if floor is not None and (chunk["window_idx"] < floor).any():
@@ -114,7 +116,8 @@ class LeaseState(StatefulProcessor):
 
     def _charge(self, n: np.ndarray, window: np.ndarray, second: np.ndarray) -> np.ndarray:
         policy = self.policy
-        tokens, last, newest = self.bucket.get() if self.bucket.exists() else (0, None, None)
+        tokens, last = self.bucket.get() if self.bucket.exists() else (0, None)
+        newest = self.newest.get()[0] if self.newest.exists() else None
         used = {k[0]: v[0] for k, v in self.used.iterator()}
         admitted = np.zeros(len(n), dtype=bool)
         idle = np.zeros(len(n), dtype=bool)
@@ -129,7 +132,8 @@ class LeaseState(StatefulProcessor):
                                              int(used.get(idx, 0)), policy.limit, policy.lease)
             admitted[start:start + taken] = True
         newest = int(window.max() if newest is None else max(newest, window.max()))
-        self.bucket.update((int(tokens), int(second[-1]), newest))
+        self.bucket.update((int(tokens), int(second[-1])))
+        self.newest.update((newest,))
         for idx, value in used.items():
             if self.keep is None or idx >= newest - self.keep:
                 self.used.updateValue((idx,), (value,))
@@ -148,9 +152,9 @@ def leased_quota(events: DataFrame, policy: QuotaPolicy, order: list[str],
     """Add `admitted` to a stream of events with quota keys, and with `keep_windows` also
     `late`. Lease 1 is the strict policy.
 
-    `state_ttl_sec` drops the state of tenants not heard of for that long by the clock; the
-    policy's idle limit works on arrival times instead. The session needs the settings in
-    `KEYED_STATE`.
+    `state_ttl_sec` drops the tokens of tenants not heard of for that long by the clock, never what
+    they used; the policy's idle limit works on arrival times instead. The session needs the
+    settings in `KEYED_STATE`.
     """
     added = ["admitted"] if keep_windows is None else ["admitted", "late"]
     schema = T.StructType([*events.schema.fields,
