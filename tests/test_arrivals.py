@@ -13,7 +13,8 @@ from tidegate.operators.capacity import batch_cap, batch_room
 from tidegate.operators.delivery import dead_letter_lines, parse_dead_letters
 from tidegate.plans import streams
 from tidegate.sources import table
-from tidegate.streaming.admission import start_batch_acks
+from tidegate.operators.quota import with_quota_keys
+from tidegate.streaming.admission import live_totals, start_batch_acks, start_quota
 from tidegate.streaming.flush import run_to_end, size_options
 from tidegate.streaming.replay import attempt_of, drain_replay, start_replay
 
@@ -89,7 +90,8 @@ def empty_tables(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(streams.QUERIES))
 def test_streams_over_empty_tables(spark, empty_tables, name):
     found = streams.QUERIES[name](spark, empty_tables)
-    assert sum(r["attempted"] if name == "stream_flushes" else 1 for r in found.collect()) == 0
+    counts = {"stream_flushes": "attempted", "stream_quota_sweeps": "ledger_rows"}
+    assert sum(r[counts[name]] if name in counts else 1 for r in found.collect()) == 0
 
 
 @pytest.fixture
@@ -202,6 +204,25 @@ def test_batch_acks_over_a_stream(spark, tmp_path, keep):
     assert room == 4 if keep is None else room <= 2
 
 
+def test_counters_of_a_stream_hold_at_any_time(spark, tmp_path):
+    rows = [("a", 100, i) for i in range(5)] + [("a", 900, 5), ("a", 100, 6), ("b", 100, 7)]
+    policy = QuotaPolicy(limit=3, window_sec=1)
+    out, found = f"{tmp_path}/out", []
+    for one in (rows[:5], rows[5:6], rows[6:]):
+        frame = spark.createDataFrame([(t, s * 10**9, i) for t, s, i in one],
+                                      "tenant_id string, timestamp long, seq long")
+        frame.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        events = with_quota_keys(spark.readStream.schema(frame.schema)
+                                 .parquet(f"{tmp_path}/in"), policy)
+        for _ in range(2):  # a start without new rows counts nothing twice
+            run_to_end(start_quota(events, policy, ["timestamp", "seq"], out,
+                                   f"{tmp_path}/state", f"{tmp_path}/cp", keep_windows=10,
+                                   counters=True, drain=True))
+        found.append(tuple(live_totals(spark, out).first()))
+    # The row that comes for a closed window is rejected.
+    assert found == [(3, 2), (4, 2), (5, 3)]
+
+
 def test_a_flush_is_bounded_by_bytes():
     assert size_options("parquet", bytes_per_flush=5) == {"maxBytesPerTrigger": "5"}
     assert size_options("parquet", files_per_flush=3) == {"maxFilesPerTrigger": "3"}

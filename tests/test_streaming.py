@@ -11,7 +11,7 @@ from tidegate.operators import delivery
 from tidegate.operators.quota import with_quota_keys
 from tidegate.sources import deadletter, table, topic
 from tidegate.sources.events import read_event_stream
-from tidegate.streaming import leases, persist as persisting
+from tidegate.streaming import dedupe, leases, persist as persisting
 from tidegate.streaming.admission import start_quota, start_row_cap
 from tidegate.streaming.dedupe import drop_repeats
 from tidegate.streaming.flush import (flush_report, progress_rows, run_to_end, session_settings,
@@ -250,6 +250,28 @@ def test_bounded_dedupe(spark, tmp_path):
     assert sorted(r["event_id"] for r in out) == ["a", "b", "c"]
 
 
+def test_a_hot_key_is_thinned_before_the_shuffle(spark, tmp_path):
+    rows = [(k, "t", str(i), s) for i, (k, s) in enumerate(
+        [("hot", 9), ("b", 3), ("hot", 4), (None, 5), ("hot", None), (None, 2), ("c", None)])]
+    frame = spark.createDataFrame(rows, EVENTS).coalesce(1)
+    thinned = dedupe._first_deliveries(frame, "event_id", "timestamp").collect()
+    assert [r["payload"] for r in thinned] == ["1", "2", "5", "6"]
+    assert dedupe._first_deliveries(frame.limit(0), "event_id", "timestamp").count() == 0
+    hot = [("hot", "t", "", i * SEC) for i in range(3000)] + [("b", "t", "", SEC)]
+    write_files(spark, hot, EVENTS, tmp_path / "in", 2)
+    stream = read_event_stream(spark, str(tmp_path / "in"), maxFilesPerTrigger="1")
+    for ahead in (True, False):
+        writer = (drop_repeats(stream, "1 hour", ahead=ahead).writeStream.format("parquet")
+                  .option("path", f"{tmp_path}/{ahead}")
+                  .option("checkpointLocation", f"{tmp_path}/cp-{ahead}"))
+        query = run_to_end(with_trigger(writer, drain=True).start())
+        out = spark.read.parquet(f"{tmp_path}/{ahead}").collect()
+        assert sorted(r["event_id"] for r in out) == ["b", "hot"]
+        read = sum(p["stateOperators"][0]["customMetrics"]["numDroppedDuplicateRows"]
+                   for p in query.recentProgress if p["stateOperators"])
+        assert read < 10 if ahead else read > 2000
+
+
 def test_publish_stream_drains(spark, tmp_path):
     rows = [(f"evt-{i}", "t", "data", i) for i in range(500)]
     write_files(spark, rows, EVENTS, tmp_path / "in", 4)

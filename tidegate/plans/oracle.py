@@ -468,4 +468,5 @@ WITH {EV} SELECT event_id, tenant_id, payload, timestamp FROM ev""",
 
 ORACLE["stream_quota_leased"] = ORACLE["quota_leased"]
 ORACLE["stream_batch_acks"] = ORACLE["batch_acks"]
+ORACLE["live_counters"] = ORACLE["outcome_counters"]
 ORACLE["latency_of_runs"] = ORACLE["latency_ranks"]

@@ -303,6 +303,12 @@ def outcome_counters(spark, sf_dir):
     return report.counter_set(outcomes, backlog(spark, sf_dir), failed)
 
 
+def live_counters(spark, sf_dir):
+    """The same counters, with those of intake from what the streams kept while they ran."""
+    failed = delivery.failure_counters(views.failures(spark, sf_dir))
+    return report.counter_set(streams.intake_totals(spark, sf_dir), backlog(spark, sf_dir), failed)
+
+
 def load_summary(spark, sf_dir):
     elapsed = (F.max("started_us") - F.min("started_us")) / F.lit(1_000_000)
     return report.load_summary(views.calls(spark, sf_dir), elapsed)
@@ -358,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "backlog": backlog,
     "outcome_report": outcome_report,
     "outcome_counters": outcome_counters,
+    "live_counters": live_counters,
     "load_summary": load_summary,
     "latency_ranks": latency_ranks,
     "latency_of_runs": latency_of_runs,

@@ -24,7 +24,8 @@ from tidegate.session import move_path, order_files, scratch_path
 from tidegate.settings import Capacity, QuotaPolicy
 from tidegate.sources.table import create_table, read_table
 from tidegate.sources.topic import read_topic_stream
-from tidegate.streaming.admission import start_batch_acks, start_quota, start_row_cap
+from tidegate.streaming.admission import (live_totals, start_batch_acks, start_quota,
+                                          start_row_cap)
 from tidegate.streaming.dedupe import drop_repeats
 from tidegate.streaming.flush import (flush_report, run_to_end, session_settings, size_options,
                                       with_trigger)
@@ -153,14 +154,19 @@ def stream_cap(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").select("event_id", "window_idx", "buffered")
 
 
-def stream_event_acks(spark, sf_dir):
-    """Quota first, then room in the buffers."""
+def _event_intake(spark: SparkSession, sf_dir: str, counters: bool = False) -> str:
+    """Events against quota and buffers; the folder of their acknowledgements."""
     path = scratch_path(spark, "stream-acks")
     events = with_quota_keys(_events(spark, sf_dir), QUOTA)
     run_to_end(start_quota(events, QUOTA, ARRIVAL, f"{path}/out", f"{path}/state",
-                             f"{path}/checkpoint", processed_at="timestamp", capacity=ROWS,
-                             drain=True))
-    return _ack_columns(spark.read.parquet(f"{path}/out"))
+                           f"{path}/checkpoint", processed_at="timestamp", capacity=ROWS,
+                           counters=counters, drain=True))
+    return f"{path}/out"
+
+
+def stream_event_acks(spark, sf_dir):
+    """Quota first, then room in the buffers."""
+    return _ack_columns(spark.read.parquet(_event_intake(spark, sf_dir)))
 
 
 def _topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,18 +259,29 @@ def dead_letter_persisted(spark, sf_dir):
         .withColumns({"status": F.lit("poison"), "payload": F.lit(None).cast("string")}))
 
 
-def stream_batch_acks(spark, sf_dir):
-    """Batches against the quota and the buffers, with the fill of each shard handed on."""
+def _batch_intake(spark: SparkSession, sf_dir: str, counters: bool = False) -> str:
+    """Batches against quota and buffers; the folder of their acknowledgements."""
     path = scratch_path(spark, "stream-batches")
     requests = arrival_stream(views.batch_requests(spark, sf_dir), BATCH_ORDER)
     run_to_end(start_batch_acks(requests, BATCH_QUOTA, BATCHES, BATCH_ORDER, f"{path}/out",
                                 f"{path}/state", f"{path}/checkpoint", processed_at="timestamp",
-                                drain=True))
-    return spark.read.parquet(f"{path}/out").select(
+                                counters=counters, drain=True))
+    return f"{path}/out"
+
+
+def stream_batch_acks(spark, sf_dir):
+    """Batches against the quota and the buffers, with the fill of each shard handed on."""
+    return spark.read.parquet(_batch_intake(spark, sf_dir)).select(
         "batch_id", "quota_tenant", "n", "accepted", "accepted_count", "rejected_count", "message",
         "processed_at")
 
 
+def intake_totals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Accepted and rejected totals that the streams of events and of batches kept while they ran."""
+    return [live_totals(spark, intake(spark, sf_dir, counters=True))
+            for intake in (_event_intake, _batch_intake)]
+
+
 def stream_late(spark, sf_dir):
     """The strict quota over events that arrive by number rather than by time, some stamped far
     in the future: rows of windows that their tenant has closed come out as late."""

@@ -13,16 +13,21 @@ reason instead of being charged. A closed window never gets a fresh quota, and a
 close no other tenant's windows. With `forgetting` the state holds only the tenants heard of lately
 by the clock; what the others used waits in `<state>/forgotten`, and `<out>-sweeps` tells what each
 micro-batch held and forgot. Together with `keep_windows`, each tenant's newest window stays.
+
+With `counters`, each micro-batch leaves what it accepted and rejected in a folder of
+`<out>-counters`, which it replaces when it comes again; `live_totals` adds them up at any time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.operators.acks import batch_ack_columns, event_acks
+from tidegate.operators.acks import (batch_ack_columns, batch_totals, event_acks,
+                                     outcome_totals)
 from tidegate.operators.capacity import batch_cap, batch_room, row_cap
 from tidegate.operators.leased import (TOKENS_SCHEMA, USED_SCHEMA, LeaseState, leased_step,
                                        next_state)
@@ -35,6 +40,10 @@ from tidegate.streaming.forgetting import HEARD_SCHEMA, Forgetting, sweep_report
 # State tables by name; a step maps (rows, state before) to (rows to write, state after).
 State = dict[str, DataFrame]
 Step = Callable[[DataFrame, State], tuple[DataFrame, State]]
+# Accepted and rejected totals of the rows written and of those that came for closed windows.
+Totals = Callable[[DataFrame, DataFrame | None], list[DataFrame]]
+
+TOTALS_SCHEMA = "accepted_total long, rejected_total long"
 
 CLOSED = "window closed"
 
@@ -79,7 +88,8 @@ class Horizon:
 
 def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, str], out: str,
            state: str, checkpoint: str, flush: FlushSettings, drain: bool,
-           folder: str = "batch_id", forgetting: Forgetting | None = None) -> StreamingQuery:
+           folder: str = "batch_id", forgetting: Forgetting | None = None,
+           totals: Totals | None = None) -> StreamingQuery:
     schemas = schemas | horizon.schemas | ({} if forgetting is None else {"heard": HEARD_SCHEMA})
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -99,6 +109,10 @@ def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, s
                 heard["heard"] = swept.pop("heard")
             rows, after = step(rows, before)
             rows.write.mode("overwrite").parquet(f"{out}/{folder}={batch_id}")
+            if totals is not None:
+                written = spark.read.schema(rows.schema).parquet(f"{out}/{folder}={batch_id}")
+                (_added(totals(written, late)).coalesce(1).write.mode("overwrite")
+                 .parquet(f"{out}-counters/flush={batch_id}"))
             for name, table in (after | heard).items():
                 table.write.mode("overwrite").parquet(f"{state}/{name}/{batch_id % 2}")
             if swept:
@@ -114,16 +128,38 @@ def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, s
     return with_trigger(writer, flush, drain).start()
 
 
+def _added(totals: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, totals).agg(*[
+        F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("accepted_total", "rejected_total")])
+
+
+def live_totals(spark: SparkSession, out: str) -> DataFrame:
+    """One row: what the micro-batches written so far accepted and rejected."""
+    return _added([spark.read.schema(TOTALS_SCHEMA).parquet(f"{out}-counters")])
+
+
+def _event_totals(acks: DataFrame, late: DataFrame | None) -> list[DataFrame]:
+    return [outcome_totals(acks)] + ([] if late is None else [
+        outcome_totals(late.withColumn("accepted", F.lit(False)))])
+
+
+def _batch_totals(acks: DataFrame, late: DataFrame | None) -> list[DataFrame]:
+    return [batch_totals(acks)] + ([] if late is None else [
+        batch_totals(late.withColumns({"accepted_count": F.lit(0), "rejected_count": F.col("n")}))])
+
+
 def start_quota(events: DataFrame, policy: QuotaPolicy, order: list[str], out: str, state: str,
                 checkpoint: str, charge: str | None = None, arrival: str = "timestamp",
                 processed_at: str | None = None, keep_windows: int | None = None,
                 capacity: Capacity | None = None, forgetting: Forgetting | None = None,
+                counters: bool = False,
                 flush: FlushSettings = FlushSettings(), drain: bool = False) -> StreamingQuery:
     """The quota of `policy`, strict or leased, over a stream of events with quota keys;
     writes acknowledged events. `charge` names the tokens a row takes (default: one). With
     `capacity`, what the quota admits also needs room in the buffers of its window."""
     stamp = None if processed_at is None else F.col(processed_at)
     horizon = Horizon("quota_tenant", "window_idx", keep_windows)
+    totals = _event_totals if counters else None
     room_schema = {} if capacity is None else {"room": "window_idx long, used long"}
 
     def acknowledged(admitted: DataFrame, before: State) -> tuple[DataFrame, State]:
@@ -155,10 +191,10 @@ def start_quota(events: DataFrame, policy: QuotaPolicy, order: list[str], out: s
 
     if policy.lease == 1:
         return _start(events, strict, horizon, {"used": USED_SCHEMA} | room_schema, out, state,
-                      checkpoint, flush, drain, forgetting=forgetting)
+                      checkpoint, flush, drain, forgetting=forgetting, totals=totals)
     return _start(events, leased, horizon,
                   {"tokens": TOKENS_SCHEMA, "used": USED_SCHEMA} | room_schema, out, state,
-                  checkpoint, flush, drain, forgetting=forgetting)
+                  checkpoint, flush, drain, forgetting=forgetting, totals=totals)
 
 
 def start_row_cap(events: DataFrame, capacity: Capacity, interval: str, order: list[str],
@@ -184,8 +220,8 @@ def start_row_cap(events: DataFrame, capacity: Capacity, interval: str, order: l
 def start_batch_acks(requests: DataFrame, policy: QuotaPolicy, capacity: Capacity,
                      order: list[str], out: str, state: str, checkpoint: str,
                      processed_at: str | None = None, keep_windows: int | None = None,
-                     flush: FlushSettings = FlushSettings(), drain: bool = False
-                     ) -> StreamingQuery:
+                     counters: bool = False, flush: FlushSettings = FlushSettings(),
+                     drain: bool = False) -> StreamingQuery:
     """Acknowledgements of a stream of batches with quota keys and the size `n`, under the strict
     quota and the buffers of each window. The state is what each tenant's window used, and how many
     batches and events each window's shards got. `keep_windows` closes windows behind the newest
@@ -207,4 +243,5 @@ def start_batch_acks(requests: DataFrame, policy: QuotaPolicy, capacity: Capacit
 
     return _start(requests, step, horizon, {
         "used": USED_SCHEMA, "room": "window_idx long, shard long, batches long, used long"},
-        out, state, checkpoint, flush, drain, folder="flush")
+        out, state, checkpoint, flush, drain, folder="flush",
+        totals=_batch_totals if counters else None)
