@@ -64,6 +64,19 @@ def test_top_k(spark, case):
     assert sorted(map(tuple, got)) == plain_top(rows, 5)
 
 
+def test_many_rules_on_a_host_cost_few_looks():
+    rules = [url_trie.Rule("Example.NET", f"/user{i}", "block") for i in range(50_000)]
+    trie = url_trie.build([*rules, url_trie.Rule("example.net", "/user7", "allow")])
+    node = trie["labels"]["net"]["labels"]["example"]["paths"]["segments"][""]
+    assert len(node["ends"]) == 50_000 and node["sizes"] == [9, 8, 7, 6, 5]
+    assert url_trie.lookup(trie, "a.example.net", "/user499990/x") == (
+        "example.net/user49999", "block")
+    assert url_trie.lookup(trie, "example.net", "/user7") == ("example.net/user7", "block")
+    assert url_trie.lookup(trie, "example.net", "/use") is None
+    with pytest.raises(ValueError):
+        url_trie.build([url_trie.Rule("a", "/" + "x" * url_trie.MAX_BYTES, "block")])
+
+
 def test_top_k_leaves_out_what_cannot_reach_the_cutoff():
     rng, search = np.random.default_rng(5), Search(3, 4, 64, 8)
     cells = rng.integers(-9, 10, (64, 16)) + 200 * np.eye(16, dtype=int)[np.arange(64) % 16]

@@ -3,8 +3,11 @@
 A rule fits its host and all subdomains if the url's path starts with the rule's path. Of the
 rules that fit, the one with most host labels wins, then the one with the longest path; of equal
 (host, path) the block rule. Host: after the first `://` up to `/`, `?`, `#` or the end, A-Z
-lower-cased; path: from there up to `?`, `#` or the end. A null url or one without `://` has both
-empty and fits no rule but one of an empty host. Urls without a fitting rule get the default.
+lower-cased, in rules as well; path: from there up to `?`, `#` or the end. A null url or one without
+`://` has both empty and fits no rule but one of an empty host. Urls without a fitting rule get the
+default. Each row is judged on its own: repeated rows get the same verdict each, an empty table
+gives no rows, and other columns, whatever their names, are returned only if `keep` names them (it
+may not name host, path, rule or verdict).
 """
 
 from __future__ import annotations
@@ -16,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-MAX_RULES = 1_000_000  # a rule list beyond this is refused, as the trie is broadcast
+FOLDED = str.maketrans(UPPER, UPPER.lower())
+MAX_BYTES = 32 << 20  # hosts and paths beyond this are refused, as the trie is broadcast
 
 
 @dataclass(frozen=True)
@@ -32,41 +36,37 @@ class Rule:
 
 def build(rules: list[Rule]) -> dict:
     """Nested nodes: `labels` and `segments` lead on, `ends` holds what the last, open path
-    segment must start with, longest first."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} fit a broadcast trie")
+    segment must start with, and `sizes` the lengths of these, longest first."""
+    size = sum(len((rule.host + rule.path).encode()) for rule in rules)
+    if size > MAX_BYTES:
+        raise ValueError(f"{size} bytes of rules; at most {MAX_BYTES} fit a broadcast trie")
     root: dict = {"labels": {}, "paths": None}
     for rule in rules:
-        node = root
-        for label in reversed(rule.host.split(".")) if rule.host else ():
+        node, host = root, rule.host.translate(FOLDED)
+        for label in reversed(host.split(".")) if host else ():
             node = node["labels"].setdefault(label, {"labels": {}, "paths": None})
-        node["paths"] = node["paths"] or {"segments": {}, "ends": {}}
+        node["paths"] = node["paths"] or _path_node()
         node = node["paths"]
         *whole, open_end = rule.path.split("/")
         for segment in whole:
-            node = node["segments"].setdefault(segment, {"segments": {}, "ends": {}})
+            node = node["segments"].setdefault(segment, _path_node())
         if node["ends"].get(open_end, (None, "allow"))[1] != "block":
-            node["ends"][open_end] = (rule.host + rule.path, rule.verdict)
-    _order(root)
+            node["ends"][open_end] = (host + rule.path, rule.verdict)
+        if len(open_end) not in node["sizes"]:
+            node["sizes"] = sorted([*node["sizes"], len(open_end)], reverse=True)
     return root
 
 
-def _order(root: dict) -> None:
-    todo = [root]
-    while todo:
-        node = todo.pop()
-        if "ends" in node:
-            node["ends"] = dict(sorted(node["ends"].items(), key=lambda x: -len(x[0])))
-            todo += node["segments"].values()
-        else:
-            todo += [*node["labels"].values(), *([node["paths"]] if node["paths"] else ())]
+def _path_node() -> dict:
+    return {"segments": {}, "ends": {}, "sizes": []}
 
 
 def _on_path(node: dict, segments: list[str]) -> tuple[str, str] | None:
     best = None
     for i, segment in enumerate(segments):
-        for end, found in node["ends"].items():
-            if segment.startswith(end):
+        for size in node["sizes"]:
+            found = node["ends"].get(segment[:size]) if size <= len(segment) else None
+            if found is not None:
                 best = found
                 break
         node = node["segments"].get(segment) if i + 1 < len(segments) else None
