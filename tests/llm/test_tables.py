@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidegate.llm import components, jaccard, queries, topk, url_trie, warc
 from tidegate.llm.jaccard import Similar
 from tidegate.llm.topk import Search
+from tidegate.operators import running
 from tidegate.session import scratch_path
 from tools.check_oracle import canonical
 
@@ -127,6 +128,18 @@ def test_archives_come_back(spark):
     assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
 
 
+def test_shared_digests_in_a_long_list(spark, monkeypatch):
+    rows = [(i, "u", "x" * (100 + i % 7)) for i in range(40)] + [(99, "u", "y" * 200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    small = warc.with_record_types(pages)
+    plan = small._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    want = sorted(map(tuple, small.collect()), key=str)
+    assert sum(r[5] == "response" for r in want) == 8
+    monkeypatch.setattr(running, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, warc.with_record_types(pages).collect()), key=str) == want
+
+
 def test_no_pages_no_archives(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     folder = scratch_path(spark, "warc-test")

@@ -27,6 +27,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.operators.running import broadcast_if_small
+
 CHUNK_BYTES = 1 << 18
 FILE_BYTES = 1 << 28
 REVISIT_BYTES = 100
@@ -39,7 +41,11 @@ CHUNKS = ("record_id long, file string, at long, chunk_no int, data binary, end
 
 def with_record_types(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html",
                       uri_col: str = "url", revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """(id, uri, payload, bytes, digest, record_type, refers_to) of each row."""
+    """(id, uri, payload, bytes, digest, record_type, refers_to) of each row.
+
+    Which digests several rows share is found on (id, bytes, digest) alone and sent to the payloads
+    where they are, if the list is small; only a list beyond the bound for broadcasts is joined by a
+    shuffle of the rows."""
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"), F.col(uri_col).cast("string").alias("uri"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
@@ -48,6 +54,7 @@ def with_record_types(pages: DataFrame, id_col: str = "page_id", payload_col: st
     shared = (rows.where(F.col("bytes") >= revisit_bytes).groupBy("digest")
               .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("digest", "first"))
+    shared = broadcast_if_small(shared)
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     return rows.join(shared, "digest", "left").select(
         "id", "uri", "payload", "bytes", "digest",
