@@ -159,6 +159,21 @@ def test_token_counts_are_those_of_the_library(spark):
         assert n == len(library.encode(value or "", add_special_tokens=False).ids)
 
 
+def test_columns_of_empty_and_odd_tables(spark, byte_bpe):
+    pieces = tokens.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    names = ["ids", "bpe", "decoded", "n_tokens", "Text_"]
+    rows = [(1, "same text", *range(5)), (1, "same text", *range(5)), (None, None, *range(5))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(
+        f"`{n}` int" for n in names))
+    model, counter = bpe.Bpe(spark, byte_bpe[0]), tokens.Counter(spark, pieces)
+    for frame in (docs, docs.limit(0)):
+        got = frame.select("*", model.encode(F.col("text")).alias("x"),
+                           counter.count(F.col("text")).alias("y")).collect()
+        assert len(got) == frame.count() and all(tuple(r[2:7]) == tuple(range(5)) for r in got)
+        found = {(r.text, tuple(r.x), r.y) for r in got}
+        assert len(found) == (2 if got else 0) and (not got or (None, (), 0) in found)
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_ties_and_unknown_characters(seed):
     rng = random.Random(seed)

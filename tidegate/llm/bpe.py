@@ -8,7 +8,9 @@ of one array. Long ones get a tree each, so a pre-token of n bytes takes O(n log
 The file is in the JSON form of the public tokenizers library. The driver reads it and broadcasts
 its tables, whose size is that of the vocabulary. Defined cases: a null text is empty and has no
 ids; added tokens written out in a text become their id, as in that library; bytes that are no
-UTF-8 after decoding become U+FFFD; null ids decode to an empty text. Texts are never cut.
+UTF-8 after decoding become U+FFFD; null ids decode to an empty text. Texts are never cut. Ids and
+texts are columns of the caller's frame: repeated rows get the same each, an empty table gives no
+rows, other columns of any name are left alone.
 """
 
 from __future__ import annotations

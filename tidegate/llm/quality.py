@@ -8,7 +8,9 @@ task on a bounded sample (`Ratings.sample` documents per grade); every document
 Defined cases: a null text is empty and gets the score of the features that every text has;
 ratings that are null, or that contradict each other for one id, aren't used; without ratings, or
 with a single grade, every document has that grade (the lowest without ratings) and is selected;
-equal texts get equal scores.
+equal texts get equal scores, repeated rows among them; an empty table gives no rows (and an empty
+one to fit on is one without ratings); the score is a column, and other columns of any name are left
+alone.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ and a pre-token begins at each mark. The library keeps no tie or score across pr
 is counted once and remembered within bounds. Defined cases: a null text is empty and has no
 tokens; a text of spaces has one token for each mark that is a piece (and what its rule for
 unknown ones gives otherwise); texts are never cut, long pre-tokens cost their length times the
-longest piece.
+longest piece. The counts are a column of the caller's frame: repeated rows get the same count
+each, an empty table gives no rows, other columns of any name are left alone.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ every document is scored.
 Defined cases: a null text is empty; labels that are null or contradict each other for one id
 aren't used; a category without a positive or without a negative example in the sample has the
 probability 0 or 1 that all examples have; without labels no document is toxic; equal texts get
-equal scores.
+equal scores, repeated rows among them; an empty table gives no rows (and an empty one to fit on is
+one without labels); the answer is a column, and other columns of any name are left alone.
 """
 
 from __future__ import annotations
