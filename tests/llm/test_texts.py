@@ -131,6 +131,17 @@ def test_bpe_is_that_of_the_library(spark, byte_bpe):
         assert row.bpe.decoded == library.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_cuts_every_character_as_the_library_does(byte_bpe):
+    path, library = byte_bpe
+    every = [c for c in range(0x40000) if not 0xD800 <= c < 0xE000]
+    low, high = [c for c in every if c < 0x20000], every[0x20000::37]
+    texts = [form.format(chr(c), chr(c)) for c in low + high
+             for form in ("{}'s {}!a", "1{} {}x")]
+    got = bpe.encode_texts(texts, bpe.load(path))
+    want = library.encode_batch(texts, add_special_tokens=False)
+    assert all(np.frombuffer(g, np.int32).tolist() == w.ids for g, w in zip(got, want))
+
+
 def test_bpe_decodes_any_ids(spark, byte_bpe):
     path, library = byte_bpe
     lists = [[], [50256], [0, 1, 2], [164, 240, 50256, 255], list(range(0, 50257, 13))]

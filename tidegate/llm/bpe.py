@@ -36,10 +36,38 @@ REMEMBERED = 100_000
 BLOCK_CHARS = 1 << 21
 
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: The byte-level pre-tokenizer's pattern (fixed values).
-PRETOKENS = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    .replace(r"[^\s", "[^" + _SPACE).replace(r"\S", f"[^{_SPACE}]").replace(r"\s", f"[{_SPACE}]"))
+#: Letters and numbers of the regex library's tables which the tokenizers library takes
+#: as unassigned, as first and last code points.
+_UNASSIGNED = """
+558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF
+10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F
+12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2
+18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF
+1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E
+2CEA2-2CEAD 323B0-33479 3D000-3FC3F"""
+_UNKNOWN = "[" + "".join("-".join(chr(int(end, 16)) for end in ends.split("-"))
+                         for ends in _UNASSIGNED.split()) + "]"
+_ODD = re.compile(_UNKNOWN)
+
+
+def _pattern(letter: str, number: str, other: str) -> regex.Pattern:
+    """The byte-level pre-tokenizer's pattern (fixed values)."""
+    return regex.compile(
+        rf"'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{number}+| ?{other}+|\s+(?!\S)|\s+"
+        .replace(r"[^\s", "[^" + _SPACE).replace(r"\S", f"[^{_SPACE}]")
+        .replace(r"\s", f"[{_SPACE}]"))
+
+
+PRETOKENS = _pattern(r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]")
+_ODD_PRETOKENS = _pattern(rf"(?:(?!{_UNKNOWN})\p{{L}})", rf"(?:(?!{_UNKNOWN})\p{{N}})",
+                          rf"(?:[^\s\p{{L}}\p{{N}}]|{_UNKNOWN})")
+
+
+def pretokens(text: str) -> list[str]:
+    odd = not text.isascii() and _ODD.search(text)
+    return (_ODD_PRETOKENS if odd else PRETOKENS).findall(text)
+
+
 #: A space between two characters that aren't white: no pre-token reaches over its left end.
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s")
@@ -247,8 +275,8 @@ def _learn(heads: set[str], rest: set[str], vocab: Vocabulary) -> None:
     vocab.heads.forget()
     vocab.rest.forget()
     rest = vocab.rest.missing(rest)
-    cut = [(vocab.rest, c, PRETOKENS.findall(" " + c)) for c in rest if not c.isalpha()]
-    cut += [(vocab.heads, c, PRETOKENS.findall(c)) for c in vocab.heads.missing(heads)]
+    cut = [(vocab.rest, c, pretokens(" " + c)) for c in rest if not c.isalpha()]
+    cut += [(vocab.heads, c, pretokens(c)) for c in vocab.heads.missing(heads)]
     parts = {t for _, _, found in cut for t in found}
     spaced = vocab.rest.missing({t[1:] for t in parts if t[0] == " " and len(t) > 1})
     spaced |= {c for c in rest if c.isalpha()}
