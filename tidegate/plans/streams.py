@@ -336,7 +336,8 @@ def stream_quota_idle(spark, sf_dir):
 def stream_quota_sweeps(spark, sf_dir):
     """What the state of the same stream holds after each micro-batch, and whom it forgot."""
     return spark.read.schema(SWEEP_SCHEMA).parquet(
-        _idle_customers(spark, sf_dir) + "-sweeps").drop("clock_us")
+        _idle_customers(spark, sf_dir) + "-sweeps").select(
+        "batch_id", "tenants_held", "ledger_rows", "tenants_forgotten", "tenants_back")
 
 
 def stream_dedupe_bounded(spark, sf_dir):
