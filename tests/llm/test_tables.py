@@ -248,6 +248,8 @@ ODD_ROWS = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "ONE"), (6, "a b c d
     (near_copies(2, 120), Similar(few=2, tile=3, frequent=4)),
     (near_copies(3, 120), Similar(few=3, tile=2, frequent=0, broadcast_rows=0)),
     (near_copies(4, 150), Similar(few=1, tile=4, frequent=8)),
+    (near_copies(5, 150), Similar(few=2, tile=50, tile_keys=60, hot=2, salts=3)),
+    (near_copies(6, 120), Similar(few=3, tile=3, hot=4, salts=5, broadcast_rows=0)),
     (ODD_ROWS, Similar()), ([], Similar())])
 def test_near_copies(spark, rows, rule):
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows],
@@ -262,6 +264,52 @@ def test_near_copies(spark, rows, rule):
         assert kept == sorted({c for _, _, c in want})
 
 
+def test_hot_shingles_are_counted_in_parts(spark, tmp_path):
+    rule = Similar(few=2, hot=3, salts=4)
+    rows = [(t, 100 * t + i, 5) for t in range(-9, 6) for i in range(abs(t) + 1)]
+    postings = spark.createDataFrame(rows, "token long, node long, n long")
+
+    def found(hot, name):
+        met = jaccard._meetings(postings, rule, hot, str(tmp_path / name)).collect()
+        return sorted((r.token, r.node, r.n, r.sets,
+                       [x.node for x in r.before] if r.sets <= rule.few else None) for r in met)
+
+    whole = found(None, "whole")
+    assert whole and whole == found(-20, "all") == found(-4, "some")
+    largest = (spark.read.parquet(str(tmp_path / "all" / "parts")).where("part >= 0")
+               .groupBy("token", "part").count().agg({"count": "max"}).first()[0])
+    assert largest < 10
+
+
+def test_tiles_are_cut_by_shingles(spark):
+    pairs = spark.createDataFrame([(0, i, 1000) for i in range(1, 101)]
+                                  + [(200, i, 10) for i in range(201, 251)],
+                                  "pivot long, node long, n long")
+    places = jaccard._stars(pairs, Similar(tile=100, tile_keys=10_000)).toPandas()
+    tiles = places.groupby("block").tile.nunique()
+    assert (tiles[0], tiles[200]) == (10, 1)
+    assert len(places) == 150 + 11
+    beside = places[places.node == places.block].groupby("block").tile.nunique()
+    assert (beside == tiles).all()
+
+
+def test_trees_compare_long_sets():
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(0, 1 << 62, 60_000).astype(np.uint64))
+    sets = []
+    for share in (0.5, 0.7, 0.84, 0.86, 0.9, 0.95, 1.0):
+        own = base[rng.random(len(base)) < share]
+        extra = rng.integers(0, 1 << 62, int(len(base) * (1 - share) / 2)).astype(np.uint64)
+        sets += [np.unique(np.concatenate((own, extra))), own]
+    rule = Similar()
+    tree = jaccard.Tree(sets, rule)
+    n = len(sets)
+    got = {frozenset((x, y)) for x in range(n) for y in tree.partners(x, lambda y: True)}
+    assert got == {frozenset((x, y)) for x in range(n) for y in range(x) if rule.linked(
+        len(np.intersect1d(sets[x], sets[y])), len(sets[x]), len(sets[y]))}
+    assert 0 < len(got) < n * (n - 1) // 2
+
+
 def test_trees_find_every_pair():
     rng = random.Random(6)
     rule = Similar(percent=60)
