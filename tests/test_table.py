@@ -79,6 +79,37 @@ def test_files_to_read_do_not_grow_with_the_table(spark, target):
     assert max(n for n, _ in found) <= 1 and all(1 <= n <= 2 for _, n in found)
 
 
+def test_large_files_have_filters_of_bounded_parts(spark, target):
+    rows = spark.range(20_000).select(
+        F.concat(F.lit("e"), "id").alias("event_id"), F.lit("t").alias("tenant_id"),
+        F.lit("p").alias("payload"), F.col("id").alias("timestamp"), F.col("id").alias("seq"))
+    table.insert_batch(rows, target, 0, ["seq"])
+    stored_now = spark.table(target)
+    parts = keyfilter.file_filters(stored_now, 4, part_keys=500).collect()
+    assert sum(r.keys for r in parts) == 20_000 and max(r.keys for r in parts) < 800
+    assert len({r.file for r in parts}) == 4 < len(parts)
+    assert max(len(r.filter) for r in parts) < 800 * 12 // 8
+    files = stored_now.inputFiles()
+    filters = spark.createDataFrame(parts, keyfilter.FILTER_SCHEMA)
+
+    def asked(keys, filters=filters):
+        frame = spark.createDataFrame([(k,) for k in keys], "event_id string")
+        return keyfilter.files_to_check(files, filters, frame, 4)
+
+    buckets = {(r.file, r.bucket) for r in parts}
+    for i in range(0, 20_000, 2_500):
+        own = spark.createDataFrame([(f"e{i}",)], "event_id string").select(
+            keyfilter.bucket_of(F.col("event_id"), 4)).first()[0]
+        file = next(f for f, bucket in buckets if bucket == own)
+        assert file in {f.rsplit("/", 1)[-1] for f in asked([f"e{i}"])}
+    assert sum(len(asked([f"x{i}"])) for i in range(8)) <= 1
+    # filters written before there were parts hold for whole files
+    old = keyfilter.file_filters(stored_now, 4).withColumns(
+        {c: F.lit(None).cast("int") for c in ("part", "parts")})
+    assert len(asked(["e1"], old)) >= 1 and len(asked([f"e{i}" for i in range(100)], old)) == 4
+    assert sum(len(asked([f"x{i}"], old)) for i in range(8)) <= 1
+
+
 def test_files_without_filters_are_read(spark, target, monkeypatch):
     def lost(*args):
         raise RuntimeError("driver lost")
