@@ -14,6 +14,7 @@ from tidegate.operators.delivery import dead_letter_lines, parse_dead_letters
 from tidegate.plans import streams
 from tidegate.sources import table
 from tidegate.operators.quota import with_quota_keys
+from tidegate.streaming import admission, persist
 from tidegate.streaming.admission import live_totals, start_batch_acks, start_quota
 from tidegate.streaming.flush import run_to_end, size_options
 from tidegate.streaming.replay import attempt_of, drain_replay, start_replay
@@ -60,6 +61,17 @@ def test_more_rows_make_more_files(spark, tmp_path, monkeypatch):
     assert all(max(a)[0] < min(b)[0] for a, b in zip(found, found[1:]))
 
 
+def test_flushes_have_a_file_for_every_core(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "FEWEST_ROWS", 20)
+    frame = spark.createDataFrame([(i, i) for i in range(400)], ROWS)
+    found = []
+    run_to_end(streams.arrival_stream(frame, ["stamp", "seq"]).writeStream.foreachBatch(
+        lambda batch, _: found.append((batch.select(F.input_file_name()).distinct().count(),
+                                       batch.count())))
+        .option("checkpointLocation", str(tmp_path)).trigger(availableNow=True).start())
+    assert [n for n, _ in found] == [4] * streams.PARTS and sum(n for _, n in found) == 400
+
+
 @pytest.mark.parametrize(("rows", "parts"), [
     ([(i, i) for i in range(100)], 4), ([(7, i) for i in range(10)], 1),
     ([(0, 0), (1000, 1)], 2), ([], 1)])
@@ -204,6 +216,27 @@ def test_batch_acks_over_a_stream(spark, tmp_path, keep):
     assert room == 4 if keep is None else room <= 2
 
 
+@pytest.mark.parametrize("batches", [False, True])
+def test_what_rows_and_state_share_is_worked_out_once(spark, tmp_path, monkeypatch, batches):
+    name = "batch_room" if batches else "row_cap"
+    real, kept = getattr(admission, name), []
+
+    def seen(rows, *args, **options):
+        kept.append(rows.storageLevel.useMemory)
+        return real(rows, *args, **options)
+
+    monkeypatch.setattr(admission, name, seen)
+    frame, capacity, order = requests(spark, 240), Capacity(3, 60, 1), ["timestamp", "batch_id"]
+    policy, held = QuotaPolicy(limit=40, window_sec=60), spark.sparkContext._jsc.getPersistentRDDs
+    before, stream = len(held()), streams.arrival_stream(frame, order)
+    folders = f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/cp"
+    if batches:
+        run_to_end(start_batch_acks(stream, policy, capacity, order, *folders, drain=True))
+    else:
+        run_to_end(start_quota(stream, policy, order, *folders, capacity=capacity, drain=True))
+    assert kept == [True] * streams.PARTS and len(held()) <= before
+
+
 def test_counters_of_a_stream_hold_at_any_time(spark, tmp_path):
     rows = [("a", 100, i) for i in range(5)] + [("a", 900, 5), ("a", 100, 6), ("b", 100, 7)]
     policy = QuotaPolicy(limit=3, window_sec=1)

@@ -37,9 +37,11 @@ from tidegate.settings import Capacity, FlushSettings, QuotaPolicy
 from tidegate.streaming.flush import with_trigger
 from tidegate.streaming.forgetting import HEARD_SCHEMA, Forgetting, sweep_report
 
-# State tables by name; a step maps (rows, state before) to (rows to write, state after).
+# State tables by name; a step maps (rows, state before) to (rows to write, state after). What both
+# of these are made from it hands to `Keep`, so that it is worked out once per micro-batch.
 State = dict[str, DataFrame]
-Step = Callable[[DataFrame, State], tuple[DataFrame, State]]
+Keep = Callable[[DataFrame], DataFrame]
+Step = Callable[[DataFrame, State, Keep], tuple[DataFrame, State]]
 # Accepted and rejected totals of the rows written and of those that came for closed windows.
 Totals = Callable[[DataFrame, DataFrame | None], list[DataFrame]]
 
@@ -98,7 +100,13 @@ def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, s
             name: spark.read.schema(schema).parquet(f"{state}/{name}/{(batch_id - 1) % 2}")
             if batch_id else spark.createDataFrame([], schema)
             for name, schema in schemas.items()}
-        batch = batch.persist()
+        kept = []
+
+        def keep(rows: DataFrame) -> DataFrame:
+            kept.append(rows.persist())
+            return kept[-1]
+
+        batch = keep(batch)
         try:
             rows, late = horizon.split(batch, before)
             if late is not None:
@@ -107,7 +115,7 @@ def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, s
             if forgetting is not None:
                 before, swept, now = forgetting.sweep(batch, before, f"{state}/forgotten", batch_id)
                 heard["heard"] = swept.pop("heard")
-            rows, after = step(rows, before)
+            rows, after = step(rows, before, keep)
             rows.write.mode("overwrite").parquet(f"{out}/{folder}={batch_id}")
             if totals is not None:
                 written = spark.read.schema(rows.schema).parquet(f"{out}/{folder}={batch_id}")
@@ -122,7 +130,8 @@ def _start(events: DataFrame, step: Step, horizon: Horizon, schemas: dict[str, s
                 (sweep_report(spark, batch_id, now, held, used, **swept)
                  .write.mode("overwrite").parquet(f"{out}-sweeps/flush={batch_id}"))
         finally:
-            batch.unpersist()
+            for rows in reversed(kept):
+                rows.unpersist()
 
     writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return with_trigger(writer, flush, drain).start()
@@ -162,9 +171,10 @@ def start_quota(events: DataFrame, policy: QuotaPolicy, order: list[str], out: s
     totals = _event_totals if counters else None
     room_schema = {} if capacity is None else {"room": "window_idx long, used long"}
 
-    def acknowledged(admitted: DataFrame, before: State) -> tuple[DataFrame, State]:
+    def acknowledged(admitted: DataFrame, before: State, keep: Keep) -> tuple[DataFrame, State]:
         if capacity is None:
             return event_acks(admitted, stamp), {}
+        admitted = keep(admitted)
         flagged = row_cap(admitted, capacity, "window_idx", order, F.col("admitted"),
                           taken=before["room"])
         taken = (admitted.where("admitted").groupBy("window_idx")
@@ -173,20 +183,20 @@ def start_quota(events: DataFrame, policy: QuotaPolicy, order: list[str], out: s
                  .withColumn("used", F.least("used", F.lit(capacity.total).cast("long"))))
         return event_acks(flagged, stamp, buffered="buffered"), {"room": taken}
 
-    def strict(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
+    def strict(batch: DataFrame, before: State, keep: Keep) -> tuple[DataFrame, State]:
         weight = None if charge is None else F.col(charge)
         admitted = quota_admission(batch, policy, order, before["used"], weight)
         used = quota_ledger(batch, policy, weight, before["used"])
         used, newest = horizon.after(batch, used, before)
-        rows, room = acknowledged(admitted, before)
+        rows, room = acknowledged(admitted, before, keep)
         return rows, {"used": used, **newest, **room}
 
-    def leased(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
+    def leased(batch: DataFrame, before: State, keep: Keep) -> tuple[DataFrame, State]:
         held = LeaseState(before["tokens"], before["used"])
         admitted, outcomes = leased_step(batch, policy, order, charge, arrival, held)
         after = next_state(batch, outcomes, policy, held, charge, arrival)
         used, newest = horizon.after(batch, after.used, before)
-        rows, room = acknowledged(admitted, before)
+        rows, room = acknowledged(admitted, before, keep)
         return rows, {"tokens": after.tokens, "used": used, **newest, **room}
 
     if policy.lease == 1:
@@ -205,7 +215,7 @@ def start_row_cap(events: DataFrame, capacity: Capacity, interval: str, order: l
     intervals before it, so stamps should be checked first."""
     horizon = Horizon(None, interval, keep_intervals)
 
-    def step(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
+    def step(batch: DataFrame, before: State, keep: Keep) -> tuple[DataFrame, State]:
         flagged = row_cap(batch, capacity, interval, order, taken=before["taken"])
         used = (batch.groupBy(interval).agg(F.count(F.lit(1)).alias("used"))
                 .unionByName(before["taken"]).groupBy(interval).agg(F.sum("used").alias("used"))
@@ -230,10 +240,10 @@ def start_batch_acks(requests: DataFrame, policy: QuotaPolicy, capacity: Capacit
     stamp = None if processed_at is None else F.col(processed_at)
     horizon = Horizon(None, "window_idx", keep_windows)
 
-    def step(batch: DataFrame, before: State) -> tuple[DataFrame, State]:
+    def step(batch: DataFrame, before: State, keep: Keep) -> tuple[DataFrame, State]:
         charged = quota_admission(batch, policy, order, before["used"], F.col("n"))
-        placed = batch_cap(charged, capacity, "window_idx", order, taking=F.col("admitted"),
-                           taken=before["room"])
+        placed = keep(batch_cap(charged, capacity, "window_idx", order, taking=F.col("admitted"),
+                                taken=before["room"]))
         used = quota_ledger(batch, policy, F.col("n"), before["used"])
         room = batch_room(placed, capacity, "window_idx", taken=before["room"])
         used, newest = horizon.after(batch, used, before)
