@@ -175,6 +175,33 @@ def test_replay_of_a_batch_that_failed(spark, tmp_path, target, monkeypatch):
     assert poison.count() == 1
 
 
+def test_only_dead_letters_are_held_as_records(spark, tmp_path, monkeypatch):
+    name, real, found = f"r_{uuid.uuid4().hex[:8]}", persist.insert_batch, []
+    table.create_table(spark, name, f"{tmp_path}/table", buckets=2)
+
+    def seen(events, *args, **options):
+        found.append(events.select("topic", "key", "value").distinct().collect())
+        return real(events, *args, **options)
+
+    monkeypatch.setattr(persist, "insert_batch", seen)
+    records = spark.createDataFrame([("e1", b"e1", 1), ("e2", b"e2", 2)],
+                                    "id string, key binary, time long").select(
+        F.lit("events").alias("topic"), "key", encode_event(
+            F.col("id"), F.lit("t"), F.lit("p"), F.lit(5).cast("long")).alias("value"), "time")
+    bad = records.limit(1).withColumns({"key": F.lit(b"bad"), "value": F.lit(b"\xff\xff")})
+    records.unionByName(bad).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(records.schema).parquet(f"{tmp_path}/in")
+    run_to_end(persist.start_persist(stream, name, ["time"], f"{tmp_path}/dead",
+                                     f"{tmp_path}/flushes", f"{tmp_path}/cp", drain=True))
+    assert [[tuple(r) for r in rows] for rows in found] == [[(None, None, None)]]
+    assert sorted(r.event_id for r in table.read_table(spark, name).collect()) == ["e1", "e2"]
+    letters = parse_dead_letters(spark.read.option("recursiveFileLookup", "true")
+                                 .text(f"{tmp_path}/dead")).collect()
+    assert [(r.topic, r.key, bytes(r.value)) for r in letters] == [
+        ("events", "bad", b"\xff\xff")]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def requests(spark, n):
     """Batches of few tenants and windows, some empty, with ties of the stamp."""
     rows = [(i, f"t{i % 3}", i // 4 * 10**9, (i * 7) % 5, i // 60) for i in range(n)]

@@ -25,37 +25,39 @@ EVENT_FIELDS = (
 _WIRE_VARINT, _WIRE_BYTES = 0, 2
 
 
-def _varint_hex(value: Column, width: int, goes_on: bool = False) -> Column:
-    """The low `width` (at most 8) base-128 digits of a number as hex text, low digit first,
+def _varint(value: Column, width: int, goes_on: bool = False) -> Column:
+    """The low `width` (at most 8) base-128 digits of a number as bytes, low digit first,
     up to its last digit. With `goes_on`, the number may have more digits than that.
 
-    The digits are laid out as the bytes of one long, each with its "more follows" bit, so that
-    a single `hex` writes them. The text is cut to the digits needed and the last one's bit
+    The digits are laid out as the first bytes of one long, each with its "more follows" bit, so
+    that a single `hex` writes them. The bytes are cut to the digits needed and the last one's bit
     taken back, unless more digits follow. Kept short: the generated code of an encoder should
     stay below the size up to which the JVM compiles a method.
     """
-    spread = F.lit(sum(128 << 8 * i for i in range(width)) - (1 << 64) * (width == 8))
+    spread = sum(128 << 8 * (7 - i) for i in range(width))
+    spread = F.lit(spread - (1 << 64) * (spread >= 1 << 63))
     for i in range(width):
         digit = F.shiftrightunsigned(value, 7 * i).bitwiseAND(F.lit(127))
-        spread = spread.bitwiseOR(F.shiftleft(digit, 8 * (width - 1 - i)))
+        spread = spread.bitwiseOR(F.shiftleft(digit, 8 * (7 - i)))
     # The number of digits, from the number of bits.
     count = F.call_function("div", F.length(F.bin(value)) + 6, F.lit(7)).cast("int")
-    last = F.call_function("shiftleft", F.lit(128).cast("long"), F.lit(8 * width) - 8 * count)
+    last = F.call_function("shiftleft", F.lit(128).cast("long"), F.lit(64) - 8 * count)
     if goes_on:
         last = F.when(count > width, F.lit(0).cast("long")).otherwise(last)
-    return F.substring(F.lpad(F.hex(spread.bitwiseXOR(last)), 2 * width, "0"), F.lit(1), 2 * count)
+        count = F.least(count, F.lit(width))
+    return F.substring(F.unhex(F.lpad(F.hex(spread.bitwiseXOR(last)), 16, "0")), F.lit(1), count)
 
 
-def _long_varint_hex(value: Column) -> Column:
+def _long_varint(value: Column) -> Column:
     """All digits of any 64-bit number: eight, then the ninth and tenth."""
     rest = F.shiftrightunsigned(value, 56)
-    return F.concat(_varint_hex(value, 8, goes_on=True),
-                    F.when(rest == 0, F.lit("")).otherwise(_varint_hex(rest, 2)))
+    return F.concat(_varint(value, 8, goes_on=True),
+                    F.when(rest == 0, F.lit(b"")).otherwise(_varint(rest, 2)))
 
 
-def _length_hex(length: Column) -> Column:
-    """A length: mostly one digit. Longer ones are rare, and their form, which isn't compiled
-    with the rest, keeps the generated code of an encoder small."""
+def _length(length: Column) -> Column:
+    """A length: mostly one digit, which is an ASCII character. Longer ones are rare, and their
+    form, which isn't compiled with the rest, keeps the generated code of an encoder small."""
     digits = F.call_function("div", F.length(F.bin(length)) + 6, F.lit(7)).cast("int")
 
     def digit(i: Column) -> Column:
@@ -63,12 +65,12 @@ def _length_hex(length: Column) -> Column:
         more = F.when(i < digits - 1, F.lit(128)).otherwise(F.lit(0))
         return F.lpad(F.hex(value + more), 2, "0")
 
-    many = F.array_join(F.transform(F.sequence(F.lit(0), digits - 1), digit), "")
-    return F.when(length < 128, F.lpad(F.hex(length), 2, "0")).otherwise(many)
+    many = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), digits - 1), digit), ""))
+    return F.when(length < 128, F.char(length).cast("binary")).otherwise(many)
 
 
-def _tag_hex(number: int, wire_type: int) -> str:
-    return f"{number << 3 | wire_type:02X}"
+def _tag(number: int, wire_type: int) -> Column:
+    return F.lit(bytes([number << 3 | wire_type]))
 
 
 def encodable(event_id: Column, tenant_id: Column, payload: Column) -> Column:
@@ -87,14 +89,13 @@ def encode_event(event_id: Column, tenant_id: Column, payload: Column, timestamp
         col = columns[name]
         if kind == "string":
             col = F.coalesce(col, F.lit(""))
-            head = F.unhex(F.concat(F.lit(_tag_hex(number, _WIRE_BYTES)),
-                                    _length_hex(F.octet_length(col).cast("long"))))
-            pieces.append(F.when(col == "", empty)
-                          .otherwise(F.concat(head, col.cast("binary"))))
+            pieces.append(F.when(col == "", empty).otherwise(F.concat(
+                _tag(number, _WIRE_BYTES), _length(F.octet_length(col).cast("long")),
+                col.cast("binary"))))
         else:
             col = F.coalesce(col, F.lit(0).cast("long"))
-            pieces.append(F.when(col == 0, empty).otherwise(F.unhex(F.concat(
-                F.lit(_tag_hex(number, _WIRE_VARINT)), _long_varint_hex(col)))))
+            pieces.append(F.when(col == 0, empty).otherwise(
+                F.concat(_tag(number, _WIRE_VARINT), _long_varint(col))))
     return F.concat(*pieces)
 
 

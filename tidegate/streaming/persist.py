@@ -51,7 +51,11 @@ def start_persist(records: DataFrame, name: str, order: list[str], dead_letters:
         writer = writer_id(batch.sparkSession)
         decoded = decode_records(batch).withColumn(
             "_undecoded", F.col("error").isNotNull()).withColumn(
-            "error", F.coalesce("error", constraint_reason())).persist()
+            "error", F.coalesce("error", constraint_reason()))
+        # Only a dead letter needs the record itself; the others are kept by their fields alone.
+        decoded = decoded.withColumns({
+            c: F.when(F.col("error").isNotNull(), F.col(c)) for c in ("topic", "key", "value")
+            if c not in order}).persist()
         try:
             failed = decoded.agg(
                 F.count_if("_undecoded").alias("undecodable"),
