@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import defaultdict
 from pathlib import Path
 
@@ -281,6 +282,95 @@ def test_hot_shingles_are_counted_in_parts(spark, tmp_path):
     assert largest < 10
 
 
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return set(re.findall(r"shuffle_\w+[.]data", blocks.getAllFiles().mkString(" ")))
+
+
+def test_shuffle_files_go_with_their_jobs(spark):
+    docs = spark.createDataFrame(near_copies(7, 60), "doc_id long, text string").repartition(3)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own, before = spark.conf.get(setting), shuffle_files(spark)
+    got = jaccard.jaccard_components(docs)
+    end = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(setting) == own
+    assert got.count() == 60
+
+
+def test_copies_are_left_out_without_shuffling_texts(spark):
+    docs = spark.createDataFrame([(i, f"text number {i % 3}") for i in range(30)]
+                                 + [(None, "text number 0"), (None, "a text without an id")],
+                                 "id long, text string")
+    members = spark.createDataFrame(
+        [(r.id, 1, len(r.text) * 10 + ord(r.text[-1])) for r in docs.collect()],
+        "id long, n long, node long")
+    classes = members.groupBy("node").agg(F.max("n").alias("n"), F.min("id").alias("class_id"),
+                                          F.max("id").alias("last"))
+    for most, nulls in ((100, 2), (10, 2), (2, 2)):
+        once = jaccard._once(docs, classes, members, Similar(broadcast_rows=most))
+        assert sorted(r.id for r in once.collect() if r.id is not None) == [0, 1, 2]
+        assert once.where("id is null").count() == nulls
+        plan = once._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_few_sets_of_a_shingle_are_stored_once(spark, tmp_path):
+    rule = Similar(few=6)
+    rows = [(t, 100 * t + i, 5) for t in range(1, 10) for i in range(t)]
+    postings = spark.createDataFrame(rows, "token long, node long, n long")
+    met = jaccard._meetings(postings, rule, None, str(tmp_path / "lists"))
+    assert met.count() == len(rows) - 1
+    assert spark.read.parquet(str(tmp_path / "lists" / "meetings")).count() == 5 + 7 + 8 + 9
+
+
+def test_sets_of_a_component_are_not_paired_again(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(4000)]
+    base = [rng.choice(words) for _ in range(200)]
+    rows = []
+    for i in range(14):
+        own = list(base)
+        own[rng.randrange(200)] = rng.choice(words)
+        rows.append((i, " ".join(own)))
+    found, counted = [], jaccard._counted_pairs
+
+    def spy(*args):
+        out = counted(*args)
+        found.append(out.count())
+        return out
+    monkeypatch.setattr(jaccard, "_counted_pairs", spy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.jaccard_components(docs)
+    assert sorted((tuple(r)[:3] for r in got.collect()), key=str) == plain_groups(rows)
+    assert found == [0]  # of 91 pairs
+
+
+def test_trees_are_compared_in_rounds(spark, monkeypatch):
+    rows, rounds, compared = near_copies(9, 150), [], jaccard._compared
+
+    def spy(*args):
+        rounds.append(1)
+        return compared(*args)
+    monkeypatch.setattr(jaccard, "_compared", spy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for most in (1 << 20, 0):
+        got = jaccard.jaccard_components(docs, rule=Similar(
+            few=2, tile=3, round_keys=1, broadcast_rows=most))
+        found = sorted((tuple(r)[:3] for r in got.collect()), key=str)
+        assert found == sorted(((i, n, c if n else i) for i, n, c in plain_groups(rows)), key=str)
+    assert len(rounds) > 4
+
+
+def test_tiles_that_meet_each_other_grow(spark):
+    sizes = spark.createDataFrame([(100, 1000), (4096, 1 << 21), (1 << 16, 1 << 24),
+                                   (1 << 16, 1 << 30)], "sets long, keys long")
+    tiles = sizes.select(jaccard._paired_tiles(Similar(), F.col("sets"), F.col("keys")))
+    assert [r[0] for r in tiles.collect()] == [1, 32, 32, 512]
+
+
 def test_tiles_are_cut_by_shingles(spark):
     pairs = spark.createDataFrame([(0, i, 1000) for i in range(1, 101)]
                                   + [(200, i, 10) for i in range(201, 251)],
